@@ -1,7 +1,8 @@
 """Lookups, match indicators and fallbacks.
 
-No side is broadcast by hint: registries grow too.  The planner broadcasts what
-its size statistics allow and adaptive execution splits hot keys of the rest.
+Registries grow too, so no lookup side is broadcast by hint: the planner
+broadcasts what its size statistics allow and adaptive execution splits hot keys
+of the rest.
 """
 
 from __future__ import annotations
@@ -14,6 +15,15 @@ from pyspark.sql import functions as F
 from ledgerloom import schema as S
 
 BLANK_SPREAD = 1024
+BROADCAST_ROWS = 200_000
+
+
+def broadcast_within(written: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast a written table if it is small enough, else leave the join open.
+
+    Counting a Parquet table reads only its footers.
+    """
+    return F.broadcast(written) if written.count() <= max_rows else written
 
 
 def spread_blank(key: Column, spread_by: Iterable[Column | str]) -> Column:

@@ -102,8 +102,11 @@ def exact_median(df: DataFrame, column: str) -> DataFrame:
     return picked.agg(((F.min(value) + F.max(value)) / 2).alias("median"))
 
 
-def describe(df: DataFrame, column: str) -> DataFrame:
-    """One row: count of values, sum, mean, median, min, max and sample std."""
+def describe(df: DataFrame, column: str, extra: Iterable[Column] = ()) -> DataFrame:
+    """One row: count of values, sum, mean, median, min, max, sample std and extras.
+
+    Everything but the median comes from one pass.
+    """
     basic = df.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count(column).alias("n_values"),
@@ -112,6 +115,7 @@ def describe(df: DataFrame, column: str) -> DataFrame:
         F.min(column).alias("minimum"),
         F.max(column).alias("maximum"),
         F.stddev_samp(F.col(column).cast("double")).alias("std"),
+        *extra,
     )
     return basic.crossJoin(exact_median(df, column))
 
@@ -144,12 +148,10 @@ def row_counts_by_period(df: DataFrame) -> DataFrame:
     )
 
 
-def total_lookup(df: DataFrame, key: str, name: str) -> DataFrame:
-    """Total per key; a key whose amounts are all NULL totals 0."""
-    return df.groupBy(key).agg(
-        F.coalesce(total("amount"), F.lit(0).cast(TOTAL)).alias(name)
-    )
-
-
 def unknown_group(c: Column | str) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(S.UNKNOWN))
+
+
+def total_or_zero(c: Column | str) -> Column:
+    """A sum that is 0 where every value is NULL."""
+    return F.coalesce(total(c), F.lit(0).cast(TOTAL))

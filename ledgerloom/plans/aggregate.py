@@ -58,12 +58,18 @@ def enrich_and_rank(expense: DataFrame, registry: DataFrame) -> DataFrame:
 
 
 def describe_groups(aggregated: DataFrame) -> DataFrame:
-    """One row over all groups: totals, median, spread, variability, regions."""
-    extra = aggregated.agg(
-        F.count_if("high_variability").alias("n_high_variability"),
-        F.count_distinct("region").alias("n_regions"),
+    """One row over all groups: totals, median, spread, variability, regions.
+
+    Reads its input twice: pass the ranked table, which is stored.
+    """
+    return stats.describe(
+        aggregated,
+        "total",
+        [
+            F.count_if("high_variability").alias("n_high_variability"),
+            F.count_distinct("region").alias("n_regions"),
+        ],
     )
-    return stats.describe(aggregated, "total").crossJoin(extra)
 
 
 def top_groups(aggregated: DataFrame, k: int = 10) -> DataFrame:

@@ -134,7 +134,7 @@ def ingest_lines(lines: DataFrame, registry: DataFrame) -> Ingested:
     """``src_file, entry, raw, line_at`` of any mix of layouts to flagged expenses."""
     files = materialize(describe_layouts(delimited.describe_files(lines, FILE_KEY)), "files")
     width = delimited.header_width(files)
-    usable = files.filter(F.col("problem").isNull())
+    usable = joins.broadcast_within(files).filter(F.col("problem").isNull())
     period = ["file_year", "file_quarter"]
 
     ledger = delimited.parse_files(

@@ -11,6 +11,7 @@ from ledgerloom import schema as S
 from ledgerloom.functions import ids, text
 from ledgerloom.operators import columns as C
 from ledgerloom.operators import dedupe, filters, joins, ranking, stats
+from ledgerloom.session import materialize
 
 REGISTRY_ORDER = ("registration",)
 EXPENSE_ORDER = ("year", "quarter", "entity_name")
@@ -48,26 +49,40 @@ def serving_aggregated(raw: DataFrame) -> DataFrame:
     )
 
 
+# --- the serving base ------------------------------------------------------------------
+
+
+def summarize(expense: DataFrame) -> DataFrame:
+    """Expenses per id, name and quarter: what every serving query starts from.
+
+    One pass over the expenses with map-side sums; at scale this table is
+    written once and all queries below read it instead of the expenses.
+    """
+    return expense.groupBy("entity_id", "entity_name", "year", "quarter").agg(
+        stats.total("amount").alias("total"), F.count("amount").alias("n_amounts")
+    )
+
+
 # --- directory and search ------------------------------------------------------------
 
 
-def first_names(expense: DataFrame, order_by: Iterable[Column | str] = EXPENSE_ORDER) -> DataFrame:
+def first_names(summary: DataFrame, order_by: Iterable[Column | str] = EXPENSE_ORDER) -> DataFrame:
     """The first known name of every id."""
-    named = expense.filter(F.col("entity_id").isNotNull() & F.col("entity_name").isNotNull())
+    named = summary.filter(F.col("entity_id").isNotNull() & F.col("entity_name").isNotNull())
     at = F.struct(*order_by)
     return named.groupBy("entity_id").agg(F.min_by("entity_name", at).alias("first_name"))
 
 
 def entity_directory(
     registry: DataFrame | None,
-    expense: DataFrame,
+    summary: DataFrame,
     order_by: Iterable[Column | str] = REGISTRY_ORDER,
 ) -> DataFrame:
     """One row per entity; names the registry lacks come from the expenses.
 
     Without a registry the ids that have expenses are the directory.
     """
-    names = first_names(expense)
+    names = first_names(summary)
     if registry is None or registry.isEmpty():
         absent = {c: F.lit(None).cast("string") for c in ("registration", "category", "region")}
         named = names.withColumnRenamed("first_name", "entity_name").withColumns(absent)
@@ -80,14 +95,18 @@ def entity_directory(
     return joined.withColumn("entity_name", name).select(*S.REGISTRY_COLUMNS)
 
 
-def with_activity(directory: DataFrame, expense: DataFrame) -> DataFrame:
+def with_activity(directory: DataFrame, summary: DataFrame) -> DataFrame:
     """Add ``has_data``: a positive total by id, or by normalised name.
 
     Two equi joins on aggregates take the place of one join with an OR.
     """
-    by_id = stats.total_lookup(expense, "entity_id", "_by_id")
-    named = expense.select(text.normal_name("entity_name").alias("_name"), "amount")
-    by_name = stats.total_lookup(named.filter("_name != ''"), "_name", "_by_name")
+    by_id = summary.groupBy("entity_id").agg(stats.total_or_zero("total").alias("_by_id"))
+    named = summary.select(text.normal_name("entity_name").alias("_name"), "total")
+    by_name = (
+        named.filter("_name != ''")
+        .groupBy("_name")
+        .agg(stats.total_or_zero("total").alias("_by_name"))
+    )
     joined = (
         directory.withColumn("_name", text.normal_name("entity_name"))
         .join(by_id, "entity_id", "left")
@@ -121,52 +140,50 @@ def find_entity(directory: DataFrame, entity_id: str) -> DataFrame:
 # --- histories -------------------------------------------------------------------------
 
 
-def _history_totals(df: DataFrame, key: str) -> DataFrame:
-    totals = stats.period_totals(df, [key])
-    return totals.withColumn("total", F.coalesce("total", F.lit(0).cast(stats.TOTAL)))
+def _history_totals(summary: DataFrame, key: str) -> DataFrame:
+    known = summary.filter(F.col("year").isNotNull() & F.col("quarter").isNotNull())
+    return known.groupBy(key, "year", "quarter").agg(stats.total_or_zero("total").alias("total"))
+
+
+def _with_any_positive(totals: DataFrame) -> DataFrame:
+    """Leave out series without a positive total; a series is at most one row per quarter."""
+    series = Window.partitionBy("entity_id")
+    best = totals.withColumn("_best", F.max("total").over(series))
+    return best.filter("_best > 0").drop("_best")
 
 
-def entity_histories(expense: DataFrame, directory: DataFrame) -> DataFrame:
+def entity_histories(summary: DataFrame, directory: DataFrame) -> DataFrame:
     """Quarter totals of every entity, for all entities at once.
 
     Directory entries without expenses under their id take those under their
     normalised name.  A series without any positive total is left out.
     """
-    known = expense.filter(F.col("entity_id") != "")
+    known = summary.filter(F.col("entity_id") != "")
     by_id = _history_totals(known, "entity_id")
     named = directory.select("entity_id", text.normal_name("entity_name").alias("_name"))
     without = named.filter("_name != ''").join(
         known.select("entity_id").distinct(), "entity_id", "left_anti"
     )
     by_name = _history_totals(
-        expense.select(text.normal_name("entity_name").alias("_name"), "year", "quarter", "amount"),
-        "_name",
+        summary.withColumn("_name", text.normal_name("entity_name")), "_name"
     )
     borrowed = without.join(by_name, "_name").select(*by_id.columns)
-    series = Window.partitionBy("entity_id")
-    return (
-        by_id.unionByName(borrowed)
-        .withColumn("_best", F.max("total").over(series))
-        .filter("_best > 0")
-        .drop("_best")
-    )
+    return _with_any_positive(by_id.unionByName(borrowed))
 
 
-def entity_history(expense: DataFrame, directory: DataFrame, entity_id: str) -> DataFrame:
+def entity_history(summary: DataFrame, directory: DataFrame, entity_id: str) -> DataFrame:
     """The same for one entity, oldest quarter first: filters reach the scans."""
     wanted = ids.padded_id(F.lit(entity_id))
-    own = expense.filter(F.col("entity_id") == wanted)
+    own = summary.filter(F.col("entity_id") == wanted)
     if own.isEmpty():
         entry = filters.entity(directory, entity_id).select(
             text.normal_name("entity_name").alias("_name")
         )
         names = entry.filter("_name != ''").limit(1)
-        named = expense.withColumn("_name", text.normal_name("entity_name"))
+        named = summary.withColumn("_name", text.normal_name("entity_name"))
         own = named.join(F.broadcast(names), "_name", "left_semi")
     totals = _history_totals(own.withColumn("entity_id", wanted), "entity_id")
-    best = Window.partitionBy("entity_id")
-    kept = totals.withColumn("_best", F.max("total").over(best)).filter("_best > 0")
-    return kept.select("year", "quarter", "total").orderBy("year", "quarter")
+    return _with_any_positive(totals).select("year", "quarter", "total").orderBy("year", "quarter")
 
 
 # --- dashboard ---------------------------------------------------------------------------
@@ -197,9 +214,11 @@ def locate(totals: DataFrame, registry: DataFrame) -> DataFrame:
     return second.withColumn("region", region).drop("_by_id", "_by_name")
 
 
-def located_totals(expense: DataFrame, registry: DataFrame | None) -> DataFrame:
+def located_totals(summary: DataFrame, registry: DataFrame | None) -> DataFrame:
     """Totals per (id, name) with their region: what all dashboard parts share."""
-    totals = expense.groupBy("entity_id", "entity_name").agg(stats.total("amount").alias("total"))
+    totals = summary.groupBy("entity_id", "entity_name").agg(
+        stats.total("total").alias("total"), F.sum("n_amounts").alias("n_amounts")
+    )
     if registry is None:
         return totals.withColumn("region", F.lit(S.UNKNOWN))
     return locate(totals, registry)
@@ -214,9 +233,7 @@ def registered_per_region(registry: DataFrame) -> DataFrame:
 
 def region_totals(located: DataFrame, registry: DataFrame | None) -> DataFrame:
     """Total per region, registered entities and mean per registered entity."""
-    totals = located.groupBy("region").agg(
-        F.coalesce(stats.total("total"), F.lit(0).cast(stats.TOTAL)).alias("total")
-    )
+    totals = located.groupBy("region").agg(stats.total_or_zero("total").alias("total"))
     if registry is None:
         entities = located.groupBy("region").agg(
             F.count_distinct("entity_id").alias("n_entities")
@@ -242,8 +259,9 @@ def region_totals_from_aggregated(aggregated: DataFrame) -> DataFrame:
 
 def top_entities(located: DataFrame, k: int = 5) -> DataFrame:
     """Largest entities by total; rows without a name do not take part."""
+    zero = F.lit(0).cast(stats.TOTAL)
     named = located.filter(F.col("entity_name").isNotNull()).withColumn(
-        "total", F.coalesce("total", F.lit(0).cast(stats.TOTAL))
+        "total", F.coalesce("total", zero)
     )
     return ranking.top_k(named, "total", k, ["entity_name", "entity_id"]).select(
         "entity_name", "region", "total"
@@ -261,18 +279,26 @@ def region_chart(regions: DataFrame, metric: str = "total", k: int = 10) -> Data
     return ranking.top_k(regions, metric, k, ["region"])
 
 
+def count_entities(registry: DataFrame | None, summary: DataFrame) -> DataFrame:
+    """One row: the size of the directory, without building it."""
+    if registry is None or registry.isEmpty():
+        counted = summary.filter(F.col("entity_name").isNotNull())
+        return counted.agg(F.count_distinct("entity_id").alias("n_entities"))
+    return registry.agg(F.count_distinct(ids.padded_id("entity_id")).alias("n_entities"))
+
+
 def dashboard_kpis(
-    expense: DataFrame, directory: DataFrame, aggregated: DataFrame | None = None
+    totals: DataFrame, entities: DataFrame, aggregated: DataFrame | None = None
 ) -> DataFrame:
-    """One row of overall figures."""
-    zero = F.lit(0).cast(stats.TOTAL)
-    spent = expense.agg(
-        F.coalesce(stats.total("amount"), zero).alias("total"),
-        F.coalesce(stats.mean("amount"), F.lit(0.0)).alias("mean"),
+    """One row of overall figures; ``totals`` has ``total`` and ``n_amounts`` per group."""
+    n = F.sum("n_amounts").cast("double")
+    overall = F.try_divide(F.sum("total").cast("double"), n)
+    spent = totals.agg(
+        stats.total_or_zero("total").alias("total"),
+        F.coalesce(overall, F.lit(0.0)).alias("mean"),
     )
-    entities = directory.agg(F.count_distinct("entity_id").alias("n_entities"))
     if aggregated is None:
-        varying = expense.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("n_high_variability"))
+        varying = spent.select(F.lit(0).cast("bigint").alias("n_high_variability"))
     else:
         varying = aggregated.agg(F.count_if("high_variability").alias("n_high_variability"))
     per_entity = F.coalesce(
@@ -306,29 +332,28 @@ def _as_list(df: DataFrame, name: str, order: Column, key: str, descending: bool
 
 
 def dashboard_stats(
-    expense: DataFrame,
+    summary: DataFrame,
     registry: DataFrame | None,
     aggregated: DataFrame | None = None,
 ) -> DataFrame:
     """All dashboard figures as one nested row.
 
-    The arrays hold five entities and one item per region, so the row is small
-    at any data size.
+    The located totals are written once and shared by all parts.  The arrays
+    hold five entities and one item per region, so the row stays small at any
+    data size.
     """
-    directory = entity_directory(registry, expense)
-    located = located_totals(expense, registry)
-    if aggregated is not None and expense.isEmpty():
+    located = materialize(located_totals(summary, registry), "located")
+    if aggregated is not None and located.isEmpty():
         regions = region_totals_from_aggregated(aggregated)
     else:
         regions = region_totals(located, registry)
-    top = top_entities(located, 5)
-    tops = _as_list(top, "top_entities", F.col("total"), "entity_name")
+    tops = _as_list(top_entities(located, 5), "top_entities", F.col("total"), "entity_name")
     by_region = _as_list(regions, "regions", F.col("total"), "region")
     first = F.try_element_at("top_entities", F.lit(1))
     named = F.filter("regions", lambda r: r["region"] != S.UNKNOWN)
     lead = F.coalesce(F.try_element_at(named, F.lit(1)), F.try_element_at("regions", F.lit(1)))
     return (
-        dashboard_kpis(expense, directory, aggregated)
+        dashboard_kpis(located, count_entities(registry, summary), aggregated)
         .crossJoin(tops)
         .crossJoin(by_region)
         .withColumn("top_entity", first)

@@ -44,18 +44,25 @@ def quarantine_report(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def consolidation_report(flagged: DataFrame) -> dict[str, DataFrame]:
-    """What was consolidated: totals, rows per period, period labels, flags."""
-    totals = stats.describe(flagged, "amount").drop("std")
-    entities = flagged.agg(
-        F.count_distinct("entity_id").alias("n_entities"),
-        F.count_if(F.col("issue_flags") != "").alias("n_flagged"),
-    )
+    """What was consolidated: totals, rows per period, period labels, flags.
+
+    Each part is a pass of its own: pass the written table, not the plan that
+    flags it.
+    """
+    summary = stats.describe(
+        flagged,
+        "amount",
+        [
+            F.count_distinct("entity_id").alias("n_entities"),
+            F.count_if(F.col("issue_flags") != "").alias("n_flagged"),
+        ],
+    ).drop("std")
     by_period = stats.row_counts_by_period(flagged)
     labels = by_period.select(periods.label("year", "quarter").alias("period")).orderBy(
         F.desc("period")
     )
     return {
-        "summary": totals.crossJoin(entities),
+        "summary": summary,
         "by_period": by_period,
         "periods": labels,
         "flags": quality.flag_histogram(flagged),

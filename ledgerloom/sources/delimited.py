@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import schema as S
+from ledgerloom.operators.joins import broadcast_within
 from ledgerloom.session import materialize
 
 SEPARATOR = ";"
@@ -135,4 +136,6 @@ def read_mixed_encoding(
     lines = read_lines(spark, path)
     described = describe_files(lines).withColumn("names", split_header("header_line", join_words))
     files = materialize(described, "files")
-    return parse_files(lines, files, aliases, header_width(files), keep=["line_at"])
+    return parse_files(
+        lines, broadcast_within(files), aliases, header_width(files), keep=["line_at"]
+    )
