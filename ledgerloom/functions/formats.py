@@ -19,7 +19,7 @@ def _local_separators(shown: Column) -> Column:
     return F.translate(shown, ",.", ".,")
 
 
-def money(c: Column | str, gap: str = " ") -> Column:
+def money(c: Column | str, gap: str = "\u00a0") -> Column:
     """R$ 1.234,56 with two decimals; the sign goes in front; NULL -> '-'."""
     exact = _col(c).cast("decimal(38,2)")
     body = _local_separators(F.format_number(F.abs(exact), 2))
@@ -34,7 +34,7 @@ def number(c: Column | str) -> Column:
     return F.coalesce(_local_separators(trimmed), F.lit(MISSING))
 
 
-def short_money(c: Column | str, gap: str = " ") -> Column:
+def short_money(c: Column | str, gap: str = "\u00a0") -> Column:
     """One decimal and a unit by magnitude ('1.2 mi'); small values in full."""
     exact = _col(c).cast("decimal(20,2)")
     size = F.abs(exact)

@@ -15,7 +15,7 @@ class AmbiguousColumns(ValueError):
 
 
 def clean_header(name: str, join_words: bool = True) -> str:
-    name = name.strip().lower().removeprefix("﻿").strip()
+    name = name.strip().lower().removeprefix("\ufeff").strip()
     return name.replace(" ", "_") if join_words else name
 
 

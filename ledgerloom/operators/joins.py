@@ -1,8 +1,8 @@
 """Lookups, match indicators and fallbacks.
 
-Registries grow too, so no lookup side is broadcast by hint: the planner
-broadcasts what its size statistics allow and adaptive execution splits hot keys
-of the rest.
+Registries grow too, so a lookup side is only broadcast after its rows were
+counted; beyond the bound the join is left to the planner, and adaptive
+execution splits hot keys.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom import schema as S
+from ledgerloom.session import materialize
 
 BLANK_SPREAD = 1024
 BROADCAST_ROWS = 200_000
@@ -26,6 +27,14 @@ def broadcast_within(written: DataFrame, max_rows: int = BROADCAST_ROWS) -> Data
     return F.broadcast(written) if written.count() <= max_rows else written
 
 
+def sized_side(df: DataFrame, label: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A lookup side written once, so that its size is known before it is joined.
+
+    When it is small the rows it is joined to are not shuffled at all.
+    """
+    return broadcast_within(materialize(df, label), max_rows)
+
+
 def spread_blank(key: Column, spread_by: Iterable[Column | str]) -> Column:
     """A join key in which blank ids, which match nothing, do not share a task.
 

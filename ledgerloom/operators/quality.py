@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import schema as S
 from ledgerloom.functions import ids, text
+from ledgerloom.operators import joins
 
 # --- issue flags ---------------------------------------------------------------
 
@@ -39,31 +40,29 @@ def row_flags(id_col: str = "entity_id") -> list[Column]:
 def divergent_ids(df: DataFrame, scope: Iterable[str]) -> DataFrame:
     """Keys under which more than one name occurs.
 
-    Two names exist exactly if the smallest and the largest differ, so two
-    partial aggregates per key replace a distinct count.
+    Distinct names are found by grouping keys alone, which is a hash aggregate
+    with map-side combine; a minimum and maximum of texts would sort all rows.
     """
     scope = list(scope)
-    return (
-        df.groupBy(*scope)
-        .agg(F.min("entity_name").alias("_low"), F.max("entity_name").alias("_high"))
-        .filter(F.col("_low") != F.col("_high"))
-        .select(*scope)
-    )
+    names = df.filter(F.col("entity_name").isNotNull()).select(*scope, "entity_name").distinct()
+    counted = names.groupBy(*scope).agg(F.count(F.lit(1)).alias("_n"))
+    return counted.filter("_n > 1").select(*scope)
 
 
 def flag_issues(df: DataFrame, scope: Iterable[str] = ("src_file", "entity_id")) -> DataFrame:
     """Add ``issue_flags``: every issue of the row, joined by ';', '' if none.
 
     ``scope`` says within what the names of one id must agree: one file by
-    default, ``("entity_id",)`` for the whole input.
+    default, ``("entity_id",)`` for the whole input.  The divergent keys are
+    computed when this is called; while they are few, the rows stay in place.
     """
     scope = list(scope)
-    divergent = divergent_ids(df, scope).withColumn("_divergent", F.lit(True))
+    divergent = joins.sized_side(divergent_ids(df, scope), "divergent")
+    marked = df.join(divergent.withColumn("_divergent", F.lit(True)), scope, "left")
     flags = F.concat_ws(
         ";", *row_flags(), _flag(F.col("_divergent"), S.FLAG_DIVERGENT_NAME)
     )
-    joined = df.join(divergent, scope, "left")
-    return joined.select(*df.columns, flags.alias("issue_flags"))
+    return marked.select(*df.columns, flags.alias("issue_flags"))
 
 
 # --- validity columns ------------------------------------------------------------

@@ -26,9 +26,13 @@ def match_table(
 
 
 def enrich(expense: DataFrame, registry: DataFrame) -> DataFrame:
-    """Every expense row, with registry attributes and ``match_status``."""
+    """Every expense row, with registry attributes and ``match_status``.
+
+    The registry side is prepared when this is called, so that its size decides
+    whether the expense rows have to be shuffled.
+    """
     cleaned = expense.withColumn("entity_id", ids.digits_only("entity_id"))
-    table = match_table(registry)
+    table = joins.sized_side(match_table(registry), "registry")
     attributes = [c for c in ATTRIBUTES if c in table.columns]
     found = joins.lookup(
         cleaned,

@@ -40,24 +40,43 @@ def read_registry(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return first.select(*S.REGISTRY_COLUMNS)
 
 
+def _by_registration(registry: DataFrame) -> DataFrame:
+    """One (registration, id, name) row per registration number."""
+    numbered = registry.withColumn("registration", ids.registration_key("registration"))
+    unique = dedupe.keep_first(numbered, ["registration"], ["entity_id", "entity_name"])
+    return unique.select(
+        "registration",
+        F.col("entity_id").alias("found_id"),
+        F.col("entity_name").alias("found_name"),
+    )
+
+
+def look_up_registration(rows: DataFrame, registry: DataFrame) -> DataFrame:
+    """Add ``found_id`` and ``found_name``, NULL where the registration is unknown."""
+    return joins.lookup(
+        rows,
+        joins.sized_side(_by_registration(registry), "registrations"),
+        ids.registration_key("registration"),
+        F.col("registration"),
+        ["found_id", "found_name"],
+    )
+
+
 def from_ledger(ledger: DataFrame, registry: DataFrame) -> DataFrame:
     """Expense lines of a ledger, with id and name looked up by registration.
 
     Needs ``registration, description, amount`` as text and the period columns;
-    one row per line, NULL id and name where the registration is unknown.
+    one row per line.
     """
     wanted = filters.ledger_lines(ledger, "description")
     parsed = wanted.withColumn("amount", numbers.comma_decimal("amount"))
     others = [c for c in ledger.columns if c not in ("registration", "description", "amount")]
-    numbered = registry.withColumn("registration", ids.registration_key("registration"))
-    found = joins.lookup(
-        parsed,
-        dedupe.keep_first(numbered, ["registration"], ["entity_id", "entity_name"]),
-        ids.registration_key("registration"),
-        F.col("registration"),
-        ["entity_id", "entity_name"],
+    return look_up_registration(parsed, registry).select(
+        F.col("found_id").alias("entity_id"),
+        F.col("found_name").alias("entity_name"),
+        *others,
+        "amount",
     )
-    return found.select(*S.EXPENSE_COLUMNS[:2], *others, "amount")
 
 
 def clean(df: DataFrame) -> DataFrame:
@@ -131,38 +150,52 @@ def describe_layouts(described: DataFrame) -> DataFrame:
 
 
 def ingest_lines(lines: DataFrame, registry: DataFrame) -> Ingested:
-    """``src_file, entry, raw, line_at`` of any mix of layouts to flagged expenses."""
+    """``src_file, entry, raw, line_at`` of any mix of layouts to flagged expenses.
+
+    The lines are read twice: once to describe the files, once to parse both
+    layouts side by side and route each row by the layout of its file.
+    """
     files = materialize(describe_layouts(delimited.describe_files(lines, FILE_KEY)), "files")
-    width = delimited.header_width(files)
     usable = joins.broadcast_within(files).filter(F.col("problem").isNull())
-    period = ["file_year", "file_quarter"]
-
-    ledger = delimited.parse_files(
-        lines, usable.filter("is_ledger"), S.LEDGER_ALIASES, width, period, FILE_KEY
-    ).withColumnsRenamed({"file_year": "year", "file_quarter": "quarter"})
-    looked_up = from_ledger(ledger, registry)
-
-    direct = delimited.parse_files(
+    ledger_columns = {f"ledger_{c}": names for c, names in S.LEDGER_ALIASES.items()}
+    parsed = delimited.parse_files(
         lines,
-        usable.filter(~F.col("is_ledger")),
-        S.EXPENSE_ALIASES,
-        width,
-        [*period, "names"],
+        usable,
+        {**S.EXPENSE_ALIASES, **ledger_columns},
+        delimited.header_width(files),
+        ["is_ledger", "file_year", "file_quarter", "names"],
         FILE_KEY,
     )
-    has_year = _names_any(F.col("names"), S.EXPENSE_ALIASES["year"])
-    has_quarter = _names_any(F.col("names"), S.EXPENSE_ALIASES["quarter"])
-    dated = direct.withColumns(
-        {
-            "year": F.when(has_year, F.col("year").try_cast("int")).otherwise(F.col("file_year")),
-            "quarter": F.when(has_quarter, F.col("quarter").try_cast("int")).otherwise(
-                F.col("file_quarter")
-            ),
-            "amount": numbers.comma_decimal("amount"),
-        }
-    ).drop("file_year", "file_quarter", "names")
-
-    rows = clean(dedupe.union_aligned([looked_up, dated]))
+    is_ledger, names = F.col("is_ledger"), F.col("names")
+    wanted = text.contains_any("ledger_description", S.LEDGER_WORDS)
+    kept = parsed.filter(~is_ledger | wanted)
+
+    def period(column: str, from_file: str) -> Column:
+        given = ~is_ledger & _names_any(names, S.EXPENSE_ALIASES[column])
+        return F.when(given, F.col(column).try_cast("int")).otherwise(F.col(from_file))
+
+    amount = F.when(is_ledger, F.col("ledger_amount")).otherwise(F.col("amount"))
+    typed = kept.select(
+        *FILE_KEY,
+        "is_ledger",
+        "entity_id",
+        "entity_name",
+        period("quarter", "file_quarter").alias("quarter"),
+        period("year", "file_year").alias("year"),
+        numbers.comma_decimal(amount).alias("amount"),
+        F.when(is_ledger, F.col("ledger_registration")).alias("registration"),
+    )
+    found = look_up_registration(typed, registry)
+    routed = found.select(
+        *FILE_KEY,
+        F.when(is_ledger, F.col("found_id")).otherwise(F.col("entity_id")).alias("entity_id"),
+        F.when(is_ledger, F.col("found_name")).otherwise(F.col("entity_name")).alias("entity_name"),
+        "quarter",
+        "year",
+        "amount",
+    )
+    # flagging needs the rows twice: from here on they are columns, not text
+    rows = materialize(clean(routed), "parsed")
     flagged = quality.flag_issues(rows, scope=[*FILE_KEY, "entity_id"])
     rejects = files.filter(F.col("problem").isNotNull()).select(*FILE_KEY, "problem")
     return Ingested(consolidate(flagged), rejects)

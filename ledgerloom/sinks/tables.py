@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ledgerloom import schema as S
 from ledgerloom.operators import columns as C
-from ledgerloom.operators import quality
+from ledgerloom.operators import joins, quality
 from ledgerloom.session import materialize
 
 PERIOD = ("year", "quarter")
@@ -95,7 +95,8 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Iterable[str], check: bool
     keys = list(keys)
     if check:
         quality.require_unique(batch, keys)
-    kept = target.join(batch.select(*keys), keys, "left_anti")
+    replaced = joins.sized_side(batch.select(*keys), "replaced")
+    kept = target.join(replaced, keys, "left_anti")
     return kept.unionByName(batch.select(*target.columns))
 
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import io
+import lzma
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -26,6 +28,10 @@ _ARROW = pa.schema(
     ]
 )
 
+# What a damaged, encrypted or unknown archive raises.  Read errors of the file
+# system are not among them: those fail the task, so that Spark repeats it.
+DAMAGED = (zipfile.BadZipFile, zlib.error, lzma.LZMAError, EOFError, RuntimeError)
+
 TEXT_SUFFIXES = (".csv", ".txt")
 NOT_AN_ARCHIVE = "not a readable archive"
 UNSUPPORTED = "unsupported format"
@@ -66,7 +72,7 @@ def _archive_lines(src: str, handle) -> Iterator[pa.RecordBatch]:
                             first, pending = first + BATCH_LINES, []
                 if pending:
                     yield _batch(src, info.filename, first, pending)
-    except (zipfile.BadZipFile, EOFError, NotImplementedError, RuntimeError, OSError):
+    except DAMAGED:
         yield _batch(src, None, 0, [b""], NOT_AN_ARCHIVE)
 
 

@@ -44,7 +44,7 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 def decode(raw: Column | str, is_utf8: Column) -> Column:
     raw = F.col(raw) if isinstance(raw, str) else raw
-    return F.when(is_utf8, F.decode(raw, "UTF-8")).otherwise(F.decode(raw, FALLBACK_ENCODING))
+    return F.when(is_utf8, raw.cast("string")).otherwise(F.decode(raw, FALLBACK_ENCODING))
 
 
 def describe_files(lines: DataFrame, file_key: Iterable[str] = ("src_file",)) -> DataFrame:
@@ -52,16 +52,17 @@ def describe_files(lines: DataFrame, file_key: Iterable[str] = ("src_file",)) ->
 
     A file is read as UTF-8 as a whole or as Latin-1 as a whole, so all its
     lines are looked at; both aggregates are combined map side, so the shuffle
-    carries one row per file and task.
+    carries one row per file and task.  A set of at most two booleans, rather
+    than ``bool_and``, makes this an object hash aggregate: with a text buffer
+    alone the lines would be sorted by file first.
     """
+    valid = F.collect_set(F.is_valid_utf8(F.col("raw").cast("string")))
     return (
         lines.groupBy(*file_key)
-        .agg(
-            F.bool_and(F.is_valid_utf8(F.col("raw").cast("string"))).alias("is_utf8"),
-            F.min_by("raw", "line_at").alias("_first"),
-        )
+        .agg(valid.alias("_valid"), F.min_by("raw", "line_at").alias("_first"))
+        .withColumn("is_utf8", ~F.array_contains("_valid", False))
         .withColumn("header_line", decode("_first", F.col("is_utf8")))
-        .drop("_first")
+        .drop("_first", "_valid")
     )
 
 
