@@ -15,9 +15,12 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from pyspark.sql import functions as F
+
 from bindings import views as V
 from bindings.queries import QUERIES
 from ledgerloom import schema as S
+from ledgerloom.functions import numbers
 from ledgerloom.plans import enrich, validate
 from ledgerloom.session import fresh_folder, local_session, materialize, tune
 from ledgerloom.sinks import tables
@@ -79,8 +82,6 @@ def throughput(spark, folder: str) -> dict[str, int]:
     lines = V.ledger(spark, folder).select(
         "registration", "description", "amount", "year", "quarter"
     )
-    from pyspark.sql import functions as F
-
     rows = lines.select(
         F.lpad("registration", 14, "0").alias("entity_id"),
         F.col("description").alias("entity_name"),
@@ -98,9 +99,9 @@ def throughput(spark, folder: str) -> dict[str, int]:
     def typed():
         return read().withColumns(
             {
-                "amount": F.col("amount").try_cast(S.MONEY),
-                "year": F.col("year").try_cast("smallint"),
-                "quarter": F.col("quarter").try_cast("smallint"),
+                "amount": numbers.to_decimal("amount"),
+                "year": numbers.to_whole("year"),
+                "quarter": numbers.to_whole("quarter"),
             }
         )
 

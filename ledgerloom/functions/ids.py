@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ledgerloom import schema as S
+from ledgerloom.functions.numbers import matched
 
 ID_LENGTH = 14
 ZERO_ID = "0" * ID_LENGTH
@@ -55,6 +56,11 @@ def is_well_formed(c: Column | str) -> Column:
     return F.coalesce(c.rlike("^[0-9]{14}$") & (c != ZERO_ID), F.lit(False))
 
 
+def id_number(c: Column | str) -> Column:
+    """A 14-digit id as a number, NULL for anything else."""
+    return matched(c, "^[0-9]{14}$").cast("bigint")
+
+
 def digit(number: Column, place: int, width: int = ID_LENGTH) -> Column:
     """Digit at a 1-based place of a number of ``width`` digits."""
     shifted = F.call_function("div", number, F.lit(10 ** (width - place)).cast("bigint"))
@@ -69,20 +75,26 @@ def check_digit(number: Column, weights: tuple[int, ...], width: int = ID_LENGTH
     return total * 10 % 11 % 10
 
 
-def has_valid_check_digits(c: Column | str) -> Column:
-    """Modulus-11 check; false unless the id is well formed and not one digit repeated."""
-    c = _col(c)
-    number = c.try_cast("bigint")
-    one_digit = number % 11_111_111_111_111 == 0
+def check_digits_agree(number: Column | str) -> Column:
+    """Modulus-11 check of an id number; false for NULL, zero or one digit repeated.
+
+    The number is used once per digit: give it as a column of an earlier
+    projection, so that the text is parsed once.
+    """
+    number = _col(number)
     return F.coalesce(
-        is_well_formed(c)
-        & ~one_digit
+        (number % 11_111_111_111_111 != 0)
         & (digit(number, 13) == check_digit(number, FIRST_WEIGHTS))
         & (digit(number, 14) == check_digit(number, SECOND_WEIGHTS)),
         F.lit(False),
     )
 
 
+def has_valid_check_digits(c: Column | str) -> Column:
+    """The same for id text, as one expression."""
+    return check_digits_agree(id_number(c))
+
+
 def invalid_reason(well_formed: Column, digits_ok: Column) -> Column:
     """'' for a valid id, else the first check that failed."""
     return (

@@ -6,13 +6,27 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 PLAIN_DECIMAL = r"^-?[0-9]+(\.[0-9]+)?$"
-PLAIN_WHOLE = r"^[0-9]+$"
+# an optional sign, a fraction and an exponent, with blanks around
+ANY_NUMBER = r"^\s*([+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]{1,3})?)\s*$"
+PLAIN_WHOLE = r"^0*([0-9]{1,18})$"
+ANY_WHOLE = r"^\s*([+-]?[0-9]{1,9})(\.0*)?\s*$"
+
+LARGEST = {"smallint": 2**15 - 1, "int": 2**31 - 1}
 
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def matched(c: Column | str, pattern: str, group: int = 0) -> Column:
+    """What a pattern finds, or NULL.
+
+    A cast that fails costs an exception per row even where it is allowed to
+    fail, so text is matched first and only cast if that will work.
+    """
+    return F.nullif(F.regexp_extract(_col(c), pattern, group), F.lit(""))
+
+
 def _swap_separators(c: Column) -> Column:
     """'1.234,56' -> '1234.56' (one pass: '.' is dropped, ',' becomes '.')."""
     return F.translate(c, ",.", ".")
@@ -20,7 +34,7 @@ def _swap_separators(c: Column) -> Column:
 
 def comma_decimal(c: Column | str, precision: int = 18, scale: int = 2) -> Column:
     """Files whose every number has comma decimals and dot thousands."""
-    return F.trim(_swap_separators(_col(c))).try_cast(f"decimal({precision},{scale})")
+    return to_decimal(_swap_separators(_col(c)), precision, scale)
 
 
 def mixed_decimal(c: Column | str, precision: int = 18, scale: int = 2) -> Column:
@@ -35,19 +49,24 @@ def mixed_decimal(c: Column | str, precision: int = 18, scale: int = 2) -> Colum
 
 def plain_decimal(c: Column | str, precision: int = 18, scale: int = 2) -> Column:
     """Digits with an optional fraction, rounded half away from zero; else NULL."""
-    c = _col(c)
-    return F.when(c.rlike(PLAIN_DECIMAL), c.try_cast(f"decimal({precision},{scale})"))
+    return matched(c, PLAIN_DECIMAL).try_cast(f"decimal({precision},{scale})")
 
 
 def to_decimal(c: Column | str, precision: int = 18, scale: int = 2) -> Column:
-    """Coercing parse: whatever is not a number becomes NULL."""
-    return _col(c).try_cast(f"decimal({precision},{scale})")
+    """Coercing parse of text: whatever is not a number becomes NULL."""
+    return matched(c, ANY_NUMBER, 1).try_cast(f"decimal({precision},{scale})")
 
 
 def whole_number(c: Column | str, kind: str = "smallint") -> Column:
     """Digits only; a value too large for the type becomes NULL."""
-    c = _col(c)
-    return F.when(c.rlike(PLAIN_WHOLE), c.try_cast(kind))
+    above = F.lit(LARGEST[kind] + 1).cast("bigint")
+    number = matched(c, PLAIN_WHOLE, 1).cast("bigint")
+    return F.nullif(F.least(number, above), above).cast(kind)
+
+
+def to_whole(c: Column | str) -> Column:
+    """Coercing parse of a whole number ('3', ' 3 ', '3.0')."""
+    return matched(c, ANY_WHOLE, 1).cast("int")
 
 
 def ratio(top: Column | str, bottom: Column | str) -> Column:

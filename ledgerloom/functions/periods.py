@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.numbers import matched
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -34,10 +36,8 @@ def label(year: Column | str, quarter: Column | str) -> Column:
 
 def parse_date(c: Column | str) -> Column:
     """DD/MM/YYYY or YYYY-MM-DD; other text and impossible dates give NULL."""
-    c = _col(c)
-    return F.when(
-        c.rlike(r"^[0-9]{2}/[0-9]{2}/[0-9]{4}$"), F.try_to_date(c, "dd/MM/yyyy")
-    ).when(c.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.try_to_date(c, "yyyy-MM-dd"))
+    iso = F.regexp_replace(_col(c), r"^([0-9]{2})/([0-9]{2})/([0-9]{4})$", "$3-$2-$1")
+    return F.regexp_extract(iso, r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$", 0).try_cast("date")
 
 
 def period_in_name(name: Column | str) -> tuple[Column, Column]:
@@ -49,8 +49,8 @@ def period_in_name(name: Column | str) -> tuple[Column, Column]:
 
     def part(year_group: int, quarter_group: int, pattern: str) -> tuple[Column, Column]:
         return (
-            F.regexp_extract(name, pattern, year_group).try_cast("int"),
-            F.regexp_extract(name, pattern, quarter_group).try_cast("int"),
+            matched(name, pattern, year_group).cast("int"),
+            matched(name, pattern, quarter_group).cast("int"),
         )
 
     found = [part(2, 1, packed), part(1, 2, folder), part(1, 2, spelled)]

@@ -71,12 +71,14 @@ def flag_issues(df: DataFrame, scope: Iterable[str] = ("src_file", "entity_id"))
 def id_validity(df: DataFrame, id_col: str = "entity_id") -> DataFrame:
     """Clean the id and add its format, check-digit and overall validity."""
     cleaned = df.withColumn(id_col, ids.digits_only(id_col))
-    return cleaned.withColumns(
+    numbered = cleaned.withColumn("_number", ids.id_number(id_col))
+    checked = numbered.withColumns(
         {
-            "id_format_valid": ids.is_well_formed(id_col),
-            "id_digits_valid": ids.has_valid_check_digits(id_col),
+            "id_format_valid": F.coalesce(F.col("_number") > 0, F.lit(False)),
+            "id_digits_valid": ids.check_digits_agree("_number"),
         }
-    ).withColumns(
+    ).drop("_number")
+    return checked.withColumns(
         {
             "id_valid": F.col("id_format_valid") & F.col("id_digits_valid"),
             "id_invalid_reason": ids.invalid_reason(

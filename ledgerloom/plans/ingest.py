@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -80,14 +80,19 @@ def from_ledger(ledger: DataFrame, registry: DataFrame) -> DataFrame:
 
 
 def clean(df: DataFrame) -> DataFrame:
-    """Strip texts, clean ids, coerce amounts and periods."""
+    """Strip texts, clean ids, coerce amounts and periods that are still text."""
+    types = dict(df.dtypes)
+
+    def coerced(column: str, parse: Callable[[str], Column], kind: str) -> Column:
+        return parse(column) if types[column] == "string" else F.col(column).cast(kind)
+
     return df.withColumns(
         {
             "entity_id": ids.digits_only("entity_id"),
             "entity_name": text.strip_whitespace("entity_name"),
-            "amount": numbers.to_decimal("amount"),
-            "quarter": F.col("quarter").try_cast("smallint"),
-            "year": F.col("year").try_cast("smallint"),
+            "amount": coerced("amount", numbers.to_decimal, "decimal(18,2)"),
+            "quarter": coerced("quarter", numbers.to_whole, "int"),
+            "year": coerced("year", numbers.to_whole, "int"),
         }
     )
 
@@ -172,7 +177,7 @@ def ingest_lines(lines: DataFrame, registry: DataFrame) -> Ingested:
 
     def period(column: str, from_file: str) -> Column:
         given = ~is_ledger & _names_any(names, S.EXPENSE_ALIASES[column])
-        return F.when(given, F.col(column).try_cast("int")).otherwise(F.col(from_file))
+        return F.when(given, numbers.to_whole(column)).otherwise(F.col(from_file))
 
     amount = F.when(is_ledger, F.col("ledger_amount")).otherwise(F.col("amount"))
     typed = kept.select(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom import schema as S
 from ledgerloom.functions import ids, numbers, periods, text
 from ledgerloom.operators import filters
+from ledgerloom.session import materialize
 
 
 def typed_expense(staging: DataFrame) -> DataFrame:
@@ -25,8 +26,13 @@ def typed_expense(staging: DataFrame) -> DataFrame:
 
 
 def load_expense(staging: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected) typed rows; every staged row is in one of them."""
-    return filters.split_by(typed_expense(staging), filters.loadable())
+    """(accepted, rejected) typed rows; every staged row is in one of them.
+
+    The text is parsed once and stored typed; both results read that table.
+    """
+    judged = typed_expense(staging).withColumn("_accepted", filters.loadable())
+    accepted, rejected = filters.split_by(materialize(judged, "typed"), F.col("_accepted"))
+    return accepted.drop("_accepted"), rejected.drop("_accepted")
 
 
 def load_registry(staging: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom import schema as S
-from ledgerloom.functions import ids, text
+from ledgerloom.functions import ids, numbers, text
 from ledgerloom.operators import columns as C
 from ledgerloom.operators import dedupe, filters, joins, ranking, stats
 from ledgerloom.session import materialize
@@ -24,9 +24,9 @@ def serving_expense(raw: DataFrame) -> DataFrame:
     return mapped.withColumns(
         {
             "entity_id": ids.padded_id("entity_id"),
-            "amount": F.col("amount").try_cast(S.MONEY),
-            "year": F.col("year").try_cast("smallint"),
-            "quarter": F.col("quarter").try_cast("smallint"),
+            "amount": numbers.to_decimal(F.col("amount").cast("string")),
+            "year": numbers.to_whole(F.col("year").cast("string")),
+            "quarter": numbers.to_whole(F.col("quarter").cast("string")),
         }
     )
 
@@ -43,7 +43,7 @@ def serving_aggregated(raw: DataFrame) -> DataFrame:
     mapped = C.apply_aliases(raw, S.serving_aliases(), join_words=False, keep_unmapped=True)
     return mapped.withColumns(
         {
-            "total": F.col("total").try_cast(S.MONEY),
+            "total": numbers.to_decimal(F.col("total").cast("string")),
             "high_variability": text.parse_boolean(F.col("high_variability").cast("string")),
         }
     )

@@ -4,14 +4,19 @@ from __future__ import annotations
 
 import io
 import lzma
+import sys
 import zipfile
 import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The task functions travel with the job: executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Archives up to this size travel to the task as a column; larger ones are
 # opened in the task and streamed, so that memory stays bounded.
 INLINE_BYTES = 256 * 1024 * 1024

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerloom import schema as S
 from ledgerloom.operators import quality
 from ledgerloom.plans.ingest import clean
+from ledgerloom.session import materialize
 from ledgerloom.sources.delimited import SEPARATOR
 
 
@@ -29,8 +30,12 @@ def file_stream(
 
 
 def flag_batch(rows: DataFrame) -> DataFrame:
-    """Clean and flag one micro-batch; a file is never split over two of them."""
-    return quality.flag_issues(clean(rows), scope=("src_file", "entity_id"))
+    """Clean and flag one micro-batch; a file is never split over two of them.
+
+    Flagging needs the rows twice, so the text is parsed once and stored.
+    """
+    parsed = materialize(clean(rows), "batch")
+    return quality.flag_issues(parsed, scope=("src_file", "entity_id"))
 
 
 def ingest_stream(

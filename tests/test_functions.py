@@ -108,6 +108,41 @@ def test_whole_number(values):
     ]
 
 
+def test_whole_numbers_from_leading_zeros_and_limits(values):
+    assert values(numbers.whole_number("v"), ["007", "0", "32767", "32768", "9" * 30]) == [7, 0, 32767, None, None]
+    assert values(numbers.whole_number("v", "int"), ["99999"]) == [99999]
+
+
+def test_to_whole(values):
+    assert values(numbers.to_whole("v"), [" 3 ", "3.0", "-1", "99999", "T1", "", None, "3.5"]) == [
+        3,
+        3,
+        -1,
+        99999,
+        None,
+        None,
+        None,
+        None,
+    ]
+
+
+def test_to_decimal_shapes(values):
+    cases = [" 1.5 ", "+2", ".5", "5.", "1e2", "1E-1", "1,5", "--1", "e5", ".", "9" * 20]
+    assert values(numbers.to_decimal("v"), cases) == [
+        D("1.50"),
+        D("2.00"),
+        D("0.50"),
+        D("5.00"),
+        D("100.00"),
+        D("0.10"),
+        None,
+        None,
+        None,
+        None,
+        None,
+    ]
+
+
 def test_growth_and_ratio(spark):
     df = spark.createDataFrame(
         [(D("100.50"), D("300.00")), (D("0.00"), D("1.00"))],
