@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -59,13 +61,30 @@ def shared_folder(spark: SparkSession) -> str:
         return current.rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerloom-"))
+    own = tempfile.mkdtemp(prefix="ledgerloom-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    context.setCheckpointDir(own)
     return context.getCheckpointDir().rstrip("/")
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark)}/ledgerloom/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below this application's part of the shared folder."""
+    return f"{_application_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _application_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/ledgerloom/{spark.sparkContext.applicationId}"
+
+
+def drop_intermediates(spark: SparkSession) -> bool:
+    """Remove what ``materialize`` wrote for this application.
+
+    To be called when nothing that was read from there is needed any more.
+    """
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.delete(folder, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

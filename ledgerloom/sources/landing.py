@@ -42,6 +42,11 @@ def is_relevant(
     )
 
 
+def listed_links(listing: Column | str) -> Column:
+    """The targets of all links in the text of a directory listing."""
+    return F.regexp_extract_all(listing, F.lit(r'href="([^"]*)"'), F.lit(1))
+
+
 def list_landing(spark: SparkSession, path: str) -> DataFrame:
     """One row per file below a folder; contents are not read."""
     files = (

@@ -314,3 +314,35 @@ def test_leader_skips_the_sentinel(spark):
 def test_top_k_leaves_out_nulls(spark):
     df = spark.createDataFrame([("a", None), ("b", 2), ("c", 2), ("d", 1)], "k string, n int")
     assert [r.k for r in ranking.top_k(df, "n", 2, ["k"]).collect()] == ["b", "c"]
+
+
+def test_counters_ride_along(spark):
+    from ledgerloom.operators import counters
+
+    df = spark.createDataFrame([(1,), (1,), (2,)], "n int")
+    rows, before = counters.observed(df, "before")
+    unique, after = counters.observed(dedupe.distinct_rows(rows), "after")
+    assert len(unique.collect()) == 2
+    assert counters.removed(before, after) == {"n_before": 3, "n_after": 2, "n_removed": 1}
+
+
+def test_links_of_a_listing(spark):
+    from ledgerloom.functions import periods
+    from ledgerloom.sources import landing
+
+    html = '<a href="2024/">2024</a> <a href="3T2024.zip">x</a> <a href="/p/2023/1T/">y</a>'
+    links = spark.createDataFrame([(html,)], "t string").select(F.explode(landing.listed_links("t")).alias("link"))
+    year, quarter = periods.period_in_name("link")
+    got = [tuple(r) for r in links.select("link", year, quarter).collect()]
+    assert got == [("2024/", None, None), ("3T2024.zip", 2024, 3), ("/p/2023/1T/", 2023, 1)]
+
+
+def test_intermediates_can_be_dropped(spark):
+    from pathlib import Path
+
+    from ledgerloom import session
+
+    df = session.materialize(spark.range(3), "t")
+    folder = Path(session._application_folder(spark).removeprefix("file:"))
+    assert df.count() == 3 and folder.exists()
+    assert session.drop_intermediates(spark) and not folder.exists()

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from bindings import views as V
 from ledgerloom import schema as S
-from ledgerloom.operators import quality
+from ledgerloom.operators import dedupe, joins, quality
 from ledgerloom.plans import aggregate, analytics, enrich, serving, validate
 
 ALFA = "11222333000181"
@@ -221,11 +221,25 @@ def skewed(spark):
     )
 
 
-def test_skewed_rows_are_all_there(spark, skewed, setting):
+@pytest.fixture()
+def small_partitions(setting, monkeypatch):
+    """No broadcast, and partitions of a few KB already count as skewed."""
     setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    setting("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     setting("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "20KB")
-    setting("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
+    setting("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.5")
     setting("spark.sql.adaptive.advisoryPartitionSizeInBytes", "10KB")
+    monkeypatch.setattr(joins, "broadcast_within", lambda df, n=0: df)
+
+
+def _final_plan(df):
+    df.write.format("noop").mode("overwrite").save()
+    execution = df._jdf.queryExecution()
+    execution.executedPlan().executeCollect()
+    return execution.executedPlan().toString()
+
+
+def test_hot_key_is_split(spark, skewed, small_partitions):
     registry = spark.range(400).select(
         F.col("id").cast("string").alias("registration"),
         F.lpad(F.col("id").cast("string"), 14, "0").alias("entity_id"),
@@ -236,7 +250,28 @@ def test_skewed_rows_are_all_there(spark, skewed, setting):
     assert done.count() == 60_000
     expected = skewed.join(F.broadcast(registry.select("entity_id")), "entity_id", "left_semi").count()
     assert done.filter(F.col("match_status") == S.MATCHED).count() == expected
+    assert "skew=true" in _final_plan(done)
+
+
+def test_blank_ids_are_spread(spark, skewed):
+    key = joins.spread_blank(F.col("entity_id"), ["year", "quarter", "amount"])
+    spread = skewed.filter("entity_id = ''").select(key.alias("k")).distinct()
+    # the fixture has 20 year and quarter combinations among its blank ids
+    assert spread.count() > 10
+    assert skewed.filter("entity_id <> ''").filter(key != F.col("entity_id")).count() == 0
+
+
+def test_hot_file_and_id_keep_their_flags(spark, skewed, small_partitions):
     flagged = quality.flag_issues(skewed)
     assert flagged.count() == 60_000
     blank = flagged.filter("entity_id = ''")
     assert blank.filter(F.contains("issue_flags", F.lit("DIVERGENTE"))).count() == 20_000
+    assert "skew=true" in _final_plan(flagged)
+
+
+def test_hot_groups_are_combined_before_the_shuffle(spark, skewed):
+    totals = serving.summarize(skewed)
+    assert totals.agg(F.sum("total")).first()[0] == 60_000
+    text = totals._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum" in text[text.index("Exchange"):]
+    assert dedupe.keep_first(skewed, ["entity_id"], ["year", "quarter", "entity_name"]).count() == skewed.select("entity_id").distinct().count()
