@@ -88,6 +88,12 @@ def id_validity(df: DataFrame, id_col: str = "entity_id") -> DataFrame:
     )
 
 
+def id_format_check(df: DataFrame, id_col: str = "entity_id") -> DataFrame:
+    """The format check alone: is a cleaned id usable, and if not, why."""
+    problem = ids.format_problem(id_col)
+    return df.withColumn("id_problem", problem).withColumn("id_ok", F.col("id_problem") == "")
+
+
 def amount_validity(df: DataFrame) -> DataFrame:
     amount = F.col("amount")
     return df.withColumns(

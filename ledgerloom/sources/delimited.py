@@ -16,17 +16,23 @@ FALLBACK_ENCODING = "ISO-8859-1"
 
 
 def read_delimited(
-    spark: SparkSession, path: str | list[str], columns: Iterable[str], header: bool = True
+    spark: SparkSession,
+    path: str | list[str],
+    columns: Iterable[str],
+    header: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """A UTF-8 file set whose header is known; every column is read as text.
 
-    The header of each file is checked against ``columns``.
+    The header of each file is checked against ``columns``.  ``multi_line``
+    accepts quoted line breaks; such files cannot be split.
     """
     return (
         spark.read.schema(S.all_string(columns))
         .option("sep", SEPARATOR)
         .option("header", header)
         .option("enforceSchema", False)
+        .option("multiLine", multi_line)
         .csv(path)
     )
 

@@ -47,6 +47,12 @@ def test_read_delimited_infers_nothing(spark, tmp_path):
     assert [tuple(r) for r in rows] == [("00000000000012", "2024"), (None, None)]
 
 
+def test_quoted_line_breaks(spark, tmp_path):
+    write(tmp_path / "a.csv", 'cnpj;ano\n"1\n2";2024\n')
+    done = delimited.read_delimited(spark, str(tmp_path), ["cnpj", "ano"], multi_line=True)
+    assert [tuple(r) for r in done.collect()] == [("1\n2", "2024")]
+
+
 def test_mixed_encodings_and_column_order(spark, tmp_path):
     write(tmp_path / "utf8.csv", "NOME;UF\nSAÚDE;SP\n")
     write(tmp_path / "bom.csv", "\ufeffNome;Uf\nÁGUA;MG\n")
