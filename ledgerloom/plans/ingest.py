@@ -210,35 +210,33 @@ def ingest_landing(
     spark: SparkSession, folder: str, registry: DataFrame, n_periods: int = 3
 ) -> Ingested:
     """The relevant files of the newest periods of a landing folder, as one table."""
-    files = landing.list_landing(spark, folder)
-    relevant = files.filter("relevant")
-    chosen = landing.keep_latest_periods(relevant, n_periods)
-    # the list of chosen files is what Spark's own file index holds anyway
-    listed = chosen.select("path", "format").collect()
-    texts = [r.path for r in listed if r.format == "csv"]
-    zips = [r.path for r in listed if r.format == "archive"]
-    unsupported = chosen.filter(
-        F.coalesce(F.col("format"), F.lit("")).isin("csv", "archive") == F.lit(False)
+    relevant = landing.list_landing(spark, folder).filter("relevant")
+    # only the n periods come to the driver; the readers apply them to their file lists
+    newest = [tuple(p) for p in landing.latest_periods(relevant, n_periods).collect()]
+    if not newest:
+        raise ValueError(f"no relevant file of a known period in {folder}")
+
+    def keep(path: Column) -> Column:
+        return landing.is_chosen(path, newest)
+
+    plain = delimited.read_lines(spark, folder, landing.TEXT_FILES, keep)
+    # an archive is read by one task; writing its lines once makes every later
+    # pass splittable
+    unpacked = materialize(archives.read_archives(spark, folder, keep), "archives")
+    good, bad = archives.split_problems(unpacked)
+    at = F.struct(F.lit(0).cast("bigint").alias("file_block_start"), F.col("line_no").alias("at"))
+    lines = dedupe.union_aligned(
+        [
+            plain.withColumn("entry", F.lit("")),
+            good.select("src_file", "raw", at.alias("line_at"), "entry"),
+        ]
     )
-    rejects = unsupported.select(
+    done = ingest_lines(lines, registry)
+    readable = F.coalesce(F.col("format"), F.lit("")).isin("csv", "archive")
+    unsupported = relevant.filter(keep(F.col("path")) & ~readable).select(
         F.col("path").alias("src_file"),
         F.lit("").alias("entry"),
         F.lit(archives.UNSUPPORTED).alias("problem"),
     )
-
-    parts = []
-    if texts:
-        plain = delimited.read_lines(spark, texts)
-        parts.append(plain.withColumn("entry", F.lit("")))
-    if zips:
-        # an archive is read by one task; writing its lines once makes every
-        # later pass splittable
-        unpacked = materialize(archives.read_archives(spark, zips), "archives")
-        good, bad = archives.split_problems(unpacked)
-        at = F.struct(F.lit(0).cast("bigint").alias("file_block_start"), F.col("line_no").alias("at"))
-        parts.append(good.select("src_file", "raw", at.alias("line_at"), "entry"))
-        rejects = rejects.unionByName(bad.withColumn("entry", F.coalesce("entry", F.lit(""))))
-    if not parts:
-        raise ValueError(f"no readable file of a known period in {folder}")
-    done = ingest_lines(dedupe.union_aligned(parts), registry)
-    return Ingested(done.expense, done.rejects.unionByName(rejects))
+    damaged = bad.withColumn("entry", F.coalesce("entry", F.lit("")))
+    return Ingested(done.expense, dedupe.union_aligned([done.rejects, unsupported, damaged]))

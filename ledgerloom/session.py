@@ -6,6 +6,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +25,9 @@ RUNTIME_SETTINGS = {
 }
 
 
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
     for key, value in RUNTIME_SETTINGS.items():
@@ -76,15 +82,35 @@ def _application_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/ledgerloom/{spark.sparkContext.applicationId}"
 
 
+def _delete(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.delete(folder, True)
+
+
 def drop_intermediates(spark: SparkSession) -> bool:
     """Remove what ``materialize`` wrote for this application.
 
     To be called when nothing that was read from there is needed any more.
     """
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return files.delete(folder, True)
+    return _delete(spark, _application_folder(spark))
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove the intermediate tables of a block when it ends.
+
+    For blocks that write their result: lazy results of the block that are
+    still to be read would lose their tables.
+    """
+    opened: list[str] = []
+    token = _scratch.set(opened)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        for path in opened:
+            _delete(spark, path)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -96,5 +122,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = fresh_folder(spark, label)
+    if (opened := _scratch.get()) is not None:
+        opened.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

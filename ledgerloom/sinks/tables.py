@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from ledgerloom import schema as S
 from ledgerloom.operators import columns as C
 from ledgerloom.operators import joins, quality
-from ledgerloom.session import materialize
+from ledgerloom.session import materialize, scratch
 
 PERIOD = ("year", "quarter")
 
@@ -106,8 +106,9 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Iterabl
     The new state is written to the shared folder first and then replaces the
     table, so that the table is never read and overwritten by one job.
     """
-    merged = materialize(upsert(spark.read.parquet(path), batch, keys), "upsert")
-    merged.write.mode("overwrite").parquet(path)
+    with scratch(spark):
+        merged = materialize(upsert(spark.read.parquet(path), batch, keys), "upsert")
+        merged.write.mode("overwrite").parquet(path)
 
 
 def read_evolved(spark: SparkSession, path: str, contract: T.StructType) -> DataFrame:

@@ -7,11 +7,11 @@ import lzma
 import sys
 import zipfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The task functions travel with the job: executors need no copy of this package.
@@ -103,14 +103,23 @@ def expand_archives(archives: DataFrame) -> DataFrame:
     return archives.select("path", "content").mapInArrow(_from_content, LINES_SCHEMA)
 
 
-def read_archives(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Line rows of all archives under a path, whatever their size."""
+def read_archives(
+    spark: SparkSession,
+    path: str | list[str],
+    keep: Callable[[Column], Column] | None = None,
+) -> DataFrame:
+    """Line rows of all archives under a path, whatever their size.
+
+    ``keep`` is a condition on the file path, applied to the file list.
+    """
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.[zZ][iI][pP]")
         .option("recursiveFileLookup", True)
         .load(path)
     )
+    if keep is not None:
+        files = files.filter(keep(F.col("_metadata.file_path")))
     inline = expand_archives(files.filter(F.col("length") <= INLINE_BYTES))
     large = files.filter(F.col("length") > INLINE_BYTES).select("path")
     return inline.unionByName(large.mapInArrow(_from_path, LINES_SCHEMA))

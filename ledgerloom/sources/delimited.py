@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,9 +37,24 @@ def read_delimited(
     )
 
 
-def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(src_file, raw): undecoded lines of splittable text files."""
-    return spark.read.text(path).select(
+def read_lines(
+    spark: SparkSession,
+    path: str | list[str],
+    name_glob: str | None = None,
+    keep: Callable[[Column], Column] | None = None,
+) -> DataFrame:
+    """(src_file, raw, line_at): undecoded lines of splittable text files.
+
+    ``keep`` is a condition on the file path; Spark applies it to its file list,
+    so files it excludes are not opened.
+    """
+    reader = spark.read
+    if name_glob:
+        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", name_glob)
+    files = reader.text(path)
+    if keep is not None:
+        files = files.filter(keep(F.col("_metadata.file_path")))
+    return files.select(
         F.col("_metadata.file_path").alias("src_file"),
         F.col("value").cast("binary").alias("raw"),
         F.struct(

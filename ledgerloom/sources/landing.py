@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from ledgerloom import schema as S
 from ledgerloom.functions import periods, text
 
 # Suffixes by kind of file.
+TEXT_FILES = "*.{[cC][sS][vV],[tT][xX][tT]}"
 FORMATS = {"csv": (".csv", ".txt"), "archive": (".zip",), "excel": (".xlsx", ".xls")}
 
 
@@ -47,6 +50,20 @@ def listed_links(listing: Column | str) -> Column:
     return F.regexp_extract_all(listing, F.lit(r'href="([^"]*)"'), F.lit(1))
 
 
+def is_chosen(path: Column | str, chosen: Iterable[tuple[int, int]]) -> Column:
+    """A relevant file of one of the given (year, quarter) periods."""
+    year, quarter = periods.period_in_name(path)
+    of_period = F.lit(False)
+    for y, q in chosen:
+        of_period = of_period | ((year == y) & (quarter == q))
+    return is_relevant(_shown(path), year, quarter) & F.coalesce(of_period, F.lit(False))
+
+
+def _shown(path: Column | str) -> Column:
+    """Folder and file name: of a data set Spark wrote, the folder has the name."""
+    return F.substring_index(path, "/", -2)
+
+
 def list_landing(spark: SparkSession, path: str) -> DataFrame:
     """One row per file below a folder; contents are not read."""
     files = (
@@ -59,12 +76,10 @@ def list_landing(spark: SparkSession, path: str) -> DataFrame:
     named = files.withColumns(
         {"file_name": file_name("path"), "year": year, "quarter": quarter}
     )
-    # a data set Spark wrote is a folder of parts: there the folder has the name
-    shown = F.substring_index("path", "/", -2)
     return named.withColumns(
         {
             "format": format_of("file_name"),
-            "relevant": is_relevant(shown, F.col("year"), F.col("quarter")),
+            "relevant": is_relevant(_shown("path"), F.col("year"), F.col("quarter")),
         }
     )
 

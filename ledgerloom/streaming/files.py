@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerloom import schema as S
 from ledgerloom.operators import quality
 from ledgerloom.plans.ingest import clean
-from ledgerloom.session import materialize
+from ledgerloom.session import materialize, scratch
 from ledgerloom.sources.delimited import SEPARATOR
 
 
@@ -52,7 +52,8 @@ def ingest_stream(
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        prepare(batch).write.mode("overwrite").parquet(f"{target}/batch={number}")
+        with scratch(batch.sparkSession):
+            prepare(batch).write.mode("overwrite").parquet(f"{target}/batch={number}")
 
     return (
         stream.writeStream.foreachBatch(write)

@@ -208,6 +208,36 @@ def test_ledger_rows_survive_an_unknown_registration(spark, registry):
     assert [tuple(r) for r in ingest.from_ledger(df, registry).collect()] == [(None, None, 2024, 1, D("1.00"))]
 
 
+def test_excluded_files_are_not_opened(spark, tmp_path):
+    for q in (1, 2, 3, 4):
+        write(tmp_path / f"despesas={q}T2024" / "part-0.csv", "cnpj;valor\n1;1\n" * 50)
+    write(tmp_path / "despesas=4T2024" / "part-1.pdf", "x")
+
+    def keep(path):
+        return landing.is_chosen(path, [(2024, 4), (2024, 3)])
+
+    lines = delimited.read_lines(spark, str(tmp_path), landing.TEXT_FILES, keep)
+    assert lines.count() == 200
+    execution = lines._jdf.queryExecution().executedPlan()
+    execution.executeCollect()
+    scan = execution
+    while scan.children().size():
+        scan = scan.children().head()
+    assert scan.metrics().get("numFiles").get().value() == 2
+
+
+def test_scratch_removes_its_tables(spark):
+    from pathlib import Path
+
+    from ledgerloom import session
+
+    with session.scratch(spark):
+        df = session.materialize(spark.range(3), "t")
+        folder = Path(df.inputFiles()[0].removeprefix("file://")).parent
+        assert folder.exists()
+    assert not folder.exists()
+
+
 # --- sinks ---------------------------------------------------------------------------------
 
 
