@@ -27,12 +27,21 @@ def broadcast_within(written: DataFrame, max_rows: int = BROADCAST_ROWS) -> Data
     return F.broadcast(written) if written.count() <= max_rows else written
 
 
+def _planned_small(df: DataFrame) -> bool:
+    """Would the planner broadcast this by its own size statistics?"""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size <= limit
+
+
 def sized_side(df: DataFrame, label: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A lookup side written once, so that its size is known before it is joined.
+    """A lookup side whose size is known before it is joined.
 
-    When it is small the rows it is joined to are not shuffled at all.
+    What the statistics already show to be small is left to the planner.
+    Anything else is written once and counted: when it turns out small, the rows
+    it is joined to are not shuffled at all.
     """
-    return broadcast_within(materialize(df, label), max_rows)
+    return df if _planned_small(df) else broadcast_within(materialize(df, label), max_rows)
 
 
 def spread_blank(key: Column, spread_by: Iterable[Column | str]) -> Column:
