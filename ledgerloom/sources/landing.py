@@ -97,7 +97,7 @@ def keep_latest_periods(df: DataFrame, n: int = 3) -> DataFrame:
     return df.join(F.broadcast(latest_periods(df, n)), ["year", "quarter"], "left_semi")
 
 
-def latest_snapshot(files: DataFrame, pattern: str = r"(?i)^Relatorio_cadop.*\.csv$") -> DataFrame:
+def latest_snapshot(files: DataFrame, pattern: str = S.REGISTRY_FILES) -> DataFrame:
     """The last file by name among those that match."""
     named = files.filter(F.col("file_name").rlike(pattern))
     return named.orderBy(F.desc("file_name"), F.desc("path")).limit(1)
