@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import simhash
+from ledgerloom.llm import packing, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,6 +23,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op2_packing(spark, folder):
+    return packing.pack_documents(table(spark, folder, "documents"), limit=2048, end_id=1)
+
+
 @query
 def op8_simhash(spark, folder):
     found = simhash.near_duplicates(table(spark, folder, "documents"), words=4, radius=4)
