@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import packing, simhash
+from ledgerloom.llm import packing, simhash, wordpieces
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,6 +28,11 @@ def op2_packing(spark, folder):
     return packing.pack_documents(table(spark, folder, "documents"), limit=2048, end_id=1)
 
 
+@query
+def op3_wordpiece(spark, folder):
+    return wordpieces.count_tokens(table(spark, folder, "documents"))
+
+
 @query
 def op8_simhash(spark, folder):
     found = simhash.near_duplicates(table(spark, folder, "documents"), words=4, radius=4)
