@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import packing, simhash, wordpieces
+from ledgerloom.llm import chunks, packing, simhash, wordpieces
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -41,3 +41,15 @@ def op8_simhash(spark, folder):
         simhash.hex_of(F.col("fp")).alias("fingerprint"),
         F.col("component").alias("component_id"),
     )
+
+
+@query
+def op10_chunks(spark, folder):
+    spans = chunks.repeated_spans(table(spark, folder, "documents"), least_words=20)
+    return spans.select(
+        F.col("id").alias("doc_id"),
+        F.col("start").cast("long").alias("start_byte"),
+        F.col("end").cast("long").alias("end_byte"),
+        "n_words",
+        "kept_ids",
+    )
