@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chunks, packing, simhash, wordpieces
+from ledgerloom.llm import chunks, mixing, packing, simhash, wordpieces
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -33,6 +33,12 @@ def op3_wordpiece(spark, folder):
     return wordpieces.count_tokens(table(spark, folder, "documents"))
 
 
+@query
+def op6_mixing(spark, folder):
+    found = mixing.copies(table(spark, folder, "documents"), weights=(3, 1, 2), share=1.5, cap=2)
+    return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "n_copies")
+
+
 @query
 def op8_simhash(spark, folder):
     found = simhash.near_duplicates(table(spark, folder, "documents"), words=4, radius=4)
