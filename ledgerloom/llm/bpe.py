@@ -13,9 +13,9 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 
 from ledgerloom.llm.common import by_value
+from ledgerloom.llm.words import flat_bytes, is_blank
 
 by_value(__name__)
 
@@ -39,18 +39,9 @@ def tokenizer(path: str):
     return loaded
 
 
-def flat_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All bytes of a batch and the offsets of its texts; null is empty."""
-    filled = pc.fill_null(texts.cast(pa.large_binary()), b"")
-    offsets = np.frombuffer(filled.buffers()[1], np.int64)[filled.offset : filled.offset + len(filled) + 1]
-    data = filled.buffers()[2]
-    whole = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
-    return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
-
-
 def _cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sorted places to cut at: text ends, and blanks after a byte that is surely no blank."""
-    blank = (data == 0x20) | ((data >= 0x09) & (data <= 0x0D))
+    blank = is_blank(data)
     at = np.flatnonzero(blank[1:] & ~blank[:-1]) + 1
     # U+0085, U+00A0 and the three-byte blanks end in these; a cut is left out when in doubt
     last, second = data[at - 1], data[np.maximum(at - 2, 0)]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chunks, mixing, packing, simhash, wordpieces
+from ledgerloom.llm import chunks, mixing, packing, quality, simhash, wordpieces
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -33,6 +33,11 @@ def op3_wordpiece(spark, folder):
     return wordpieces.count_tokens(table(spark, folder, "documents"))
 
 
+@query
+def op4_weak_labels(spark, folder):
+    return quality.classify(table(spark, folder, "documents"), fit_rows=quality.FIT_ROWS)
+
+
 @query
 def op6_mixing(spark, folder):
     found = mixing.copies(table(spark, folder, "documents"), weights=(3, 1, 2), share=1.5, cap=2)

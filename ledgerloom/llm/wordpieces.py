@@ -22,8 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.bpe import DEFAULT_FILE, flat_bytes, vocabulary_path
+from ledgerloom.llm.bpe import DEFAULT_FILE, vocabulary_path
 from ledgerloom.llm.common import by_value
+from ledgerloom.llm.words import words_of
 
 by_value(__name__)
 
@@ -139,28 +140,9 @@ def count_words(machine: Automaton, data: np.ndarray, starts: np.ndarray, ends:
 
 
 def _count_batch(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
-    data, offsets = flat_bytes(texts)
-    blank = (data == 0x20) | ((data >= 0x09) & (data <= 0x0D))
-    edge = np.ones(len(data) + 1, bool)  # a word begins after a blank or at a text's beginning
-    edge[1:] = np.append(blank, True)[:-1] if len(data) else True
-    edge[offsets] = True
-    starts = np.flatnonzero(edge[: len(data)] & ~blank)
-    stops = np.ones(len(data) + 1, bool)
-    stops[: len(data)] = blank
-    stops[offsets] = True
-    places = np.flatnonzero(stops)
-    ends = places[np.searchsorted(places, starts, side="right")]
-    raw = np.empty(2 * len(starts) + 1, np.int64)
-    raw[0:-1:2], raw[1::2], raw[-1] = starts, ends, len(data)
-    spans = pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), len(raw) - 1, [None, pa.py_buffer(raw), pa.py_buffer(np.ascontiguousarray(data))]
-    )
-    coded = spans.take(pa.array(np.arange(0, len(raw) - 1, 2))).dictionary_encode()
-    words, bounds = flat_bytes(coded.dictionary)
-    found = count_words(automaton(path), words, bounds[:-1], bounds[1:])
-    sums = np.concatenate(([0], np.cumsum(found[coded.indices.to_numpy()])))
-    first = np.searchsorted(starts, offsets)
-    return np.diff(first), np.diff(sums[first])
+    words = words_of(texts)
+    found = count_words(automaton(path), words.data, words.bounds[:-1], words.bounds[1:])
+    return words.counts, words.per_text(found[words.codes])
 
 
 def count_tokens(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
