@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chunks, mixing, packing, quality, simhash, wordpieces
+from ledgerloom.llm import ann, chunks, mixing, packing, quality, simhash, wordpieces
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -54,6 +54,12 @@ def op8_simhash(spark, folder):
     )
 
 
+@query
+def op9_adaptive_scan(spark, folder):
+    rows = table(spark, folder, "embeddings")
+    return ann.search(rows, rows.where("vec_id % 20 = 0"), k=20)
+
+
 @query
 def op10_chunks(spark, folder):
     spans = chunks.repeated_spans(table(spark, folder, "documents"), least_words=20)
