@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import ann, chunks, mixing, packing, quality, simhash, wordpieces
+from ledgerloom.llm import ann, chunks, hnsw, mixing, packing, quality, simhash, wordpieces
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,6 +38,12 @@ def op4_weak_labels(spark, folder):
     return quality.classify(table(spark, folder, "documents"), fit_rows=quality.FIT_ROWS)
 
 
+@query
+def op5_hnsw(spark, folder):
+    found = hnsw.near_duplicates(table(spark, folder, "embeddings"), least=0.9)
+    return found.withColumnRenamed("id", "vec_id")
+
+
 @query
 def op6_mixing(spark, folder):
     found = mixing.copies(table(spark, folder, "documents"), weights=(3, 1, 2), share=1.5, cap=2)
