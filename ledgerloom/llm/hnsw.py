@@ -288,7 +288,8 @@ def _counted(members: DataFrame, dims: int, least: float) -> DataFrame:
     dealt = dealt.withColumn("part", F.pmod(F.xxhash64("id", F.lit(2)), F.col("parts")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     left = dealt.select("block", "small", F.col("part").alias("p"), other.alias("q"), "root", "id", "v")
-    right = dealt.select("block", "small", other.alias("p"), F.col("part").alias("q"), "root", "id", "v", "copies")
+    same = [F.col(c).alias(c) for c in ("block", "small", "root", "id", "v", "copies")]  # columns of their own, not those of left
+    right = dealt.select(other.alias("p"), F.col("part").alias("q"), *same)
 
     def run(mine: pa.Table, others: pa.Table) -> pa.Table:
         if not mine.num_rows or not others.num_rows:
