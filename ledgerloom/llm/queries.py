@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import ann, chunks, hnsw, mixing, packing, quality, simhash, wordpieces
+from ledgerloom.llm import ann, chunks, hnsw, mixing, packing, quality, quotes, simhash, wordpieces
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -50,6 +50,11 @@ def op6_mixing(spark, folder):
     return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "n_copies")
 
 
+@query
+def op7_quotes(spark, folder):
+    return quotes.link_quotes(table(spark, folder, "conversations"))
+
+
 @query
 def op8_simhash(spark, folder):
     found = simhash.near_duplicates(table(spark, folder, "documents"), words=4, radius=4)
