@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import ann, chunks, hnsw, mixing, packing, quality, quotes, simhash, wordpieces
+from ledgerloom.llm import ann, chunks, hnsw, interpolation, mixing, packing, quality, quotes, simhash, wordpieces
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,6 +23,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_interpolation(spark, folder):
+    remainder = interpolation.id_remainder("doc_id", 7)
+    return interpolation.score_documents(table(spark, folder, "documents"), held_out=remainder == 2, deleted=remainder == 3, order=2)
+
+
 @query
 def op2_packing(spark, folder):
     return packing.pack_documents(table(spark, folder, "documents"), limit=2048, end_id=1)
