@@ -9,7 +9,6 @@ PLAIN_DECIMAL = r"^-?[0-9]+(\.[0-9]+)?$"
 # an optional sign, a fraction and an exponent, with blanks around
 ANY_NUMBER = r"^\s*([+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]{1,3})?)\s*$"
 PLAIN_WHOLE = r"^0*([0-9]{1,18})$"
-ANY_WHOLE = r"^\s*([+-]?[0-9]{1,9})(\.0*)?\s*$"
 
 LARGEST = {"smallint": 2**15 - 1, "int": 2**31 - 1}
 
@@ -65,8 +64,16 @@ def whole_number(c: Column | str, kind: str = "smallint") -> Column:
 
 
 def to_whole(c: Column | str) -> Column:
-    """Coercing parse of a whole number ('3', ' 3 ', '3.0')."""
-    return matched(c, ANY_WHOLE, 1).cast("int")
+    """Coercing parse of a whole number ('3', ' 3 ', '3.0'); no number gives NULL.
+
+    A number that is no whole number becomes 0 and one beyond the type its largest or smallest
+    value, so that range checks see them.
+    """
+    number = matched(c, ANY_NUMBER, 1).cast("double")
+    largest = float(LARGEST["int"])
+    bounded = F.greatest(F.least(number, F.lit(largest)), F.lit(-largest))
+    whole = F.when(bounded == F.floor(bounded), bounded).otherwise(0.0)
+    return F.when(number.isNotNull(), whole).cast("int")  # least and greatest pass over NULL
 
 
 def ratio(top: Column | str, bottom: Column | str) -> Column:

@@ -1,8 +1,7 @@
 """Lookups, match indicators and fallbacks.
 
-Registries grow too, so a lookup side is only broadcast after its rows were
-counted; beyond the bound the join is left to the planner, and adaptive
-execution splits hot keys.
+Registries grow too, so no lookup side is broadcast by a hint: it is stored, and the
+planner decides by its size; in shuffle joins adaptive execution splits hot keys.
 """
 
 from __future__ import annotations
@@ -16,32 +15,14 @@ from ledgerloom import schema as S
 from ledgerloom.session import materialize
 
 BLANK_SPREAD = 1024
-BROADCAST_ROWS = 200_000
 
+def sized_side(df: DataFrame, label: str) -> DataFrame:
+    """A lookup side whose true size the planner knows when it is joined.
 
-def broadcast_within(written: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a written table if it is small enough, else leave the join open.
-
-    Counting a Parquet table reads only its footers.
-    """
-    return F.broadcast(written) if written.count() <= max_rows else written
-
-
-def _planned_small(df: DataFrame) -> bool:
-    """Would the planner broadcast this by its own size statistics?"""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return size <= limit
-
-
-def sized_side(df: DataFrame, label: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A lookup side whose size is known before it is joined.
-
-    What the statistics already show to be small is left to the planner.
-    Anything else is written once and counted: when it turns out small, the rows
-    it is joined to are not shuffled at all.
+    It is written once; from the files' sizes Spark decides between a broadcast, for which
+    the rows it is joined to are not shuffled at all, and a shuffle join.
     """
-    return df if _planned_small(df) else broadcast_within(materialize(df, label), max_rows)
+    return materialize(df, label)
 
 
 def spread_blank(key: Column, spread_by: Iterable[Column | str]) -> Column:

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from ledgerloom.session import materialize
 
 ROW_BITS = 33
-SHALLOW_ROWS = 10_000
 
 
 def with_global_position(
@@ -63,20 +62,13 @@ def page_count(total: Column | str, size: int) -> Column:
 
 
 def page(df: DataFrame, order_by: Iterable[Column | str], number: int, size: int) -> DataFrame:
-    """Rows of one page (1-based) of a totally ordered result.
+    """Rows of one page (1-based) of a totally ordered result, as a top-n for every page.
 
-    Early pages are a top-n.  A late page would make the driver hold all rows
-    before it, so there the rows are numbered and the page is a range filter.
+    Each task keeps the rows up to the page's end; a caller who walks through all of
+    a large result numbers it once with ``with_global_position`` instead.
     """
     if number < 1:
         raise ValueError("pages start at 1")
     if not 1 <= size <= 200:
         raise ValueError("a page has 1 to 200 rows")
-    skipped = (number - 1) * size
-    if skipped + size <= SHALLOW_ROWS:
-        return df.orderBy(*order_by).offset(skipped).limit(size)
-    order_by = list(order_by)
-    numbered = with_global_position(df, order_by, "_position")
-    wanted = F.col("_position").between(skipped + 1, skipped + size)
-    return numbered.filter(wanted).orderBy("_position").drop("_position")
-
+    return df.orderBy(*order_by).offset((number - 1) * size).limit(size)

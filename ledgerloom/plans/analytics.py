@@ -9,17 +9,15 @@ from ledgerloom.functions import numbers
 from ledgerloom.operators import ranking, stats
 
 
-def end_points(expense: DataFrame) -> DataFrame:
-    """Per id: total of its first and of its last quarter.
+def end_points(totals: DataFrame) -> DataFrame:
+    """Per id: total of its first and of its last quarter, from its quarter totals.
 
     Both come from one partial aggregation; where two names share a quarter the
     smallest name counts for the first and the largest for the last.
     """
-    totals = stats.period_totals(
-        expense.filter(F.col("entity_id").isNotNull()), ["entity_id", "entity_name"]
-    )
+    known = totals.filter(F.col("year").isNotNull() & F.col("quarter").isNotNull())
     at = F.struct("year", "quarter", "entity_name")
-    return totals.groupBy("entity_id").agg(
+    return known.groupBy("entity_id").agg(
         F.min_by("total", at).alias("first_total"), F.max_by("total", at).alias("last_total")
     )
 
@@ -28,15 +26,18 @@ def top_growth(expense: DataFrame, k: int = 5) -> DataFrame:
     """The k largest growths from first to last quarter, one row per id and name.
 
     Every row of an id has the same growth, so the best k rows belong to the
-    best k ids: only those k rows (the broadcast side) look for their names.
+    best k ids: only those k rows (the broadcast side) look for their names, in the
+    quarter totals that the growth comes from and not in the expenses again.
     """
+    identified = expense.filter(F.col("entity_id").isNotNull())
+    totals = stats.period_totals(identified, ["entity_id", "entity_name"], drop_null_periods=False)
     points = (
-        end_points(expense)
+        end_points(totals)
         .filter((F.col("first_total") > 0) & F.col("last_total").isNotNull())
         .withColumn("growth_pct", numbers.growth_pct("first_total", "last_total"))
     )
     best = ranking.top_k(points, "growth_pct", k, ["entity_id"])
-    names = expense.select("entity_id", "entity_name")
+    names = totals.select("entity_id", "entity_name")
     named = names.join(F.broadcast(best), "entity_id").distinct()
     return ranking.top_k(named, "growth_pct", k, ["entity_id", "entity_name"]).select(
         "entity_id", "entity_name", "first_total", "last_total", "growth_pct"
@@ -46,13 +47,13 @@ def top_growth(expense: DataFrame, k: int = 5) -> DataFrame:
 def expense_by_region(expense: DataFrame, registry: DataFrame, k: int = 5) -> DataFrame:
     """Largest regions by total, with the mean per entity that has expenses.
 
-    Expenses are summed per id first; the registry holds an id once, so the
-    joined rows count the distinct entities.
+    Expenses are summed per id first.  A registry that holds an id several times counts its
+    total each time, but the entity once.
     """
     per_id = expense.groupBy("entity_id").agg(stats.total("amount").alias("total"))
     joined = per_id.join(registry.select("entity_id", "region"), "entity_id")
     regions = joined.groupBy("region").agg(
-        stats.total("total").alias("total"), F.count(F.lit(1)).alias("_n")
+        stats.total("total").alias("total"), F.count_distinct("entity_id").alias("_n")
     )
     mean = F.round(numbers.ratio("total", "_n"), 2).cast(stats.TOTAL)
     return (

@@ -15,13 +15,11 @@ from ledgerloom.operators.ranking import top_k
 ATTRIBUTES = ("registration", "category", "region")
 
 
-def match_table(
-    registry: DataFrame, order_by: Iterable[Column | str] = ("registration",)
-) -> DataFrame:
+def match_table(registry: DataFrame, order_by: Iterable[Column | str] | None = None) -> DataFrame:
     """Registry rows usable for matching: cleaned 14-digit id, first row per id."""
     S.require_columns(registry, ["entity_id"], "registry")
     cleaned = registry.withColumn("entity_id", ids.digits_only("entity_id"))
-    unique = dedupe.keep_first(filters.full_length_ids(cleaned), ["entity_id"], order_by)
+    unique = dedupe.keep_first(filters.full_length_ids(cleaned), ["entity_id"], order_by or S.registry_order(registry))
     return unique.select("entity_id", *[c for c in ATTRIBUTES if c in registry.columns])
 
 

@@ -16,34 +16,48 @@ from ledgerloom.sources import archives, delimited, landing
 
 FILE_KEY = ("src_file", "entry")
 AMBIGUOUS = "several columns for one standard column"
+TOO_WIDE = "more fields than the header"
+NO_DESCRIPTION = "ledger without description"
 NO_KNOWN_COLUMN = "no known column"
 
 
 @dataclass(frozen=True)
 class Ingested:
-    """The consolidated rows, and what could not be read with the reason."""
+    """The consolidated rows, and the files and lines that could not be read with the reason."""
 
     expense: DataFrame
     rejects: DataFrame
 
 
 def read_registry(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Registry files in either encoding; the first line of a registration wins."""
+    """Registry files in either encoding; the first line of a registration wins.
+
+    ``src_file`` and ``line_at`` stay, so that "first" means file order later on, too.  Give
+    the newest snapshot (``newest_registry``) where a folder holds several.
+    """
     raw = delimited.read_mixed_encoding(spark, path, S.REGISTRY_ALIASES, join_words=False)
     cleaned = raw.withColumns(
         {
             "registration": F.trim("registration"),
             "entity_id": ids.digits_only("entity_id"),
         }
-    ).filter(F.col("registration").isNotNull())
-    first = dedupe.keep_first(cleaned, ["registration"], ["src_file", "line_at"])
-    return first.select(*S.REGISTRY_COLUMNS)
+    ).filter(F.col("registration").isNotNull() & F.col("malformed").isNull())
+    first = dedupe.keep_first(cleaned, ["registration"], S.FILE_ORDER)
+    return first.select(*S.REGISTRY_COLUMNS, *S.FILE_ORDER)
+
+
+def newest_registry(spark: SparkSession, folder: str) -> DataFrame:
+    """The registry as its newest snapshot in a folder has it."""
+    newest = landing.latest_snapshot(landing.list_landing(spark, folder)).collect()  # one row at most
+    if not newest:
+        raise ValueError(f"no registry file in {folder}")
+    return read_registry(spark, newest[0].path)
 
 
 def _by_registration(registry: DataFrame) -> DataFrame:
     """One (registration, id, name) row per registration number."""
     numbered = registry.withColumn("registration", ids.registration_key("registration"))
-    unique = dedupe.keep_first(numbered, ["registration"], ["entity_id", "entity_name"])
+    unique = dedupe.keep_first(numbered, ["registration"], S.registry_order(numbered))
     return unique.select(
         "registration",
         F.col("entity_id").alias("found_id"),
@@ -147,7 +161,11 @@ def describe_layouts(described: DataFrame) -> DataFrame:
         )
         .withColumn(
             "problem",
-            F.when(F.col("is_ledger"), F.lit(None).cast("string"))
+            F.when(
+                F.col("is_ledger") & ~_names_any(names, S.LEDGER_ALIASES["description"]),
+                F.lit(NO_DESCRIPTION),
+            )
+            .when(F.col("is_ledger"), F.lit(None).cast("string"))
             .when(_given_twice(names, S.EXPENSE_ALIASES), F.lit(AMBIGUOUS))
             .when(~known, F.lit(NO_KNOWN_COLUMN)),
         )
@@ -161,7 +179,7 @@ def ingest_lines(lines: DataFrame, registry: DataFrame) -> Ingested:
     layouts side by side and route each row by the layout of its file.
     """
     files = materialize(describe_layouts(delimited.describe_files(lines, FILE_KEY)), "files")
-    usable = joins.broadcast_within(files).filter(F.col("problem").isNull())
+    usable = files.filter(F.col("problem").isNull())
     ledger_columns = {f"ledger_{c}": names for c, names in S.LEDGER_ALIASES.items()}
     parsed = delimited.parse_files(
         lines,
@@ -173,7 +191,8 @@ def ingest_lines(lines: DataFrame, registry: DataFrame) -> Ingested:
     )
     is_ledger, names = F.col("is_ledger"), F.col("names")
     wanted = text.contains_any("ledger_description", S.LEDGER_WORDS)
-    kept = parsed.filter(~is_ledger | wanted)
+    wide = F.col("malformed").isNotNull()
+    kept = parsed.filter(~is_ledger | wanted | wide)
 
     def period(column: str, from_file: str) -> Column:
         given = ~is_ledger & _names_any(names, S.EXPENSE_ALIASES[column])
@@ -189,6 +208,7 @@ def ingest_lines(lines: DataFrame, registry: DataFrame) -> Ingested:
         period("year", "file_year").alias("year"),
         numbers.comma_decimal(amount).alias("amount"),
         F.when(is_ledger, F.col("ledger_registration")).alias("registration"),
+        "malformed",
     )
     found = look_up_registration(typed, registry)
     routed = found.select(
@@ -198,12 +218,18 @@ def ingest_lines(lines: DataFrame, registry: DataFrame) -> Ingested:
         "quarter",
         "year",
         "amount",
+        "malformed",
     )
     # flagging needs the rows twice: from here on they are columns, not text
     rows = materialize(clean(routed), "parsed")
-    flagged = quality.flag_issues(rows, scope=[*FILE_KEY, "entity_id"])
-    rejects = files.filter(F.col("problem").isNotNull()).select(*FILE_KEY, "problem")
-    return Ingested(consolidate(flagged), rejects)
+    good = rows.filter(F.col("malformed").isNull()).drop("malformed")
+    flagged = quality.flag_issues(good, scope=[*FILE_KEY, "entity_id"])
+    no_line = F.lit(None).cast("string").alias("line")
+    rejects = files.filter(F.col("problem").isNotNull()).select(*FILE_KEY, "problem", no_line)
+    lines_out = rows.filter(F.col("malformed").isNotNull()).select(
+        *FILE_KEY, F.lit(TOO_WIDE).alias("problem"), F.col("malformed").alias("line")
+    )
+    return Ingested(consolidate(flagged), rejects.unionByName(lines_out))
 
 
 def ingest_landing(

@@ -13,13 +13,17 @@ from ledgerloom.operators import columns as C
 from ledgerloom.operators import dedupe, filters, joins, ranking, stats
 from ledgerloom.session import materialize
 
-REGISTRY_ORDER = ("registration",)
 EXPENSE_ORDER = ("year", "quarter", "entity_name")
 
 
+def _is_absent(registry: DataFrame | None) -> bool:
+    """An empty registry is none."""
+    return registry is None or registry.isEmpty()
+
+
 def serving_expense(raw: DataFrame) -> DataFrame:
     """Exchanged expense rows with serving headers, padded ids and typed values."""
-    mapped = C.apply_aliases(raw, S.serving_aliases(), join_words=False, keep_unmapped=True)
+    mapped = C.apply_aliases(raw, S.SERVING_ALIASES, join_words=False, keep_unmapped=True)
     S.require_columns(mapped, S.EXPENSE_COLUMNS, "expense")
     return mapped.withColumns(
         {
@@ -33,14 +37,15 @@ def serving_expense(raw: DataFrame) -> DataFrame:
 
 def serving_registry(raw: DataFrame) -> DataFrame:
     """Registry rows with serving headers; blank or 'nan' attributes become NULL."""
-    mapped = C.apply_aliases(raw, S.serving_aliases(), join_words=False, keep_unmapped=True)
-    full = C.complete_columns(mapped, S.REGISTRY_COLUMNS).select(*S.REGISTRY_COLUMNS)
+    mapped = C.apply_aliases(raw, S.SERVING_ALIASES, join_words=False, keep_unmapped=True)
+    order = [c for c in S.FILE_ORDER if c in mapped.columns]
+    full = C.complete_columns(mapped, S.REGISTRY_COLUMNS).select(*S.REGISTRY_COLUMNS, *order)
     cleaned = {c: F.nullif(text.nan_to_blank(c), F.lit("")) for c in ("registration", "region")}
     return full.withColumns({"entity_id": ids.padded_id("entity_id"), **cleaned})
 
 
 def serving_aggregated(raw: DataFrame) -> DataFrame:
-    mapped = C.apply_aliases(raw, S.serving_aliases(), join_words=False, keep_unmapped=True)
+    mapped = C.apply_aliases(raw, S.SERVING_ALIASES, join_words=False, keep_unmapped=True)
     return mapped.withColumns(
         {
             "total": numbers.to_decimal(F.col("total").cast("string")),
@@ -76,20 +81,20 @@ def first_names(summary: DataFrame, order_by: Iterable[Column | str] = EXPENSE_O
 def entity_directory(
     registry: DataFrame | None,
     summary: DataFrame,
-    order_by: Iterable[Column | str] = REGISTRY_ORDER,
+    order_by: Iterable[Column | str] | None = None,
 ) -> DataFrame:
     """One row per entity; names the registry lacks come from the expenses.
 
     Without a registry the ids that have expenses are the directory.
     """
     names = first_names(summary)
-    if registry is None or registry.isEmpty():
+    if _is_absent(registry):
         absent = {c: F.lit(None).cast("string") for c in ("registration", "category", "region")}
         named = names.withColumnRenamed("first_name", "entity_name").withColumns(absent)
         return named.select(*S.REGISTRY_COLUMNS)
-    base = C.complete_columns(registry, S.REGISTRY_COLUMNS).select(*S.REGISTRY_COLUMNS)
+    base = C.complete_columns(registry, S.REGISTRY_COLUMNS)
     padded = base.withColumn("entity_id", ids.padded_id("entity_id"))
-    unique = dedupe.keep_first(padded, ["entity_id"], order_by)
+    unique = dedupe.keep_first(padded, ["entity_id"], order_by or S.registry_order(base))
     joined = unique.join(names, "entity_id", "left")
     name = F.coalesce("entity_name", "first_name")
     return joined.withColumn("entity_name", name).select(*S.REGISTRY_COLUMNS)
@@ -117,19 +122,25 @@ def with_activity(directory: DataFrame, summary: DataFrame) -> DataFrame:
 
 
 def search_entities(
-    directory: DataFrame, page: int = 1, limit: int = 20, search: str | None = None
+    directory: DataFrame,
+    page: int = 1,
+    limit: int = 20,
+    search: str | None = None,
+    regex: bool = False,
 ) -> DataFrame:
     """One page of the directory (with ``has_data``), active entities first.
 
-    Each row also carries the number of hits and of pages.
+    Each row also carries the number of hits and of pages.  A page without rows is one row
+    that has only these.
     """
-    hits = directory.filter(filters.matches_search(search)) if search else directory
+    hits = directory.filter(filters.matches_search(search, regex=regex)) if search else directory
     order = [F.col("has_data").desc(), F.col("entity_name").asc_nulls_last(), F.col("entity_id")]
     rows = ranking.page(hits, order, page, limit)
     counted = hits.agg(F.count(F.lit(1)).alias("n_hits")).select(
         "n_hits", F.lit(page).alias("page"), ranking.page_count("n_hits", limit).alias("n_pages")
     )
-    return C.blank_nulls(rows).crossJoin(F.broadcast(counted))
+    shown = C.blank_nulls(rows)
+    return counted.join(shown, F.lit(True), "left").select(*shown.columns, *counted.columns)
 
 
 def find_entity(directory: DataFrame, entity_id: str) -> DataFrame:
@@ -195,11 +206,12 @@ def locate(totals: DataFrame, registry: DataFrame) -> DataFrame:
     known = registry.filter("entity_id is not null").withColumn(
         "_region", text.blank_to_null("region")
     )
-    by_id = dedupe.keep_last(known, ["entity_id"], REGISTRY_ORDER).select(
+    order = S.registry_order(registry)
+    by_id = dedupe.keep_last(known, ["entity_id"], order).select(
         F.col("entity_id").alias("_table_id"), F.col("_region").alias("_by_id")
     )
     named = known.withColumn("_name", text.normal_name("entity_name")).filter("_name != ''")
-    by_name = dedupe.keep_first(named, ["_name"], REGISTRY_ORDER).select(
+    by_name = dedupe.keep_first(named, ["_name"], order).select(
         F.col("_name").alias("_table_name"), F.col("_region").alias("_by_name")
     )
     first = joins.lookup(
@@ -219,7 +231,7 @@ def located_totals(summary: DataFrame, registry: DataFrame | None) -> DataFrame:
     totals = summary.groupBy("entity_id", "entity_name").agg(
         stats.total("total").alias("total"), F.sum("n_amounts").alias("n_amounts")
     )
-    if registry is None:
+    if _is_absent(registry):
         return totals.withColumn("region", F.lit(S.UNKNOWN))
     return locate(totals, registry)
 
@@ -234,7 +246,7 @@ def registered_per_region(registry: DataFrame) -> DataFrame:
 def region_totals(located: DataFrame, registry: DataFrame | None) -> DataFrame:
     """Total per region, registered entities and mean per registered entity."""
     totals = located.groupBy("region").agg(stats.total_or_zero("total").alias("total"))
-    if registry is None:
+    if _is_absent(registry):
         entities = located.groupBy("region").agg(
             F.count_distinct("entity_id").alias("n_entities")
         )
@@ -281,7 +293,7 @@ def region_chart(regions: DataFrame, metric: str = "total", k: int = 10) -> Data
 
 def count_entities(registry: DataFrame | None, summary: DataFrame) -> DataFrame:
     """One row: the size of the directory, without building it."""
-    if registry is None or registry.isEmpty():
+    if _is_absent(registry):
         counted = summary.filter(F.col("entity_name").isNotNull())
         return counted.agg(F.count_distinct("entity_id").alias("n_entities"))
     return registry.agg(F.count_distinct(ids.padded_id("entity_id")).alias("n_entities"))

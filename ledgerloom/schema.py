@@ -182,37 +182,37 @@ FIRST_YEAR, LAST_YEAR = 2000, 2030
 
 # --- serving headers -----------------------------------------------------------
 
-_SERVING = {
-    "cnpj": "entity_id",
-    "razao_social": "entity_name",
-    "registro_ans": "registration",
-    "modalidade": "category",
-    "uf": "region",
-    "trimestre": "quarter",
-    "ano": "year",
-    "valor_despesas": "amount",
-    "inconsistencia_flag": "issue_flags",
-    "total_despesas": "total",
-    "media_despesas": "mean",
-    "media_por_trimestre": "mean_per_quarter",
-    "desvio_padrao": "std",
-    "coeficiente_variacao": "cv_pct",
-    "numero_trimestres": "n_quarters",
-    "alta_variabilidade": "high_variability",
-    "ranking": "rank",
+# Headers that the serving layer accepts, per column.
+SERVING_ALIASES: Mapping[str, tuple[str, ...]] = {
+    "entity_id": ("cnpj",),
+    "entity_name": ("razao_social", "razaosocial"),
+    "registration": ("registro_ans", "registroans", "registro_operadora", "registro_operadora_ans"),
+    "category": ("modalidade",),
+    "region": ("uf",),
+    "quarter": ("trimestre",),
+    "year": ("ano",),
+    "amount": ("valor_despesas", "valordespesas"),
+    "issue_flags": ("inconsistencia_flag",),
+    "total": ("total_despesas", "totaldespesas"),
+    "mean": ("media_despesas", "mediadespesas"),
+    "mean_per_quarter": ("media_por_trimestre", "mediaportrimestre"),
+    "std": ("desvio_padrao", "desviopadrao"),
+    "cv_pct": ("coeficiente_variacao", "coeficientevariacao"),
+    "n_quarters": ("numero_trimestres", "numerotrimestres"),
+    "high_variability": ("alta_variabilidade", "altavariabilidade"),
+    "rank": ("ranking",),
 }
 
+# Where a registry row stands in the files it was read from.
+FILE_ORDER = ("src_file", "line_at")
 
-def serving_aliases() -> dict[str, tuple[str, ...]]:
-    """Headers accepted by the serving layer: every exchanged name with or
-    without its underscores, plus two longer spellings of the registration."""
-    aliases = {}
-    for header, column in _SERVING.items():
-        compact = header.replace("_", "")
-        keep_compact = compact != header and column != "issue_flags"
-        aliases[column] = (header, compact) if keep_compact else (header,)
-    aliases["registration"] += ("registro_operadora", "registro_operadora_ans")
-    return aliases
+
+def registry_order(registry: DataFrame) -> tuple[str, ...]:
+    """What "first" means in a registry: file order where it is known, else a total order."""
+    if set(FILE_ORDER) <= set(registry.columns):
+        return FILE_ORDER
+    order = ("registration", "entity_id", "entity_name", "category", "region")
+    return tuple(c for c in order if c in registry.columns)
 
 
 def all_string(columns: Iterable[str]) -> T.StructType:

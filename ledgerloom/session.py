@@ -58,14 +58,12 @@ def shared_folder(spark: SparkSession) -> str:
     A machine-local folder is only taken in local mode, where driver and
     executors are the same process.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    one_machine = context.master.startswith("local")
     if named:
         return named.rstrip("/")
-    context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    if not context.master.startswith("local"):
+    if not one_machine:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     own = tempfile.mkdtemp(prefix="ledgerloom-")
     atexit.register(shutil.rmtree, own, ignore_errors=True)
@@ -88,6 +86,24 @@ def _delete(spark: SparkSession, path: str) -> bool:
     return files.delete(folder, True)
 
 
+def replace_folder(spark: SparkSession, new: str, path: str) -> None:
+    """Let ``new`` take the place of ``path``; the old folder goes last.
+
+    If the switch fails, the old folder is back in its place and ``new`` is kept.
+    """
+    jvm = spark.sparkContext._jvm
+    target, fresh = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(new)
+    aside = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}__old_{uuid.uuid4().hex}")
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.rename(target, aside):
+        raise RuntimeError(f"{path} cannot be moved; the new state is in {new}")
+    if not files.rename(fresh, target):
+        files.rename(aside, target)
+        raise RuntimeError(f"{new} cannot be moved to {path}, which is as before")
+    spark.catalog.refreshByPath(path)
+    files.delete(aside, True)
+
+
 def drop_intermediates(spark: SparkSession) -> bool:
     """Remove what ``materialize`` wrote for this application.
 
@@ -109,8 +125,8 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _scratch.reset(token)
-        for path in opened:
-            _delete(spark, path)
+    for path in opened:  # kept if the block failed: they may be the only copy of its result
+        _delete(spark, path)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

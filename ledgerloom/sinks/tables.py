@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 from ledgerloom import schema as S
 from ledgerloom.operators import columns as C
 from ledgerloom.operators import joins, quality
-from ledgerloom.session import materialize, scratch
+from ledgerloom.session import materialize, replace_folder, scratch
 
 PERIOD = ("year", "quarter")
 
@@ -19,9 +20,13 @@ PERIOD = ("year", "quarter")
 def write_delimited(
     df: DataFrame, path: str, columns: Iterable[str] | None = None, compression: str | None = None
 ) -> None:
-    """';'-separated UTF-8 text with a header; ``compression='gzip'`` to deflate it."""
+    """';'-separated UTF-8 text with a header; ``compression='gzip'`` to deflate it.
+
+    Quotes inside a field are doubled.
+    """
     out = df.select(*columns) if columns else df
     writer = out.write.mode("overwrite").option("sep", ";").option("header", True)
+    writer = writer.option("escape", '"')
     # empty text stays empty between the separators, as NULL does; blanks are kept
     writer = writer.option("emptyValue", "").option("nullValue", "")
     writer = writer.option("ignoreLeadingWhiteSpace", False)
@@ -95,20 +100,39 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Iterable[str], check: bool
     keys = list(keys)
     if check:
         quality.require_unique(batch, keys)
-    replaced = joins.sized_side(batch.select(*keys), "replaced")
+    replaced = joins.sized_side(batch.select(*keys), "replaced")  # stored: the planner knows its size
     kept = target.join(replaced, keys, "left_anti")
     return kept.unionByName(batch.select(*target.columns))
 
 
-def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Iterable[str]) -> None:
-    """Upsert into a Parquet table.
+def upsert_table(
+    spark: SparkSession,
+    path: str,
+    batch: DataFrame,
+    keys: Iterable[str],
+    partition_by: Iterable[str] = (),
+) -> None:
+    """Upsert into a Parquet table, which is never without a whole state.
 
-    The new state is written to the shared folder first and then replaces the
-    table, so that the table is never read and overwritten by one job.
+    The new state is written beside the table.  Without partitions it then changes places
+    with the table, and the old one goes only after that.  With ``partition_by``, which
+    must be among the keys, only the partitions that the batch touches are read and
+    replaced, each in one step of Spark's committer; the copy stays if that fails.
     """
+    keys, partition_by = list(keys), list(partition_by)
+    table = spark.read.parquet(path)
+    if not partition_by:
+        beside = f"{path.rstrip('/')}__next_{uuid.uuid4().hex}"
+        upsert(table, batch, keys).write.parquet(beside)
+        replace_folder(spark, beside, path)
+        return
+    if not set(partition_by) <= set(keys):
+        raise ValueError("partition columns must be among the keys: a row must not change its partition")
     with scratch(spark):
-        merged = materialize(upsert(spark.read.parquet(path), batch, keys), "upsert")
-        merged.write.mode("overwrite").parquet(path)
+        touched = joins.sized_side(batch.select(*partition_by).distinct(), "touched")
+        affected = table.join(touched, partition_by, "left_semi")
+        merged = materialize(upsert(affected, batch, keys), "upsert")
+        load_periods(merged, path, partition_by)
 
 
 def read_evolved(spark: SparkSession, path: str, contract: T.StructType) -> DataFrame:

@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import schema as S
-from ledgerloom.operators.joins import broadcast_within
 from ledgerloom.session import materialize
 
 SEPARATOR = ";"
+QUOTE = '"'  # doubled inside a quoted field
 FALLBACK_ENCODING = "ISO-8859-1"
 
 
@@ -25,11 +25,12 @@ def read_delimited(
     """A UTF-8 file set whose header is known; every column is read as text.
 
     The header of each file is checked against ``columns``.  ``multi_line``
-    accepts quoted line breaks; such files cannot be split.
+    accepts quoted line breaks; such files cannot be split.  Blank lines are no rows.
     """
     return (
         spark.read.schema(S.all_string(columns))
         .option("sep", SEPARATOR)
+        .option("escape", QUOTE)
         .option("header", header)
         .option("enforceSchema", False)
         .option("multiLine", multi_line)
@@ -68,8 +69,16 @@ def decode(raw: Column | str, is_utf8: Column) -> Column:
     return F.when(is_utf8, raw.cast("string")).otherwise(F.decode(raw, FALLBACK_ENCODING))
 
 
+def is_blank(raw: Column | str) -> Column:
+    """Nothing but white space; decoding does not matter for that."""
+    raw = F.col(raw) if isinstance(raw, str) else raw
+    return F.trim(F.translate(raw.cast("string"), "\t\r\f\v", "    ")) == ""
+
+
 def describe_files(lines: DataFrame, file_key: Iterable[str] = ("src_file",)) -> DataFrame:
-    """One row per file: is every line valid UTF-8, and its first line.
+    """One row per file: is every line valid UTF-8, its first line, and where that is.
+
+    Blank lines before the header are passed over.
 
     A file is read as UTF-8 as a whole or as Latin-1 as a whole, so all its
     lines are looked at; both aggregates are combined map side, so the shuffle
@@ -78,9 +87,12 @@ def describe_files(lines: DataFrame, file_key: Iterable[str] = ("src_file",)) ->
     alone the lines would be sorted by file first.
     """
     valid = F.collect_set(F.is_valid_utf8(F.col("raw").cast("string")))
+    filled = F.when(~is_blank("raw"), F.col("line_at"))
     return (
         lines.groupBy(*file_key)
-        .agg(valid.alias("_valid"), F.min_by("raw", "line_at").alias("_first"))
+        .agg(
+            valid.alias("_valid"), F.min_by("raw", filled).alias("_first"), F.min(filled).alias("header_at")
+        )
         .withColumn("is_utf8", ~F.array_contains("_valid", False))
         .withColumn("header_line", decode("_first", F.col("is_utf8")))
         .drop("_first", "_valid")
@@ -101,10 +113,17 @@ def split_line(line: Column | str, width: int) -> Column:
     """The fields of a line as an array of ``width`` texts, NULL where missing."""
     line = F.col(line) if isinstance(line, str) else line
     fields = [f"c{i}" for i in range(width)]
-    parsed = F.from_csv(line, ", ".join(f"{f} string" for f in fields), {"sep": SEPARATOR})
+    parsed = F.from_csv(line, ", ".join(f"{f} string" for f in fields), {"sep": SEPARATOR, "escape": QUOTE})
     return F.array(*[parsed[f] for f in fields])
 
 
+def too_wide(line: Column | str, names: Column) -> Column:
+    """More fields than the header has; empty fields at the end do not count."""
+    line = F.col(line) if isinstance(line, str) else line
+    bare = F.regexp_replace(line, '"[^"]*"', "q")
+    return F.regexp_count(F.regexp_replace(bare, r"[;\s]+$", ""), F.lit(SEPARATOR)) >= F.size(names)
+
+
 def field(names: Column, values: Column, aliases: Iterable[str]) -> Column:
     """The value under the first of the alias headers the file has."""
     found = [
@@ -125,18 +144,20 @@ def parse_files(
     """Text columns by header alias, for files of any mix of layouts, in one plan.
 
     Each line is matched with its own file's header (``files``, one row per
-    file), so layouts need no scan of their own.  Lines equal to the header are
-    not data.
+    file), so layouts need no scan of their own.  The header line itself and blank
+    lines are not data.  A line with more fields than the header is kept out of no
+    result: its ``malformed`` has the line and its columns are NULL.
     """
     file_key, keep = list(file_key), list(keep)
     rows = lines.join(files, file_key).withColumn("_line", decode("raw", F.col("is_utf8")))
-    body = rows.filter(F.col("_line") != F.col("header_line"))
-    values = body.withColumn("_values", split_line("_line", width))
+    body = rows.filter((F.col("line_at") != F.col("header_at")) & ~is_blank("raw"))
+    wide = F.when(too_wide("_line", F.col("names")), F.col("_line"))
+    values = body.withColumn("malformed", wide).withColumn("_values", split_line("_line", width))
     columns = [
-        field(F.col("names"), F.col("_values"), names).alias(column)
+        F.when(F.col("malformed").isNull(), field(F.col("names"), F.col("_values"), names)).alias(column)
         for column, names in aliases.items()
     ]
-    return values.select(*file_key, *columns, *keep)
+    return values.select(*file_key, *columns, "malformed", *keep)
 
 
 def header_width(files: DataFrame) -> int:
@@ -152,12 +173,10 @@ def read_mixed_encoding(
 ) -> DataFrame:
     """Delimited files, each in UTF-8 or Latin-1, read by header alias.
 
-    ``line_at`` orders the lines of a file.  Line based: quoted line breaks are
-    not supported here.
+    ``src_file`` and ``line_at`` give the order of the rows.  Line based: quoted line
+    breaks are not supported here.  Lines too wide for their header have ``malformed``.
     """
     lines = read_lines(spark, path)
     described = describe_files(lines).withColumn("names", split_header("header_line", join_words))
     files = materialize(described, "files")
-    return parse_files(
-        lines, broadcast_within(files), aliases, header_width(files), keep=["line_at"]
-    )
+    return parse_files(lines, files, aliases, header_width(files), keep=["line_at"])

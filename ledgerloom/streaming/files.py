@@ -2,58 +2,62 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerloom import schema as S
-from ledgerloom.operators import quality
-from ledgerloom.plans.ingest import clean
-from ledgerloom.session import materialize, scratch
-from ledgerloom.sources.delimited import SEPARATOR
+from ledgerloom.plans.ingest import Ingested, ingest_lines
+from ledgerloom.session import scratch
 
 
-def file_stream(
-    spark: SparkSession, folder: str, columns: Iterable[str], max_files: int | None = None
+def line_stream(
+    spark: SparkSession, folder: str, name_glob: str | None = None, max_files: int | None = None
 ) -> DataFrame:
-    """New delimited files of a folder as all-text rows with their file of origin."""
-    reader = (
-        spark.readStream.schema(S.all_string(columns))
-        .option("sep", SEPARATOR)
-        .option("header", True)
-    )
+    """New text files of a folder as undecoded lines with their file of origin."""
+    reader = spark.readStream
+    if name_glob:
+        reader = reader.option("pathGlobFilter", name_glob)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.csv(folder).select("*", F.col("_metadata.file_path").alias("src_file"))
-
+    return reader.text(folder).select(
+        F.col("_metadata.file_path").alias("src_file"),
+        F.lit("").alias("entry"),
+        F.col("value").cast("binary").alias("raw"),
+        F.col("_metadata.file_block_start").alias("file_block_start"),
+    )
 
-def flag_batch(rows: DataFrame) -> DataFrame:
-    """Clean and flag one micro-batch; a file is never split over two of them.
 
-    Flagging needs the rows twice, so the text is parsed once and stored.
-    """
-    parsed = materialize(clean(rows), "batch")
-    return quality.flag_issues(parsed, scope=("src_file", "entity_id"))
+def _lines(batch: DataFrame) -> DataFrame:
+    """The lines of a micro-batch in file order; a file is never split over two of them."""
+    at = F.struct("file_block_start", F.monotonically_increasing_id().alias("at"))
+    return batch.select("src_file", "entry", "raw", at.alias("line_at"))
 
 
 def ingest_stream(
     stream: DataFrame,
+    registry: DataFrame,
     target: str,
     checkpoint: str,
-    prepare: Callable[[DataFrame], DataFrame] = flag_batch,
+    prepare: Callable[[DataFrame, DataFrame], Ingested] = ingest_lines,
 ) -> StreamingQuery:
-    """Process everything new, then stop.
+    """Take everything new through the ingest of whole landings, then stop.
 
-    The checkpoint remembers the files already seen.  Every micro-batch owns a
-    folder of the target named by its number and replaces it when repeated, so
-    a restarted batch does not double its rows.
+    Encodings, headers, layouts, numbers and flags are those of ``ingest_lines``.  The checkpoint
+    remembers the files already seen.  Every micro-batch owns folders below the target, named by the
+    query and the batch number, and replaces them when it is repeated; another query,
+    or one whose checkpoint was lost, has folders of its own.
     """
 
     def write(batch: DataFrame, number: int) -> None:
+        context = batch.sparkSession.sparkContext
+        query = context.getLocalProperty("sql.streaming.queryId")
         with scratch(batch.sparkSession):
-            prepare(batch).write.mode("overwrite").parquet(f"{target}/batch={number}")
+            done = prepare(_lines(batch), registry)
+            for part in ("expense", "rejects"):
+                folder = f"{target}/{part}/query={query}/batch={number}"
+                getattr(done, part).write.mode("overwrite").parquet(folder)
 
     return (
         stream.writeStream.foreachBatch(write)
@@ -64,4 +68,8 @@ def ingest_stream(
 
 
 def read_ingested(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.parquet(target).drop("batch")
+    return spark.read.parquet(f"{target}/expense").drop("query", "batch")
+
+
+def read_rejects(spark: SparkSession, target: str) -> DataFrame:
+    return spark.read.parquet(f"{target}/rejects").drop("query", "batch")

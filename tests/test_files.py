@@ -70,10 +70,10 @@ def test_encoding_is_decided_per_file(spark, tmp_path):
     assert {r.name for r in done.collect()} == {"Ã©", "SAÚDE"}
 
 
-def test_same_rows_when_the_file_table_is_too_large_to_broadcast(spark, tmp_path, monkeypatch):
+def test_same_rows_when_the_file_table_is_too_large_to_broadcast(spark, tmp_path, setting):
     for i in range(5):
         write(tmp_path / f"{i}.csv", f"nome;uf\nn{i};u{i}\n", "latin-1" if i % 2 else "utf-8")
-    monkeypatch.setattr(delimited, "broadcast_within", lambda df: df)
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
     done = delimited.read_mixed_encoding(spark, str(tmp_path), {"name": ("nome",)})
     assert sorted(r.name for r in done.collect()) == [f"n{i}" for i in range(5)]
 
@@ -94,14 +94,14 @@ def test_archives(spark, tmp_path):
     }
 
 
-def test_large_archives_are_streamed_with_the_same_rows(spark, tmp_path, monkeypatch):
+def test_archives_of_any_name_and_many_lines(spark, tmp_path):
     lines = "\n".join(str(i) for i in range(50_000))
-    pack(tmp_path / "big.zip", {"a.csv": lines})
-    write(tmp_path / "bad.zip", "x" * 100)
-    inline = archives.read_archives(spark, str(tmp_path)).orderBy("src_file", "line_no").collect()
-    monkeypatch.setattr(archives, "INLINE_BYTES", 0)
-    streamed = archives.read_archives(spark, str(tmp_path)).orderBy("src_file", "line_no").collect()
-    assert len(inline) == 50_001 and inline == streamed
+    for name in ("b c.zip", "d%20e.zip", "f#g.zip", "saúde.ZIP"):
+        pack(tmp_path / name, {"a.csv": lines, "b.csv": "x"})
+    rows = archives.read_archives(spark, str(tmp_path))
+    counts = {(r.entry, r["count"]) for r in rows.groupBy("src_file", "entry").count().collect()}
+    assert counts == {("a.csv", 50_000), ("b.csv", 1)} and rows.count() == 4 * 50_001
+    assert rows.filter("entry = 'a.csv' and cast(raw as string) <> cast(line_no - 1 as string)").count() == 0
 
 
 def test_damaged_entry_rejects_the_whole_archive(spark, tmp_path):
@@ -156,7 +156,8 @@ def test_registry_reader(spark, tmp_path):
         "latin-1",
     )
     rows = ingest.read_registry(spark, str(tmp_path)).collect()
-    assert [tuple(r) for r in rows] == [("11222333000181", "7", "SAÚDE", "Med", "SP")]
+    assert [tuple(r)[:5] for r in rows] == [("11222333000181", "7", "SAÚDE", "Med", "SP")]
+    assert set(S.FILE_ORDER) <= set(rows[0].__fields__)
 
 
 def test_ingest_landing_end_to_end(spark, tmp_path, registry):
@@ -299,8 +300,36 @@ def test_upsert(spark, tmp_path):
         tables.upsert_table(spark, path, batch.union(batch), ["k"])
 
 
-def test_upsert_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(joins, "broadcast_within", lambda df, n=0: df)
+def test_upsert_keeps_the_table_when_the_switch_fails(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    tables.reload(spark.createDataFrame([("a", 1)], "k string, v int"), path)
+    batch = spark.createDataFrame([("a", 2)], "k string, v int")
+
+    def fail(*_):
+        raise OSError("no rename")
+
+    monkeypatch.setattr(tables, "replace_folder", fail)
+    with pytest.raises(OSError):
+        tables.upsert_table(spark, path, batch, ["k"])
+    assert [tuple(r) for r in spark.read.parquet(path).collect()] == [("a", 1)]
+
+
+def test_upsert_rewrites_touched_partitions_only(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (2, "c", 3)], "p int, k string, v int")
+    rows.write.partitionBy("p").parquet(path)
+    before = {f.name for f in (tmp_path / "t" / "p=2").glob("*.parquet")}
+    batch = spark.createDataFrame([(1, "b", 9), (3, "z", 7)], "p int, k string, v int")
+    tables.upsert_table(spark, path, batch, ["p", "k"], ["p"])
+    got = {(r.p, r.k, r.v) for r in spark.read.parquet(path).collect()}
+    assert got == {(1, "a", 1), (1, "b", 9), (2, "c", 3), (3, "z", 7)}
+    assert {f.name for f in (tmp_path / "t" / "p=2").glob("*.parquet")} == before
+    with pytest.raises(ValueError, match="among the keys"):
+        tables.upsert_table(spark, path, batch, ["k"], ["p"])
+
+
+def test_upsert_without_broadcast(spark, setting):
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
     target = spark.range(100).selectExpr("id as k", "0 as v")
     batch = spark.range(50, 150).selectExpr("id as k", "1 as v")
     done = tables.upsert(target, batch, ["k"])
@@ -351,20 +380,27 @@ def test_aggregated_text_round_trip(spark):
 # --- streaming ---------------------------------------------------------------------------
 
 
+NO_REGISTRY = "registration string, entity_id string, entity_name string, category string, region string"
+
+
 def test_stream_sees_every_file_once(spark, tmp_path):
-    columns = S.EXPENSE_COLUMNS
-    header = ";".join(columns)
     source, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
-    write(tmp_path / "in" / "a.csv", f"{header}\n11222333000181;A;1;2024;1.50\n11222333000181;B;1;2024;0\n")
+    head = "cnpj;razao_social;trimestre;ano;valor"
+    write(tmp_path / "in" / "a.csv", f"{head}\n11222333000181;A;1;2024;1.001,50\n\n11222333000181;B;1;2024;0\n")
+    registry = spark.createDataFrame([], NO_REGISTRY)
 
-    def run():
-        stream = streaming.file_stream(spark, source, columns, max_files=1)
-        streaming.ingest_stream(stream, target, state).awaitTermination()
-        return {(r.entity_name, r.issue_flags) for r in streaming.read_ingested(spark, target).collect()}
+    def run(place=state):
+        stream = streaming.line_stream(spark, source, max_files=1)
+        streaming.ingest_stream(stream, registry, target, place).awaitTermination()
+        rows = streaming.read_ingested(spark, target).collect()
+        return sorted((r.entity_name, str(r.amount), r.issue_flags) for r in rows)
 
-    first = {("A", "CNPJ_RAZAO_DIVERGENTE"), ("B", "VALOR_ZERADO;CNPJ_RAZAO_DIVERGENTE")}
+    first = [("A", "1001.50", "CNPJ_RAZAO_DIVERGENTE"), ("B", "0.00", "VALOR_ZERADO;CNPJ_RAZAO_DIVERGENTE")]
     assert run() == first
     assert run() == first
-    write(tmp_path / "in" / "b.csv", f"{header}\nx;C;9;2024;-1\n")
-    assert run() == first | {("C", "CNPJ_SEM_MATCH;CNPJ_INVALIDO;VALOR_NEGATIVO;TRIMESTRE_INVALIDO")}
-    assert streaming.read_ingested(spark, target).count() == 3
+    write(tmp_path / "in" / "b.csv", "valor;ano;trimestre;razao_social;cnpj\n-1;2024;9;SAÚDE;x\n1;2;3;4;5;6\n", "latin-1")
+    new = [("SAÚDE", "-1.00", "CNPJ_SEM_MATCH;CNPJ_INVALIDO;VALOR_NEGATIVO;TRIMESTRE_INVALIDO")]
+    assert run() == first + new
+    assert [r.line for r in streaming.read_rejects(spark, target).collect()] == ["1;2;3;4;5;6"]
+    # a second stream on the same target has folders of its own: nothing is lost
+    assert run(str(tmp_path / "other")) == sorted(2 * (first + new))

@@ -114,16 +114,9 @@ def test_whole_numbers_from_leading_zeros_and_limits(values):
 
 
 def test_to_whole(values):
-    assert values(numbers.to_whole("v"), [" 3 ", "3.0", "-1", "99999", "T1", "", None, "3.5"]) == [
-        3,
-        3,
-        -1,
-        99999,
-        None,
-        None,
-        None,
-        None,
-    ]
+    given = [" 3 ", "3.0", "-1", "99999", "T1", "", None, "3.5", "99999999999", "1e400"]
+    largest = 2**31 - 1
+    assert values(numbers.to_whole("v"), given) == [3, 3, -1, 99999, None, None, None, 0, largest, largest]
 
 
 def test_to_decimal_shapes(values):

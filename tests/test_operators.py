@@ -17,8 +17,8 @@ EXPENSE = (
 def flag_frame(spark):
     return spark.createDataFrame(
         [
-            ("a", "", "", 3, 2025, D(0)),
-            ("a", "11222333000181", "Operadora Teste", 2, 2025, D(-10)),
+            ("a", "", "", 4, 2022, D(0)),
+            ("a", "11222333000181", "Gama Vida", 1, 2019, D("-7.5")),
             ("a", "11222333000181", "Outra", 5, 1999, None),
             ("b", "11222333000181", "Outra", 1, 2031, D(5)),
             ("b", "0" * 14, None, None, None, D(5)),
@@ -35,7 +35,7 @@ def _flags(df):
 def test_flags_in_fixed_order(flag_frame):
     done = {(r.src_file, r.entity_id, r.entity_name): r.issue_flags for r in quality.flag_issues(flag_frame).collect()}
     assert done["a", "", ""] == "RAZAO_VAZIA;CNPJ_SEM_MATCH;CNPJ_INVALIDO;VALOR_ZERADO"
-    assert done["a", "11222333000181", "Operadora Teste"] == "VALOR_NEGATIVO;CNPJ_RAZAO_DIVERGENTE"
+    assert done["a", "11222333000181", "Gama Vida"] == "VALOR_NEGATIVO;CNPJ_RAZAO_DIVERGENTE"
     assert (
         done["a", "11222333000181", "Outra"]
         == "VALOR_NULO;TRIMESTRE_INVALIDO;ANO_INVALIDO;CNPJ_RAZAO_DIVERGENTE"
@@ -51,10 +51,9 @@ def test_divergence_over_all_files(flag_frame):
     assert done.filter(F.contains("issue_flags", F.lit("DIVERGENTE"))).count() == 3
 
 
-def test_divergence_same_with_and_without_broadcast(flag_frame, setting, monkeypatch):
+def test_divergence_same_with_and_without_broadcast(flag_frame, setting):
     wide = sorted(_flags(quality.flag_issues(flag_frame)))
     setting("spark.sql.autoBroadcastJoinThreshold", "-1")
-    monkeypatch.setattr(joins, "broadcast_within", lambda df, n=0: df)
     assert sorted(_flags(quality.flag_issues(flag_frame))) == wide
 
 
@@ -85,7 +84,7 @@ def test_amount_name_period_validity(flag_frame):
     rows = {(r.src_file, r.entity_name): r for r in checked.collect()}
     zero = rows["a", ""]
     assert zero.amount_valid and zero.amount_zero and zero.name_empty and zero.name_short
-    assert not rows["a", "Operadora Teste"].amount_valid
+    assert not rows["a", "Gama Vida"].amount_valid
     assert rows["a", "Outra"].amount_null and not rows["a", "Outra"].amount_valid
     # an unknown period is invalid here
     assert not rows["b", None].quarter_valid and not rows["b", None].year_valid
@@ -146,7 +145,7 @@ def test_add_if_absent(spark):
 
 
 def test_serving_aliases_spellings():
-    aliases = S.serving_aliases()
+    aliases = S.SERVING_ALIASES
     assert aliases["registration"] == (
         "registro_ans",
         "registroans",
@@ -223,16 +222,15 @@ def test_lookup_keeps_all_rows(spark, setting, threshold):
     assert got == {1: ("A", True), 2: (None, False), 3: (None, False), 4: (None, False), 5: ("A", True)}
 
 
-def test_broadcast_only_within_bound(spark, setting):
-    def hinted(df):
-        return "broadcast" in df._jdf.queryExecution().logical().toString().lower()
+def test_the_planner_decides_by_the_size_of_a_stored_side(spark, setting):
+    def joined():
+        side = joins.sized_side(spark.range(5000).withColumnRenamed("id", "k"), "t")
+        rows = spark.range(5000).withColumnRenamed("id", "k")
+        return rows.join(side, "k")._jdf.queryExecution().executedPlan().toString()
 
-    big = spark.range(50).withColumnRenamed("id", "k")
-    # small by statistics: the planner decides, nothing is written
-    assert joins.sized_side(big, "t", 50) is big
-    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
-    assert hinted(joins.sized_side(big, "t", 50))
-    assert not hinted(joins.sized_side(big, "t", 49))
+    assert "BroadcastHashJoin" in joined()
+    setting("spark.sql.autoBroadcastJoinThreshold", "1000")
+    assert "BroadcastHashJoin" not in joined()
 
 
 # --- statistics --------------------------------------------------------------------------
@@ -293,12 +291,9 @@ def test_global_position_with_one_hot_value(spark):
     assert done.filter("place = id + 1").count() == 3000
 
 
-def test_pages(spark, monkeypatch):
+def test_pages(spark):
     df = spark.range(100).select(F.col("id").alias("n"))
-    shallow = [r.n for r in ranking.page(df, ["n"], 3, 20).collect()]
-    monkeypatch.setattr(ranking, "SHALLOW_ROWS", 10)
-    deep = [r.n for r in ranking.page(df, ["n"], 3, 20).collect()]
-    assert shallow == deep == list(range(40, 60))
+    assert [r.n for r in ranking.page(df, ["n"], 3, 20).collect()] == list(range(40, 60))
     assert ranking.page(df, ["n"], 6, 20).count() == 0
     for number, size in ((0, 20), (1, 0), (1, 201)):
         with pytest.raises(ValueError):

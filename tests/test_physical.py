@@ -96,14 +96,10 @@ def test_one_period_reads_one_partition(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(year" in text and "ReadSchema: struct<amount" in text
 
 
-def test_wide_registry_is_shuffled_not_broadcast(spark, sf_dir, setting, monkeypatch):
-    from ledgerloom.operators import joins
-
-    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_wide_registry_is_shuffled_not_broadcast(spark, sf_dir, setting):
     small = plan(enrich.enrich(V.expense(spark, sf_dir), V.registry(spark, sf_dir)))
-    assert small.count("BroadcastHashJoin") == 1
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", 10)
-    monkeypatch.setattr(joins.sized_side, "__defaults__", (10,))
+    assert "BroadcastHashJoin" in small
+    setting("spark.sql.autoBroadcastJoinThreshold", "1000")
     large = plan(enrich.enrich(V.expense(spark, sf_dir), V.registry(spark, sf_dir)))
     assert "BroadcastHashJoin" not in large and "SortMergeJoin" in large
 
@@ -115,12 +111,9 @@ def test_period_load_is_rebalanced(spark, sf_dir):
     assert "REBALANCE_PARTITIONS_BY_COL" in plan(tables._by_period(rows, tables.PERIOD))
 
 
-def test_broadcasts_are_bounded_or_planned_by_size(spark, sf_dir, setting, monkeypatch):
+def test_broadcasts_are_bounded_or_planned_by_size(spark, sf_dir, setting):
     """Without small tables, only bounded sides are broadcast."""
-    from ledgerloom.operators import joins
-
     setting("spark.sql.autoBroadcastJoinThreshold", "-1")
-    monkeypatch.setattr(joins, "broadcast_within", lambda df, n=0: df)
     for name in ("enrich_left", "issue_flags", "dashboard_regions", "entity_history", "upsert_by_key"):
         text = plan(Q.QUERIES[name](spark, sf_dir))
         assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text, name
