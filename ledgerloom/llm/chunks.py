@@ -25,10 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerloom.llm.common import by_value, stored
+from ledgerloom.llm.common import by_value, stored, unused
+from ledgerloom.llm.words import by_size
 
 by_value(__name__)
 
+AT_ONCE = 8 << 20  # bytes of text whose chunks are collected together
 WINDOW = 16  # bytes the rolling hash sees
 SLAB = 1 << 20  # bytes hashed at once
 SHIFT = 15  # lower bits do not depend on all of the window
@@ -94,7 +96,7 @@ def chunk_table(docs: DataFrame) -> DataFrame:
     """``digest``, ``id``, ``start``, ``end`` (bytes) and ``words`` of all chunks of (id, text) rows."""
 
     def run(batches):
-        for batch in batches:
+        for batch in by_size(batches, 1, AT_ONCE):
             ids, parts = [], []
             texts = batch.column(1).cast(pa.large_binary()).to_pylist()
             for name, raw in zip(batch.column(0).to_pylist(), texts, strict=True):
@@ -150,25 +152,25 @@ def repeated_spans(docs: DataFrame, least_words: int = 20, id_col: str = "doc_id
 
 def remove_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the spans cut out of their texts; columns and rows stay as they are."""
-    lists = spans.groupBy(F.col("id").alias(id_col)).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_spans"))
+    added = unused(docs, "_spans")
+    pairs = F.sort_array(F.collect_list(F.struct("start", "end")))
+    lists = spans.groupBy(F.col("id").alias(id_col)).agg(pairs.alias(added))
     at, names = docs.columns.index(text_col), docs.columns
 
     def run(batches):
-        for batch in batches:
+        for batch in by_size(batches, at, AT_ONCE):
             texts = batch.column(at).cast(pa.large_binary()).to_pylist()
             out = []
             for raw, cuts in zip(texts, batch.column(len(names)).to_pylist(), strict=True):
-                if cuts:
-                    edges = [0, *(e for c in cuts for e in (c["start"], c["end"])), len(raw)]
-                    raw = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-                out.append(raw)
+                edges = [0, *(e for c in cuts for e in (c["start"], c["end"])), len(raw)]
+                out.append(b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
             columns = [batch.column(i) for i in range(len(names))]
             columns[at] = pa.array(out, pa.large_binary()).cast(pa.large_string()).cast(pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    joined = docs.join(lists, id_col, "left").select(*[docs[c] for c in names], "_spans")
-    cut = joined.where("_spans is not null").mapInArrow(run, docs.schema)
-    return joined.where("_spans is null").drop("_spans").unionByName(cut)
+    joined = docs.join(lists, id_col, "left").select(*[docs[c] for c in names], added)
+    cut = joined.where(F.col(added).isNotNull()).mapInArrow(run, docs.schema)
+    return joined.where(F.col(added).isNull()).drop(added).unionByName(cut)
 
 
 def deduplicate(docs: DataFrame, least_words: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

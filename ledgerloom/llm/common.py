@@ -46,6 +46,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return session.materialize(df, label)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have; Spark's names ignore case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def task_count(df: DataFrame, least: int = 8) -> int:
     """Shuffle partitions as the session sets them, never below ``least``."""
     return max(least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

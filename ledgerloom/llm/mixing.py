@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerloom.llm.common import ranked, stored, task_count, word_count
+from ledgerloom.llm.common import ranked, stored, task_count, unused, word_count
 
 EXACT = "decimal(38,9)"  # sums of doubles that do not depend on their order
 LEVELS = 6
@@ -176,15 +176,18 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
     found = copies(docs, weights, share, cap, id_col, text_col, source_col)
     per_row = found.groupBy("id", "source", "size").agg(F.sum("n_copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
     per_row = stored(per_row.where("_copies > 0"), "copies")
-    per_row = per_row.select(F.col("id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "_copies", "_rows")
-    sizes = docs.withColumn("_words", word_count(F.col(text_col)))
+    words, key, origin, size, times, rows, again = (
+        unused(docs, n) for n in ("_words", "_id", "_source", "_size", "_copies", "_rows", "_again")
+    )
+    per_row = per_row.toDF(key, origin, size, times, rows)
+    sizes = docs.withColumn(words, word_count(F.col(text_col)))
     same = (
-        sizes[id_col].eqNullSafe(per_row["_id"])
-        & sizes[source_col].cast("string").eqNullSafe(per_row["_source"])
-        & (sizes["_words"] == per_row["_size"])
+        sizes[id_col].eqNullSafe(per_row[key])
+        & sizes[source_col].cast("string").eqNullSafe(per_row[origin])
+        & (sizes[words] == per_row[size])
     )
     joined = sizes.join(per_row, same)
-    single = joined.where("_rows = 1")
-    several = joined.where("_rows > 1").dropDuplicates(["_id", "_source", "_size"])
-    repeat = F.explode(F.array_repeat(F.lit(1), F.col("_copies").cast("int")))
-    return single.unionByName(several).withColumn("_again", repeat).select(*docs.columns)
+    single = joined.where(F.col(rows) == 1)
+    several = joined.where(F.col(rows) > 1).dropDuplicates([key, origin, size])
+    repeat = F.explode(F.array_repeat(F.lit(1), F.col(times).cast("int")))
+    return single.unionByName(several).withColumn(again, repeat).select(*docs.columns)

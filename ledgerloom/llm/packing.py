@@ -24,9 +24,11 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.bpe import encode_batch, vocabulary_path
 from ledgerloom.llm.common import by_value, ranked, stored, task_count
+from ledgerloom.llm.words import by_size
 
 by_value(__name__)
 
+AT_ONCE = 12 << 20  # bytes of text that are encoded together
 RANK_BITS = 48  # ranks of one length stay below 2 ** 48
 
 
@@ -38,7 +40,7 @@ def cut_pieces(
     path = path or vocabulary_path()
 
     def run(batches):
-        for batch in batches:
+        for batch in by_size(batches, 1, AT_ONCE):
             names = batch.column(0).to_pylist()
             out = [[] for _ in range(6 if with_ids else 5)]
             for name, ids in zip(names, encode_batch(batch.column(1), path), strict=True):

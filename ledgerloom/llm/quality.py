@@ -24,13 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import by_value, stored
-from ledgerloom.llm.words import Words, words_of
+from ledgerloom.llm.words import Words, by_size, words_of
 
 by_value(__name__)
 
 GOOD, BAD, ABSTAIN = 0, 1, 2
 DIMENSIONS = 1 << 15
 FIT_ROWS = 8000
+AT_ONCE = 8 << 20  # bytes of text whose words are looked at together
 FEW = 8  # below so many words all labellers abstain
 LEAST = 20.0  # words that a text's hashed features are shared among at least
 # value of a measure at which a labeller votes good, and from which on it votes bad; it abstains between them
@@ -173,7 +174,7 @@ def vote(rows: DataFrame) -> DataFrame:
     """The vote pattern of every row."""
 
     def run(batches):
-        for batch in batches:
+        for batch in by_size(batches, 1, AT_ONCE):
             _, values = measures(batch.column(1))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(pattern_of(votes_of(values)), pa.int64())], names=["doc_id", "pattern"]
@@ -188,7 +189,7 @@ def _training_rows(rows: DataFrame, fit_rows: int) -> DataFrame:
     chosen = stored(drawn.select("doc_id").distinct(), "sample")
 
     def run(batches):
-        for batch in batches:
+        for batch in by_size(batches, 1, AT_ONCE):
             words, values = measures(batch.column(1))
             codes, flat = feature_codes(words), text_features(values)
             out = []
@@ -256,7 +257,7 @@ def fit(docs: DataFrame, fit_rows: int = FIT_ROWS, id_col: str = "doc_id", text_
 
 def _scored(docs: DataFrame, model: Classifier, id_col: str, text_col: str) -> DataFrame:
     def run(batches):
-        for batch in batches:
+        for batch in by_size(batches, 1, AT_ONCE):
             words, values = measures(batch.column(1))
             score = model.scorer.score(words, values)
             votes = votes_of(values)
@@ -291,7 +292,7 @@ def keep_good(docs: DataFrame, fit_rows: int = FIT_ROWS, id_col: str = "doc_id",
     at = docs.columns.index(text_col)
 
     def run(batches):
-        for batch in batches:
+        for batch in by_size(batches, at, AT_ONCE):
             words, values = measures(batch.column(at).cast(pa.string()))
             yield batch.filter(pa.array(model.scorer.score(words, values) >= model.threshold))
 

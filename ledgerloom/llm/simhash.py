@@ -26,11 +26,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import Forest, by_value, components, lower_words, stored, task_count
+from ledgerloom.llm.words import by_size
 
 by_value(__name__)
 
 BITS = 64
 PART = 1024  # nodes of a shard that meet in one tree
+AT_ONCE = 16 << 20  # bytes of text that leave Arrow together
 BLOCK = 1 << 15  # shingles whose bits are counted at once
 
 
@@ -58,7 +60,7 @@ def fingerprints(docs: DataFrame, words: int = 4, id_col: str = "doc_id", text_c
     """``id`` and ``fp`` (the fingerprint's bits as a long) of every row."""
 
     def run(batches):
-        for batch in batches:
+        for batch in by_size(batches, 1, AT_ONCE):
             texts = batch.column(1).cast(pa.large_binary()).to_pylist()
             found = np.array([fingerprint_of(t, words) for t in texts], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], names=["id", "fp"])

@@ -24,10 +24,11 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.bpe import DEFAULT_FILE, vocabulary_path
 from ledgerloom.llm.common import by_value
-from ledgerloom.llm.words import words_of
+from ledgerloom.llm.words import by_size, words_of
 
 by_value(__name__)
 
+AT_ONCE = 16 << 20  # bytes of text whose words are counted together
 NONE = -1  # no state, or no way to cut what was read into pieces
 
 
@@ -150,7 +151,7 @@ def count_tokens(docs: DataFrame, path: str | None = None, id_col: str = "doc_id
     path = path or vocabulary_path(DEFAULT_FILE)
 
     def run(batches):
-        for batch in batches:
+        for batch in by_size(batches, 1, AT_ONCE):
             words, tokens = _count_batch(batch.column(1), path)
             columns = [batch.column(0), pa.array(words, pa.int64()), pa.array(tokens, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "n_tokens"])

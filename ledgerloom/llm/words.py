@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,6 +23,18 @@ def flat_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def by_size(batches: Iterable[pa.RecordBatch], column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that a column's texts stay near ``most`` bytes; a longer text stands alone."""
+    for batch in batches:
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < batch.num_rows:
+            before = sizes[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(sizes, before + most, side="right")))
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def is_blank(data: np.ndarray) -> np.ndarray:
     return (data == 0x20) | ((data >= 0x09) & (data <= 0x0D))
 
