@@ -6,7 +6,7 @@ The model mixes maximum-likelihood estimates of all orders up to ``order``:
 by expectation-maximisation on held-out counts: one part of the training documents is deleted from the
 counts and predicted by the rest.  Final scores use the counts of all training documents.
 
-Documents are dealt into splits of bounded size.  A split sends its distinct n-grams, as sorted
+Documents are dealt into splits of bounded size; their texts travel compressed.  A split sends its distinct n-grams, as sorted
 64-bit hashes in packed columns, to key buckets; there they are summed over all splits, and
 the sums go back in the order in which the keys came, so that they need no keys.  Work and memory of a
 task follow the split or bucket, and a frequent n-gram is one entry per split.  Only the EM's weights
@@ -20,6 +20,7 @@ vocabulary is empty and every token has probability 1.  An empty table gives an
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,11 +31,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import by_value, stored, word_count
-from ledgerloom.llm.words import Words, words_of
+from ledgerloom.llm.words import Words, by_size, flat_bytes, words_of
 
 by_value(__name__)
 
-SPLIT_BYTES = 24 << 20  # of text that a task counts and scores together
+SPLIT_BYTES = 12 << 20  # of text that a task counts and scores together
 LEVELS = 64  # frequency buckets of contexts
 END = xxhash.xxh3_64_intdigest(b" end")  # no word holds a blank
 ROUNDS = 40
@@ -100,6 +101,40 @@ def unpack(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(f"<u{width}").reshape(-1)
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """(id, text, role, split) rows as one row per batch and split, the texts run together and compressed."""
+
+    def run(batches):
+        for batch in by_size(batches, 1, 4 * SPLIT_BYTES):
+            split = batch.column(3).to_numpy()
+            order = np.argsort(split, kind="stable")
+            data, offsets = flat_bytes(batch.column(1).take(pa.array(order)))
+            ids, roles = batch.column(0).take(pa.array(order)), batch.column(2).to_numpy()[order].astype(np.int8)
+            cuts = [0, *(np.flatnonzero(np.diff(split[order])) + 1).tolist(), len(order)]
+            spans = list(zip(cuts, cuts[1:], strict=False)) if len(order) else []
+            columns = [
+                pa.array([int(split[order[a]]) for a, _ in spans], pa.int32()),
+                pa.array([ids[a:b].to_pylist() for a, b in spans], pa.list_(pa.int64())),
+                pa.array([roles[a:b].tobytes() for a, b in spans], pa.binary()),
+                pa.array([np.diff(offsets[a : b + 1]) for a, b in spans], pa.list_(pa.int64())),
+                pa.array([zlib.compress(data[offsets[a] : offsets[b]], 1) for a, b in spans], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["split", "ids", "roles", "sizes", "texts"])
+
+    ordered = rows.select("id", "text", "role", "split")
+    return ordered.mapInArrow(run, "split int, ids array<long>, roles binary, sizes array<long>, texts binary")
+
+
+def opened(table: pa.Table) -> tuple[pa.Array, np.ndarray, pa.Array]:
+    """The ids, roles and texts that ``dealt`` put into a split."""
+    sizes = table.column("sizes").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
+    data = b"".join(map(zlib.decompress, table.column("texts").to_pylist()))
+    texts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    roles = np.frombuffer(b"".join(table.column("roles").to_pylist()), np.int8)
+    return table.column("ids").combine_chunks().flatten(), roles, texts
+
+
 def _edges(keys: np.ndarray, bits: int) -> np.ndarray:
     """Where each key bucket (the upper bits) begins in sorted keys, and the end."""
     heads = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
@@ -108,9 +143,9 @@ def _edges(keys: np.ndarray, bits: int) -> np.ndarray:
 
 def _count(table: pa.Table, order: int, bits: int) -> Iterator[tuple]:
     """(order, bucket, keys, counts in training, counts in the deleted part) of a split."""
-    tokens = Tokens.of(table.column("text").combine_chunks(), order)
-    lengths = np.diff(tokens.first)
-    role = np.repeat(table.column("role").to_numpy(), lengths)
+    _, roles, texts = opened(table)
+    tokens = Tokens.of(texts, order)
+    role = np.repeat(roles, np.diff(tokens.first))
     for k, flat in enumerate(tokens.keys, 1):
         keys, place = np.unique(flat, return_inverse=True)
         training = np.bincount(place[role > 0], minlength=len(keys))
@@ -121,8 +156,11 @@ def _count(table: pa.Table, order: int, bits: int) -> Iterator[tuple]:
                 yield k, b, pack(keys[lo:hi]), pack(training[lo:hi]), pack(deleted[lo:hi])
 
 
-def _merge(table: pa.Table) -> pa.Table:
-    """Sums over all splits of a bucket's keys, sent back in the order they came."""
+def _merge(table: pa.Table, apart: int) -> pa.Table:
+    """Sums over all splits of a bucket's keys, sent back in the order they came.
+
+    Only the splits of the deleted part, ``apart`` and above, need its own counts.
+    """
     parts = [unpack(x).astype(np.uint64) for x in table.column("keys").to_pylist()]
     keys, place = np.unique(np.concatenate(parts), return_inverse=True)
     sums = [
@@ -131,6 +169,7 @@ def _merge(table: pa.Table) -> pa.Table:
     ]
     cuts = np.cumsum([len(p) for p in parts])[:-1]
     back = [[pack(x) for x in np.split(s[place], cuts)] for s in sums]
+    back[1] = [x if split >= apart else None for x, split in zip(back[1], table.column("split").to_pylist(), strict=True)]
     once = np.zeros((2, len(parts)), np.int64)  # the bucket's totals stand in one row
     once[:, 0] = (sums[0] > 0).sum(), sums[0].sum()
     same = {c: table.column(c) for c in ("order", "bucket", "split")}
@@ -174,7 +213,7 @@ def probability(counts: list[np.ndarray], contexts: list[np.ndarray], weights: l
 
 def _held_out(table: pa.Table, counts: pa.Table, order: int, totals: tuple[int, int]) -> pa.Table:
     """Distinct tuples of counts of the deleted tokens as the other training documents have them."""
-    tokens = Tokens.of(table.column("text").combine_chunks(), order)
+    tokens = Tokens.of(opened(table)[2], order)
     training, deleted = (_token_counts(tokens, counts, name) for name in ("training", "deleted"))
     kept, contexts = _estimates(tokens, [t - d for t, d in zip(training, deleted, strict=True)], *totals)
     rows, n = np.unique(np.stack([x for pair in zip(kept, contexts, strict=True) for x in pair], axis=1), axis=0, return_counts=True)
@@ -219,15 +258,16 @@ def learn_weights(held: DataFrame, order: int, vocabulary: int) -> list[list[flo
 
 
 def _score(table: pa.Table, counts: pa.Table, order: int, totals: tuple[int, int], vocabulary: int, weights: list[list[float]]) -> pa.Table:
-    tokens = Tokens.of(table.column("text").combine_chunks(), order)
+    ids, roles, texts = opened(table)
+    tokens = Tokens.of(texts, order)
     kept, contexts = _estimates(tokens, _token_counts(tokens, counts, "training"), *totals)
     per = lambda values: np.add.reduceat(values, tokens.first[:-1])  # noqa: E731  every text has its end
     base = np.log10((kept[0] + 1) / (totals[0] + vocabulary + 1))
     score = np.log10(probability(kept, contexts, weights, vocabulary))
     return pa.table(
         {
-            "doc_id": table.column("id"),
-            "held_out": pa.array(table.column("role").to_numpy() == 0),
+            "doc_id": ids,
+            "held_out": pa.array(roles == 0),
             "n_tokens": np.diff(tokens.first).astype(np.int64),
             "n_known": per((kept[0] > 0).astype(np.int64)),
             "base_score": per(base),
@@ -260,9 +300,9 @@ def score_documents(docs: DataFrame, held_out: Column, deleted: Column, order: i
         columns = [pa.array([x[i] for x in found], kind) for i, kind in enumerate(kinds)]
         return pa.table([*columns, pa.array([key[0].as_py()] * len(found), pa.int32())], names=["order", "bucket", "keys", "training", "deleted", "split"])
 
-    sent = rows.groupBy("split").applyInArrow(count, "order int, bucket int, keys binary, training binary, deleted binary, split int")
+    sent = dealt(rows).groupBy("split").applyInArrow(count, "order int, bucket int, keys binary, training binary, deleted binary, split int")
     sums = sent.groupBy("order", "bucket").applyInArrow(
-        _merge, "order int, bucket int, split int, training binary, deleted binary, n_distinct long, n_total long"
+        lambda table: _merge(table, others), "order int, bucket int, split int, training binary, deleted binary, n_distinct long, n_total long"
     )
     sums = stored(sums, "counts")
     whole = sums.where("order = 1").agg(F.sum("n_distinct").alias("v"), F.sum("n_total").alias("n")).first()
@@ -281,7 +321,7 @@ def score_documents(docs: DataFrame, held_out: Column, deleted: Column, order: i
             return pa.table({c.split()[0]: pa.array([], pa.int64()) for c in names.split(", ")})
 
         own = counts.where(F.col("split") >= others)
-        held = part.groupBy("split").cogroup(own.groupBy("split")).applyInArrow(hold, names)
+        held = dealt(part).groupBy("split").cogroup(own.groupBy("split")).applyInArrow(hold, names)
         learned = learn_weights(stored(held, "tuples"), order, vocabulary)
 
     totals = (total, texts.get(1, 0) + texts.get(2, 0))
@@ -290,7 +330,7 @@ def score_documents(docs: DataFrame, held_out: Column, deleted: Column, order: i
         return _score(table, found, order, totals, vocabulary, learned)
 
     scored = (
-        rows.groupBy("split")
+        dealt(rows).groupBy("split")
         .cogroup(counts.drop("deleted").groupBy("split"))
         .applyInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     )
