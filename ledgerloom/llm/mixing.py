@@ -30,9 +30,9 @@ from pyspark.sql.window import Window
 from ledgerloom.llm.common import ranked, stored, task_count, unused, word_count
 
 EXACT = "decimal(38,9)"  # sums of doubles that do not depend on their order
-LEVELS = 6
+LEVELS = 4
 STEPS = 60
-CLOSE = 1e-9
+CLOSE = 1e-7
 
 
 def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
