@@ -21,7 +21,7 @@ from bindings import views as V
 from bindings.queries import QUERIES
 from ledgerloom import schema as S
 from ledgerloom.functions import numbers
-from ledgerloom.plans import enrich, validate
+from ledgerloom.plans import aggregate, enrich, validate
 from ledgerloom.session import fresh_folder, local_session, materialize, tune
 from ledgerloom.sinks import tables
 from ledgerloom.sources import delimited
@@ -107,6 +107,7 @@ def throughput(spark, folder: str) -> dict[str, int]:
 
     stored = materialize(typed(), "bench-rows")
     registry = V.registry(spark, folder)
+    enriched = materialize(enrich.enrich(stored, registry), "bench-enriched")
 
     def written() -> None:
         tables.write_delimited(validate.validate(typed()), fresh_folder(spark, "bench-out"))
@@ -116,6 +117,7 @@ def throughput(spark, folder: str) -> dict[str, int]:
         "validate": lambda: drain(validate.validate(stored)),
         "read_validate_write_text": written,
         "enrich": lambda: drain(enrich.enrich(stored, registry)),
+        "aggregate_and_rank": lambda: drain(aggregate.aggregate_rank(enriched)),
     }
     return {name: round(n / timed(run)) for name, run in stages.items()}
 

@@ -55,6 +55,7 @@ def flag_issues(df: DataFrame, scope: Iterable[str] = ("src_file", "entity_id"))
     ``scope`` says within what the names of one id must agree: one file by
     default, ``("entity_id",)`` for the whole input.  The divergent keys are
     computed when this is called; while they are few, the rows stay in place.
+    Both read ``df``, so pass a stored table.
     """
     scope = list(scope)
     divergent = joins.sized_side(divergent_ids(df, scope), "divergent")

@@ -60,7 +60,7 @@ def enrich_and_rank(expense: DataFrame, registry: DataFrame) -> DataFrame:
 def describe_groups(aggregated: DataFrame) -> DataFrame:
     """One row over all groups: totals, median, spread, variability, regions.
 
-    Reads its input twice: pass the ranked table, which is stored.
+    Reads its input twice: pass a stored table, ranked or not.
     """
     return stats.describe(
         aggregated,
