@@ -33,6 +33,7 @@ EXACT = "decimal(38,9)"  # sums of doubles that do not depend on their order
 LEVELS = 4
 STEPS = 60
 CLOSE = 1e-7
+BEYOND = 1e15  # a tilt at which every rate is the cap, or none
 
 
 def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
@@ -75,13 +76,23 @@ def solve(cells: DataFrame, state: DataFrame, cap: float) -> DataFrame:
 
     ``cells``: s, size, n and x, the size over the source's mean.
     """
-    state = state.select("s", "goal", "tilt", F.lit(None).cast("double").alias("low"), F.lit(None).cast("double").alias("high"))
+    most = cells.groupBy("s").agg(F.sum(F.col("n") * F.col("size")).alias("most"))
+    everything, nothing = F.col("goal") >= cap * F.col("most") * (1 - CLOSE), F.col("goal") <= 0
+    # a source that wants all or nothing has no finite tilt: no step is needed for it
+    state = state.join(most, "s").select(
+        "s",
+        "goal",
+        F.when(everything, BEYOND).when(nothing, -BEYOND).otherwise(F.col("tilt")).alias("tilt"),
+        F.lit(None).cast("double").alias("low"),
+        F.lit(None).cast("double").alias("high"),
+        (everything | nothing).alias("fixed"),
+    )
     for _ in range(STEPS):
         tokens = F.col("n") * F.col("size") * _rate(cap)
         free = F.col("tilt") * F.col("x") < math.log(cap)
         sums = (
             cells.join(state, "s")
-            .groupBy("s", "goal", "tilt", "low", "high")
+            .groupBy("s", "goal", "tilt", "low", "high", "fixed")
             .agg(
                 F.sum(tokens.cast(EXACT)).cast("double").alias("got"),
                 F.sum(F.when(free, tokens * F.col("x")).otherwise(0.0).cast(EXACT)).cast("double").alias("slope"),
@@ -95,23 +106,20 @@ def solve(cells: DataFrame, state: DataFrame, cap: float) -> DataFrame:
                 "off": F.abs(F.col("got") - F.col("goal")) / F.greatest(F.abs("goal"), F.lit(1.0)),
             }
         )
-        newton = F.when(F.col("slope") > 0, F.col("tilt") - (F.col("got") - F.col("goal")) / F.col("slope"))
+        # Newton on the logarithm, in which an exponential is a straight line
+        step = F.log(F.col("got") / F.col("goal")) * F.col("got") / F.col("slope")
+        newton = F.when((F.col("slope") > 0) & (F.col("got") > 0) & (F.col("goal") > 0), F.col("tilt") - step)
         inside = (F.coalesce("low", F.lit(-math.inf)) < newton) & (newton < F.coalesce("high", F.lit(math.inf)))
         # no bracket on one side yet: go that way in growing strides
         stride = F.when(over, -1.0).otherwise(1.0) * (1 + F.abs("tilt"))
         near = (newton - F.col("tilt")).between(-1 - 4 * F.abs("tilt"), 1 + 4 * F.abs("tilt"))
         middle = F.when(F.col("low").isNotNull() & F.col("high").isNotNull(), (F.col("low") + F.col("high")) / 2)
         moved = F.when(inside & (near | middle.isNotNull()), newton).otherwise(F.coalesce(middle, F.col("tilt") + stride))
-        done = F.col("off") < CLOSE
-        state = stored(
-            sums.select("s", "goal", F.when(done, F.col("tilt")).otherwise(moved).alias("tilt"), "low", "high", "off"), "tilts"
-        )
-        # a source that wants (nearly) nothing or all has no finite tilt: its strides end beyond any use
-        unsettled = state.where(
-            (F.col("off") >= CLOSE)
-            & (F.abs("tilt") < 1e12)
-            & ~F.coalesce(F.col("high") - F.col("low") <= 1e-13 * (1 + F.abs("tilt")), F.lit(False))
-        )
+        done = F.col("fixed") | (F.col("off") < CLOSE)
+        kept = F.when(done, F.col("tilt")).otherwise(moved)
+        state = stored(sums.select("s", "goal", kept.alias("tilt"), "low", "high", "fixed", "off"), "tilts")
+        narrow = F.col("high") - F.col("low") <= 1e-13 * (1 + F.abs("tilt"))
+        unsettled = state.where(~F.col("fixed") & (F.col("off") >= CLOSE) & ~F.coalesce(narrow, F.lit(False)))
         if unsettled.isEmpty():
             break
     return state.select("s", "tilt")
@@ -150,7 +158,7 @@ def copies(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float =
         rounded.append(stored(now.select("s", "size", "n", "k"), "rounded"))
         got = rounded[-1].groupBy("s").agg(F.sum(F.col("k") * F.col("size")).alias("got"))
         goals = state.join(got, "s", "left").select("s", (F.col("goal") - F.coalesce("got", F.lit(0))).alias("goal"))
-        state = stored(goals.join(tilts, "s", "left").select("s", "goal", F.coalesce("tilt", F.lit(0.0)).alias("tilt")), "goals")
+        state = stored(goals.join(tilts, "s", "left").select("s", "goal", F.when(F.abs("tilt") < BEYOND, F.col("tilt")).otherwise(0.0).alias("tilt")), "goals")
     planned = rounded[0]
     for part in rounded[1:]:
         planned = planned.union(part)
