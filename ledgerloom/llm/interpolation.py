@@ -35,7 +35,7 @@ from ledgerloom.llm.words import Words, by_size, flat_bytes, words_of
 
 by_value(__name__)
 
-SPLIT_BYTES = 12 << 20  # of text that a task counts and scores together
+SPLIT_BYTES = 6 << 20  # of text that a task counts and scores together
 LEVELS = 64  # frequency buckets of contexts
 END = xxhash.xxh3_64_intdigest(b" end")  # no word holds a blank
 ROUNDS = 40
@@ -105,7 +105,7 @@ def dealt(rows: DataFrame) -> DataFrame:
     """(id, text, role, split) rows as one row per batch and split, the texts run together and compressed."""
 
     def run(batches):
-        for batch in by_size(batches, 1, 4 * SPLIT_BYTES):
+        for batch in by_size(batches, 1, 2 * SPLIT_BYTES):
             split = batch.column(3).to_numpy()
             order = np.argsort(split, kind="stable")
             data, offsets = flat_bytes(batch.column(1).take(pa.array(order)))
