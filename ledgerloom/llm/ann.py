@@ -2,14 +2,18 @@
 
 The lists' centroids are fitted on at most ``fit_rows`` vectors; every vector is then put into its
 list.  How many lists a query probes follows from an audit: the exact neighbours of at most ``audit``
-queries over all rows, and the smallest number of lists that holds ``recall`` of them.
+queries over all rows, and the smallest number of lists that leaves half of the allowed loss to the
+tests below.  These queries are then searched like all others, and what loses more, lists or tests,
+is widened until ``recall`` of their neighbours is found; only then are all queries searched.  A query
+whose lists hold fewer than ``k`` other rows probes further ones.
 
 Lists travel in bundles of bounded size.  Vectors are rotated at random and scanned in column blocks.
 With r the distance at which a candidate would just reach the query's running k-th score, it is
 abandoned as soon as its partial distance, scaled up to all dimensions, exceeds
-``(1 + eps / sqrt(read)) * r``: a hypothesis test that is wrong only rarely.  The first
-bound is the k-th score among the fitted sample, whose rows are candidates too.  What
-survives is scored on the original vectors in double precision.
+``(1 + eps / sqrt(read)) * r``: a hypothesis test that is wrong only rarely.  The
+bound is the k-th score among the fitted sample or among the first ``k`` rows of the nearest lists, whichever is
+larger; the sample gives bounds only, and all results come from the probed lists.  These first rows, which no test
+abandons, and what survives are scored on the original vectors in double precision.
 
 Nulls and edges: vectors that are null, zero, of another length than most, or hold null or
 non-finite components take no part, nor do rows without an id; of rows that repeat an id one
@@ -91,13 +95,9 @@ def scan(turned: np.ndarray, norms: np.ndarray, query: np.ndarray, floor: float,
     return places
 
 
-def _sample_top(ids: np.ndarray, vectors: np.ndarray, name: int, query: np.ndarray, k: int) -> tuple[list[int], list[float]]:
-    """The k best of the sample for one query."""
-    scores = inner(vectors, query)
-    scores[ids == name] = -np.inf
-    top = best(ids, scores, k)
-    top = top[np.isfinite(scores[top])]
-    return ids[top].tolist(), scores[top].tolist()
+def _kth(scores: np.ndarray, k: int) -> float:
+    """The k-th largest score; without so many there is no bound."""
+    return float(np.partition(scores, len(scores) - k)[len(scores) - k]) if len(scores) >= k else -math.inf
 
 
 def exact_top(rows: DataFrame, asked: pa.Table, k: int, dims: int) -> DataFrame:
@@ -125,17 +125,22 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def probes_for(rows: DataFrame, asked: pa.Table, centroids: np.ndarray, k: int, dims: int, recall: float) -> int:
-    """The smallest number of lists that holds the wanted share of the audited neighbours."""
-    truth = exact_top(rows, asked, k, dims).join(rows, "id").select("query", "v").toArrow()  # audit * k rows
+def held_by_lists(truth: pa.Table, asked: pa.Table, centroids: np.ndarray, dims: int) -> np.ndarray:
+    """The share of the audited neighbours that the first 1, 2, ... lists of their queries hold."""
     if not truth.num_rows:
-        return 1
+        return np.ones(len(centroids))
     order = nearest_lists(matrix(asked.column("v"), dims), centroids, len(centroids))
     place = {q: i for i, q in enumerate(asked.column("id").to_pylist())}
     own = nearest_lists(matrix(truth.column("v"), dims), centroids, 1)[:, 0]
     ranks = np.array([int(np.flatnonzero(order[place[q]] == l)[0]) for q, l in zip(truth.column("query").to_pylist(), own, strict=True)])
-    held = np.cumsum(np.bincount(ranks, minlength=len(centroids))) / len(ranks)
-    return int(np.searchsorted(held, recall) + 1)
+    return np.cumsum(np.bincount(ranks, minlength=len(centroids))) / len(ranks)
+
+
+def _found_share(truth: pa.Table, found: DataFrame) -> float:
+    """The share of the audited neighbours among what the search returned for the same queries."""
+    wanted = set(zip(truth.column("query").to_pylist(), truth.column("id").to_pylist(), strict=True))
+    got = {(r.query, r.id) for r in found.select("query", "id").collect()}  # audit * k rows
+    return len(wanted & got) / len(wanted) if wanted else 1.0
 
 
 def search(df: DataFrame, queries: DataFrame, k: int = 20, recall: float = 0.96, eps: float = 2.1, fit_rows: int = FIT_ROWS,
@@ -151,7 +156,6 @@ def search(df: DataFrame, queries: DataFrame, k: int = 20, recall: float = 0.96,
         return empty
     fitted = sample(rows, fit_rows, 1)
     centroids = fit_centroids(matrix(fitted.column("v"), dims), max(1, min(4096, 2 * math.isqrt(total))))
-    probes = min(len(centroids), probes_for(rows, sample(asked_rows, audit, 2), centroids, k, dims, recall))
     bundles = -(-total // BUNDLE)
     turn = rotation(dims)
 
@@ -166,45 +170,76 @@ def search(df: DataFrame, queries: DataFrame, k: int = 20, recall: float = 0.96,
     kind = rows.schema["v"].dataType.simpleString()
     placed = stored(rows.mapInArrow(assign, f"id long, v {kind}, list int, bundle int"), "lists")
 
+    counted = placed.groupBy("list").count().collect()  # a row per list
+    list_sizes = np.zeros(len(centroids), np.int64)
+    list_sizes[[r["list"] for r in counted]] = [r["count"] for r in counted]
     sample_ids, sample_vectors = fitted.column("id").to_numpy(), matrix(fitted.column("v"), dims)
 
-    def seed(batches):
+    def floors(batches):
         for batch in batches:
             pairs = zip(batch.column(0).to_pylist(), matrix(batch.column(1), dims), strict=True)
-            tops = [_sample_top(sample_ids, sample_vectors, name, query, k) for name, query in pairs]
-            floors = [t[1][-1] if len(t[1]) == k else -math.inf for t in tops]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0), batch.column(1), pa.array(floors, pa.float64()),
-                    pa.array([t[0] for t in tops], pa.list_(pa.int64())), pa.array([t[1] for t in tops], pa.list_(pa.float64())),
-                ],
-                names=["id", "v", "floor", "ids", "scores"],
-            )
+            bounds = [_kth(inner(sample_vectors, query)[sample_ids != name], k) for name, query in pairs]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bounds, pa.float64())], names=["id", "v", "floor"])
 
     asked_kind = asked_rows.schema["v"].dataType.simpleString()
-    seeded = stored(asked_rows.mapInArrow(seed, f"id long, v {asked_kind}, floor double, ids array<long>, scores array<double>"), "seeds")
-    seeds = seeded.select(F.col("id").alias("query"), F.inline(F.arrays_zip("ids", "scores")).alias("id", "score"))
+    bounded = stored(asked_rows.mapInArrow(floors, f"id long, v {asked_kind}, floor double"), "floors")
+
+    def scanned(asking: DataFrame, probes: int, eps: float) -> DataFrame:
+        return _ranked(_scan_lists(placed, asking, centroids, list_sizes, turn, probes, eps, k, bundles), k)
+
+    audited = sample(asked_rows, audit, 2)
+    truth = exact_top(rows, audited, k, dims).join(rows, "id").select("query", "id", "v").toArrow()  # audit * k rows
+    trial = stored(bounded.where(F.col("id").isin(audited.column("id").to_pylist())), "trial")
+    held = held_by_lists(truth, audited, centroids, dims)
+    probes = min(len(centroids), int(np.searchsorted(held, (1 + recall) / 2)) + 1)
+    # with all lists, and tests that cannot err, the search is exact
+    while probes < len(centroids) or eps < math.sqrt(dims):
+        share = _found_share(truth, scanned(trial, probes, eps))
+        if share >= recall:
+            break
+        if probes < len(centroids) and (1 - held[probes - 1] >= held[probes - 1] - share or eps >= math.sqrt(dims)):
+            probes = min(len(centroids), 2 * probes)
+        else:
+            eps = min(math.sqrt(dims), 2 * max(eps, 0.25))
+    return scanned(bounded, probes, eps).select(F.col("query").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")
+
+
+def _scan_lists(placed: DataFrame, asking: DataFrame, centroids: np.ndarray, list_sizes: np.ndarray, turn: np.ndarray, probes: int,
+                eps: float, k: int, bundles: int) -> DataFrame:
+    """query, id and score: of every part of a query's probed lists the k best that reach its bound.
+
+    The first k rows of its nearest lists need not reach it, so that no query gets fewer than k.
+    """
+    dims = len(turn)
+    asked_kind = asking.schema["v"].dataType.simpleString()
 
     def probe(batches):
         for batch in batches:
-            ids, vectors = batch.column(0).to_numpy(), matrix(batch.column(1), dims)
-            near = nearest_lists(vectors, centroids, probes)
+            vectors = matrix(batch.column(1), dims)
+            near = list(nearest_lists(vectors, centroids, probes))
+            for i in [i for i, lists in enumerate(near) if list_sizes[lists].sum() <= k]:
+                order = nearest_lists(vectors[i : i + 1], centroids, len(centroids))[0]
+                near[i] = order[: max(probes, int(np.searchsorted(np.cumsum(list_sizes[order]), k + 1)) + 1)]
             out = []
-            for i in range(len(ids)):
-                order = np.argsort(near[i] % bundles, kind="stable")
-                lists, owners = near[i][order], near[i][order] % bundles
-                cuts = np.flatnonzero(np.diff(owners)) + 1
-                out += [(i, int(part[0] % bundles), part.tolist()) for part in np.split(lists, cuts)]
+            for i, lists in enumerate(near):
+                sure = np.cumsum(list_sizes[lists]) - list_sizes[lists] <= k  # the nearest ones that hold more than k rows
+                order = np.argsort(lists % bundles, kind="stable")  # nearest first within a bundle
+                lists, sure = lists[order], sure[order]
+                cuts = np.flatnonzero(np.diff(lists % bundles)) + 1
+                parts = zip(np.split(lists, cuts), np.split(sure, cuts), strict=True)
+                out += [(i, int(part[0] % bundles), part.tolist(), int(kept.sum())) for part, kept in parts]
             pick = pa.array([x[0] for x in out], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(pick), batch.column(1).take(pick), batch.column(2).take(pick),
                     pa.array([x[1] for x in out], pa.int32()), pa.array([x[2] for x in out], pa.list_(pa.int32())),
+                    pa.array([x[3] for x in out], pa.int32()),
                 ],
-                names=["id", "v", "floor", "bundle", "lists"],
+                names=["id", "v", "floor", "bundle", "lists", "sure"],
             )
 
-    wanted = seeded.select("id", "v", "floor").mapInArrow(probe, f"id long, v {asked_kind}, floor double, bundle int, lists array<int>")
+    kinds = f"id long, v {asked_kind}, floor double, bundle int, lists array<int>, sure int"
+    wanted = asking.select("id", "v", "floor").mapInArrow(probe, kinds)
     # large bundles are cut into parts, and the queries of a bundle into lots
     sizes = placed.groupBy("bundle").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
     wanted = stored(wanted, "probes")
@@ -224,12 +259,18 @@ def search(df: DataFrame, queries: DataFrame, k: int = 20, recall: float = 0.96,
         questions = matrix(asking.column("v"), dims)
         turned_questions = questions @ turn
         out: list[list[np.ndarray]] = [[], [], []]
-        floors = asking.column("floor").to_numpy()
+        floors, sure = asking.column("floor").to_numpy(), asking.column("sure").to_numpy()
         for i, (name, chosen) in enumerate(zip(asking.column("id").to_pylist(), asking.column("lists").to_pylist(), strict=True)):
-            chosen = np.sort(np.array(chosen))
+            chosen = np.array(chosen)
             begins, ends = np.searchsorted(lists, chosen), np.searchsorted(lists, chosen, side="right")
             places = np.concatenate([np.arange(a, b) for a, b in zip(begins, ends, strict=True)])
-            places = scan(turned, norms, turned_questions[i], floors[i], places[ids[places] != name], eps)
+            leading = np.arange(len(places)) < (ends - begins)[: sure[i]].sum()
+            leading, places = leading[ids[places] != name], places[ids[places] != name]
+            first = places[: min(k, int(leading.sum()))]
+            floor = max(floors[i], _kth(inner(vectors[first], questions[i]), k))
+            rest = scan(turned, norms, turned_questions[i], floor, places[len(first) :], eps)
+            rest = rest[inner(vectors[rest], questions[i]) >= floor]
+            places = np.concatenate((first, rest))
             scores = inner(vectors[places], questions[i])
             top = best(ids[places], scores, k)
             out[0].append(np.full(len(top), name, np.int64))
@@ -238,14 +279,12 @@ def search(df: DataFrame, queries: DataFrame, k: int = 20, recall: float = 0.96,
         return pa.table([np.concatenate(x) if x else np.zeros(0) for x in out], names=["query", "id", "score"])
 
     keys = ["bundle", "part", "lot"]
-    found = (
+    return (
         left.select(*keys, "id", "v", "list")
         .groupBy(*keys)
-        .cogroup(right.select(*keys, "id", "v", "floor", "lists").groupBy(*keys))
+        .cogroup(right.select(*keys, "id", "v", "floor", "lists", "sure").groupBy(*keys))
         .applyInArrow(_when_both(find), "query long, id long, score double")
     )
-    found = found.union(seeds).dropDuplicates(["query", "id"])
-    return _ranked(found, k).select(F.col("query").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")
 
 
 def _when_both(find):

@@ -61,6 +61,40 @@ def test_lists_and_tests_keep_recall_without_help_of_the_sample(spark):
     assert sum((q, i) in got for q in truth for i, _ in truth[q]) / (5 * len(truth)) >= 0.9
 
 
+def found_share(found, truth):
+    got = {(r.query_id, r.vec_id) for r in found}
+    return sum((q, i) in got for q in truth for i, _ in truth[q]) / sum(map(len, truth.values()))
+
+
+def test_search_of_the_embeddings_with_a_small_sample(spark, sf_dir):
+    frame = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    truth = brute_search([(r.vec_id, r.embedding) for r in frame.collect()], 20)
+    found = ann.search(frame, frame.where("vec_id % 20 = 0"), k=20, fit_rows=50).collect()
+    assert found_share(found, truth) >= 0.95
+    assert len(found) == sum(map(len, truth.values()))
+
+
+def test_tests_that_err_too_often_are_widened(spark):
+    rng = np.random.default_rng(12)
+    rows = list(enumerate(rng.normal(size=(1200, 24))))
+    truth = brute_search(rows, 5)
+    frame = table(spark, rows)
+    found = ann.search(frame, frame.where("vec_id % 20 = 0"), k=5, eps=0.01, fit_rows=300).collect()
+    assert found_share(found, truth) >= 0.96  # all queries are audited
+    assert len(found) == 5 * len(truth)
+
+
+def test_results_come_from_the_probed_lists_not_from_the_sample(spark, monkeypatch):
+    rng = np.random.default_rng(13)
+    rows = list(enumerate(rng.normal(size=(400, 16))))
+    monkeypatch.setattr(ann, "scan", lambda turned, norms, query, floor, places, eps: places[:0])
+    monkeypatch.setattr(ann, "_found_share", lambda *_: 1.0, raising=False)
+    truth = brute_search(rows, 5)
+    frame = table(spark, rows)
+    found = ann.search(frame, frame.where("vec_id % 20 = 0"), k=5).collect()  # the sample is the table
+    assert len(found) == 5 * len(truth) and found_share(found, truth) < 0.9
+
+
 def test_scan_abandons_nothing_that_reaches_the_floor_when_certain():
     rng = np.random.default_rng(1)
     vectors, query = rng.normal(size=(300, 16)), rng.normal(size=16)
