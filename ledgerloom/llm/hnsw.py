@@ -4,8 +4,11 @@ Equal vectors are one node.  Nodes are dealt into shards; each shard builds a hi
 (every level holds a prefix of the shard's random order; links are chosen for diversity).  Every
 node then searches every shard with a beam, candidates are verified by their cosine in double
 precision, and tasks send spanning forests, of which the components are formed.  An audit compares
-the links of a bounded sample of nodes, found by brute force over all nodes, with the components;
-while too few are held together, beams are doubled and the search repeated.  The links
+the links of bounded samples of nodes, found by brute force over all nodes, with the components:
+one sample of the large components, and one of all other nodes that grows until enough of them have
+links.  Every linked node counts alike.  While too few links are held together, beams are doubled and the
+search repeated; where the audit meets too few linked nodes to judge by, until a doubled beam
+finds nothing more.  The links
 themselves are then counted among the members of each component, in bounded blocks.
 
 Nulls and edges: vectors that are null, zero, of another length than most, or hold null or
@@ -16,12 +19,14 @@ result.  An empty table gives an empty result.  Columns other than the two named
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import Forest, by_value, components, stored
+from ledgerloom.llm.common import Forest, _state, by_value, components, stored
 from ledgerloom.llm.vectors import matrix, sample, usable
 
 by_value(__name__)
@@ -34,6 +39,9 @@ BUILD_BEAM = 48
 WIDE = 4  # nodes a beam expands at once
 CELLS = 1 << 24  # of the table of visited nodes
 AUDIT = 256
+LINKED = 64  # linked nodes outside the large components that an audit must meet
+MOST = 8192  # nodes that an audit draws at most to meet them
+LARGE = 64  # components that hold more than this part of the nodes are audited by themselves
 MEMBERS = 2048  # of a component that meet in one block
 
 
@@ -240,24 +248,51 @@ def _query(graphs: pa.Table, asking: pa.Table, dims: int, beam: int, least: floa
     return pa.table({"a": pa.array([x[0] for x in out], pa.int64()), "b": pa.array([x[1] for x in out], pa.int64())})
 
 
-def _audit(nodes: DataFrame, roots: DataFrame, audit: pa.Table, dims: int, least: float) -> float:
-    """The share of the audited nodes' true links whose ends are in one component."""
+def _shares(rows: DataFrame, audit: pa.Table, dims: int, least: float) -> list[float]:
+    """For each audited node that has links the share of them whose other end is in its component."""
     names, wanted = audit.column("id").to_numpy(), _unit(matrix(audit.column("v"), dims))
-    own = dict(zip(names.tolist(), names.tolist(), strict=True))
-    listed = roots.where(F.col("node").isin(names.tolist())).collect()  # at most the audited nodes
-    own |= {r.node: r.root for r in listed}
-    groups = np.array([own[x] for x in names.tolist()], np.int64)
+    groups = audit.column("root").to_numpy()
 
     def run(batches):
         for batch in batches:
             ids, vectors = batch.column(0).to_numpy(), _unit(matrix(batch.column(1), dims))
-            linked = (vectors @ wanted.T >= least) & (ids[:, None] != names[None, :])
-            held = linked & (batch.column(2).to_numpy()[:, None] == groups[None, :])
-            yield pa.RecordBatch.from_arrays([pa.array([int(linked.sum())]), pa.array([int(held.sum())])], names=["links", "held"])
+            roots = batch.column(2).to_numpy()[:, None]
+            for lo in range(0, len(names), AUDIT):
+                part = slice(lo, lo + AUDIT)
+                linked = (vectors @ wanted[part].T >= least) & (ids[:, None] != names[part])
+                links, held = linked.sum(axis=0), (linked & (roots == groups[part])).sum(axis=0)
+                some = np.flatnonzero(links)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names[part][some]), pa.array(links[some], pa.int64()), pa.array(held[some], pa.int64())], names=["id", "links", "held"]
+                )
+
+    found = rows.mapInArrow(run, "id long, links long, held long").groupBy("id").agg((F.sum("held") / F.sum("links")).alias("share"))
+    return [r.share for r in found.collect()]  # at most the audited nodes
+
+
+def _audit(nodes: DataFrame, roots: DataFrame, audit: int, dims: int, least: float, total: int) -> float:
+    """The mean share of a linked node's true links that end in its own component; NaN without enough linked nodes.
 
+    It is the smaller one of two means: over nodes of large components, and over all others.
+    """
+    sizes = roots.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") * LARGE > total)
+    large = [r.root for r in sizes.collect()]  # fewer than LARGE
     rows = nodes.join(roots, nodes["id"] == roots["node"], "left").select("id", "v", F.coalesce("root", "id").alias("root"))
-    total = rows.mapInArrow(run, "links long, held long").agg(F.sum("links").alias("links"), F.sum("held").alias("held")).first()
-    return total.held / total.links if total.links else 1.0
+    inside = F.col("root").isin(large) if large else F.lit(False)
+    shares = _shares(rows, sample(rows.where(inside), audit, 6), dims, least) if large else []
+    hot = sum(shares) / len(shares) if shares else 1.0
+    bound = audit
+    while True:
+        drawn = sample(rows.where(~inside), bound, 6)
+        shares = _shares(rows, drawn, dims, least) if drawn.num_rows else []
+        complete = drawn.num_rows < bound  # all nodes outside the large components
+        if complete or len(shares) >= LINKED or bound >= MOST:
+            break
+        bound = min(MOST, 4 * bound)
+    found = min(hot, sum(shares) / len(shares) if shares else 1.0)
+    if found == 1.0 and len(shares) < LINKED and not complete:
+        return math.nan
+    return found
 
 
 def _linked(nodes: DataFrame, shards: int, lots: int, graphs: DataFrame, dims: int, beam: int, least: float) -> DataFrame:
@@ -327,10 +362,14 @@ def near_duplicates(df: DataFrame, least: float = 0.9, recall: float = 0.995, be
         ),
         "graphs",
     )
-    audited = sample(nodes.select("id", "v"), audit, 6)
+    state = None
     while True:
         roots = stored(components(_linked(nodes, shards, lots, graphs, dims, beam, least)), "roots")
-        if beam >= total or _audit(nodes, roots, audited, dims, least) >= recall:
+        if beam >= total:
+            break
+        share = _audit(nodes, roots, audit, dims, least, total)
+        before, state = state, _state(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))) if math.isnan(share) else None
+        if share >= recall or (state is not None and state == before):
             break
         beam *= 2
     members = nodes.join(roots, nodes["id"] == roots["node"]).select("root", "id", "v", "copies")

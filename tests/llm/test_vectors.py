@@ -175,6 +175,55 @@ def test_beams_widen_until_the_audit_passes(spark, monkeypatch):
     assert beams == [8, 16, 32]
 
 
+@pytest.fixture()
+def losing(monkeypatch):
+    """The first beam loses all links but those between nodes below the given id."""
+
+    def lose(below):
+        real, beams = hnsw._linked, []
+
+        def linked(*args):
+            beams.append(args[-2])
+            edges = real(*args)
+            return edges.where(F.greatest("a", "b") < below) if len(beams) == 1 else edges
+
+        monkeypatch.setattr(hnsw, "_linked", linked)
+        return beams
+
+    return lose
+
+
+def pairs_and_others(rng, first, pairs, others, dims):
+    centres = rng.normal(size=(pairs, dims))
+    rows = [(first + i, centres[i // 2] + 0.01 * rng.normal(size=dims)) for i in range(2 * pairs)]
+    return rows + [(first + 2 * pairs + i, rng.normal(size=dims)) for i in range(others)]
+
+
+def test_a_dense_group_does_not_hide_lost_pairs(spark, losing):
+    rng = np.random.default_rng(21)
+    centre = rng.normal(size=32)
+    rows = [(i, centre + 0.05 * rng.normal(size=32)) for i in range(300)]
+    rows += pairs_and_others(rng, 300, 60, 480, 32)
+    beams = losing(300)
+    found = {r.id: (r.n_links, r.component_id) for r in hnsw.near_duplicates(table(spark, rows)).collect()}
+    assert found == brute_links(rows) and len(beams) > 1
+
+
+def test_few_lost_pairs_are_met_by_the_audit(spark, losing):
+    rows = pairs_and_others(np.random.default_rng(22), 0, 3, 700, 32)
+    beams = losing(0)
+    found = {r.id: (r.n_links, r.component_id) for r in hnsw.near_duplicates(table(spark, rows), audit=16).collect()}
+    assert found == brute_links(rows) and len(beams) > 1
+
+
+def test_without_enough_linked_nodes_a_wider_beam_must_find_nothing_more(spark, losing, monkeypatch):
+    monkeypatch.setattr(hnsw, "MOST", 16, raising=False)
+    rows = pairs_and_others(np.random.default_rng(23), 0, 3, 700, 32)
+    beams = losing(0)
+    found = {r.id: (r.n_links, r.component_id) for r in hnsw.near_duplicates(table(spark, rows), audit=16).collect()}
+    assert found == brute_links(rows) and beams == [32, 64, 128]
+
+
 def test_near_duplicate_edges(spark):
     frame = table(spark, ODD).withColumn("v", F.lit("x")).withColumn("id", F.lit(1))
     rows = hnsw.near_duplicates(frame).collect()
