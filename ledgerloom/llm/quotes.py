@@ -29,7 +29,6 @@ LEVEL = r"^((?:[ \t]*>)+)[ \t]?"
 QUOTES = r"(?m)^[ \t]*>"
 # a line that names the author of the quote below it
 CREDIT = r"(?i)(wrote|writes|schrieb|a écrit|escribió)\s*:\s*$"
-LEAST = 8  # shorter passages are too common to name their origin
 TURNS = 1024  # turns that are numbered together
 
 
@@ -38,9 +37,9 @@ def normalised(text: Column) -> Column:
 
 
 def units(text: Column) -> Column:
-    """The text, its paragraphs and its lines: (hash, chars), each once."""
+    """The text, its paragraphs and its lines, however short: (hash, chars), each once."""
     parts = F.concat(F.array(text), F.split(text, r"\n\s*\n"), F.split(text, r"\n"))
-    clean = F.filter(F.array_distinct(F.transform(parts, normalised)), lambda x: F.length(x) >= LEAST)
+    clean = F.filter(F.array_distinct(F.transform(parts, normalised)), lambda x: F.length(x) > 0)
     return F.transform(clean, lambda x: F.struct(F.xxhash64(x).alias("hash"), F.length(x).alias("chars")))
 
 

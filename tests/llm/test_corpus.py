@@ -154,6 +154,25 @@ def test_quotes_are_linked_and_ordered(spark):
     assert [(r.turn, r.n_quotes, r.n_linked) for r in found if r.turn in (5, 6)] == [(5, 2, 2), (6, 1, 0)]
 
 
+def test_short_messages_are_linked_and_longer_quotes_win(spark):
+    rows = [
+        (1, 0, "u", "Shall we go on Monday?"),
+        (1, 1, "a", "Yes"),
+        (1, 2, "u", "ok?"),
+        (1, 3, "a", "好的"),
+        (1, 4, "b", "Yes\nbut bring the long papers"),
+        (1, 5, "u", "> Yes\nfine"),
+        (1, 6, "a", "> ok?\nsure"),
+        (1, 7, "b", "> 好的\n谢谢"),
+        (1, 8, "u", "> Yes\n> but bring the long papers\nI will"),
+        (1, 9, "a", ">\n>  \nnothing is quoted"),
+    ]
+    found = quotes.link_quotes(spark.createDataFrame(rows, CHAT)).orderBy("position").collect()
+    assert {r.turn: r.parent_turn for r in found if r.parent_turn is not None} == {5: 1, 6: 2, 7: 3, 8: 4}
+    assert [r.n_linked for r in found if r.turn in (5, 6, 7, 8)] == [1, 1, 1, 1]
+    assert [r.turn for r in found] == [0, 1, 5, 2, 6, 3, 7, 4, 8, 9]
+
+
 def preorder(parents):
     below = {}
     for n, p in parents.items():
