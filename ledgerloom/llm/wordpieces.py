@@ -1,13 +1,13 @@
 """Word-piece counts by a linear longest-match automaton, without building the pieces.
 
 The vocabulary is a trie over bytes.  Pieces that begin a word carry a marker, all others
-continue one.  A state of the trie that cannot go on pops the longest pieces of what it has read and
+continue one; the lone marker is a piece too, after which a word goes on with continuing ones.  A state of the trie that cannot go on pops the longest pieces of what it has read and
 fails over to the state of the rest; how many pieces it pops is computed beforehand,
 so a word is read once, byte by byte, and only numbers are added up.  In a task the automaton
 steps through all distinct words of a batch at once.
 
 Nulls and edges: a null, empty or blank text has no words and no pieces.  A word that the vocabulary
-cannot cover counts as one piece, the unknown one.  Repeated rows and ids are counted
+cannot cover (none, where it has the lone marker and all single bytes) counts as one piece, the unknown one.  Repeated rows and ids are counted
 row by row, a null id stays null, other columns are not read, and an empty table gives an empty result.
 """
 
@@ -40,12 +40,12 @@ def byte_alphabet() -> dict[str, int]:
 
 
 def read_vocabulary(path: str) -> tuple[list[bytes], list[bytes]]:
-    """Pieces that begin a word (written with a blank before them) and pieces that continue one."""
+    """Pieces that begin a word (written with a blank before them, which may stand alone) and pieces that continue one."""
     with open(path, encoding="utf-8") as file:
         tokens = json.load(file)["model"]["vocab"]
     alphabet = byte_alphabet()
     pieces = [bytes(alphabet[c] for c in t) for t in tokens if all(c in alphabet for c in t)]
-    return [p[1:] for p in pieces if p[:1] == b" " and len(p) > 1], [p for p in pieces if p[:1] != b" "]
+    return [p[1:] for p in pieces if p[:1] == b" "], [p for p in pieces if p[:1] != b" "]
 
 
 @dataclass
@@ -82,6 +82,8 @@ def build(begins: list[bytes], continues: list[bytes]) -> Automaton:
             piece[at] = at > 1
     size = len(children)
     fail, pops = [NONE] * size, [0] * size
+    if b"" in begins:  # the marker alone is popped, and the word goes on as a continued one
+        fail[0], pops[0] = 1, 1
     order = [0, 1]
     for at in order:  # breadth first: a state's failure needs shorter states only
         order += children[at].values()

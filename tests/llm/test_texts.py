@@ -206,6 +206,45 @@ def test_word_piece_counts_of_the_documents(spark, sf_dir):
         assert rows[i].n_tokens == sum(greedy(w, begins, continues) for w in words)
 
 
+def test_words_without_a_begin_piece_are_cut_after_the_lone_blank(docs):
+    begins, continues = map(set, wordpieces.read_vocabulary(bpe.vocabulary_path()))
+    known = {b" " + p for p in begins} | continues | {b" "}
+    words = ["сейчас", "текст", "это", "работа", "中国", "一个", "한국어", "ไทย", "עברית", "我们在一个没有空格的句子里写了很多字", "hello"]
+
+    def marked(word):
+        text, at, count = b" " + word.encode(), 0, 0
+        while at < len(text):
+            at = next(e for e in range(len(text), at, -1) if text[at:e] in known)
+            count += 1
+        return count
+
+    rows = wordpieces.count_tokens(docs(list(enumerate([*words, " ".join(words)])))).collect()
+    expected = [marked(w) for w in words]
+    assert {r.doc_id: r.n_tokens for r in rows} == dict(enumerate([*expected, sum(expected)]))
+    assert min(expected[:-1]) > 1
+
+
+def test_automaton_with_a_lone_marker():
+    random.seed(2)
+    pick = lambda n: bytes(random.choices(b"abc", k=n))
+    for _ in range(200):
+        begins = [pick(random.randint(1, 4)) for _ in range(random.randint(0, 6))]
+        continues = [pick(random.randint(1, 4)) for _ in range(random.randint(1, 8))]
+        words = [pick(random.randint(1, 12)) for _ in range(30)]
+        ends = np.cumsum([len(w) for w in words])
+        data = np.frombuffer(b"".join(words), np.uint8)
+        found = wordpieces.count_words(wordpieces.build([*begins, b""], continues), data, ends - [len(w) for w in words], ends)
+
+        def slow(word):
+            if any(word.startswith(b) for b in begins):
+                return greedy(word, set(begins), set(continues))
+            rest = greedy(word, set(continues), set(continues))
+            covered = rest > 1 or word in continues
+            return 1 + rest if covered else 1
+
+        assert found.tolist() == [slow(w) for w in words]
+
+
 def test_word_piece_edges(docs, clashing, monkeypatch):
     rows = wordpieces.count_tokens(clashing(docs(ODD))).collect()
     words = sorted((r.doc_id or 0, r.n_words) for r in rows)
