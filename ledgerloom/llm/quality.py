@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import by_value, stored
+from ledgerloom.llm.common import by_value
 from ledgerloom.llm.words import Words, by_size, words_of
 
 by_value(__name__)
@@ -184,9 +184,9 @@ def vote(rows: DataFrame) -> DataFrame:
 
 
 def _training_rows(rows: DataFrame, fit_rows: int) -> DataFrame:
-    """Hashed counts of the sampled documents; the sample is bounded by ``fit_rows``."""
-    drawn = rows.select("doc_id", F.xxhash64("doc_id", F.lit(4)).alias("draw")).orderBy("draw", "doc_id").limit(fit_rows)
-    chosen = stored(drawn.select("doc_id").distinct(), "sample")
+    """Hashed counts of at most ``fit_rows`` rows, those with the smallest hash of id and text."""
+    drawn = rows.withColumn("draw", F.xxhash64("doc_id", "text", F.lit(4)))
+    last = drawn.select("draw").orderBy("draw").limit(fit_rows).agg(F.max("draw")).first()[0]
 
     def run(batches):
         for batch in by_size(batches, 1, AT_ONCE):
@@ -198,12 +198,13 @@ def _training_rows(rows: DataFrame, fit_rows: int) -> DataFrame:
                 out.append((places.astype(np.int32), counts.astype(np.float32) / max(b - a, LEAST), flat[i]))
             kinds = [pa.list_(pa.int32()), pa.list_(pa.float32()), pa.list_(pa.float64())]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(pattern_of(votes_of(values)), pa.int64()), *[pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)]],
-                names=["doc_id", "pattern", "places", "shares", "plain"],
+                [batch.column(2), pa.array(pattern_of(votes_of(values)), pa.int64()), *[pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)]],
+                names=["draw", "pattern", "places", "shares", "plain"],
             )
 
-    picked = rows.join(chosen, "doc_id", "left_semi")
-    return picked.mapInArrow(run, "doc_id long, pattern long, places array<int>, shares array<float>, plain array<double>")
+    picked = drawn.where(F.col("draw") <= F.lit(last))
+    found = picked.mapInArrow(run, "draw long, pattern long, places array<int>, shares array<float>, plain array<double>")
+    return found.orderBy("draw").limit(fit_rows)  # copies of one row share its hash
 
 
 def fit_scorer(places: list[np.ndarray], shares: list[np.ndarray], plain: np.ndarray, wanted: np.ndarray, steps: int = 300,
@@ -247,7 +248,7 @@ def fit(docs: DataFrame, fit_rows: int = FIT_ROWS, id_col: str = "doc_id", text_
     if not counted:
         return None
     model = fit_label_model({r.pattern: r.n for r in counted}, len(LABELLERS))
-    sample = _training_rows(rows, fit_rows).orderBy("doc_id", "pattern").toArrow()
+    sample = _training_rows(rows, fit_rows).toArrow()
     patterns = sample.column("pattern").to_numpy()
     wanted = model.posterior(patterns[:, None] // 3 ** np.arange(len(LABELLERS)) % 3)
     lists = [[np.asarray(x) for x in sample.column(name).to_numpy()] for name in ("places", "shares")]

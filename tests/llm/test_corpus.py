@@ -49,6 +49,18 @@ def test_em_recovers_accuracies():
     assert ((model.posterior(votes) > 0.5) == truth).mean() > 0.95
 
 
+def test_the_training_sample_is_bounded_by_rows(docs):
+    words = "the of and to in is that it was for".split()
+    texts = [" ".join(words[(i * 7 + j * j) % 10] for j in range(20 + i % 9)) for i in range(400)]
+    repeated = [(7, t) for t in texts[:200]] + [(8, "the same row again")] * 150 + [(1000 + i, t) for i, t in enumerate(texts[200:])]
+
+    def drawn(rows, bound):
+        return quality._training_rows(quality._rows(docs(rows), "doc_id", "text"), bound).count()
+
+    assert [drawn(repeated, bound) for bound in (10, 150, 1000)] == [10, 150, 550]
+    assert drawn([(None, t) for t in texts], 50) == 50
+
+
 def test_quality_edges(spark, docs, clashing):
     rows = quality.classify(clashing(docs(ODD))).collect()
     assert len(rows) == len(ODD) and all(0 <= r.score <= 1 for r in rows)
