@@ -30,7 +30,6 @@ from ledgerloom.session import materialize
 
 # Upper-case letters belong to words here; they are lowered word by word.
 GAPS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 DOC = ["doc", "print"]  # an id alone may name several texts
 
 
@@ -200,7 +199,7 @@ def contamination(
     named = runs.select(*DOC, "item").distinct().join(names, "item").groupBy(*DOC).agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"))
     found = materialize(hit.join(named, DOC, "left"), "hits")
     rows = keyed(docs, id_col, text_col)
-    rows = rows.select("id", *DOC, F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long").alias("n_words"))
+    rows = rows.select("id", *DOC, F.size(word_list(F.col("text"))).cast("long").alias("n_words"))
     ids = F.coalesce("item_ids", F.array().cast("array<string>"))
     return rows.join(found, DOC, "left").select(
         "id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.size(ids).cast("long").alias("n_items"), ids.alias("item_ids")
