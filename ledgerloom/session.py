@@ -6,7 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -142,3 +142,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
         opened.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def settled(spark: SparkSession, make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """Store what ``make`` returns, and remove the intermediate tables that led to it.
+
+    For a small result of a long way: what comes after needs none of those tables any more.
+    """
+    path = fresh_folder(spark, label)
+    with scratch(spark):
+        result = make()
+        result.write.parquet(path)
+    if (opened := _scratch.get()) is not None:
+        opened.append(path)
+    return spark.read.schema(result.schema).parquet(path)
