@@ -34,9 +34,14 @@ def tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     from tokenizers import Tokenizer
 
-    loaded = Tokenizer.from_file(path)
-    loaded.encode_special_tokens = True  # a control token's name in a text is text
-    return loaded
+    return Tokenizer.from_file(path)
+
+
+@lru_cache(maxsize=2)
+def _can_cut(path: str) -> bool:
+    """Whether no added token holds a blank or takes blanks around it, which a cut would divide."""
+    added = tokenizer(path).get_added_tokens_decoder().values()
+    return not any(t.lstrip or t.rstrip or any(c.isspace() for c in t.content) for t in added)
 
 
 def _cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -55,11 +60,14 @@ def _cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 @lru_cache(maxsize=2)
 def _byte_lengths(path: str) -> np.ndarray:
-    """Bytes of every token: the vocabulary writes one character per byte."""
+    """Bytes of every token: the vocabulary writes one character per byte, but added tokens as they are."""
     vocabulary = tokenizer(path).get_vocab(with_added_tokens=False)
-    lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)
+    added = tokenizer(path).get_added_tokens_decoder()
+    lengths = np.zeros(max(max(vocabulary.values()), *added) + 1 if added else max(vocabulary.values()) + 1, np.int64)
     for token, number in vocabulary.items():
         lengths[number] = len(token)
+    for number, token in added.items():
+        lengths[number] = len(token.content.encode())
     return lengths
 
 
@@ -97,6 +105,10 @@ def encode_batch(texts: pa.Array, path: str) -> Iterator[np.ndarray]:
     if not len(data):
         yield from (np.zeros(0, np.uint32) for _ in range(len(texts)))
         return
+    if not _can_cut(path):
+        for text in texts.to_pylist():
+            yield np.array(tokenizer(path).encode(text or "", add_special_tokens=False).ids, np.uint32)
+        return
     cuts = _cuts(data, offsets)
     pieces = pa.LargeBinaryArray.from_buffers(
         pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))]

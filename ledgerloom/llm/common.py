@@ -46,6 +46,24 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return session.materialize(df, label)
 
 
+# Rows of a few numbers each that every executor, and the driver, can hold: some tens of MB.
+HELD = 1 << 19
+
+
+def beside(table: DataFrame) -> DataFrame:
+    """A stored table of decisions, to be joined to rows that carry whole texts.
+
+    Up to ``HELD`` rows it is broadcast, so that texts stay where they are; a larger one is
+    left to an ordinary join, whose hot keys are split.  The result is the same.
+    """
+    return F.broadcast(table) if table.count() <= HELD else table
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A hash of all columns that can be hashed, to order rows that agree in everything else."""
+    return F.xxhash64(*[c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind])
+
+
 def unused(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have; Spark's names ignore case."""
     taken = {c.lower() for c in df.columns}

@@ -27,7 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerloom.llm.common import ranked, stored, task_count, unused, word_count
+from ledgerloom.llm.common import beside, ranked, stored, task_count, unused, word_count
+from ledgerloom.session import settled
 
 EXACT = "decimal(38,9)"  # sums of doubles that do not depend on their order
 LEVELS = 4
@@ -125,10 +126,8 @@ def solve(cells: DataFrame, state: DataFrame, cap: float) -> DataFrame:
     return state.select("s", "tilt")
 
 
-def copies(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, cap: int = 2, id_col: str = "doc_id",
-           text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """One row per document: id, source, size, source_size, target, n_copies and taken (words)."""
-    rows = stored(sized(docs, id_col, text_col, source_col), "sizes")
+def _planned(rows: DataFrame, weights: Sequence[float], share: float, cap: int) -> tuple[DataFrame, DataFrame]:
+    """For rows of (source, size): the sources with their targets, and ``k`` copies for each cell of ``n`` rows."""
     counts = stored(rows.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "cells")
     sources = stored(targets(counts, weights, share, cap), "targets")
     small_first = Window.partitionBy("s").orderBy("size")
@@ -162,6 +161,14 @@ def copies(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float =
     planned = rounded[0]
     for part in rounded[1:]:
         planned = planned.union(part)
+    return sources, planned
+
+
+def copies(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, cap: int = 2, id_col: str = "doc_id",
+           text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """One row per document: id, source, size, source_size, target, n_copies and taken (words)."""
+    rows = stored(sized(docs, id_col, text_col, source_col), "sizes")
+    sources, planned = _planned(rows, weights, share, cap)
     named = rows.join(sources, rows["source"].eqNullSafe(sources["source"])).select(
         "id", rows["source"], "s", "size", "source_size", "target", F.xxhash64("id").alias("draw")
     )
@@ -175,27 +182,67 @@ def copies(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float =
     )
 
 
+def _cell_decisions(docs: DataFrame, weights: Sequence[float], share: float, cap: int, source_col: str, size, mark) -> DataFrame:
+    """What each cell takes: ``base`` copies of every row and one more of those with a mark up to ``upto``.
+
+    Where ``same`` rows have that very mark, only ``spare`` of them get one more.
+    """
+    rows = stored(docs.select(F.col(source_col).cast("string").alias("source"), size.alias("size"), mark.alias("mark")), "sizes")
+    sources, planned = _planned(rows.select("source", "size"), weights, share, cap)
+    cells = planned.join(sources.select("s", "source"), "s").withColumn("rest", F.col("k") % F.col("n"))
+    cells = stored(cells.select("s", "source", "size", "rest", F.floor(F.col("k") / F.col("n")).cast("int").alias("base")), "planned")
+    some = cells.where("rest > 0").select("s", F.col("source").alias("origin"), F.col("size").alias("words"), "rest")
+    drawn = rows.join(some, rows["source"].eqNullSafe(some["origin"]) & (rows["size"] == some["words"])).select("s", "size", "rest", "mark")
+    # rows are numbered by mark, in slices of the marks' range; equal marks are one row by now
+    marks = drawn.groupBy("s", "size", "rest", "mark").agg(F.count(F.lit(1)).alias("same"))
+    marks = marks.withColumn("slice", F.shiftright("mark", 56))
+    earlier = Window.partitionBy("s", "size").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    slices = marks.groupBy("s", "size", "slice").agg(F.sum("same").alias("of"))
+    slices = slices.withColumn("start", F.coalesce(F.sum("of").over(earlier), F.lit(0))).drop("of")
+    lower = Window.partitionBy("s", "size", "slice").orderBy("mark").rowsBetween(Window.unboundedPreceding, -1)
+    within = marks.withColumn("below", F.coalesce(F.sum("same").over(lower), F.lit(0)))
+    placed = within.join(slices, ["s", "size", "slice"]).withColumn("first", F.col("start") + F.col("below"))
+    last = placed.where("first < rest").groupBy("s", "size").agg(
+        F.max("mark").alias("upto"),
+        F.max_by("same", "mark").alias("same"),
+        F.max_by(F.least("same", F.col("rest") - F.col("first")), "mark").alias("spare"),
+    )
+    return cells.join(last, ["s", "size"], "left").select("source", "size", "base", "upto", "same", "spare")
+
+
 def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, cap: int = 2, id_col: str = "doc_id",
         text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it.
 
-    Rows that repeat an id, source and size are one row here, with the copies of all of them.
+    Every row is a document, also those that repeat an id or have none.  Which rows of a cell (source,
+    size) are taken once more follows from a hash of id, source and text, so the texts meet only the small table of
+    cells.  Rows equal in all three are interchangeable; they are numbered where not all get one more.
     """
-    found = copies(docs, weights, share, cap, id_col, text_col, source_col)
-    per_row = found.groupBy("id", "source", "size").agg(F.sum("n_copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
-    per_row = stored(per_row.where("_copies > 0"), "copies")
-    words, key, origin, size, times, rows, again = (
-        unused(docs, n) for n in ("_words", "_id", "_source", "_size", "_copies", "_rows", "_again")
+    size = word_count(F.col(text_col).cast("string"))
+    mark = F.xxhash64(F.col(id_col), F.col(source_col).cast("string"), F.col(text_col).cast("string"))
+    found = settled(
+        docs.sparkSession, lambda: _cell_decisions(docs, weights, share, cap, source_col, size, mark), "cell-copies"
     )
-    per_row = per_row.toDF(key, origin, size, times, rows)
-    sizes = docs.withColumn(words, word_count(F.col(text_col)))
-    same = (
-        sizes[id_col].eqNullSafe(per_row[key])
-        & sizes[source_col].cast("string").eqNullSafe(per_row[origin])
-        & (sizes[words] == per_row[size])
+    own_size, own_mark, origin, words, base, upto, same, spare, again = (
+        unused(docs, n) for n in ("_size", "_mark", "_source", "_words", "_base", "_upto", "_same", "_spare", "_again")
     )
-    joined = sizes.join(per_row, same)
-    single = joined.where(F.col(rows) == 1)
-    several = joined.where(F.col(rows) > 1).dropDuplicates([key, origin, size])
-    repeat = F.explode(F.array_repeat(F.lit(1), F.col(times).cast("int")))
-    return single.unionByName(several).withColumn(again, repeat).select(*docs.columns)
+    table = beside(found.toDF(origin, words, base, upto, same, spare))
+    rows = docs.withColumns({own_size: size, own_mark: mark})
+    joined = rows.join(table, rows[source_col].cast("string").eqNullSafe(table[origin]) & (rows[own_size] == table[words]), "left")
+    tied = (F.col(own_mark) == F.col(upto)) & (F.col(same) > F.col(spare))
+    more = F.when(F.col(own_mark) <= F.col(upto), 1).otherwise(0)
+    times = F.when(F.col(own_size) == 0, 1).otherwise(F.coalesce(F.col(base) + more, F.lit(0)))
+
+    def repeated(df: DataFrame, times) -> DataFrame:
+        return df.withColumn(again, F.explode(F.array_repeat(F.lit(1), times.cast("int")))).select(*docs.columns)
+
+    if found.where("same > spare").isEmpty():
+        return repeated(joined, times)
+    untied = repeated(joined.where(~F.coalesce(tied, F.lit(False))), times)
+    # stored with a number, so that equal rows can be told apart from here on
+    equal = stored(joined.where(tied).withColumn(again, F.monotonically_increasing_id()), "equal-rows")
+    place = unused(equal, "_place")
+    places = ranked(equal.select(origin, words, again), [origin, words], [again], F.col(again), place, task_count(docs))
+    one_more = F.when(F.col(place) < F.col(spare), 1).otherwise(0)
+    numbered = equal.join(places.select(again, place), again)
+    return untied.unionByName(repeated(numbered, F.col(base) + one_more))

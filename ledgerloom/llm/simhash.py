@@ -24,9 +24,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from ledgerloom.llm.common import Forest, by_value, components, lower_words, stored, task_count
+from ledgerloom.llm.common import Forest, beside, by_value, components, lower_words, row_hash, stored, task_count, unused
 from ledgerloom.llm.words import by_size
+from ledgerloom.session import settled
 
 by_value(__name__)
 
@@ -57,16 +59,17 @@ def fingerprint_of(text: str | bytes | None, words: int = 4, seed: int = 42) ->
 
 
 def fingerprints(docs: DataFrame, words: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id`` and ``fp`` (the fingerprint's bits as a long) of every row."""
+    """``id``, ``mark`` (a hash of the text) and ``fp`` (the fingerprint's bits as a long) of every row."""
 
     def run(batches):
         for batch in by_size(batches, 1, AT_ONCE):
             texts = batch.column(1).cast(pa.large_binary()).to_pylist()
             found = np.array([fingerprint_of(t, words) for t in texts], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], names=["id", "fp"])
+            columns = [batch.column(0), batch.column(2), pa.array(found, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "mark", "fp"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "id long, fp long")
+    return rows.withColumn("mark", F.xxhash64("text")).mapInArrow(run, "id long, mark long, fp long")
 
 
 def _blocks(count: int) -> list[tuple[int, int]]:
@@ -188,14 +191,40 @@ def hex_of(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
+def _decisions(docs: DataFrame, words: int, radius: int, id_col: str, text_col: str) -> DataFrame:
+    """``id``, ``mark`` of the rows that go, and, with ``several``, of those of which one stays.
+
+    A group is led by its smallest (id, fingerprint, mark); a null id comes last.
+    """
+    prints = stored(fingerprints(docs, words, id_col, text_col), "fingerprints")
+    nodes = stored(prints.groupBy("fp").agg(F.count(F.lit(1)).alias("n")), "nodes")
+    roots = components(links(nodes, radius))
+    placed = nodes.join(roots, nodes["fp"] == roots["node"], "left").where("n > 1 or root is not null")
+    placed = stored(placed.select("fp", F.coalesce("root", "fp").alias("root")), "groups")
+    # all others are alone in their group: nothing is decided for them
+    rows = stored(prints.join(placed, "fp"), "grouped")
+    key = F.struct(F.col("id").isNull().alias("nameless"), "id", "fp", "mark")
+    leaders = rows.groupBy("root").agg(F.min(key).alias("leader"))
+    counted = rows.groupBy("root", "id", "mark").agg(F.count(F.lit(1)).alias("n")).join(leaders, "root")
+    leads = F.col("id").eqNullSafe(F.col("leader.id")) & (F.col("mark") == F.col("leader.mark"))
+    return counted.where(~leads | (F.col("n") > 1)).select("id", "mark", leads.alias("several"))
+
+
 def keep_one(docs: DataFrame, words: int = 4, radius: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with one document of each group: the one with the smallest id.
 
-    Of rows that repeat an id one stays; rows without an id stay, for nothing names them.
+    Rows are told apart by id and text.  Of rows that share both one stays (the one whose other columns
+    have the smallest hash); rows that share an id alone are decided each by its own group.  A row
+    without an id stays only where its group has none with an id.
     """
-    found = near_duplicates(docs, words, radius, id_col, text_col)
-    stays = found.where("id = component").groupBy("id").agg(F.count(F.lit(1)).alias("n"))
-    stays = stored(stays, "kept")
-    once = docs.join(stays.where("n = 1").select(F.col("id").alias(id_col)), id_col, "left_semi")
-    again = docs.join(stays.where("n > 1").select(F.col("id").alias(id_col)), id_col, "left_semi").dropDuplicates([id_col])
-    return once.unionByName(again).unionByName(docs.where(F.col(id_col).isNull()))
+    found = settled(docs.sparkSession, lambda: _decisions(docs, words, radius, id_col, text_col), "near-copies")
+    key, mark, several = (unused(docs, n) for n in ("_key", "_mark", "_several"))
+    table = beside(found.toDF(key, mark, several))
+    same = docs[id_col].cast("long").eqNullSafe(table[key]) & (F.xxhash64(docs[text_col].cast("string")) == table[mark])
+    joined = docs.join(table, same, "left")
+    kept = joined.where(F.col(several).isNull()).select(*docs.columns)
+    if found.where("several").isEmpty():
+        return kept
+    equal = Window.partitionBy(key, mark).orderBy(row_hash(docs))
+    first = joined.where(F.col(several)).withColumn(several, F.row_number().over(equal)).where(F.col(several) == 1)
+    return kept.unionByName(first.select(*docs.columns))

@@ -17,7 +17,7 @@ ODD = [(1, None, "b"), (2, "", None), (3, " \t\n", "a"), (4, "one two three", "b
 
 def test_all_are_registered():
     names = {n.split("_")[0] for n in QUERIES}
-    assert names == {f"op{i}" for i in range(1, 11)} and set(ORACLES) <= set(QUERIES)
+    assert names == {f"op{i}" for i in range(1, 14)} and set(ORACLES) <= set(QUERIES)
     assert QUERIES.items() <= entry.queries().items() and entry.queries()["pipeline"] is corpus_pipeline.run
 
 
@@ -133,6 +133,34 @@ def test_mixing_edges(spark, docs, clashing):
     assert {(r.target, r.taken) for r in blank} == {(0.0, 0)}
 
 
+def test_mixed_rows_are_their_own_documents(docs):
+    """Rows without an id, or with one id, keep their texts; copies are counted for each row."""
+    texts = [f"text number {w}" for w in "abcdef"]
+    for name in (None, 4):
+        rows = mixing.mix(docs([(name, t) for t in texts])).collect()
+        taken = [sum(r.text == t for r in rows) for t in texts]
+        assert len(rows) == 9 and set(taken) == {1, 2}
+        again = mixing.mix(docs([(name, t) for t in reversed(texts)]).repartition(3)).collect()
+        assert [sum(r.text == t for r in again) for t in texts] == taken
+
+
+def test_equal_rows_share_what_is_left(docs):
+    rows = [(1, "three equal words", "s")] * 7 + [(2, "three other words", "s"), (3, "three more words", "s")]
+    frame = docs(rows).withColumn("lang", F.monotonically_increasing_id().cast("string")).withColumn("_slice", F.lit(0))
+    mixed = mixing.mix(frame)
+    assert mixed.columns == frame.columns
+    got = [r.n for r in mixed.groupBy("doc_id", "lang").agg(F.count("*").alias("n")).collect()]
+    assert len(got) == 9 and sum(got) == 14 and set(got) == {1, 2}  # 40.5 words wanted, of three each
+
+
+def test_mix_takes_what_copies_plans(spark, sf_dir):
+    frame = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    planned = mixing.copies(frame).groupBy("source").agg(F.sum("taken").alias("taken")).collect()
+    size = mixing.word_count(F.col("text"))
+    taken = mixing.mix(frame).groupBy("source").agg(F.sum(size).alias("taken")).collect()
+    assert sorted(map(tuple, planned)) == sorted(map(tuple, taken))
+
+
 def test_ranks_of_a_hot_key(spark):
     df = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, "a").alias("k"))
     rows = ranked(df, ["k"], ["id"], F.xxhash64("id"), "place", 16).collect()

@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from ledgerloom.llm import bpe, chunks, interpolation, packing, simhash, wordpieces
 from ledgerloom.llm.queries import QUERIES
@@ -108,7 +109,7 @@ def test_interpolation_edges(spark, docs, clashing):
 
 
 def check_packing(rows, texts, limit=2048):
-    encoder = bpe.tokenizer(bpe.vocabulary_path())
+    encoder = Tokenizer.from_file(bpe.vocabulary_path())
     at, taken = {}, {}
     for r in rows:
         at.setdefault(r.sequence_id, []).append((r.offset, r.length))
@@ -161,8 +162,9 @@ def test_shortest_pack_first_places_everything():
 
 
 def test_batch_encoder_equals_the_tokenizer():
-    texts = ["a  b   c\n  d  e　 f \t g  ", None, "", "  lead", "é  x  y", "tail \n\n", "<|endoftext|> it's  we'll\x1c x\x85 y", "日本 語"]
-    encoder = bpe.tokenizer(bpe.vocabulary_path())
+    texts = ["a  b   c\n  d  e　 f \t g  ", None, "", "  lead", "é  x  y", "tail \n\n", "<|endoftext|> it's  we'll\x1c x\x85 y", "日本 語",
+             "a <|endoftext|> b", " x<|endoftext|>  <|endoftext|>y \n<|endoftext|>\n", "<|endoftext|", " <|endoftext|><|endoftext|>z <| endoftext|>"]
+    encoder = Tokenizer.from_file(bpe.vocabulary_path())
     found = list(bpe.encode_batch(pa.array(texts, pa.string()), bpe.vocabulary_path()))
     assert [x.tolist() for x in found] == [encoder.encode(t or "", add_special_tokens=False).ids for t in texts]
 
@@ -378,3 +380,96 @@ def test_chunk_edges(spark, docs, clashing):
     assert left.columns == clashing(docs(rows)).columns and left.count() == len(rows)
     assert {r.text for r in left.where("doc_id = 8").collect()} == {""}
     assert chunks.deduplicate(docs([])).count() == 0
+
+
+def test_only_what_occurred_before_is_cut(docs):
+    """Short phrases of many documents, in ever new orders, and a few passages that do repeat."""
+    rng = random.Random(12)
+    phrases = [prose(5000 + i, 5) for i in range(60)]
+    rows = [(i, " ".join(rng.choices(phrases, k=40))) for i in range(80)]
+    for i in range(5):
+        rows[60 + i] = (60 + i, rows[60 + i][1] + " " + prose(7000 + i // 2, 70) + " " + prose(8000 + i, 30))
+    texts = {i: t.encode() for i, t in rows}
+    runs = {}  # digest of a run -> its holder, by plain dictionaries
+    for i, raw in sorted(texts.items()):
+        for start, end, _, _, digest in zip(*chunks.run_rows(raw, 20, 400), strict=True):
+            runs.setdefault(int(digest), (i, int(start), int(end)))
+    expected = {}
+    for i, raw in texts.items():
+        for start, end, _, _, digest in zip(*chunks.run_rows(raw, 20, 400), strict=True):
+            holder, at, until = runs[int(digest)]
+            assert texts[holder][at:until] == raw[start:end] and len(raw[start:end].split()) >= 19
+            if (holder, at) != (i, start):
+                expected.setdefault(i, set()).update(range(max(start, until) if holder == i else start, end))
+    found = {}
+    for r in chunks.repeated_spans(docs(rows), 20).collect():
+        found.setdefault(r.id, set()).update(range(r.start, r.end))
+        own = texts[r.id][r.start : r.end]
+        assert any(own[:60] in texts[k] for k in r.kept_ids)
+        assert abs(r.n_words - len(own.split())) <= 1
+    assert found == {i: places for i, places in expected.items() if places}
+    assert {61, 63} <= set(found) and 64 not in found
+
+
+def test_phrases_of_many_documents_are_left(docs):
+    """No two neighbouring chunks of a document occur together elsewhere."""
+    pieces = [prose(300 + i, 14) for i in range(40)]
+    rows = [(i, pieces[i] + " " + prose(900 + i, 30)) for i in range(40)]
+    rows.append((99, " ".join(pieces)))
+    assert chunks.repeated_spans(docs(rows), 20).count() == 0
+
+
+def test_scripts_without_blanks(docs):
+    rng = random.Random(13)
+    passage = "".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(20_000))
+    found = chunks.repeated_spans(docs([(1, passage), (2, "前" + passage), (3, passage[::-1])])).collect()
+    assert {r.id for r in found} == {2} and sum(r.end - r.start for r in found) > 50_000
+
+
+def test_copies_of_its_own_lines(docs):
+    line = prose(77, 30) + "\n"
+    (left,) = chunks.deduplicate(docs([(1, prose(78, 30) + "\n" + line * 50)])).collect()
+    assert len(left.text.split()) < 110 and line.strip()[20:120] in left.text
+
+
+def test_one_passage_that_most_documents_share(spark, docs, monkeypatch):
+    passage = prose(55, 60)
+    rows = [(i, f"{prose(4000 + i, 12)} {passage} {prose(6000 + i, 12)}") for i in range(150)]
+    plain = {(r.id, r.start, r.end) for r in chunks.repeated_spans(docs(rows)).collect()}
+    assert {i for i, _, _ in plain} == set(range(1, 150))
+    monkeypatch.setattr(chunks, "HOT", 1)  # no digest is hot
+    assert {(r.id, r.start, r.end) for r in chunks.repeated_spans(docs(rows)).collect()} == plain
+
+
+# --- rows that share an id ------------------------------------------------------------------------
+
+
+def test_every_row_is_decided_by_its_own_group(docs):
+    a, b, c = prose(21, 60), prose(22, 60), prose(23, 60)
+
+    def kept(rows):
+        return sorted(((r.doc_id, r.text) for r in simhash.keep_one(docs(rows)).collect()), key=str)
+
+    assert kept([(5, a), (5, b)]) == sorted([(5, a), (5, b)])
+    assert kept([(1, c), (5, c), (5, a)]) == sorted([(1, c), (5, a)])
+    assert kept([(None, a), (3, a), (None, b), (None, b), (None, c)]) == sorted([(3, a), (None, b), (None, c)], key=str)
+    assert kept([(7, a)] * 40 + [(8, a)] + [(9, b)] * 3) == [(7, a), (9, b)]
+
+
+def test_of_equal_rows_the_same_one_stays(docs):
+    a = prose(24, 40)
+    frame = docs([(1, a, "x"), (1, a, "y"), (1, a, "z"), (2, a, "x")])
+    first = simhash.keep_one(frame).collect()
+    assert len(first) == 1 and first[0].doc_id == 1
+    assert simhash.keep_one(frame.orderBy(F.desc("source")).repartition(3)).collect() == first
+
+
+@pytest.mark.parametrize("held", [0, 1 << 19])
+def test_large_decisions_give_the_same_rows(docs, monkeypatch, held):
+    for module in (simhash, chunks):
+        monkeypatch.setattr(module, "HELD" if module is chunks else "PART", held or 1024)
+    monkeypatch.setattr("ledgerloom.llm.common.HELD", held)
+    rows = [(i, prose(i % 20, 60)) for i in range(50)] + [(60, prose(70, 30) + " " + prose(3, 60)[20:])]
+    assert sorted(r.doc_id for r in simhash.keep_one(docs(rows)).collect()) == [*range(20), 60]
+    lengths = {r.doc_id: len(r.text.split()) for r in chunks.deduplicate(docs(rows)).collect()}
+    assert all(lengths[i] == 60 for i in range(20)) and all(lengths[i] == 0 for i in range(20, 50)) and 30 <= lengths[60] < 45
