@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import chunks, mixing, packing, quality, simhash
-from ledgerloom.llm.common import stored
+from ledgerloom.session import settled
 
 
 def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +52,12 @@ ORACLE_SQL = None  # trained models, graph components and bin packing are beyond
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """The rows of the last stage.  A stage's tables, and its input, go once its output is written."""
+
+    def after(count: int) -> DataFrame:
+        if not count:
+            return spark.read.parquet(f"{sf_dir}/documents.parquet")
+        name, stage = STAGES[count - 1]
+        return settled(spark, lambda: stage(spark, after(count - 1), sf_dir), name.replace(" ", "-"))
+
+    return STAGES[-1][1](spark, after(len(STAGES) - 1), sf_dir)
