@@ -31,7 +31,7 @@ from ledgerloom.session import settled
 
 by_value(__name__)
 
-AT_ONCE = 8 << 20  # bytes of text whose chunks are collected together
+AT_ONCE = 4 << 20  # bytes of text whose chunks are collected together
 WINDOW = 16  # bytes the rolling hash sees
 SLAB = 1 << 20  # bytes hashed at once
 SHIFT = 15  # lower bits do not depend on all of the window

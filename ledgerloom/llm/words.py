@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -23,9 +24,19 @@ def flat_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def give_back() -> None:
+    """Return what is free to the system: workers stay between tasks, and an executor's memory is shared."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def by_size(batches: Iterable[pa.RecordBatch], column: int, most: int) -> Iterator[pa.RecordBatch]:
     """Batches cut so that a column's texts stay near ``most`` bytes; a longer text stands alone."""
     for batch in batches:
+        give_back()
         sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
         at = 0
         while at < batch.num_rows:
@@ -33,6 +44,8 @@ def by_size(batches: Iterable[pa.RecordBatch], column: int, most: int) -> Iterat
             end = max(at + 1, int(np.searchsorted(sizes, before + most, side="right")))
             yield batch.slice(at, end - at)
             at = end
+        del batch
+    give_back()
 
 
 def is_blank(data: np.ndarray) -> np.ndarray:
