@@ -15,10 +15,12 @@ from ledgerloom.session import materialize
 from ledgerloom.sources import archives, delimited, landing
 
 FILE_KEY = ("src_file", "entry")
+SPLIT_LINES = 1_000_000  # lines of an archive's entry that are one split
 AMBIGUOUS = "several columns for one standard column"
 TOO_WIDE = "more fields than the header"
 NO_DESCRIPTION = "ledger without description"
 NO_KNOWN_COLUMN = "no known column"
+UNCLOSED = "a quote is never closed"
 
 
 @dataclass(frozen=True)
@@ -176,13 +178,15 @@ def ingest_lines(lines: DataFrame, registry: DataFrame) -> Ingested:
     """``src_file, entry, raw, line_at`` of any mix of layouts to flagged expenses.
 
     The lines are read twice: once to describe the files, once to parse both
-    layouts side by side and route each row by the layout of its file.
+    layouts side by side and route each row by the layout of its file.  Lines that break within
+    quotes are one record; a file that never closes a quote is rejected.
     """
-    files = materialize(describe_layouts(delimited.describe_files(lines, FILE_KEY)), "files")
+    records, files = delimited.whole_records(lines, FILE_KEY, describe_layouts)
+    files = files.withColumn("problem", F.when(F.col("unclosed"), F.lit(UNCLOSED)).otherwise(F.col("problem")))
     usable = files.filter(F.col("problem").isNull())
     ledger_columns = {f"ledger_{c}": names for c, names in S.LEDGER_ALIASES.items()}
     parsed = delimited.parse_files(
-        lines,
+        records,
         usable,
         {**S.EXPENSE_ALIASES, **ledger_columns},
         delimited.header_width(files),
@@ -250,7 +254,9 @@ def ingest_landing(
     # pass splittable
     unpacked = materialize(archives.read_archives(spark, folder, keep), "archives")
     good, bad = archives.split_problems(unpacked)
-    at = F.struct(F.lit(0).cast("bigint").alias("file_block_start"), F.col("line_no").alias("at"))
+    # line numbers in blocks stand for the splits of a file
+    block = F.floor(F.col("line_no") / SPLIT_LINES) * SPLIT_LINES
+    at = F.struct(block.cast("bigint").alias("file_block_start"), F.col("line_no").alias("at"))
     lines = dedupe.union_aligned(
         [
             plain.withColumn("entry", F.lit("")),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom import schema as S
@@ -75,8 +75,85 @@ def is_blank(raw: Column | str) -> Column:
     return F.trim(F.translate(raw.cast("string"), "\t\r\f\v", "    ")) == ""
 
 
+# Fields as the parser sees them: a quote opens a field only at its beginning, and is doubled inside.
+# Everything is possessive, so no line is gone over twice.
+_QUOTED = '"(?:[^"]|"")*+"[^;]*+'
+_FIELDS = f'(?:(?:{_QUOTED}|[^";][^;]*+|);)*+'
+_LEFT_OPEN = '"(?:[^"]|"")*+$'
+
+
+def leaves_open(raw: Column | str, inside: bool = False) -> Column:
+    """Whether a line ends within a quoted field, if it begins outside one (or ``inside``)."""
+    raw = F.col(raw) if isinstance(raw, str) else raw
+    line, quote = raw.cast("string"), F.lit(QUOTE)
+    if inside:
+        return F.when(~F.contains(line, quote), True).otherwise(
+            F.rlike(line, F.lit(f'(?s)^(?:[^"]|"")*+(?:$|"[^;]*+;{_FIELDS}{_LEFT_OPEN})'))
+        )
+    return F.when(~F.contains(line, quote), False).otherwise(F.rlike(line, F.lit(f"(?s)^{_FIELDS}{_LEFT_OPEN}")))
+
+
+def join_records(lines: DataFrame, file_key: Iterable[str] = ("src_file",)) -> DataFrame:
+    """One row per record: lines that break within quotes become one, with the first line's place.
+
+    Whether a line begins within quotes depends on all lines before it.  Each line is a function of that
+    state: it keeps, turns or sets it.  Functions are composed within each split of a file (what
+    ``line_at`` begins with), the splits' compositions along the file, and a record that crosses a split
+    takes its place from the split it began in.  A file in which a quote is never closed stays as it
+    is, every line a record, and its rows have ``unclosed``.  Every line break becomes a newline.
+    """
+    file_key = list(file_key)
+    others = [c for c in lines.columns if c not in (*file_key, "raw", "line_at")]
+    split = [*file_key, "_split"]
+    given = lines.withColumns({"_split": F.col("line_at.file_block_start"), "_f0": leaves_open("raw"), "_f1": leaves_open("raw", True)})
+    given = given.withColumns({"_sets": F.col("_f0") == F.col("_f1"), "_turns": (F.col("_f0") & ~F.col("_f1")).cast("int")})
+    order = Window.partitionBy(*split).orderBy("line_at")
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    given = given.withColumn("_turned", F.sum("_turns").over(upto))
+    # the state that the last setting line leaves, less the turns counted up to it
+    given = given.withColumn("_set", F.when(F.col("_sets"), F.col("_f0").cast("int") + F.col("_turned")))
+    states = given.withColumns(
+        {"_last": F.last("_set", True).over(before), "_before": F.coalesce(F.sum("_turns").over(before), F.lit(0))}
+    )
+    states = materialize(states.drop("_f0", "_f1", "_sets", "_turns"), "quote-states")
+    ends = states.groupBy(*split).agg(F.max_by("_turned", "line_at").alias("_turned"), F.max_by("_set", F.when(F.col("_set").isNotNull(), F.col("line_at"))).alias("_set"))
+    along = Window.partitionBy(*file_key).orderBy("_split")
+    through = along.rowsBetween(Window.unboundedPreceding, 0)
+    ends = ends.withColumn("_total", F.sum("_turned").over(through))
+    ends = ends.withColumn("_fixed", F.when(F.col("_set").isNotNull(), F.col("_set") + F.col("_total") - F.col("_turned")))
+    closing = F.pmod(F.coalesce(F.last("_fixed", True).over(through), F.lit(0)) + F.col("_total"), F.lit(2))
+    ends = ends.withColumn("_closing", closing)
+    at_begin = F.coalesce(F.lag("_closing").over(along), F.lit(0))
+    at_end = F.last("_closing").over(Window.partitionBy(*file_key).orderBy("_split").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    ends = materialize(ends.select(*split, at_begin.alias("_begin"), (at_end == 1).alias("unclosed")), "split-states")
+    state = F.pmod(F.coalesce("_last", "_begin") + F.col("_before"), F.lit(2))
+    placed = states.join(ends, split).withColumn("_starts", (state == 0) | F.col("unclosed"))
+    own = F.last(F.when(F.col("_starts"), F.col("line_at")), True).over(upto)
+    placed = materialize(placed.select(*file_key, *others, "raw", "line_at", "_split", "unclosed", own.alias("_own")), "line-states")
+    # what a split's first lines belong to, where they begin no record: the last record before the split
+    lasts = placed.groupBy(*split).agg(F.max("_own").alias("_last_own"))
+    carried = F.last("_last_own", True).over(along.rowsBetween(Window.unboundedPreceding, -1))
+    lasts = materialize(lasts.select(*split, carried.alias("_carried")), "carried-records")
+    whole = placed.join(lasts, split).withColumn("_at", F.coalesce("_own", "_carried"))
+    # most records are one line: only the others are put together
+    broken = whole.groupBy(*file_key, "_at").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    broken = materialize(broken, "broken-records")
+    same = [whole[k] == broken[k] for k in (*file_key, "_at")]
+    condition = same[0] & same[1] if len(same) == 2 else same[0] & same[1] & same[2]
+    columns = [*file_key, *others, "raw", "line_at", "unclosed"]
+    single = whole.join(broken, condition, "left_anti").select(columns)
+    parts = whole.join(broken, condition, "left_semi")
+    pieces = F.array_sort(F.collect_list(F.struct("line_at", F.col("raw").cast("string").alias("raw"))))
+    joined = parts.groupBy(*file_key, "_at", "unclosed").agg(
+        F.array_join(pieces["raw"], "\n").cast("binary").alias("raw"), *[F.first(c).alias(c) for c in others]
+    )
+    return single.unionByName(joined.withColumnRenamed("_at", "line_at").select(columns))
+
+
 def describe_files(lines: DataFrame, file_key: Iterable[str] = ("src_file",)) -> DataFrame:
-    """One row per file: is every line valid UTF-8, its first line, and where that is.
+    """One row per file: is every line valid UTF-8, its first line, where that is, and
+    whether any line ends within quotes (``opens``).
 
     Blank lines before the header are passed over.
 
@@ -91,7 +168,10 @@ def describe_files(lines: DataFrame, file_key: Iterable[str] = ("src_file",)) ->
     return (
         lines.groupBy(*file_key)
         .agg(
-            valid.alias("_valid"), F.min_by("raw", filled).alias("_first"), F.min(filled).alias("header_at")
+            valid.alias("_valid"),
+            F.min_by("raw", filled).alias("_first"),
+            F.min(filled).alias("header_at"),
+            F.bool_or(leaves_open("raw")).alias("opens"),
         )
         .withColumn("is_utf8", ~F.array_contains("_valid", False))
         .withColumn("header_line", decode("_first", F.col("is_utf8")))
@@ -118,10 +198,15 @@ def split_line(line: Column | str, width: int) -> Column:
 
 
 def too_wide(line: Column | str, names: Column) -> Column:
-    """More fields than the header has; empty fields at the end do not count."""
+    """More fields than the header has; empty fields at the end, quoted or not, do not count.
+
+    Only a line with as many separators as the header has names can be: others are not parsed for it.
+    """
     line = F.col(line) if isinstance(line, str) else line
-    bare = F.regexp_replace(line, '"[^"]*"', "q")
-    return F.regexp_count(F.regexp_replace(bare, r"[;\s]+$", ""), F.lit(SEPARATOR)) >= F.size(names)
+    separators = F.length(line) - F.length(F.replace(line, F.lit(SEPARATOR), F.lit("")))
+    filled = F.regexp_replace(line, r'(?:;(?:"")?\s*+)+$', "")
+    fields = F.regexp_count(filled, F.lit(f"(?s)(?:^|;)(?:{_QUOTED}|[^;]*+)"))
+    return F.when(separators < F.size(names), False).otherwise(fields > F.size(names))
 
 
 def field(names: Column, values: Column, aliases: Iterable[str]) -> Column:
@@ -143,7 +228,7 @@ def parse_files(
 ) -> DataFrame:
     """Text columns by header alias, for files of any mix of layouts, in one plan.
 
-    Each line is matched with its own file's header (``files``, one row per
+    Each line (or record) is matched with its own file's header (``files``, one row per
     file), so layouts need no scan of their own.  The header line itself and blank
     lines are not data.  A line with more fields than the header is kept out of no
     result: its ``malformed`` has the line and its columns are NULL.
@@ -165,6 +250,26 @@ def header_width(files: DataFrame) -> int:
     return files.agg(F.coalesce(F.max(F.size("names")), F.lit(1))).first()[0]
 
 
+def whole_records(lines: DataFrame, file_key: Iterable[str], describe: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """The records of all files, and the stored description of the files with ``unclosed``.
+
+    Files without a line that ends within quotes, which most are, are read as they are; the
+    lines of the others are put together first and described again.
+    """
+    file_key = list(file_key)
+    described = describe(describe_files(lines, file_key)).withColumn("unclosed", F.lit(False))
+    files = materialize(described, "files")
+    opening = files.where("opens").select(*file_key)
+    if opening.isEmpty():
+        return lines, files
+    opening = materialize(opening, "files-with-breaks")
+    records = materialize(join_records(lines.join(opening, file_key, "left_semi"), file_key), "records")
+    ends = records.groupBy(*file_key).agg(F.bool_or("unclosed").alias("unclosed"))
+    again = describe(describe_files(records, file_key)).join(ends, file_key)
+    files = materialize(files.join(opening, file_key, "left_anti").unionByName(again), "files")
+    return lines.join(opening, file_key, "left_anti").unionByName(records.drop("unclosed")), files
+
+
 def read_mixed_encoding(
     spark: SparkSession,
     path: str | list[str],
@@ -173,10 +278,11 @@ def read_mixed_encoding(
 ) -> DataFrame:
     """Delimited files, each in UTF-8 or Latin-1, read by header alias.
 
-    ``src_file`` and ``line_at`` give the order of the rows.  Line based: quoted line
-    breaks are not supported here.  Lines too wide for their header have ``malformed``.
+    ``src_file`` and ``line_at`` give the order of the rows.  Quoted fields may hold line breaks, also
+    across the splits of a file.  Records too wide for their header have ``malformed``.
     """
     lines = read_lines(spark, path)
-    described = describe_files(lines).withColumn("names", split_header("header_line", join_words))
-    files = materialize(described, "files")
-    return parse_files(lines, files, aliases, header_width(files), keep=["line_at"])
+    records, files = whole_records(
+        lines, ["src_file"], lambda d: d.withColumn("names", split_header("header_line", join_words))
+    )
+    return parse_files(records, files, aliases, header_width(files), keep=["line_at"])

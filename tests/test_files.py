@@ -1,4 +1,5 @@
 import gzip
+import random
 import zipfile
 from datetime import date
 from decimal import Decimal as D
@@ -404,3 +405,61 @@ def test_stream_sees_every_file_once(spark, tmp_path):
     assert [r.line for r in streaming.read_rejects(spark, target).collect()] == ["1;2;3;4;5;6"]
     # a second stream on the same target has folders of its own: nothing is lost
     assert run(str(tmp_path / "other")) == sorted(2 * (first + new))
+
+
+# --- quoted line breaks -------------------------------------------------------------------------
+
+
+def _as_read(text):
+    """(fields of every record) by the standard library, or the lines where a quote stays open."""
+    import csv
+    import io
+
+    return [row for row in csv.reader(io.StringIO(text, newline=""), delimiter=";") if any(c.strip() for c in row)]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_records_over_splits(spark, tmp_path, setting, seed):
+    """Random quoted fields, in files cut into splits of a few bytes, against the standard library."""
+    draw = random.Random(seed)
+    setting("spark.sql.files.maxPartitionBytes", "48")
+    setting("spark.sql.files.openCostInBytes", "0")
+    expected = {}
+    for name in "ab":
+        lines = ["k;v;w"]
+        for i in range(25):
+            text = "".join(draw.choices(["x", "é", ";", "\n", '""', " "], k=draw.randint(1, 12)))
+            plain = draw.choice(["y", 'y"y', "", 'z"'])
+            lines.append(f'{name}{i};"q{text}";{plain}' if draw.random() < 0.6 else f"{name}{i};{plain};w")
+        body = "\n".join(lines) + "\n"
+        (tmp_path / f"{name}.csv").write_bytes(body.encode("utf-8" if name == "a" else "latin-1"))
+        expected |= {row[0]: [c or None for c in row[1:]] for row in _as_read(body)[1:]}
+    done = delimited.read_mixed_encoding(spark, str(tmp_path), {c: (c,) for c in "kvw"})
+    rows = done.orderBy("src_file", "line_at").collect()
+    assert {r.k: [r.v, r.w] for r in rows} == expected
+    assert [r.k for r in rows] == [f"{n}{i}" for n in "ab" for i in range(25)]
+    assert all(r.malformed is None for r in rows)
+
+
+def test_states_at_line_ends(values):
+    lines = ["a;b", 'a;"b', 'a;b"c', '"a;""', '"a;"""', 'a";b', '";"', "", 'x;"y";"z', 'x;"y"z;"']
+    assert values(delimited.leaves_open("v"), lines) == [False, True, False, True, False, False, False, False, True, True]
+    assert values(delimited.leaves_open("v", True), lines) == [True, False, False, False, True, False, True, True, True, True]
+
+
+def test_a_quote_that_is_never_closed(spark, tmp_path):
+    (tmp_path / "1T2024_despesas.csv").write_text('cnpj;razao_social;valor_despesas\n1;"open;1,00\n2;b;2,00\n')
+    (tmp_path / "1T2024_despesas_b.csv").write_text('cnpj;razao_social;valor_despesas\n3;"c\nd";3,00\n')
+    registry = spark.createDataFrame([], S.REGISTRY)
+    done = ingest.ingest_landing(spark, str(tmp_path), registry)
+    assert [(r.entity_id, r.entity_name) for r in done.expense.collect()] == [("3", "c\nd")]
+    assert [r.problem for r in done.rejects.collect()] == [ingest.UNCLOSED]
+
+
+def test_wide_lines_are_told_by_their_fields(spark, tmp_path):
+    good = ['1;2;3;""', '1;"2;x";3', 'a"b;c;d"e', "1;2;3;;;", "1;2", '1;"""";3; ']
+    wide = ['a"b;c;d"e;f', '1;2;3;"x"', "1;2;3;;;x", '1;2;"3";;"a;b"']
+    (tmp_path / "f.csv").write_text("\n".join(["x;y;z", *good, *wide]))
+    rows = delimited.read_mixed_encoding(spark, str(tmp_path), {c: (c,) for c in "xyz"}).orderBy("line_at").collect()
+    assert [r.malformed for r in rows] == [None] * len(good) + wide
+    assert [r.y for r in rows[: len(good)]] == ["2", "2;x", "c", "2", "2", '"']
