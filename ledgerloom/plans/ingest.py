@@ -25,10 +25,14 @@ UNCLOSED = "a quote is never closed"
 
 @dataclass(frozen=True)
 class Ingested:
-    """The consolidated rows, and the files and lines that could not be read with the reason."""
+    """The consolidated rows, and the files and lines that could not be read with the reason.
+
+    ``rows`` are the flagged rows before equal ones become one.
+    """
 
     expense: DataFrame
     rejects: DataFrame
+    rows: DataFrame
 
 
 def read_registry(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -233,7 +237,7 @@ def ingest_lines(lines: DataFrame, registry: DataFrame) -> Ingested:
     lines_out = rows.filter(F.col("malformed").isNotNull()).select(
         *FILE_KEY, F.lit(TOO_WIDE).alias("problem"), F.col("malformed").alias("line")
     )
-    return Ingested(consolidate(flagged), rejects.unionByName(lines_out))
+    return Ingested(consolidate(flagged), rejects.unionByName(lines_out), flagged)
 
 
 def ingest_landing(
@@ -271,4 +275,4 @@ def ingest_landing(
         F.lit(archives.UNSUPPORTED).alias("problem"),
     )
     damaged = bad.withColumn("entry", F.coalesce("entry", F.lit("")))
-    return Ingested(done.expense, dedupe.union_aligned([done.rejects, unsupported, damaged]))
+    return Ingested(done.expense, dedupe.union_aligned([done.rejects, unsupported, damaged]), done.rows)
