@@ -8,6 +8,7 @@ import uuid
 import zipfile
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark import cloudpickle
 
 LEDGER_HEADER = "REG_ANS;DESCRICAO;VL_SALDO_FINAL"
@@ -30,3 +31,32 @@ def pack_batches(batches):
             ],
             names=["path", "content"],
         )
+
+
+def _store(place: str, name: str, content: bytes) -> None:
+    target, folder = fs.FileSystem.from_uri(place if "://" in place else place.replace("file:", "file://", 1))
+    target.create_dir(folder, recursive=True)
+    with target.open_output_stream(f"{folder}/{name}") as out:
+        out.write(content)
+
+
+def write_files(batches):
+    """(place, name, line) rows: each line is a file."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            _store(row["place"], row["name"], row["line"].encode())
+        yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["files"])
+
+
+def write_archives(batches):
+    """(place, name, line) rows, sorted by name: the lines of a batch under one name are one archive."""
+    for number, batch in enumerate(batches):
+        by_name = {}
+        for row in batch.to_pylist():
+            by_name.setdefault((row["place"], row["name"]), []).append(row["line"])
+        for (place, name), lines in by_name.items():
+            packed = io.BytesIO()
+            with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+                archive.writestr("pasta é/ledger %.csv", "\n".join([LEDGER_HEADER, *lines]).encode())
+            _store(place, f"{number} {name}", packed.getvalue())
+        yield pa.RecordBatch.from_arrays([pa.array([len(by_name)], pa.int64())], names=["files"])

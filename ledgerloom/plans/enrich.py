@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import schema as S
 from ledgerloom.functions import ids
 from ledgerloom.operators import dedupe, filters, joins, quality, stats
 from ledgerloom.operators.ranking import top_k
+from ledgerloom.sinks import tables
 
 ATTRIBUTES = ("registration", "category", "region")
 
@@ -44,6 +45,32 @@ def enrich(expense: DataFrame, registry: DataFrame) -> DataFrame:
     return joins.with_match_status(found, "_hit")
 
 
+def load_for_enrichment(expense: DataFrame, registry: DataFrame, name: str, place: str, buckets: int) -> None:
+    """Store expenses and registry bucketed by cleaned id: ``<name>_expense`` and ``<name>_registry``.
+
+    Rows without an id are a plain table of their own below ``place``, for no join needs them in a bucket.
+    """
+    cleaned = expense.withColumn("entity_id", ids.digits_only("entity_id"))
+    keyed, blank = tables.with_key(cleaned, "entity_id")
+    tables.load_bucketed(keyed, f"{name}_expense", f"{place}/expense", "entity_id", buckets)
+    tables.load_bucketed(match_table(registry), f"{name}_registry", f"{place}/registry", "entity_id", buckets)
+    tables.reload(blank, f"{place}/blank")
+
+
+def enrich_bucketed(spark: SparkSession, name: str, place: str) -> DataFrame:
+    """What ``enrich`` gives, from tables that ``load_for_enrichment`` stored: no row is shuffled."""
+    keyed, table = spark.table(f"{name}_expense"), spark.table(f"{name}_registry")
+    found = keyed.join(table.withColumn("_hit", F.lit(True)), "entity_id", "left").withColumn("_hit", F.coalesce("_hit", F.lit(False)))
+    blank = spark.read.parquet(f"{place}/blank").withColumn("_hit", F.lit(False))
+    return joins.with_match_status(found.unionByName(blank, allowMissingColumns=True), "_hit")
+
+
+def totals_bucketed(spark: SparkSession, name: str) -> DataFrame:
+    """Total and number of rows of every id, with its attributes; aggregated and joined within buckets."""
+    sums = spark.table(f"{name}_expense").groupBy("entity_id").agg(stats.total("amount").alias("total"), F.count(F.lit(1)).alias("n_rows"))
+    return sums.join(spark.table(f"{name}_registry"), "entity_id", "left")
+
+
 def coverage(enriched: DataFrame) -> DataFrame:
     """One row: rows, matched, unmatched, percentage, distinct ids."""
     n, hit = F.count(F.lit(1)), F.count_if(F.col("match_status") == S.MATCHED)

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom import schema as S
 from ledgerloom.functions import ids, numbers, text
 from ledgerloom.operators import columns as C
 from ledgerloom.operators import dedupe, filters, joins, ranking, stats
-from ledgerloom.session import materialize
+from ledgerloom.session import materialize, remove_folder, replace_folder, scratch
+from ledgerloom.sinks import tables
 
+SUMMARY = "entity_id string, entity_name string, total decimal(38,2), n_amounts long, year int, quarter int"
 EXPENSE_ORDER = ("year", "quarter", "entity_name")
 
 
@@ -68,6 +71,72 @@ def summarize(expense: DataFrame) -> DataFrame:
     )
 
 
+def entity_totals(summary: DataFrame) -> DataFrame:
+    """Sums of a summary over all periods, per id and name; ``n_periods`` counts its rows."""
+    return summary.groupBy("entity_id", "entity_name").agg(
+        stats.total("total").alias("total"), F.sum("n_amounts").alias("n_amounts"), F.count(F.lit(1)).alias("n_periods")
+    )
+
+
+def shift_totals(totals: DataFrame, old: DataFrame, new: DataFrame) -> DataFrame:
+    """``totals`` after the summary rows ``old`` gave way to ``new``.
+
+    Sums are decimals, so subtracting what was added leaves nothing behind.  Groups without any period go; a
+    total without amounts is NULL, as a sum over them is.
+    """
+    less, more = entity_totals(old), entity_totals(new)
+    sums = ("total", "n_amounts", "n_periods")
+    less = less.withColumns({c: -F.col(c) for c in sums})
+    merged = totals.unionByName(less).unionByName(more).groupBy("entity_id", "entity_name")
+    added = merged.agg(stats.total_or_zero("total").alias("total"), *[F.sum(c).alias(c) for c in sums[1:]])
+    shown = F.when(F.col("n_amounts") > 0, F.col("total")).cast(stats.TOTAL)
+    return added.filter("n_periods > 0").withColumn("total", shown)
+
+
+def build_summary(spark: SparkSession, expense: str, place: str) -> None:
+    """Store the summary of an expense table by period, and its totals, below ``place``."""
+    tables.reload(spark.createDataFrame([], SUMMARY), f"{place}/summary")
+    tables.load_periods(summarize(spark.read.parquet(expense)), f"{place}/summary")
+    tables.reload(entity_totals(read_summary(spark, place)), f"{place}/totals")
+
+
+def read_summary(spark: SparkSession, place: str) -> DataFrame:
+    """The stored summary; its periods are partitions."""
+    return spark.read.schema(SUMMARY).parquet(f"{place}/summary")
+
+
+def read_totals(spark: SparkSession, place: str) -> DataFrame:
+    return spark.read.parquet(f"{place}/totals")
+
+
+def refresh_summary(spark: SparkSession, expense: str, place: str, periods: Iterable[tuple[int | None, int | None]]) -> None:
+    """Follow the replacement of some periods of the expense table; only these are read from it.
+
+    The totals move by the difference of the periods' old and new summaries.  They change places
+    first and the summary follows, so ``rebuild_totals`` puts right what an interrupted call leaves.
+    """
+    periods = list(periods)
+    chosen = tables.of_periods(periods)
+    with scratch(spark):
+        new = materialize(summarize(spark.read.parquet(expense).filter(chosen)), "summary-new")
+        old = materialize(read_summary(spark, place).filter(chosen), "summary-old")
+        beside = f"{place}/totals__next_{uuid.uuid4().hex}"
+        shift_totals(read_totals(spark, place), old, new).write.parquet(beside)
+        replace_folder(spark, beside, f"{place}/totals")
+        tables.load_periods(new, f"{place}/summary")
+        present = {(r.year, r.quarter) for r in new.select("year", "quarter").distinct().collect()}
+    for year, quarter in set(periods) - present:
+        names = ["__HIVE_DEFAULT_PARTITION__" if v is None else v for v in (year, quarter)]
+        remove_folder(spark, f"{place}/summary/year={names[0]}/quarter={names[1]}")
+
+
+def rebuild_totals(spark: SparkSession, place: str) -> None:
+    """The totals anew from the summary; the expense table is not read."""
+    beside = f"{place}/totals__next_{uuid.uuid4().hex}"
+    entity_totals(read_summary(spark, place)).write.parquet(beside)
+    replace_folder(spark, beside, f"{place}/totals")
+
+
 # --- directory and search ------------------------------------------------------------
 
 

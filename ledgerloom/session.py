@@ -86,6 +86,12 @@ def _delete(spark: SparkSession, path: str) -> bool:
     return files.delete(folder, True)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder and what it holds; nothing happens if there is none."""
+    _delete(spark, path)
+    spark.catalog.refreshByPath(path)
+
+
 def replace_folder(spark: SparkSession, new: str, path: str) -> None:
     """Let ``new`` take the place of ``path``; the old folder goes last.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -138,3 +138,48 @@ def upsert_table(
 def read_evolved(spark: SparkSession, path: str, contract: T.StructType) -> DataFrame:
     """Read files of several schema generations; added columns are NULL in old ones."""
     return S.conform(spark.read.option("mergeSchema", True).parquet(path), contract)
+
+
+# --- tables that know their layout ------------------------------------------------------------
+
+
+def stored_periods(spark: SparkSession, path: str) -> DataFrame:
+    """The (year, quarter) pairs of a table loaded by period, from its folder names alone."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    named = files.load(path).select(
+        *[F.regexp_extract("path", f"/{c}=([0-9]+)/", 1).alias(c) for c in PERIOD]
+    )
+    known = named.filter("year <> '' and quarter <> ''").distinct()
+    return known.select(*[F.col(c).cast("int").alias(c) for c in PERIOD])
+
+
+def of_periods(periods: Iterable[tuple[int | None, int | None]]) -> Column:
+    """A condition on the partition columns alone, which Spark applies to its file list."""
+    chosen = F.lit(False)
+    for year, quarter in periods:
+        chosen = chosen | (F.col("year").eqNullSafe(F.lit(year)) & F.col("quarter").eqNullSafe(F.lit(quarter)))
+    return chosen
+
+
+def read_latest_periods(spark: SparkSession, path: str, n: int = 3) -> DataFrame:
+    """The rows of the n newest periods; other periods' files are not opened, not even to find them."""
+    newest = stored_periods(spark, path).orderBy(F.desc("year"), F.desc("quarter")).limit(n).collect()
+    return spark.read.parquet(path).filter(of_periods([(r.year, r.quarter) for r in newest]))
+
+
+def load_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int) -> None:
+    """Replace a catalog table bucketed and sorted by ``key``, one file a bucket.
+
+    Tables with the same number of buckets are joined, and grouped, by the key without an exchange.  Rows
+    with a blank key, which match nothing and may be many, belong elsewhere: see ``with_key``.
+    """
+    spark = df.sparkSession
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    writer = df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    writer.option("path", path).saveAsTable(name)
+
+
+def with_key(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """The rows with a key, and those without."""
+    blank = F.col(key).isNull() | (F.col(key) == "")
+    return df.filter(~blank), df.filter(blank)

@@ -74,7 +74,8 @@ def list_landing(spark: SparkSession, path: str) -> DataFrame:
     )
     year, quarter = periods.period_in_name("path")
     named = files.withColumns(
-        {"file_name": file_name("path"), "year": year, "quarter": quarter}
+        # a path is no URL: '#' and '?' belong to the name
+        {"file_name": F.substring_index("path", "/", -1), "year": year, "quarter": quarter}
     )
     return named.withColumns(
         {

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from bindings import queries as Q
 from bindings import views as V
+from ledgerloom import schema as S
 from ledgerloom.operators import dedupe, quality
 from ledgerloom.plans import enrich, serving, validate
+from ledgerloom.sinks import tables
 from ledgerloom.sources import delimited
 
 
@@ -20,7 +22,7 @@ def full_plan(df):
     return df._jdf.queryExecution().toString()
 
 
-PYTHON_QUERIES = {"zip_source"}
+PYTHON_QUERIES = {"zip_source"}  # archives, but where their lines are stored first
 
 
 @pytest.mark.parametrize("name", sorted(Q.QUERIES))
@@ -117,3 +119,40 @@ def test_broadcasts_are_bounded_or_planned_by_size(spark, sf_dir, setting):
     for name in ("enrich_left", "issue_flags", "dashboard_regions", "entity_history", "upsert_by_key"):
         text = plan(Q.QUERIES[name](spark, sf_dir))
         assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text, name
+
+
+def test_bucketed_tables_are_joined_and_grouped_in_place(spark, sf_dir, setting):
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    name, place = Q._bucketed(spark, sf_dir)
+    joined = enrich.enrich_bucketed(spark, name, place)
+    assert "SortMergeJoin" in plan(joined) and "Exchange" not in plan(joined)
+    totals = enrich.totals_bucketed(spark, name)
+    assert "SortMergeJoin" in plan(totals) and "Exchange" not in plan(totals)
+
+
+def test_latest_periods_are_the_only_ones_opened(spark, sf_dir, tmp_path):
+    place = str(tmp_path / "t")
+    tables.load_periods(V.expense(spark, sf_dir).select(*S.EXPENSE_COLUMNS), place)
+    known = tables.stored_periods(spark, place)
+    assert "binaryFile" in plan(known) and "content" not in plan(known)
+    rows = tables.read_latest_periods(spark, place, 2)
+    assert "PartitionFilters: [" in plan(rows) and "PartitionFilters: []" not in plan(rows)
+    expected = sorted({(r.year, r.quarter) for r in known.collect()})[-2:]
+    assert sorted({(r.year, r.quarter) for r in rows.select("year", "quarter").distinct().collect()}) == expected
+    opened = {f.split("/year=")[1].rsplit("/", 1)[0] for f in rows.inputFiles()}
+    assert len({f.split("/year=")[1].rsplit("/", 1)[0] for f in spark.read.parquet(place).inputFiles()}) > len(expected)
+    read = {r.p for r in rows.select(F.regexp_extract("_metadata.file_path", "year=(.*)/part", 1).alias("p")).distinct().collect()}
+    assert len(read) == 2 and opened
+
+
+def test_a_refresh_reads_the_changed_periods_only(spark, sf_dir, tmp_path):
+    place, chosen = str(tmp_path), tables.of_periods([(1995, 1)])
+    tables.load_periods(V.expense(spark, sf_dir).select(*S.EXPENSE_COLUMNS), f"{place}/expense")
+    read = serving.summarize(spark.read.parquet(f"{place}/expense").filter(chosen))
+    assert "PartitionFilters: [(" in plan(read)
+    serving.build_summary(spark, f"{place}/expense", place)
+    before = sorted(map(str, serving.read_totals(spark, place).collect()))
+    serving.refresh_summary(spark, f"{place}/expense", place, [(1995, 1), (None, 2)])
+    assert sorted(map(str, serving.read_totals(spark, place).collect())) == before  # nothing had changed
+    serving.rebuild_totals(spark, place)
+    assert sorted(map(str, serving.read_totals(spark, place).collect())) == before
