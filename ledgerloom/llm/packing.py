@@ -28,7 +28,7 @@ from ledgerloom.llm.words import by_size
 
 by_value(__name__)
 
-AT_ONCE = 12 << 20  # bytes of text that are encoded together
+AT_ONCE = 6 << 20  # bytes of text that are encoded together
 RANK_BITS = 48  # ranks of one length stay below 2 ** 48
 
 
