@@ -67,13 +67,15 @@ def to_whole(c: Column | str) -> Column:
     """Coercing parse of a whole number ('3', ' 3 ', '3.0'); no number gives NULL.
 
     A number that is no whole number becomes 0 and one beyond the type its largest or smallest
-    value, so that range checks see them.
+    value, so that range checks see them.  Plain digits, which most values are, are matched and
+    cast at once: what follows looks at the text several times.
     """
     number = matched(c, ANY_NUMBER, 1).cast("double")
     largest = float(LARGEST["int"])
     bounded = F.greatest(F.least(number, F.lit(largest)), F.lit(-largest))
     whole = F.when(bounded == F.floor(bounded), bounded).otherwise(0.0)
-    return F.when(number.isNotNull(), whole).cast("int")  # least and greatest pass over NULL
+    # least and greatest pass over NULL
+    return F.when(_col(c).rlike("^[0-9]{1,9}$"), _col(c).cast("int")).when(number.isNotNull(), whole.cast("int"))
 
 
 def ratio(top: Column | str, bottom: Column | str) -> Column:
