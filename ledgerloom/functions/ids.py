@@ -51,11 +51,6 @@ def registration_key(c: Column | str) -> Column:
     return F.regexp_replace(F.trim(_col(c).cast("string")), "^0+(?=.)", "")
 
 
-def is_well_formed(c: Column | str) -> Column:
-    c = _col(c)
-    return F.coalesce(c.rlike("^[0-9]{14}$") & (c != ZERO_ID), F.lit(False))
-
-
 def id_number(c: Column | str) -> Column:
     """A 14-digit id as a number, NULL for anything else."""
     return matched(c, "^[0-9]{14}$").cast("bigint")
