@@ -5,7 +5,7 @@ over the counts of vote patterns (of all documents; at most 3 to the number of l
 how each labeller votes on good and on bad documents, and with that the posterior label
 of every pattern.  The posteriors train a linear scorer on hashed features of words, word shapes and
 repetition, fitted on a sample of at most ``fit_rows`` documents (those with the smallest hash of
-their id).  Every document is then scored, whole.
+id and text).  Every document is then scored, whole.
 
 Nulls and edges: a null, empty or blank text has no words; labellers that need words abstain on it, and it
 is scored by the bias and its length alone.  Rows that repeat an id are voted on and scored one by one; a null id stays null.
