@@ -72,7 +72,7 @@ def decode(raw: Column | str, is_utf8: Column) -> Column:
 def is_blank(raw: Column | str) -> Column:
     """Nothing but white space; decoding does not matter for that."""
     raw = F.col(raw) if isinstance(raw, str) else raw
-    return F.trim(F.translate(raw.cast("string"), "\t\r\f\v", "    ")) == ""
+    return F.btrim(raw.cast("string"), F.lit(" \t\r\f\v")) == ""  # looks no further than the first other character
 
 
 # Fields as the parser sees them: a quote opens a field only at its beginning, and is doubled inside.
