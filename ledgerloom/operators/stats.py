@@ -25,6 +25,27 @@ def mean(c: str) -> Column:
     return F.try_divide(F.sum(c).cast("double"), F.count(c).cast("double"))
 
 
+def exact_squares(c: str) -> Column:
+    """Sum of squared cents as a whole number; NULL beyond 38 digits."""
+    cents = (F.col(c).cast(TOTAL) * 100).try_cast("decimal(19,0)")
+    squared = F.try_multiply(cents, cents).cast("decimal(38,0)")
+    fits = F.bool_and(cents.isNotNull() | F.col(c).isNull())
+    return F.when(fits, F.try_sum(squared))
+
+
+def exact_deviation(n: str, total: str, squares: str) -> Column:
+    """Sample standard deviation from count, decimal sum and squared cents.
+
+    n * squares - total^2 is a whole number, so nothing is rounded before the last steps and the order of the rows does
+    not show.  NULL below two values, or where that number does not fit 38 digits.
+    """
+    count = F.col(n).cast("decimal(19,0)")
+    cents = (F.col(total).cast(TOTAL) * 100).try_cast("decimal(38,0)")
+    spread = F.try_subtract(F.try_multiply(count, F.col(squares)), F.try_multiply(cents, cents))
+    pairs = (count * (count - 1)).cast("double")
+    return F.when(F.col(n) > 1, F.sqrt(F.try_divide(spread.cast("double"), pairs)) / 100)
+
+
 def period_totals(df: DataFrame, keys: Iterable[str], drop_null_periods: bool = True) -> DataFrame:
     """Sum per key and quarter; periods that are not known can be left out."""
     if drop_null_periods:
@@ -41,14 +62,26 @@ def variability(df: DataFrame) -> DataFrame:
 
 
 def quarter_statistics(totals: DataFrame, keys: Iterable[str]) -> DataFrame:
-    """Second level: statistics over the quarter totals of each group."""
+    """Second level: statistics over the quarter totals of each group.
+
+    The deviation is exact, so it has the same bits under any partitioning.
+    """
     grouped = totals.groupBy(*keys).agg(
         total("total").alias("_sum"),
         mean("total").alias("mean"),
-        F.coalesce(F.stddev_samp(F.col("total").cast("double")), F.lit(0.0)).alias("std"),
+        exact_squares("total").alias("_squares"),
+        F.stddev_samp(F.col("total").cast("double")).alias("_std"),
         F.count("total").cast("int").alias("n_quarters"),
     )
-    named = grouped.withColumnRenamed("_sum", "total")
+    exact = exact_deviation("n_quarters", "_sum", "_squares")
+    named = grouped.select(
+        *keys,
+        F.col("_sum").alias("total"),
+        "mean",
+        # beyond 38 digits only doubles are left
+        F.coalesce(exact, "_std", F.lit(0.0)).alias("std"),
+        "n_quarters",
+    )
     return variability(named.withColumn("mean_per_quarter", F.col("mean")))
 
 
