@@ -34,7 +34,8 @@ by_value(__name__)
 DEGREE = 16  # links of a node above the ground level; twice as many there
 SHARDS = 8
 SHARD_ROWS = 50_000  # more nodes make more shards
-LOT = 16_384  # nodes that query a shard in one task
+LOT_BYTES = 32 << 20  # of the vectors of the nodes that query a shard in one task
+HELD_PLACES = 1 << 20  # of beams held at once: wider beams are searched for fewer nodes at a time
 BUILD_BEAM = 48
 WIDE = 4  # nodes a beam expands at once
 CELLS = 1 << 24  # of the table of visited nodes
@@ -42,7 +43,9 @@ AUDIT = 256
 LINKED = 64  # linked nodes outside the large components that an audit must meet
 MOST = 8192  # nodes that an audit draws at most to meet them
 LARGE = 64  # components that hold more than this part of the nodes are audited by themselves
-MEMBERS = 2048  # of a component that meet in one block
+MEMBERS = 2048  # of small components that share a block
+GRID = 16  # a part of a large component holds so many times more, if its vectors stay within PART_BYTES
+PART_BYTES = 32 << 20
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -91,7 +94,7 @@ def beam_search(vectors: np.ndarray, links: np.ndarray, queries: np.ndarray, sta
     size, total = len(links), len(queries)
     nodes = np.full((total, beam), -1, np.int64)
     near = np.full((total, beam), -np.inf, np.float32)
-    step = max(1, CELLS // max(size, 1))
+    step = max(1, min(CELLS // max(size, 1), HELD_PLACES // beam))
     for lo in range(0, total, step):
         q = queries[lo : lo + step]
         rows = np.arange(len(q))
@@ -234,13 +237,15 @@ def _query(graphs: pa.Table, asking: pa.Table, dims: int, beam: int, least: floa
         sizes.append(len(levels[-1]))
     graph = Graph(exact.astype(np.float32), levels)
     names, wanted = asking.column("id").to_numpy(), _unit(matrix(asking.column("v"), dims))
-    found = graph.search(wanted.astype(np.float32), min(beam, len(ids)))
+    beam = min(beam, len(ids))
+    step = max(1, HELD_PLACES // beam)
     forest, out = Forest(), []
-    for lo in range(0, len(names), 4096):
-        part = found[lo : lo + 4096]
-        for column in range(part.shape[1]):
-            place = part[:, column]
-            cosine = np.where(place >= 0, (exact[place] * wanted[lo : lo + 4096]).sum(axis=1), -1.0)
+    for lo in range(0, len(names), step):
+        asked = wanted[lo : lo + step]
+        found = graph.search(asked.astype(np.float32), beam)
+        for column in range(found.shape[1]):
+            place = found[:, column]
+            cosine = np.where(place >= 0, (exact[place] * asked).sum(axis=1), -1.0)
             for i in np.flatnonzero(cosine >= least).tolist():
                 a, b = int(names[lo + i]), int(ids[place[i]])
                 if a != b and forest.join(a, b):
@@ -311,33 +316,44 @@ def _linked(nodes: DataFrame, shards: int, lots: int, graphs: DataFrame, dims: i
 def _counted(members: DataFrame, dims: int, least: float) -> DataFrame:
     """``id`` and ``links`` of all members (root, id, v, copies) of components.
 
-    Small components share a block; a large one is cut into parts, and each pair of parts is a block.
+    Small components share a block; a large one is cut into parts, and each pair of parts is a block that counts for
+    both.  A component of n members moves them n / part times.
     """
     sizes = stored(members.groupBy("root").agg(F.count(F.lit(1)).alias("n")), "sizes")
     total = sizes.agg(F.sum("n")).first()[0] or 0
     bins = -(-total // MEMBERS)
+    held = max(MEMBERS, min(GRID * MEMBERS, PART_BYTES // (8 * max(dims, 1))))
     is_small = F.col("n") <= MEMBERS // 2
     block = F.when(is_small, -1 - F.pmod(F.xxhash64("root"), F.lit(max(bins, 1)))).otherwise(F.col("root"))
-    parts = F.when(is_small, 1).otherwise(F.ceil(F.col("n") / MEMBERS)).cast("int")
+    parts = F.when(is_small, 1).otherwise(F.ceil(F.col("n") / held)).cast("int")
     dealt = members.join(sizes, "root").withColumn("block", block).withColumn("small", is_small).withColumn("parts", parts)
     dealt = dealt.withColumn("part", F.pmod(F.xxhash64("id", F.lit(2)), F.col("parts")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    left = dealt.select("block", "small", F.col("part").alias("p"), other.alias("q"), "root", "id", "v")
-    same = [F.col(c).alias(c) for c in ("block", "small", "root", "id", "v", "copies")]  # columns of their own, not those of left
-    right = dealt.select(other.alias("p"), F.col("part").alias("q"), *same)
-
-    def run(mine: pa.Table, others: pa.Table) -> pa.Table:
+    same = [F.col(c).alias(c) for c in ("block", "small", "root", "id", "v", "copies")]
+    left = dealt.select(F.col("part").alias("p"), F.explode(F.sequence("part", F.col("parts") - 1)).alias("q"), *same)
+    # a part meets itself on the left alone
+    right = dealt.where("part > 0").select(F.explode(F.sequence(F.lit(0), F.col("part") - 1)).alias("p"), F.col("part").alias("q"), *same)
+    kinds = pa.schema([("id", pa.int64()), ("links", pa.int64())])
+
+    def run(key: tuple, mine: pa.Table, others: pa.Table) -> pa.Table:
+        alone = key[2].as_py() == key[3].as_py()
+        others = mine if alone else others
         if not mine.num_rows or not others.num_rows:
-            return pa.table({"id": pa.array([], pa.int64()), "links": pa.array([], pa.int64())})
+            return kinds.empty_table()
         ids, names = mine.column("id").to_numpy(), others.column("id").to_numpy()
         roots, groups = mine.column("root").to_numpy(), others.column("root").to_numpy()
-        wanted = _unit(matrix(others.column("v"), dims))
-        vectors, copies, out = _unit(matrix(mine.column("v"), dims)), others.column("copies").to_numpy(), []
+        copies, theirs = mine.column("copies").to_numpy(), others.column("copies").to_numpy()
+        vectors = _unit(matrix(mine.column("v"), dims))
+        wanted = vectors if alone else _unit(matrix(others.column("v"), dims))
+        counts, back = np.zeros(len(ids), np.int64), np.zeros(len(names), np.int64)
         for at in range(0, len(ids), 256):
             rows = slice(at, at + 256)
             linked = (vectors[rows] @ wanted.T >= least) & (roots[rows, None] == groups) & (ids[rows, None] != names)
-            out.append(linked @ copies)
-        return pa.table({"id": pa.array(ids), "links": pa.array(np.concatenate(out))})
+            counts[rows] = linked @ theirs
+            if not alone:
+                back += copies[rows] @ linked
+        if not alone:
+            ids, counts = np.concatenate((ids, names)), np.concatenate((counts, back))
+        return pa.table({"id": pa.array(ids), "links": pa.array(counts)}, schema=kinds)
 
     keys = ["block", "small", "p", "q"]
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, "id long, links long")
@@ -354,7 +370,7 @@ def near_duplicates(df: DataFrame, least: float = 0.9, recall: float = 0.995, be
     if not total:
         return everyone.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.col("id").isNotNull().alias("kept"))
     shards = max(shards, -(-total // SHARD_ROWS))
-    lots = -(-total // LOT)
+    lots = -(-total * 8 * dims // LOT_BYTES)
     dealt = nodes.select("id", "v", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard"))
     graphs = stored(
         dealt.groupBy("shard").applyInArrow(
