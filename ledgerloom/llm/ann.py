@@ -1,19 +1,19 @@
 """Nearest neighbours by inner product: an inverted file whose lists are scanned adaptively.
 
-The lists' centroids are fitted on at most ``fit_rows`` vectors; every vector is then put into its
-list.  How many lists a query probes follows from an audit: the exact neighbours of at most ``audit``
+There are twice as many lists as the root of the number of vectors; their centroids are fitted by rounds of
+distributed means over a sample that grows with them (``A_LIST`` vectors a list, or ``fit_rows``).  Every vector is
+then put into its list.  How many lists a query probes follows from an audit: the exact neighbours of at most ``audit``
 queries over all rows, and the smallest number of lists that leaves half of the allowed loss to the
 tests below.  These queries are then searched like all others, and what loses more, lists or tests,
 is widened until ``recall`` of their neighbours is found; only then are all queries searched.  A query
 whose lists hold fewer than ``k`` other rows probes further ones.
 
-Lists travel in bundles of bounded size.  Vectors are rotated at random and scanned in column blocks.
-With r the distance at which a candidate would just reach the query's running k-th score, it is
+Lists travel in bundles of bounded size.  A query's nearest lists, as many as hold more than ``k`` rows, are scored first and
+whole; their k-th score is the query's bound.  The vectors of its other lists are rotated at random and scanned in column
+blocks.  With r the distance at which a candidate would just reach that bound, it is
 abandoned as soon as its partial distance, scaled up to all dimensions, exceeds
-``(1 + eps / sqrt(read)) * r``: a hypothesis test that is wrong only rarely.  The
-bound is the k-th score among the fitted sample or among the first ``k`` rows of the nearest lists, whichever is
-larger; the sample gives bounds only, and all results come from the probed lists.  These first rows, which no test
-abandons, and what survives are scored on the original vectors in double precision.
+``(1 + eps / sqrt(read)) * r``: a hypothesis test that is wrong only rarely.  What survives is scored on the original
+vectors in double precision.
 
 Nulls and edges: vectors that are null, zero, of another length than most, or hold null or
 non-finite components take no part, nor do rows without an id; of rows that repeat an id one
@@ -37,25 +37,65 @@ from ledgerloom.llm.vectors import matrix, rotation, sample, usable
 by_value(__name__)
 
 BLOCKS = 4  # column blocks of the rotated vectors
-FIT_ROWS = 8192
+A_LIST = 32  # vectors a list in the sample that centroids are fitted on
+MOST_LISTS = 65_536  # beyond that lists grow: all centroids go to every task
+DRAWS = 1 << 30
 AUDIT = 256
 BUNDLE = 2048  # vectors whose lists travel together
 PART = 4096  # vectors of a bundle in one task
 ASKED = 4096  # queries of a bundle in one task
 
 
-def fit_centroids(vectors: np.ndarray, lists: int, rounds: int = 6, seed: int = 11) -> np.ndarray:
-    lists = min(lists, len(vectors))
-    centroids = vectors[np.random.default_rng(seed).choice(len(vectors), lists, replace=False)].copy()
+def fit_centroids(rows: DataFrame, total: int, lists: int, dims: int, fit_rows: int, rounds: int = 6) -> np.ndarray:
+    """Centroids by rounds of means over about ``fit_rows`` of the rows; only centroids come to the driver.
+
+    Entries are summed as whole numbers, so the order of the rows does not show.
+    """
+    drawn = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(DRAWS)) < int(DRAWS * min(1.0, fit_rows / total))
+    fitted = rows if fit_rows >= total else stored(rows.where(drawn), "fitted")
+    first = fitted if fit_rows >= total else fitted.unionByName(rows.orderBy("id").limit(1)).distinct()  # never none
+    centroids = matrix(sample(first, lists, 11).column("v"), dims)
     for _ in range(rounds):
-        own = nearest_lists(vectors, centroids, 1)[:, 0]
-        sums = np.zeros_like(centroids)
-        np.add.at(sums, own, vectors)
-        counts = np.bincount(own, minlength=lists)
-        centroids[counts > 0] = sums[counts > 0] / counts[counts > 0, None]
+        centroids = _means(fitted, centroids, dims)
     return centroids
 
 
+def _means(rows: DataFrame, centroids: np.ndarray, dims: int) -> np.ndarray:
+    """The mean of the vectors nearest to each centroid; one that has none stays."""
+    scale = 2.0 ** (36 - math.frexp(float(np.abs(centroids).max()))[1])
+    most = 2.0**40  # 2^22 rows of a task stay below 2^63; entries 16 times the largest centroid's count as that
+
+    def run(batches):
+        sums, counts = {}, {}
+        for batch in batches:
+            vectors = matrix(batch.column(0), dims)
+            own = nearest_lists(vectors, centroids, 1)[:, 0]
+            whole = np.rint(np.clip(vectors * scale, -most, most)).astype(np.int64)
+            order = np.argsort(own, kind="stable")
+            heads, begins, sizes = np.unique(own[order], return_index=True, return_counts=True)
+            for head, size, added in zip(heads.tolist(), sizes.tolist(), np.add.reduceat(whole[order], begins, axis=0), strict=True):
+                sums[head] = sums[head] + added if head in sums else added
+                counts[head] = counts.get(head, 0) + size
+        if sums:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(sums), pa.int32()), pa.array([s.tolist() for s in sums.values()], pa.list_(pa.int64())), pa.array([counts[h] for h in sums], pa.int64())],
+                names=["list", "sums", "n"],
+            )
+
+    parts = rows.select("v").mapInArrow(run, "list int, sums array<long>, n long")
+
+    def merge(table: pa.Table) -> pa.Table:
+        sums = np.array(table.column("sums").to_pylist(), object).sum(axis=0)  # whole numbers of any size
+        n = sum(table.column("n").to_pylist())
+        mean = [float(x) / n / scale for x in sums]
+        return pa.table({"list": table.column("list").slice(0, 1), "mean": pa.array([mean], pa.list_(pa.float64()))})
+
+    moved = centroids.copy()
+    for row in parts.groupBy("list").applyInArrow(merge, "list int, mean array<double>").toArrow().to_pylist():
+        moved[row["list"]] = row["mean"]
+    return moved
+
+
 def nearest_lists(vectors: np.ndarray, centroids: np.ndarray, count: int) -> np.ndarray:
     """The ``count`` lists nearest to each vector, nearest first."""
     half = (centroids**2).sum(axis=1) / 2
@@ -143,7 +183,7 @@ def _found_share(truth: pa.Table, found: DataFrame) -> float:
     return len(wanted & got) / len(wanted) if wanted else 1.0
 
 
-def search(df: DataFrame, queries: DataFrame, k: int = 20, recall: float = 0.96, eps: float = 2.1, fit_rows: int = FIT_ROWS,
+def search(df: DataFrame, queries: DataFrame, k: int = 20, recall: float = 0.96, eps: float = 2.1, fit_rows: int | None = None,
            audit: int = AUDIT, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id and score: the k nearest rows of ``df`` for every row of ``queries``.
 
@@ -154,8 +194,8 @@ def search(df: DataFrame, queries: DataFrame, k: int = 20, recall: float = 0.96,
     if not dims or asked_dims != dims:
         empty = df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
         return empty
-    fitted = sample(rows, fit_rows, 1)
-    centroids = fit_centroids(matrix(fitted.column("v"), dims), max(1, min(4096, 2 * math.isqrt(total))))
+    lists = max(1, min(MOST_LISTS, 2 * math.isqrt(total)))
+    centroids = fit_centroids(rows, total, lists, dims, fit_rows or A_LIST * lists)
     bundles = -(-total // BUNDLE)
     turn = rotation(dims)
 
@@ -173,19 +213,15 @@ def search(df: DataFrame, queries: DataFrame, k: int = 20, recall: float = 0.96,
     counted = placed.groupBy("list").count().collect()  # a row per list
     list_sizes = np.zeros(len(centroids), np.int64)
     list_sizes[[r["list"] for r in counted]] = [r["count"] for r in counted]
-    sample_ids, sample_vectors = fitted.column("id").to_numpy(), matrix(fitted.column("v"), dims)
-
-    def floors(batches):
-        for batch in batches:
-            pairs = zip(batch.column(0).to_pylist(), matrix(batch.column(1), dims), strict=True)
-            bounds = [_kth(inner(sample_vectors, query)[sample_ids != name], k) for name, query in pairs]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bounds, pa.float64())], names=["id", "v", "floor"])
-
-    asked_kind = asked_rows.schema["v"].dataType.simpleString()
-    bounded = stored(asked_rows.mapInArrow(floors, f"id long, v {asked_kind}, floor double"), "floors")
+    bundled = _Bundled(placed, centroids, list_sizes, turn, k, bundles)
+    leading = stored(_ranked(bundled.scan(asked_rows.withColumn("floor", F.lit(-math.inf)), 1, 0.0, leading=True), k), "leading")
+    bounds = leading.where(F.col("rank") == k).select(F.col("query").alias("asked"), F.col("score").alias("floor"))
+    bounded = asked_rows.join(bounds, asked_rows["id"] == bounds["asked"], "left")
+    bounded = stored(bounded.select(asked_rows["id"], "v", F.coalesce("floor", F.lit(-math.inf)).alias("floor")), "bounded")
 
     def scanned(asking: DataFrame, probes: int, eps: float) -> DataFrame:
-        return _ranked(_scan_lists(placed, asking, centroids, list_sizes, turn, probes, eps, k, bundles), k)
+        first = leading.join(asking.select(F.col("id").alias("query")), "query", "left_semi").drop("rank")
+        return _ranked(first.unionByName(bundled.scan(asking, probes, eps, leading=False)), k)
 
     audited = sample(asked_rows, audit, 2)
     truth = exact_top(rows, audited, k, dims).join(rows, "id").select("query", "id", "v").toArrow()  # audit * k rows
@@ -204,87 +240,85 @@ def search(df: DataFrame, queries: DataFrame, k: int = 20, recall: float = 0.96,
     return scanned(bounded, probes, eps).select(F.col("query").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")
 
 
-def _scan_lists(placed: DataFrame, asking: DataFrame, centroids: np.ndarray, list_sizes: np.ndarray, turn: np.ndarray, probes: int,
-                eps: float, k: int, bundles: int) -> DataFrame:
-    """query, id and score: of every part of a query's probed lists the k best that reach its bound.
+class _Bundled:
+    """Lists dealt into bundles, and the scan of the bundles that queries probe."""
 
-    The first k rows of its nearest lists need not reach it, so that no query gets fewer than k.
-    """
-    dims = len(turn)
-    asked_kind = asking.schema["v"].dataType.simpleString()
+    def __init__(self, placed: DataFrame, centroids: np.ndarray, list_sizes: np.ndarray, turn: np.ndarray, k: int, bundles: int) -> None:
+        self.placed, self.centroids, self.list_sizes = placed, centroids, list_sizes
+        self.turn, self.k, self.bundles = turn, k, bundles
+        # large bundles are cut into parts
+        self.sizes = stored(placed.groupBy("bundle").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts")), "bundles")
 
-    def probe(batches):
-        for batch in batches:
-            vectors = matrix(batch.column(1), dims)
+    def _probes(self, asking: DataFrame, probes: int, leading: bool) -> DataFrame:
+        """(id, v, floor, bundle, lists) of the nearest lists that hold more than k rows, or of the others up to ``probes``."""
+        centroids, list_sizes, bundles, k, dims = self.centroids, self.list_sizes, self.bundles, self.k, len(self.turn)
+        kind = asking.schema["v"].dataType.simpleString()
+
+        def order(vectors: np.ndarray) -> list[np.ndarray]:
             near = list(nearest_lists(vectors, centroids, probes))
             for i in [i for i, lists in enumerate(near) if list_sizes[lists].sum() <= k]:
-                order = nearest_lists(vectors[i : i + 1], centroids, len(centroids))[0]
-                near[i] = order[: max(probes, int(np.searchsorted(np.cumsum(list_sizes[order]), k + 1)) + 1)]
-            out = []
-            for i, lists in enumerate(near):
-                sure = np.cumsum(list_sizes[lists]) - list_sizes[lists] <= k  # the nearest ones that hold more than k rows
-                order = np.argsort(lists % bundles, kind="stable")  # nearest first within a bundle
-                lists, sure = lists[order], sure[order]
-                cuts = np.flatnonzero(np.diff(lists % bundles)) + 1
-                parts = zip(np.split(lists, cuts), np.split(sure, cuts), strict=True)
-                out += [(i, int(part[0] % bundles), part.tolist(), int(kept.sum())) for part, kept in parts]
-            pick = pa.array([x[0] for x in out], pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).take(pick), batch.column(1).take(pick), batch.column(2).take(pick),
-                    pa.array([x[1] for x in out], pa.int32()), pa.array([x[2] for x in out], pa.list_(pa.int32())),
-                    pa.array([x[3] for x in out], pa.int32()),
-                ],
-                names=["id", "v", "floor", "bundle", "lists", "sure"],
-            )
+                every = nearest_lists(vectors[i : i + 1], centroids, len(centroids))[0]
+                near[i] = every[: max(probes, int(np.searchsorted(np.cumsum(list_sizes[every]), k + 1)) + 1)]
+            return near
+
+        def run(batches):
+            for batch in batches:
+                out = []
+                for i, lists in enumerate(order(matrix(batch.column(1), dims))):
+                    first = np.cumsum(list_sizes[lists]) - list_sizes[lists] <= k
+                    lists = lists[first if leading else ~first]
+                    for bundle in np.unique(lists % bundles).tolist():
+                        out.append((i, bundle, lists[lists % bundles == bundle].tolist()))
+                pick = pa.array([x[0] for x in out], pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(c).take(pick) for c in range(3)], pa.array([x[1] for x in out], pa.int32()), pa.array([x[2] for x in out], pa.list_(pa.int32()))],
+                    names=["id", "v", "floor", "bundle", "lists"],
+                )
 
-    kinds = f"id long, v {asked_kind}, floor double, bundle int, lists array<int>, sure int"
-    wanted = asking.select("id", "v", "floor").mapInArrow(probe, kinds)
-    # large bundles are cut into parts, and the queries of a bundle into lots
-    sizes = placed.groupBy("bundle").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
-    wanted = stored(wanted, "probes")
-    asks = wanted.groupBy("bundle").agg(F.ceil(F.count(F.lit(1)) / ASKED).cast("int").alias("lots"))
-    sizes = stored(sizes.join(asks, "bundle"), "bundles")
-    left = placed.join(sizes, "bundle").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
-    left = left.withColumn("lot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lots").cast("long") - 1)))
-    right = wanted.join(sizes, "bundle").withColumn("lot", F.pmod(F.xxhash64("id", F.lit(3)), F.col("lots")))
-    right = right.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1)))
-
-    def find(candidates: pa.Table, asking: pa.Table) -> pa.Table:
-        ids, lists = candidates.column("id").to_numpy(), candidates.column("list").to_numpy()
-        vectors = matrix(candidates.column("v"), dims)
-        order = np.argsort(lists, kind="stable")
-        ids, lists, vectors = ids[order], lists[order], vectors[order]
-        turned, norms = vectors @ turn, (vectors**2).sum(axis=1)
-        questions = matrix(asking.column("v"), dims)
-        turned_questions = questions @ turn
-        out: list[list[np.ndarray]] = [[], [], []]
-        floors, sure = asking.column("floor").to_numpy(), asking.column("sure").to_numpy()
-        for i, (name, chosen) in enumerate(zip(asking.column("id").to_pylist(), asking.column("lists").to_pylist(), strict=True)):
-            chosen = np.array(chosen)
-            begins, ends = np.searchsorted(lists, chosen), np.searchsorted(lists, chosen, side="right")
-            places = np.concatenate([np.arange(a, b) for a, b in zip(begins, ends, strict=True)])
-            leading = np.arange(len(places)) < (ends - begins)[: sure[i]].sum()
-            leading, places = leading[ids[places] != name], places[ids[places] != name]
-            first = places[: min(k, int(leading.sum()))]
-            floor = max(floors[i], _kth(inner(vectors[first], questions[i]), k))
-            rest = scan(turned, norms, turned_questions[i], floor, places[len(first) :], eps)
-            rest = rest[inner(vectors[rest], questions[i]) >= floor]
-            places = np.concatenate((first, rest))
-            scores = inner(vectors[places], questions[i])
-            top = best(ids[places], scores, k)
-            out[0].append(np.full(len(top), name, np.int64))
-            out[1].append(ids[places][top])
-            out[2].append(scores[top])
-        return pa.table([np.concatenate(x) if x else np.zeros(0) for x in out], names=["query", "id", "score"])
-
-    keys = ["bundle", "part", "lot"]
-    return (
-        left.select(*keys, "id", "v", "list")
-        .groupBy(*keys)
-        .cogroup(right.select(*keys, "id", "v", "floor", "lists", "sure").groupBy(*keys))
-        .applyInArrow(_when_both(find), "query long, id long, score double")
-    )
+        return asking.select("id", "v", "floor").mapInArrow(run, f"id long, v {kind}, floor double, bundle int, lists array<int>")
+
+    def scan(self, asking: DataFrame, probes: int, eps: float, leading: bool) -> DataFrame:
+        """query, id and score: of every part of a query's lists the k best that reach its bound."""
+        turn, k, dims = self.turn, self.k, len(self.turn)
+        wanted = stored(self._probes(asking, probes, leading), "probes")
+        # the queries of a bundle are cut into lots
+        asks = wanted.groupBy("bundle").agg(F.ceil(F.count(F.lit(1)) / ASKED).cast("int").alias("lots"))
+        sizes = stored(self.sizes.join(asks, "bundle"), "sizes")
+        left = self.placed.join(sizes, "bundle").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
+        left = left.withColumn("lot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lots").cast("long") - 1)))
+        right = wanted.join(sizes, "bundle").withColumn("lot", F.pmod(F.xxhash64("id", F.lit(3)), F.col("lots")))
+        right = right.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1)))
+
+        def find(candidates: pa.Table, asking: pa.Table) -> pa.Table:
+            ids, lists = candidates.column("id").to_numpy(), candidates.column("list").to_numpy()
+            vectors = matrix(candidates.column("v"), dims)
+            order = np.argsort(lists, kind="stable")
+            ids, lists, vectors = ids[order], lists[order], vectors[order]
+            turned, norms = vectors @ turn, (vectors**2).sum(axis=1)
+            questions = matrix(asking.column("v"), dims)
+            turned_questions = questions @ turn
+            floors, out = asking.column("floor").to_numpy(), ([], [], [])
+            for i, (name, chosen) in enumerate(zip(asking.column("id").to_pylist(), asking.column("lists").to_pylist(), strict=True)):
+                begins, ends = np.searchsorted(lists, chosen), np.searchsorted(lists, chosen, side="right")
+                places = np.concatenate([np.arange(a, b) for a, b in zip(begins, ends, strict=True)])
+                places = places[ids[places] != name]
+                if not leading and floors[i] > -math.inf:
+                    places = scan(turned, norms, turned_questions[i], floors[i], places, eps)
+                scores = inner(vectors[places], questions[i])
+                places, scores = places[scores >= floors[i]], scores[scores >= floors[i]]
+                top = best(ids[places], scores, k)
+                out[0].append(np.full(len(top), name, np.int64))
+                out[1].append(ids[places][top])
+                out[2].append(scores[top])
+            return pa.table([np.concatenate(x) if x else np.zeros(0) for x in out], names=["query", "id", "score"])
+
+        keys = ["bundle", "part", "lot"]
+        return (
+            left.select(*keys, "id", "v", "list")
+            .groupBy(*keys)
+            .cogroup(right.select(*keys, "id", "v", "floor", "lists").groupBy(*keys))
+            .applyInArrow(_when_both(find), "query long, id long, score double")
+        )
 
 
 def _when_both(find):
