@@ -9,8 +9,9 @@ is widened until ``recall`` of their neighbours is found; only then are all quer
 whose lists hold fewer than ``k`` other rows probes further ones.
 
 Lists travel in bundles of bounded size.  A query's nearest lists, as many as hold more than ``k`` rows, are scored first and
-whole; their k-th score is the query's bound.  The vectors of its other lists are rotated at random and scanned in column
-blocks.  With r the distance at which a candidate would just reach that bound, it is
+whole; their k-th score is the query's first bound.  Its other lists follow in rounds of ``WIDER`` times as many rows, each
+with the k-th score so far as its bound, so that few rows of a round reach it.  Their vectors are rotated at random and
+scanned in column blocks.  With r the distance at which a candidate would just reach that bound, it is
 abandoned as soon as its partial distance, scaled up to all dimensions, exceeds
 ``(1 + eps / sqrt(read)) * r``: a hypothesis test that is wrong only rarely.  What survives is scored on the original
 vectors in double precision.
@@ -40,6 +41,7 @@ BLOCKS = 4  # column blocks of the rotated vectors
 A_LIST = 32  # vectors a list in the sample that centroids are fitted on
 MOST_LISTS = 65_536  # beyond that lists grow: all centroids go to every task
 DRAWS = 1 << 30
+WIDER = 8  # rows of a round of lists against those before it
 AUDIT = 256
 BUNDLE = 2048  # vectors whose lists travel together
 PART = 4096  # vectors of a bundle in one task
@@ -214,18 +216,27 @@ def search(df: DataFrame, queries: DataFrame, k: int = 20, recall: float = 0.96,
     list_sizes = np.zeros(len(centroids), np.int64)
     list_sizes[[r["list"] for r in counted]] = [r["count"] for r in counted]
     bundled = _Bundled(placed, centroids, list_sizes, turn, k, bundles)
-    leading = stored(_ranked(bundled.scan(asked_rows.withColumn("floor", F.lit(-math.inf)), 1, 0.0, leading=True), k), "leading")
-    bounds = leading.where(F.col("rank") == k).select(F.col("query").alias("asked"), F.col("score").alias("floor"))
-    bounded = asked_rows.join(bounds, asked_rows["id"] == bounds["asked"], "left")
-    bounded = stored(bounded.select(asked_rows["id"], "v", F.coalesce("floor", F.lit(-math.inf)).alias("floor")), "bounded")
+    unbounded = asked_rows.withColumn("floor", F.lit(-math.inf))
+    leading = stored(_ranked(bundled.scan(unbounded, 1, 0.0, 0, k + 1), k), "leading")
+    edges = [k + 1, WIDER * max(k + 1, total // len(centroids))]
+    while edges[-1] < total:
+        edges.append(WIDER * edges[-1])
 
     def scanned(asking: DataFrame, probes: int, eps: float) -> DataFrame:
-        first = leading.join(asking.select(F.col("id").alias("query")), "query", "left_semi").drop("rank")
-        return _ranked(first.unionByName(bundled.scan(asking, probes, eps, leading=False)), k)
+        most = int(np.sort(list_sizes)[::-1][:probes].sum())  # rows that so many lists hold at most
+        found = leading.join(asking.select(F.col("id").alias("query")), "query", "left_semi")
+        for low, high in zip(edges, edges[1:], strict=False):
+            if low > most:
+                break
+            bounds = found.where(F.col("rank") == k).select(F.col("query").alias("asked"), F.col("score").alias("floor"))
+            bounded = asking.join(bounds, asking["id"] == bounds["asked"], "left").select(asking["id"], "v", F.coalesce("floor", F.lit(-math.inf)).alias("floor"))
+            more = bundled.scan(bounded, probes, eps, low, high)
+            found = stored(_ranked(found.drop("rank").unionByName(more), k), "round")
+        return found
 
     audited = sample(asked_rows, audit, 2)
     truth = exact_top(rows, audited, k, dims).join(rows, "id").select("query", "id", "v").toArrow()  # audit * k rows
-    trial = stored(bounded.where(F.col("id").isin(audited.column("id").to_pylist())), "trial")
+    trial = stored(asked_rows.where(F.col("id").isin(audited.column("id").to_pylist())), "trial")
     held = held_by_lists(truth, audited, centroids, dims)
     probes = min(len(centroids), int(np.searchsorted(held, (1 + recall) / 2)) + 1)
     # with all lists, and tests that cannot err, the search is exact
@@ -237,7 +248,7 @@ def search(df: DataFrame, queries: DataFrame, k: int = 20, recall: float = 0.96,
             probes = min(len(centroids), 2 * probes)
         else:
             eps = min(math.sqrt(dims), 2 * max(eps, 0.25))
-    return scanned(bounded, probes, eps).select(F.col("query").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")
+    return scanned(asked_rows, probes, eps).select(F.col("query").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")
 
 
 class _Bundled:
@@ -249,8 +260,8 @@ class _Bundled:
         # large bundles are cut into parts
         self.sizes = stored(placed.groupBy("bundle").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts")), "bundles")
 
-    def _probes(self, asking: DataFrame, probes: int, leading: bool) -> DataFrame:
-        """(id, v, floor, bundle, lists) of the nearest lists that hold more than k rows, or of the others up to ``probes``."""
+    def _probes(self, asking: DataFrame, probes: int, low: int, high: int) -> DataFrame:
+        """(id, v, floor, bundle, lists) of a query's lists before which, nearest first, ``low`` to ``high`` - 1 rows lie."""
         centroids, list_sizes, bundles, k, dims = self.centroids, self.list_sizes, self.bundles, self.k, len(self.turn)
         kind = asking.schema["v"].dataType.simpleString()
 
@@ -265,8 +276,8 @@ class _Bundled:
             for batch in batches:
                 out = []
                 for i, lists in enumerate(order(matrix(batch.column(1), dims))):
-                    first = np.cumsum(list_sizes[lists]) - list_sizes[lists] <= k
-                    lists = lists[first if leading else ~first]
+                    before = np.cumsum(list_sizes[lists]) - list_sizes[lists]
+                    lists = lists[(before >= low) & (before < high)]
                     for bundle in np.unique(lists % bundles).tolist():
                         out.append((i, bundle, lists[lists % bundles == bundle].tolist()))
                 pick = pa.array([x[0] for x in out], pa.int64())
@@ -277,10 +288,10 @@ class _Bundled:
 
         return asking.select("id", "v", "floor").mapInArrow(run, f"id long, v {kind}, floor double, bundle int, lists array<int>")
 
-    def scan(self, asking: DataFrame, probes: int, eps: float, leading: bool) -> DataFrame:
-        """query, id and score: of every part of a query's lists the k best that reach its bound."""
+    def scan(self, asking: DataFrame, probes: int, eps: float, low: int, high: int) -> DataFrame:
+        """query, id and score: of every part of a round's lists the k best that reach the query's bound."""
         turn, k, dims = self.turn, self.k, len(self.turn)
-        wanted = stored(self._probes(asking, probes, leading), "probes")
+        wanted = stored(self._probes(asking, probes, low, high), "probes")
         # the queries of a bundle are cut into lots
         asks = wanted.groupBy("bundle").agg(F.ceil(F.count(F.lit(1)) / ASKED).cast("int").alias("lots"))
         sizes = stored(self.sizes.join(asks, "bundle"), "sizes")
@@ -302,7 +313,7 @@ class _Bundled:
                 begins, ends = np.searchsorted(lists, chosen), np.searchsorted(lists, chosen, side="right")
                 places = np.concatenate([np.arange(a, b) for a, b in zip(begins, ends, strict=True)])
                 places = places[ids[places] != name]
-                if not leading and floors[i] > -math.inf:
+                if floors[i] > -math.inf:
                     places = scan(turned, norms, turned_questions[i], floors[i], places, eps)
                 scores = inner(vectors[places], questions[i])
                 places, scores = places[scores >= floors[i]], scores[scores >= floors[i]]
