@@ -147,6 +147,24 @@ def test_near_duplicates_against_brute_force(spark, monkeypatch, members):
     assert found == brute_links(rows)
 
 
+def test_links_within_a_component_of_many_parts(spark, monkeypatch):
+    monkeypatch.setattr(hnsw, "MEMBERS", 16)
+    monkeypatch.setattr(hnsw, "GRID", 2)
+    rng = np.random.default_rng(21)
+    centre = rng.normal(size=12)
+    rows = [(i, centre + 0.22 * rng.normal(size=12)) for i in range(220)] + [(300 + i, centre) for i in range(5)]
+    found = {r.id: (r.n_links, r.component_id) for r in hnsw.near_duplicates(table(spark, rows)).collect()}
+    assert found == brute_links(rows)
+
+
+def test_centroids_do_not_depend_on_the_order_of_rows(spark):
+    rng = np.random.default_rng(22)
+    rows = [(i, rng.normal(size=6)) for i in range(300)]
+    frames = [table(spark, rows).select(F.col("vec_id").alias("id"), F.col("embedding").alias("v")).repartition(n) for n in (2, 5)]
+    first, second = (ann.fit_centroids(f, 300, 8, 6, 300, rounds=3) for f in frames)
+    assert first.shape == (8, 6) and (first == second).all()
+
+
 def test_embeddings_against_brute_force(spark, sf_dir):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
     found = {r.vec_id: (r.n_links, r.component_id) for r in QUERIES["op5_hnsw"](spark, sf_dir).collect()}
