@@ -4,7 +4,7 @@ The vocabulary is a trie over bytes.  Pieces that begin a word carry a marker, a
 continue one; the lone marker is a piece too, after which a word goes on with continuing ones.  A state of the trie that cannot go on pops the longest pieces of what it has read and
 fails over to the state of the rest; how many pieces it pops is computed beforehand,
 so a word is read once, byte by byte, and only numbers are added up.  In a task the automaton
-steps through all distinct words of a batch at once.
+steps through all distinct words of a batch at once, until only the few longest are left; these it reads one by one.
 
 Nulls and edges: a null, empty or blank text has no words and no pieces.  A word that the vocabulary
 cannot cover (none, where it has the lone marker and all single bytes) counts as one piece, the unknown one.  Repeated rows and ids are counted
@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +29,7 @@ from ledgerloom.llm.words import by_size, words_of
 by_value(__name__)
 
 AT_ONCE = 16 << 20  # bytes of text whose words are counted together
+NARROW = 32  # so few words are read one by one; side by side each byte costs a round of numpy calls
 NONE = -1  # no state, or no way to cut what was read into pieces
 
 
@@ -64,6 +65,26 @@ class Automaton:
         at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
         return np.where(self.keys[at] == wanted, self.targets[at], NONE)
 
+    @cached_property
+    def edges(self) -> dict[int, int]:
+        return dict(zip(self.keys.tolist(), self.targets.tolist(), strict=True))
+
+    @cached_property
+    def failing(self) -> list[tuple[int, int]]:
+        return list(zip(self.fail.tolist(), self.pops.tolist(), strict=True))
+
+    def read(self, state: int, data: bytes) -> tuple[int, int]:
+        """The state after ``data`` and the pieces popped on the way, byte by byte."""
+        edges, failing, popped = self.edges, self.failing, 0
+        for value in data:
+            while (after := edges.get(state * 256 + value)) is None:
+                state, more = failing[state]
+                popped += more
+                if state == NONE:
+                    return NONE, popped
+            state = after
+        return state, popped
+
 
 def build(begins: list[bytes], continues: list[bytes]) -> Automaton:
     children: list[dict[int, int]] = [{}, {}]
@@ -123,6 +144,12 @@ def count_words(machine: Automaton, data: np.ndarray, starts: np.ndarray, ends:
     alive = len(order)
     for place in range(int(lengths[0]) if len(lengths) else 0):
         alive = int(np.searchsorted(-lengths[:alive], -place, side="left"))
+        if alive <= NARROW:  # the longest words: one may be as long as its text
+            for word in np.flatnonzero(states[:alive] != NONE):
+                rest = data[begin[word] + place : begin[word] + lengths[word]].tobytes()
+                states[word], popped = machine.read(int(states[word]), rest)
+                counts[word] += popped
+            break
         values = data[begin[:alive] + place].astype(np.int64)
         active = np.flatnonzero(states[:alive] != NONE)
         while len(active):

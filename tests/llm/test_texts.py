@@ -183,7 +183,9 @@ def greedy(word, begins, continues):
     return count
 
 
-def test_automaton_against_greedy_matching():
+@pytest.mark.parametrize("narrow", [0, 5, 32])
+def test_automaton_against_greedy_matching(monkeypatch, narrow):
+    monkeypatch.setattr(wordpieces, "NARROW", narrow)
     random.seed(1)
     pick = lambda n: bytes(random.choices(b"abc", k=n))
     for _ in range(200):
@@ -208,6 +210,20 @@ def test_word_piece_counts_of_the_documents(spark, sf_dir):
         assert rows[i].n_tokens == sum(greedy(w, begins, continues) for w in words)
 
 
+def test_one_word_of_a_megabyte(docs):
+    begins, continues = map(set, wordpieces.read_vocabulary(bpe.vocabulary_path()))
+    word = "".join(random.Random(5).choices(["http", "://", "我们", "x", "ing", "0", "tion", "é"], k=300_000))
+    rows = wordpieces.count_tokens(docs([(1, word), (2, f"a {word} b"), (3, word)])).collect()
+    longest = max(map(len, begins | continues))
+    data, at, pieces = word.encode(), 0, 0
+    while at < len(data):
+        known = continues if at else begins
+        at = next(e for e in range(min(len(data), at + longest), at, -1) if data[at:e] in known)
+        pieces += 1
+    ends = sum(greedy(w, begins, continues) for w in (b"a", b"b"))
+    assert {r.doc_id: r.n_tokens for r in rows} == {1: pieces, 2: pieces + ends, 3: pieces}
+
+
 def test_words_without_a_begin_piece_are_cut_after_the_lone_blank(docs):
     begins, continues = map(set, wordpieces.read_vocabulary(bpe.vocabulary_path()))
     known = {b" " + p for p in begins} | continues | {b" "}
