@@ -164,30 +164,12 @@ def _planned(rows: DataFrame, weights: Sequence[float], share: float, cap: int)
     return sources, planned
 
 
-def copies(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, cap: int = 2, id_col: str = "doc_id",
-           text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """One row per document: id, source, size, source_size, target, n_copies and taken (words)."""
-    rows = stored(sized(docs, id_col, text_col, source_col), "sizes")
-    sources, planned = _planned(rows, weights, share, cap)
-    named = rows.join(sources, rows["source"].eqNullSafe(sources["source"])).select(
-        "id", rows["source"], "s", "size", "source_size", "target", F.xxhash64("id").alias("draw")
-    )
-    numbered = ranked(named, ["s", "size"], ["draw", "id"], F.col("draw"), "place", task_count(docs))
-    extra = F.when(F.col("place") < F.col("k") % F.col("n"), 1).otherwise(0)
-    each = F.floor(F.col("k") / F.col("n")) + extra
-    return (
-        numbered.join(planned, ["s", "size"], "left")
-        .withColumn("n_copies", F.when(F.col("size") > 0, F.coalesce(each, F.lit(0))).otherwise(1).cast("int"))
-        .select("id", "source", "size", "source_size", "target", "n_copies", (F.col("n_copies") * F.col("size")).alias("taken"))
-    )
-
-
-def _cell_decisions(docs: DataFrame, weights: Sequence[float], share: float, cap: int, source_col: str, size, mark) -> DataFrame:
-    """What each cell takes: ``base`` copies of every row and one more of those with a mark up to ``upto``.
+def _decide(rows: DataFrame, weights: Sequence[float], share: float, cap: int) -> tuple[DataFrame, DataFrame]:
+    """For rows of (source, size, mark): the sources, and what each of their cells takes.
 
+    A cell takes ``base`` copies of every row and one more of those with a mark up to ``upto``.
     Where ``same`` rows have that very mark, only ``spare`` of them get one more.
     """
-    rows = stored(docs.select(F.col(source_col).cast("string").alias("source"), size.alias("size"), mark.alias("mark")), "sizes")
     sources, planned = _planned(rows.select("source", "size"), weights, share, cap)
     cells = planned.join(sources.select("s", "source"), "s").withColumn("rest", F.col("k") % F.col("n"))
     cells = stored(cells.select("s", "source", "size", "rest", F.floor(F.col("k") / F.col("n")).cast("int").alias("base")), "planned")
@@ -207,7 +189,42 @@ def _cell_decisions(docs: DataFrame, weights: Sequence[float], share: float, cap
         F.max_by("same", "mark").alias("same"),
         F.max_by(F.least("same", F.col("rest") - F.col("first")), "mark").alias("spare"),
     )
-    return cells.join(last, ["s", "size"], "left").select("source", "size", "base", "upto", "same", "spare")
+    return sources, cells.join(last, ["s", "size"], "left").select("source", "size", "base", "upto", "same", "spare")
+
+
+def _cell_decisions(docs: DataFrame, weights: Sequence[float], share: float, cap: int, source_col: str, size, mark) -> DataFrame:
+    """What each cell (source, size) takes."""
+    rows = stored(docs.select(F.col(source_col).cast("string").alias("source"), size.alias("size"), mark.alias("mark")), "sizes")
+    return _decide(rows, weights, share, cap)[1]
+
+
+def copies(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, cap: int = 2, id_col: str = "doc_id",
+           text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """One row per document: id, source, size, source_size, target, n_copies and taken (words).
+
+    Rows of one cell that share an id, or have none, are interchangeable: which of them get one more does not show. Only where
+    some of them do and others don't are they numbered, in slices.
+    """
+    # stored with a number, so that equal rows can be told apart from here on
+    marked = sized(docs, id_col, text_col, source_col).withColumn("mark", F.xxhash64("id"))
+    rows = stored(marked.withColumn("row", F.monotonically_increasing_id()), "sizes")
+    sources, decided = _decide(rows.select("source", "size", "mark"), weights, share, cap)
+    cells = stored(decided.toDF("origin", "words", "base", "upto", "same", "spare"), "cell-copies")
+    named = rows.join(sources, rows["source"].eqNullSafe(sources["source"])).drop(sources["source"])
+    joined = named.join(cells, F.col("source").eqNullSafe(F.col("origin")) & (F.col("size") == F.col("words")), "left")
+    tied = F.coalesce((F.col("mark") == F.col("upto")) & (F.col("same") > F.col("spare")), F.lit(False))
+    more = F.when(F.col("mark") <= F.col("upto"), 1).otherwise(0)
+    columns = ["id", "source", "size", "source_size", "target"]
+
+    def counted(df: DataFrame, more) -> DataFrame:
+        times = F.when(F.col("size") == 0, 1).otherwise(F.coalesce(F.col("base") + more, F.lit(0))).cast("int")
+        return df.select(*columns, times.alias("n_copies"), (times * F.col("size")).alias("taken"))
+
+    if cells.where("same > spare").isEmpty():
+        return counted(joined, more)
+    equal = ranked(joined.where(tied), ["origin", "words"], ["row"], F.xxhash64("row"), "place", task_count(docs))
+    some = F.when(F.col("place") < F.col("spare"), 1).otherwise(0)
+    return counted(joined.where(~tied), more).unionByName(counted(equal, some))
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, cap: int = 2, id_col: str = "doc_id",
