@@ -29,7 +29,7 @@ LEVEL = r"^((?:[ \t]*>)+)[ \t]?"
 QUOTES = r"(?m)^[ \t]*>"
 # a line that names the author of the quote below it
 CREDIT = r"(?i)(wrote|writes|schrieb|a écrit|escribió)\s*:\s*$"
-TURNS = 1024  # turns that are numbered together
+TURNS = 1024  # turns that are numbered together, and answers to one message that are
 
 
 def normalised(text: Column) -> Column:
@@ -113,6 +113,24 @@ def _jump(nodes: DataFrame, pointer: str, weight: str | None, label: str) -> Dat
             return nodes
 
 
+def _siblings(tree: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The tree with ``beside``, a message's next sibling, and the first ``child`` of every message that has one.
+
+    Answers come first, in their order, and what continues the message comes last.  The answers to one message are
+    looked at in slices of their numbers, so that a message with a million answers is no single task.
+    """
+    last = F.lit((1 << 62)).cast("long")
+    cut = tree.withColumn("slice", F.when(F.col("answers"), F.floor(F.col("n") / TURNS)).otherwise(last))
+    slices = cut.where("above is not null").groupBy("conv", "above", "slice").agg(F.min("n").alias("first"))
+    below = slices.groupBy("conv", F.col("above").alias("n")).agg(F.min_by("first", "slice").alias("child"))
+    later = F.lead("first").over(Window.partitionBy("conv", "above").orderBy("slice"))
+    slices = slices.select("conv", "above", "slice", later.alias("later"))
+    inside = Window.partitionBy("conv", "above", "slice").orderBy("n")
+    within = F.when(F.col("above").isNotNull(), F.lead("n").over(inside))
+    joined = cut.withColumn("within", within).join(slices, ["conv", "above", "slice"], "left")
+    return joined.withColumn("beside", F.coalesce("within", "later")).drop("slice", "within", "later"), below
+
+
 def reply_order(messages: DataFrame) -> DataFrame:
     """conv, n and position (from 1) in the preorder of the reply tree.
 
@@ -122,11 +140,7 @@ def reply_order(messages: DataFrame) -> DataFrame:
     tree = messages.select(
         "conv", "n", F.when(answers, F.col("parent")).otherwise(F.when(F.col("n") > 0, F.col("n") - 1)).alias("above"), answers.alias("answers")
     )
-    # answers come first, in their order, and what continues the message comes last
-    siblings = Window.partitionBy("conv", "above").orderBy(F.desc("answers"), "n")
-    tree = tree.withColumn("beside", F.when(F.col("above").isNotNull(), F.lead("n").over(siblings)))
-    tree = tree.withColumn("place", F.row_number().over(siblings))
-    below = tree.where("above is not null and place = 1").select("conv", F.col("above").alias("n"), F.col("n").alias("child"))
+    tree, below = _siblings(tree)
     tree = stored(tree.join(below, ["conv", "n"], "left"), "tree")
     # last children hand on to the nearest one above that has another beside it
     climb = tree.select("conv", "n", F.when(F.col("beside").isNotNull() | F.col("above").isNull(), F.col("n")).otherwise(F.col("above")).alias("up"))

@@ -1,6 +1,8 @@
 """Quality, mixing, chat formatting and the pipeline."""
 
+import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -49,6 +51,32 @@ def test_em_recovers_accuracies():
     assert ((model.posterior(votes) > 0.5) == truth).mean() > 0.95
 
 
+def test_em_against_a_loop_over_documents():
+    random.seed(3)
+    votes = [[random.choice([quality.GOOD, quality.GOOD, quality.BAD, quality.ABSTAIN]) for _ in range(3)] for _ in range(250)]
+    good = [1 / (1 + math.exp(3.0 * v.count(quality.BAD) - 0.5 * v.count(quality.GOOD) - 1.0)) for v in votes]
+    for _ in range(100):
+        prior, chance = [sum(good) + 1, len(good) - sum(good) + 1], {}
+        for j in range(3):
+            for label in (quality.GOOD, quality.BAD):
+                cast = [0.5, 0.5]
+                for v, g in zip(votes, good, strict=True):
+                    if v[j] != quality.ABSTAIN:
+                        cast[v[j]] += g if label == quality.GOOD else 1 - g
+                for vote in (quality.GOOD, quality.BAD):
+                    chance[j, label, vote] = cast[vote] / sum(cast)
+        before, good = good, []
+        for v in votes:
+            a, b = (prior[k] * math.prod(chance[j, k, x] for j, x in enumerate(v) if x != quality.ABSTAIN) for k in (quality.GOOD, quality.BAD))
+            good.append(a / (a + b))
+        if max(abs(x - y) for x, y in zip(good, before, strict=True)) < 1e-6:
+            break
+    table = np.array(votes)
+    patterns, counts = np.unique(quality.pattern_of(table), return_counts=True)
+    model = quality.fit_label_model(dict(zip(patterns.tolist(), counts.tolist(), strict=True)), 3)
+    assert model.posterior(table) == pytest.approx(good, abs=1e-5)
+
+
 def test_the_training_sample_is_bounded_by_rows(docs):
     words = "the of and to in is that it was for".split()
     texts = [" ".join(words[(i * 7 + j * j) % 10] for j in range(20 + i % 9)) for i in range(400)]
@@ -120,6 +148,41 @@ def test_hot_source_and_large_documents(spark, docs):
         assert abs(got - wanted) <= 0.01 * wanted + 40
 
 
+def test_tilts_against_bisection(spark):
+    random.seed(4)
+    cells, goals = [], {}
+    for s in range(6):
+        sizes = random.sample(range(1, 3000), 30)
+        rows = [(s, size, random.randint(1, 9)) for size in sizes]
+        mean = sum(z * n for _, z, n in rows) / sum(n for *_, n in rows)
+        cells += [(s, z, n, z / mean) for _, z, n in rows]
+        goals[s] = sum(z * n for _, z, n in rows) * (0.05, 0.4, 1.0, 1.5, 1.95, 2.0)[s]
+    state = spark.createDataFrame([(s, float(g), 0.0) for s, g in goals.items()], "s int, goal double, tilt double")
+    frame = spark.createDataFrame(cells, "s int, size long, n long, x double")
+    found = {r.s: r.tilt for r in mixing.solve(frame, state, 2).collect()}
+    for s in range(5):
+        low, high = -1e3, 1e3
+        for _ in range(200):
+            tilt = (low + high) / 2
+            got = sum(n * z * min(2.0, math.exp(min(tilt * x, 1.0))) for k, z, n, x in cells if k == s)
+            low, high = (low, tilt) if got > goals[s] else (tilt, high)
+        assert found[s] == pytest.approx(low, abs=1e-4, rel=1e-4)
+    assert found[5] == mixing.BEYOND
+
+
+def test_rows_without_an_id_take_what_one_document_each_would(spark, docs):
+    texts = [" ".join(["w"] * (3 + i % 2)) for i in range(3000)]
+    rows = [(None if i % 3 else 7 if i % 2 else i, t, "ab"[i % 5 == 0]) for i, t in enumerate(texts)]
+    found = mixing.copies(docs(rows)).collect()
+    assert len(found) == 3000 and all(0 <= r.n_copies <= 2 and r.taken == r.n_copies * r.size for r in found)
+    for source in "ab":
+        mine = [r for r in found if r.source == source]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= 8
+    key = lambda r: (str(r.id), r.source, r.size, r.taken)
+    again = mixing.copies(docs(list(reversed(rows))).repartition(5)).collect()
+    assert sorted(map(key, found)) == sorted(map(key, again))
+
+
 def test_mixing_edges(spark, docs, clashing):
     frame = clashing(docs(ODD))
     rows = mixing.copies(frame).collect()
@@ -226,6 +289,72 @@ def preorder(parents):
     return out
 
 
+def quote_links(texts):
+    """Per message of one conversation: parent, quotes, linked quotes and own words, by looking at every earlier message."""
+
+    def units(body):
+        parts = [body, *re.split(r"\n\s*\n", body), *body.split("\n")]
+        return {" ".join(p.split()).lower() for p in parts} - {""}
+
+    own, out = [], []
+    for n, text in enumerate(texts):
+        passages = []
+        for line in text.split("\n"):
+            level, rest = 0, line
+            while rest.lstrip(" ").startswith(">"):
+                level, rest = level + 1, rest.lstrip(" ")[1:]
+            body = rest.removeprefix(" ") if level else line
+            if passages and passages[-1][0] == level:
+                passages[-1][1].append(body)
+            else:
+                passages.append((level, [body]))
+        quoted = [(level, "\n".join(body)) for level, body in passages if level]
+        own.append("\n".join("\n".join(body) for level, body in passages if not level).strip(" ") if quoted else text)
+        chars, linked = {}, 0
+        for level, body in quoted:
+            hits = [(next((m for m in range(n) if u in units(own[m])), None), len(u)) for u in units(body)]
+            hits = [(m, size) for m, size in hits if m is not None]
+            linked += bool(hits)
+            for m, size in hits:
+                chars[level, m] = chars.get((level, m), 0) + size
+        best = max(chars, key=lambda k: (-k[0], chars[k], -k[1]), default=(0, None))
+        out.append((best[1], len(quoted), linked, own[n]))
+    return out
+
+
+def test_links_against_brute_force(spark):
+    random.seed(11)
+    phrases = ["Yes", "no way", "see the  plan", "what about Monday?", "ok", "we ship it on friday", "good point", "日本", "why"]
+    rows, expected = [], {}
+    for conv in range(12):
+        texts = []
+        for n in range(30):
+            lines = []
+            while not lines or random.random() < 0.6:
+                if n and random.random() < 0.5:  # quotes what was said, or what nobody said
+                    said = random.choice([*random.choice(texts).split("\n"), "never said"])
+                    lines.append(">" * random.randint(1, 2) + " " * random.randint(0, 1) + said)
+                else:
+                    lines.append(random.choice([*phrases, f"{random.choice(phrases)} {n}", ""]))
+            texts.append("\n".join(lines))
+        found = quote_links(texts)
+        order = preorder({n: f[0] for n, f in enumerate(found)})
+        for n, (parent, quoted, linked, own) in enumerate(found):
+            rows.append((conv, n, "u", texts[n]))
+            expected[conv, n] = (order.index(n) + 1, parent, quoted, linked, own)
+    frame = spark.createDataFrame(rows, CHAT).repartition(5)
+    result = quotes.link_quotes(frame).collect()
+    assert {(r.conv_id, r.turn): (r.position, r.parent_turn, r.n_quotes, r.n_linked, r.text) for r in result} == expected
+    assert sum(e[1] is not None for e in expected.values()) > 100
+
+
+def test_a_message_with_many_answers(spark, monkeypatch):
+    monkeypatch.setattr(quotes, "TURNS", 16)
+    rows = [(0, n, 0 if n > 3 and n % 7 else None) for n in range(600)]
+    found = quotes.reply_order(spark.createDataFrame(rows, "conv long, n long, parent long")).collect()
+    assert [r.n for r in sorted(found, key=lambda r: r.position)] == preorder({n: p for _, n, p in rows})
+
+
 def test_reply_order_against_a_walk_of_the_tree(spark):
     random.seed(6)
     rows, expected = [], {}
