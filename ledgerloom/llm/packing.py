@@ -113,9 +113,9 @@ def pack(pieces: DataFrame, limit: int = 2048) -> DataFrame:
     pieces = stored(pieces, "pieces")
     histogram = {r.length: r.n for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     table = slots(shortest_pack_first(histogram, limit))
-    numbered = ranked(
-        pieces, ["length"], ["id", "start", "ids_crc32", "doc_tokens"], F.xxhash64("id", "start"), "_rank", 4 * task_count(pieces)
-    )
+    order = ["id", "start", "ids_crc32", "doc_tokens"]
+    # salted by all of these, so that documents without an id are spread as well
+    numbered = ranked(pieces, ["length"], order, F.xxhash64(*order), "_rank", 4 * task_count(pieces))
     fields = numbered.schema.fields
     names = [f.name for f in fields if f.name != "_rank"]
 
