@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerloom.llm.common import beside, ranked, stored, task_count, unused, word_count
+from ledgerloom.operators.ranking import with_global_position
 from ledgerloom.session import settled
 
 EXACT = "decimal(38,9)"  # sums of doubles that do not depend on their order
@@ -46,25 +47,31 @@ def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataF
 def targets(cells: DataFrame, weights: Sequence[float], share: float, cap: float) -> DataFrame:
     """One row per source: ``s`` (its place by code point), ``source_size`` and ``target``.
 
-    A target is ``min(cap * source_size, weight * level)``, the level being such that the targets
-    share what is to be taken: the end of resharing the excess by weight.
+    A target is ``min(cap * source_size, weight * level)``.  The level is what an open source gets per weight; sources
+    above their most are closed and the excess is reshared until none is.  Each round is one aggregation.
     """
     sizes = cells.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
-    place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1  # one row per source
+    placed = with_global_position(sizes, [F.col("source").asc_nulls_last()], "place").withColumn("s", F.col("place") - 1)
     listed = F.array(*[F.lit(float(w)) for w in weights])
-    rows = sizes.withColumn("s", place).withColumn("weight", F.get(listed, F.col("s") % len(weights)))
-    rows = rows.withColumn("most", F.lit(float(cap)) * F.col("source_size"))
-    everything = Window.orderBy(F.col("most") / F.col("weight"), "s")
-    before = everything.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy()
-    left = F.lit(float(share)) * F.sum("source_size").over(whole) - F.coalesce(F.sum("most").over(before), F.lit(0.0))
-    open_weight = F.sum("weight").over(whole) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
-    # with the sources before this one at their most, the others get this much per weight
-    rows = rows.withColumn("level", left / open_weight)
-    settled = F.col("level") * F.col("weight") <= F.col("most")
-    rows = rows.withColumn("final", F.min_by("level", F.when(settled, F.col("most") / F.col("weight"))).over(whole))
-    level = F.coalesce("final", F.lit(math.inf))
-    return rows.select("s", "source", "source_size", F.least("most", F.col("weight") * level).alias("target"))
+    rows = placed.withColumn("weight", F.get(listed, (F.col("s") % len(weights)).cast("int")))
+    rows = stored(rows.withColumn("most", F.lit(float(cap)) * F.col("source_size")), "sources")
+    level, closed = -math.inf, None
+    while True:
+        above = F.col("weight") * F.lit(level) > F.col("most")
+        found = rows.agg(
+            F.count_if(above).alias("closed"),
+            F.sum(F.when(above, F.col("most")).cast(EXACT)).alias("taken"),
+            F.sum(F.when(~above, F.col("weight")).cast(EXACT)).alias("open"),
+            F.sum("source_size").alias("whole"),
+        ).first()
+        if found.closed == closed:  # levels only rise, so no source was closed since
+            break
+        closed = found.closed
+        if not found.open:  # all get their most
+            level = math.inf
+            break
+        level = (float(share) * found.whole - float(found.taken or 0)) / float(found.open)
+    return rows.select("s", "source", "source_size", F.least("most", F.col("weight") * F.lit(level)).alias("target"))
 
 
 def _rate(cap: float):

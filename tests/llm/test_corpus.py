@@ -170,6 +170,23 @@ def test_tilts_against_bisection(spark):
     assert found[5] == mixing.BEYOND
 
 
+@pytest.mark.parametrize("share", [0.5, 1.5, 1.99, 3.0])
+def test_targets_of_many_sources(spark, share):
+    random.seed(8)
+    sizes = {f"{random.choice('aZé日')}{i}": int(random.paretovariate(0.6)) for i in range(400)} | {None: 50, "": 7, "empty": 0}
+    frame = spark.createDataFrame([(s, z, 1) for s, z in sizes.items()], "source string, size long, n long").repartition(4)
+    found = mixing.targets(frame, (3, 1, 2), share, 2).collect()
+    names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None]
+    assert [r.source for r in sorted(found, key=lambda r: r.s)] == names and {r.s for r in found} == set(range(len(names)))
+    low, high = 0.0, 1e12
+    for _ in range(200):
+        level = (low + high) / 2
+        got = sum(min(2 * sizes[n], (3, 1, 2)[i % 3] * level) for i, n in enumerate(names))
+        low, high = (low, level) if got > share * sum(sizes.values()) else (level, high)
+    expected = {n: min(2 * sizes[n], (3, 1, 2)[i % 3] * low) for i, n in enumerate(names)}
+    assert all(r.target == pytest.approx(expected[r.source], rel=1e-9, abs=1e-9) for r in found)
+
+
 def test_rows_without_an_id_take_what_one_document_each_would(spark, docs):
     texts = [" ".join(["w"] * (3 + i % 2)) for i in range(3000)]
     rows = [(None if i % 3 else 7 if i % 2 else i, t, "ab"[i % 5 == 0]) for i, t in enumerate(texts)]
