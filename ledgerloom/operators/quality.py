@@ -11,6 +11,9 @@ from ledgerloom import schema as S
 from ledgerloom.functions import ids, text
 from ledgerloom.operators import joins
 
+# Divergent keys that a task may hold whole; more of them are joined by a shuffle.
+HELD_KEYS = 1 << 16
+
 # --- issue flags ---------------------------------------------------------------
 
 
@@ -59,6 +62,8 @@ def flag_issues(df: DataFrame, scope: Iterable[str] = ("src_file", "entity_id"))
     """
     scope = list(scope)
     divergent = joins.sized_side(divergent_ids(df, scope), "divergent")
+    if divergent.count() > HELD_KEYS:  # long paths take little room in files, but much in memory
+        divergent = divergent.hint("merge")
     marked = df.join(divergent.withColumn("_divergent", F.lit(True)), scope, "left")
     flags = F.concat_ws(
         ";", *row_flags(), _flag(F.col("_divergent"), S.FLAG_DIVERGENT_NAME)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +16,7 @@ from ledgerloom.sources import archives, delimited, landing
 
 FILE_KEY = ("src_file", "entry")
 SPLIT_LINES = 1_000_000  # lines of an archive's entry that are one split
+TASK_ROWS = 250_000  # rows that one task makes distinct before they are sent
 AMBIGUOUS = "several columns for one standard column"
 TOO_WIDE = "more fields than the header"
 NO_DESCRIPTION = "ledger without description"
@@ -71,14 +72,18 @@ def _by_registration(registry: DataFrame) -> DataFrame:
     )
 
 
-def look_up_registration(rows: DataFrame, registry: DataFrame) -> DataFrame:
-    """Add ``found_id`` and ``found_name``, NULL where the registration is unknown."""
+def look_up_registration(rows: DataFrame, registry: DataFrame, spread_by: Sequence[str] = ("amount",)) -> DataFrame:
+    """Add ``found_id`` and ``found_name``, NULL where the registration is unknown.
+
+    Rows without a registration are spread by the columns ``spread_by``.
+    """
     return joins.lookup(
         rows,
         joins.sized_side(_by_registration(registry), "registrations"),
         ids.registration_key("registration"),
         F.col("registration"),
         ["found_id", "found_name"],
+        spread_by,
     )
 
 
@@ -178,6 +183,19 @@ def describe_layouts(described: DataFrame) -> DataFrame:
     )
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """A stored table's rows in tasks of about ``TASK_ROWS``, equal ones in different tasks.
+
+    How many rows a scan hands to a task follows from the size of files; what is
+    grouped there before a shuffle is held by row.
+    """
+    n = rows.count()
+    if n <= TASK_ROWS:
+        return rows
+    tasks = max(-(-n // TASK_ROWS), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return rows.repartition(tasks, F.monotonically_increasing_id())
+
+
 def ingest_lines(lines: DataFrame, registry: DataFrame) -> Ingested:
     """``src_file, entry, raw, line_at`` of any mix of layouts to flagged expenses.
 
@@ -218,7 +236,8 @@ def ingest_lines(lines: DataFrame, registry: DataFrame) -> Ingested:
         F.when(is_ledger, F.col("ledger_registration")).alias("registration"),
         "malformed",
     )
-    found = look_up_registration(typed, registry)
+    # the amount alone would not spread files that have none
+    found = look_up_registration(typed, registry, ["amount", "entity_id", "entity_name"])
     routed = found.select(
         *FILE_KEY,
         F.when(is_ledger, F.col("found_id")).otherwise(F.col("entity_id")).alias("entity_id"),
@@ -230,7 +249,7 @@ def ingest_lines(lines: DataFrame, registry: DataFrame) -> Ingested:
     )
     # flagging needs the rows twice: from here on they are columns, not text
     rows = materialize(clean(routed), "parsed")
-    good = rows.filter(F.col("malformed").isNull()).drop("malformed")
+    good = _spread(rows).filter(F.col("malformed").isNull()).drop("malformed")
     flagged = quality.flag_issues(good, scope=[*FILE_KEY, "entity_id"])
     no_line = F.lit(None).cast("string").alias("line")
     rejects = files.filter(F.col("problem").isNotNull()).select(*FILE_KEY, "problem", no_line)

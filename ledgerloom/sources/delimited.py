@@ -93,57 +93,72 @@ def leaves_open(raw: Column | str, inside: bool = False) -> Column:
     return F.when(~F.contains(line, quote), False).otherwise(F.rlike(line, F.lit(f"(?s)^{_FIELDS}{_LEFT_OPEN}")))
 
 
-def join_records(lines: DataFrame, file_key: Iterable[str] = ("src_file",)) -> DataFrame:
+# Lines that are looked at together, and bytes of them (with what Spark keeps beside each) for one task.
+CHUNK_BITS = 14
+TASK_BYTES = 32 << 20
+LINE_BYTES = 64
+
+
+def join_records(lines: DataFrame, file_key: Iterable[str] = ("src_file",), tasks: int = 0) -> DataFrame:
     """One row per record: lines that break within quotes become one, with the first line's place.
 
     Whether a line begins within quotes depends on all lines before it.  Each line is a function of that
-    state: it keeps, turns or sets it.  Functions are composed within each split of a file (what
-    ``line_at`` begins with), the splits' compositions along the file, and a record that crosses a split
-    takes its place from the split it began in.  A file in which a quote is never closed stays as it
-    is, every line a record, and its rows have ``unclosed``.  Every line break becomes a newline.
+    state: it keeps, turns or sets it.  Functions are composed within each chunk of a file (at most
+    ``2 ** CHUNK_BITS`` neighbouring lines of a split, whatever the size of the file), the chunks'
+    compositions along the file, and a record that crosses chunks takes its place from the chunk it
+    began in.  A file in which a quote is never closed stays as it is, every line a record, and its
+    rows have ``unclosed``.  Every line break becomes a newline.
+
+    ``tasks`` is the least number of tasks that the chunks are dealt to.
     """
     file_key = list(file_key)
     others = [c for c in lines.columns if c not in (*file_key, "raw", "line_at")]
-    split = [*file_key, "_split"]
-    given = lines.withColumns({"_split": F.col("line_at.file_block_start"), "_f0": leaves_open("raw"), "_f1": leaves_open("raw", True)})
+    split = [*file_key, "_split", "_chunk"]
+    tasks = max(tasks, int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    chunk = F.shiftright("line_at.at", CHUNK_BITS)
+    given = lines.withColumns({"_split": F.col("line_at.file_block_start"), "_chunk": chunk, "_f0": leaves_open("raw"), "_f1": leaves_open("raw", True)})
     given = given.withColumns({"_sets": F.col("_f0") == F.col("_f1"), "_turns": (F.col("_f0") & ~F.col("_f1")).cast("int")})
     order = Window.partitionBy(*split).orderBy("line_at")
     upto = order.rowsBetween(Window.unboundedPreceding, 0)
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    given = given.withColumn("_turned", F.sum("_turns").over(upto))
+    given = given.repartition(tasks, *split).withColumn("_turned", F.sum("_turns").over(upto))
     # the state that the last setting line leaves, less the turns counted up to it
     given = given.withColumn("_set", F.when(F.col("_sets"), F.col("_f0").cast("int") + F.col("_turned")))
     states = given.withColumns(
         {"_last": F.last("_set", True).over(before), "_before": F.coalesce(F.sum("_turns").over(before), F.lit(0))}
     )
-    states = materialize(states.drop("_f0", "_f1", "_sets", "_turns"), "quote-states")
-    ends = states.groupBy(*split).agg(F.max_by("_turned", "line_at").alias("_turned"), F.max_by("_set", F.when(F.col("_set").isNotNull(), F.col("line_at"))).alias("_set"))
-    along = Window.partitionBy(*file_key).orderBy("_split")
+    states = materialize(states.drop("_sets", "_turns"), "quote-states")
+    # ordered by plain numbers: with a struct, every line would be sorted for these two
+    at = F.col("line_at.at")
+    ends = states.groupBy(*split).agg(F.max_by("_turned", at).alias("_turned"), F.max_by("_set", F.when(F.col("_set").isNotNull(), at)).alias("_set"))
+    along = Window.partitionBy(*file_key).orderBy("_split", "_chunk")
     through = along.rowsBetween(Window.unboundedPreceding, 0)
     ends = ends.withColumn("_total", F.sum("_turned").over(through))
     ends = ends.withColumn("_fixed", F.when(F.col("_set").isNotNull(), F.col("_set") + F.col("_total") - F.col("_turned")))
     closing = F.pmod(F.coalesce(F.last("_fixed", True).over(through), F.lit(0)) + F.col("_total"), F.lit(2))
     ends = ends.withColumn("_closing", closing)
     at_begin = F.coalesce(F.lag("_closing").over(along), F.lit(0))
-    at_end = F.last("_closing").over(Window.partitionBy(*file_key).orderBy("_split").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    at_end = F.last("_closing").over(along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     ends = materialize(ends.select(*split, at_begin.alias("_begin"), (at_end == 1).alias("unclosed")), "split-states")
-    state = F.pmod(F.coalesce("_last", "_begin") + F.col("_before"), F.lit(2))
-    placed = states.join(ends, split).withColumn("_starts", (state == 0) | F.col("unclosed"))
+    inside = F.pmod(F.coalesce("_last", "_begin") + F.col("_before"), F.lit(2)) == 1
+    placed = states.join(ends, split).withColumn("_inside", inside)
+    placed = placed.withColumn("_starts", ~F.col("_inside") | F.col("unclosed"))
+    # a record of one line neither begins nor ends within quotes
+    left_open = F.coalesce(F.when(F.col("_inside"), F.col("_f1")).otherwise(F.col("_f0")), F.col("_inside"))
+    placed = placed.withColumn("_broken", ~F.col("unclosed") & (F.col("_inside") | left_open))
     own = F.last(F.when(F.col("_starts"), F.col("line_at")), True).over(upto)
-    placed = materialize(placed.select(*file_key, *others, "raw", "line_at", "_split", "unclosed", own.alias("_own")), "line-states")
-    # what a split's first lines belong to, where they begin no record: the last record before the split
-    lasts = placed.groupBy(*split).agg(F.max("_own").alias("_last_own"))
-    carried = F.last("_last_own", True).over(along.rowsBetween(Window.unboundedPreceding, -1))
+    placed = placed.repartition(tasks, *split).select(*split, *others, "raw", "line_at", "unclosed", "_broken", own.alias("_own"))
+    placed = materialize(placed, "line-states")
+    # what a chunk's first lines belong to, where they begin no record: the last record before the chunk
+    lasts = placed.groupBy(*split).agg(F.max("_own.at").alias("_last"))
+    last = F.when(F.col("_last").isNotNull(), F.struct(F.col("_split").alias("file_block_start"), F.col("_last").alias("at")))
+    carried = F.last(last, True).over(along.rowsBetween(Window.unboundedPreceding, -1))
     lasts = materialize(lasts.select(*split, carried.alias("_carried")), "carried-records")
-    whole = placed.join(lasts, split).withColumn("_at", F.coalesce("_own", "_carried"))
-    # most records are one line: only the others are put together
-    broken = whole.groupBy(*file_key, "_at").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
-    broken = materialize(broken, "broken-records")
-    same = [whole[k] == broken[k] for k in (*file_key, "_at")]
-    condition = same[0] & same[1] if len(same) == 2 else same[0] & same[1] & same[2]
     columns = [*file_key, *others, "raw", "line_at", "unclosed"]
-    single = whole.join(broken, condition, "left_anti").select(columns)
-    parts = whole.join(broken, condition, "left_semi")
+    # most records are one line: only the others are put together
+    single = placed.where(~F.col("_broken")).select(columns)
+    parts = placed.where("_broken").join(lasts, split).withColumn("_at", F.coalesce("_own", "_carried"))
+    parts = parts.repartition(tasks, *file_key, "_at")
     pieces = F.array_sort(F.collect_list(F.struct("line_at", F.col("raw").cast("string").alias("raw"))))
     joined = parts.groupBy(*file_key, "_at", "unclosed").agg(
         F.array_join(pieces["raw"], "\n").cast("binary").alias("raw"), *[F.first(c).alias(c) for c in others]
@@ -263,7 +278,9 @@ def whole_records(lines: DataFrame, file_key: Iterable[str], describe: Callable[
     if opening.isEmpty():
         return lines, files
     opening = materialize(opening, "files-with-breaks")
-    records = materialize(join_records(lines.join(opening, file_key, "left_semi"), file_key), "records")
+    opened = lines.join(opening, file_key, "left_semi")
+    size = opened.agg(F.sum(F.octet_length("raw") + LINE_BYTES)).first()[0]
+    records = materialize(join_records(opened, file_key, -(-size // TASK_BYTES)), "records")
     ends = records.groupBy(*file_key).agg(F.bool_or("unclosed").alias("unclosed"))
     again = describe(describe_files(records, file_key)).join(ends, file_key)
     files = materialize(files.join(opening, file_key, "left_anti").unionByName(again), "files")

@@ -463,3 +463,36 @@ def test_wide_lines_are_told_by_their_fields(spark, tmp_path):
     rows = delimited.read_mixed_encoding(spark, str(tmp_path), {c: (c,) for c in "xyz"}).orderBy("line_at").collect()
     assert [r.malformed for r in rows] == [None] * len(good) + wide
     assert [r.y for r in rows[: len(good)]] == ["2", "2;x", "c", "2", "2", '"']
+
+
+def test_records_over_chunks_of_two_lines(spark, tmp_path, setting, monkeypatch):
+    """However few lines are looked at together, records that cross them are whole; no task gets a whole file."""
+    monkeypatch.setattr(delimited, "CHUNK_BITS", 1)
+    setting("spark.sql.adaptive.enabled", "false")
+    body = "k;v\n" + "".join(f'{i};"a\n\n""{i}\n;b"\n{i + 100};plain\n' for i in range(30))
+    (tmp_path / "a.csv").write_text(body)
+    (tmp_path / "b.csv").write_text('k;v\n200;"x\ny"\n201;"open\n202;z\n')
+    lines = delimited.read_lines(spark, str(tmp_path))
+    sizes = []
+    store = delimited.materialize
+
+    def stored(df, label):
+        if label == "quote-states":
+            sizes.extend(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+        return store(df, label)
+
+    monkeypatch.setattr(delimited, "materialize", stored)
+    rows = delimited.join_records(lines, tasks=16).orderBy("src_file", "line_at").collect()
+    texts = [bytes(r.raw).decode() for r in rows if not r.unclosed]
+    assert texts == ["k;v", *(t for i in range(30) for t in (f'{i};"a\n\n""{i}\n;b"', f"{i + 100};plain"))]
+    assert [bytes(r.raw).decode() for r in rows if r.unclosed] == ["k;v", '200;"x', 'y"', '201;"open', "202;z"]
+    assert sum(sizes) == lines.count() and len(sizes) > 8 and max(sizes) < 50
+
+
+def test_rows_are_spread_before_they_are_grouped(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ingest, "TASK_ROWS", 10)
+    spark.range(0, 400, 1, 1).selectExpr("id % 2 AS v").write.parquet(str(tmp_path / "t"))
+    spread = ingest._spread(spark.read.parquet(str(tmp_path / "t")))
+    sizes = [r["count"] for r in spread.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 400 and max(sizes) < 40
+    assert spread.groupBy("v").count().orderBy("v").collect() == [(0, 200), (1, 200)]

@@ -156,3 +156,11 @@ def test_a_refresh_reads_the_changed_periods_only(spark, sf_dir, tmp_path):
     assert sorted(map(str, serving.read_totals(spark, place).collect())) == before  # nothing had changed
     serving.rebuild_totals(spark, place)
     assert sorted(map(str, serving.read_totals(spark, place).collect())) == before
+
+
+def test_many_divergent_keys_are_not_held_by_every_task(spark, monkeypatch):
+    monkeypatch.setattr(quality, "HELD_KEYS", 2)
+    rows = spark.createDataFrame([(f"{i % 5}", "x" * (i % 2 + 1), 1, 2024, 1) for i in range(20)], "entity_id string, entity_name string, quarter int, year int, amount int")
+    flagged = quality.flag_issues(rows, ["entity_id"])
+    assert "BroadcastHashJoin" not in plan(flagged)
+    assert flagged.where(F.contains("issue_flags", F.lit(S.FLAG_DIVERGENT_NAME))).count() == 20
