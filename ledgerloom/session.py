@@ -118,6 +118,22 @@ def drop_intermediates(spark: SparkSession) -> bool:
     return _delete(spark, _application_folder(spark))
 
 
+@contextmanager
+def open_writers(spark: SparkSession, count: int) -> Iterator[None]:
+    """Writes of the block keep up to ``count`` files open in a task.
+
+    Rows that are written by a column of so few values need not be sorted by it first, which
+    would hold all rows of a task.
+    """
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(count))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Remove the intermediate tables of a block when it ends.

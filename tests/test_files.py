@@ -496,3 +496,20 @@ def test_rows_are_spread_before_they_are_grouped(spark, tmp_path, monkeypatch):
     sizes = [r["count"] for r in spread.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(sizes) == 400 and max(sizes) < 40
     assert spread.groupBy("v").count().orderBy("v").collect() == [(0, 200), (1, 200)]
+
+
+def test_files_of_few_values_are_written_without_a_sort(spark, tmp_path):
+    from ledgerloom.session import open_writers
+
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    rows = spark.range(0, 90, 1, 3).selectExpr("id", "CAST(id % 3 AS INT) AS part")
+    with open_writers(spark, 3):
+        assert spark.conf.get(key) == "3"
+        rows.repartitionById(3, "part").write.partitionBy("part").csv(str(tmp_path / "t"))
+    assert spark.conf.get(key) == before
+    assert [len(list((tmp_path / "t" / f"part={p}").glob("*.csv"))) for p in range(3)] == [1, 1, 1]
+    assert spark.read.csv(str(tmp_path / "t")).count() == 90
+    with pytest.raises(ZeroDivisionError), open_writers(spark, 3):
+        1 / 0
+    assert spark.conf.get(key) == before
