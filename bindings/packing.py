@@ -9,9 +9,10 @@ import zipfile
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark import cloudpickle
+from pyspark import TaskContext, cloudpickle
 
 LEDGER_HEADER = "REG_ANS;DESCRICAO;VL_SALDO_FINAL"
+ARCHIVE_LINES = 10_000
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -49,14 +50,27 @@ def write_files(batches):
 
 
 def write_archives(batches):
-    """(place, name, line) rows, sorted by name: the lines of a batch under one name are one archive."""
-    for number, batch in enumerate(batches):
-        by_name = {}
-        for row in batch.to_pylist():
-            by_name.setdefault((row["place"], row["name"]), []).append(row["line"])
-        for (place, name), lines in by_name.items():
-            packed = io.BytesIO()
-            with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
-                archive.writestr("pasta é/ledger %.csv", "\n".join([LEDGER_HEADER, *lines]).encode())
-            _store(place, f"{number} {name}", packed.getvalue())
-        yield pa.RecordBatch.from_arrays([pa.array([len(by_name)], pa.int64())], names=["files"])
+    """(place, name, line) rows in any order: up to ``ARCHIVE_LINES`` lines under one name are one archive.
+
+    Archives are numbered by task and within it, so that tasks may share a name and a
+    repeated task writes the same files.
+    """
+    task, pending, written = TaskContext.get().partitionId(), {}, {}
+
+    def store(key):
+        place, name = key
+        packed = io.BytesIO()
+        with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+            archive.writestr("pasta é/ledger %.csv", "\n".join([LEDGER_HEADER, *pending.pop(key)]).encode())
+        written[key] = written.get(key, 0) + 1
+        _store(place, f"{task}-{written[key]} {name}", packed.getvalue())
+
+    for batch in batches:
+        for place, name, line in zip(*(batch.column(c).to_pylist() for c in ("place", "name", "line")), strict=True):
+            lines = pending.setdefault((place, name), [])
+            lines.append(line)
+            if len(lines) == ARCHIVE_LINES:
+                store((place, name))
+    for key in list(pending):
+        store(key)
+    yield pa.RecordBatch.from_arrays([pa.array([sum(written.values())], pa.int64())], names=["files"])

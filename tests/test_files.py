@@ -513,3 +513,18 @@ def test_files_of_few_values_are_written_without_a_sort(spark, tmp_path):
     with pytest.raises(ZeroDivisionError), open_writers(spark, 3):
         1 / 0
     assert spark.conf.get(key) == before
+
+
+def test_tasks_share_the_name_of_an_archive(spark, tmp_path, monkeypatch):
+    """Rows of a name in several tasks, in any order, come back whole."""
+    from bindings import packing
+
+    monkeypatch.setattr(packing, "ARCHIVE_LINES", 7)
+    names = [f"{q}T2020 despesas.zip" for q in (2, 4)]
+    rows = spark.range(0, 100, 1, 4).selectExpr(
+        f"'file:{tmp_path}/zip' AS place", f"IF(id % 2 = 0, '{names[0]}', '{names[1]}') AS name", "CAST(id AS string) AS line"
+    )
+    assert rows.mapInArrow(packing.write_archives, "files long").agg(F.sum("files")).first()[0] == len(list((tmp_path / "zip").iterdir()))
+    found = archives.read_archives(spark, str(tmp_path / "zip")).where("line_no > 1")
+    assert sorted(int(bytes(r.raw)) for r in found.collect()) == list(range(100))
+    assert found.where("problem IS NOT NULL").isEmpty()
