@@ -71,6 +71,17 @@ def _byte_lengths(path: str) -> np.ndarray:
     return lengths
 
 
+def _ends_blank(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Whether the last character of each piece between ``bounds`` is a blank of any kind."""
+    at = bounds[1:] - 1
+    last, second, third = data[at], data[np.maximum(at - 1, 0)], data[np.maximum(at - 2, 0)]
+    found = is_blank(last) | ((last >= 0x1C) & (last <= 0x1F))
+    doubt = (last >= 0x80) & ((second == 0xC2) | ((third >= 0xE1) & (third <= 0xE3)))
+    for i in np.flatnonzero(doubt).tolist():
+        found[i] = data[bounds[i] : bounds[i + 1]].tobytes().decode()[-1].isspace()
+    return found
+
+
 def _encode_distinct(words: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all distinct cuts, one after another, and the number of ids of each.
 
@@ -78,22 +89,21 @@ def _encode_distinct(words: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray
     they are encoded as long lines; the ids' byte lengths tell them apart again.
     """
     encoder, size = tokenizer(path), _byte_lengths(path)
+    data, offsets = flat_bytes(words)
+    data = np.ascontiguousarray(data)
     ids, counts = [], []
     for at in range(0, len(words), AT_ONCE):
-        part = words.slice(at, AT_ONCE).to_pylist()
-        lines, sizes, line = [], [], []
-        for word in part:
-            alone = word[0] not in " \t\n\v\f\r" or word[-1].isspace()
-            if alone and line:
-                lines.append("".join(line))
-                line = []
-            (lines if alone else line).append(word)
-            sizes.append(len(word.encode()))
-        if line:
-            lines.append("".join(line))
+        bounds = offsets[at : at + AT_ONCE + 1].astype(np.int64)
+        alone = ~is_blank(data[bounds[:-1]]) | _ends_blank(data, bounds)
+        # neighbours lie side by side: a line is all from one beginning to the next
+        begins = alone.copy()
+        begins[1:] |= alone[:-1]
+        begins[0] = True
+        edges = np.append(bounds[:-1][begins], bounds[-1])
+        lines = pa.LargeStringArray.from_buffers(len(edges) - 1, pa.py_buffer(edges), pa.py_buffer(data)).to_pylist()
         found = [np.array(e.ids, np.uint32) for e in encoder.encode_batch_fast(lines, add_special_tokens=False)]
         flat = np.concatenate(found)
-        ends = np.searchsorted(np.cumsum(size[flat]), np.cumsum(sizes)) + 1
+        ends = np.searchsorted(np.cumsum(size[flat]), bounds[1:] - bounds[0]) + 1
         ids.append(flat)
         counts.append(np.diff(ends, prepend=0))
     return np.concatenate(ids), np.concatenate(counts)
@@ -114,7 +124,7 @@ def encode_batch(texts: pa.Array, path: str) -> Iterator[np.ndarray]:
         pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))]
     )
     coded = pieces.dictionary_encode()
-    flat, lengths = _encode_distinct(coded.dictionary.cast(pa.large_string()), path)
+    flat, lengths = _encode_distinct(coded.dictionary, path)
     starts = np.cumsum(lengths) - lengths
     codes = coded.indices.to_numpy()
     first = np.searchsorted(cuts, offsets)  # the piece that each text begins with

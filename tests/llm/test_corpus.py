@@ -429,3 +429,15 @@ def test_pipeline_of_an_empty_table(spark, docs):
     for _, stage in corpus_pipeline.STAGES:
         frame = stage(spark, frame, "")
     assert frame.count() == 0
+
+
+def test_pieces_that_end_in_a_blank_are_told_from_their_bytes():
+    import numpy as np
+
+    from ledgerloom.llm import bpe
+
+    words = [" a", "b ", "\u0085", " x ", "é", "ã　", "\x1c", "y\x1f", "中", " ", "😀", "à", " ", " …"]
+    parts = [w.encode() for w in words]
+    bounds = np.cumsum([0, *map(len, parts)])
+    found = bpe._ends_blank(np.frombuffer(b"".join(parts), np.uint8), bounds)
+    assert found.tolist() == [w[-1].isspace() for w in words]
