@@ -31,7 +31,7 @@ by_value(__name__)
 GOOD, BAD, ABSTAIN = 0, 1, 2
 DIMENSIONS = 1 << 15
 FIT_ROWS = 8000
-AT_ONCE = 8 << 20  # bytes of text whose words are looked at together
+AT_ONCE = 2 << 20  # bytes of text whose words are looked at together; their arrays take ten times that and more
 FEW = 8  # below so many words all labellers abstain
 LEAST = 20.0  # words that a text's hashed features are shared among at least
 # value of a measure at which a labeller votes good, and from which on it votes bad; it abstains between them

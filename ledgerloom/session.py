@@ -24,6 +24,10 @@ RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# Rows with whole texts go to Python tasks in batches of about so many bytes (Spark's own bound is 64 MB).
+# A batch lies in the JVM's buffers and in the worker's at once, beside a heap that is never given back.
+BATCH_BYTES = "4m"
+
 
 _scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
 
@@ -35,6 +39,11 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on the session's Python tasks take their rows in batches of ``BATCH_BYTES``."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def local_session(cores: int | str = "*", name: str = "ledgerloom") -> SparkSession:
     """A local session for tests and the benchmark."""
     partitions = "8" if cores == "*" else str(cores)

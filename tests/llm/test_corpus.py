@@ -3,8 +3,10 @@
 import math
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ import corpus_pipeline
 from ledgerloom.llm import mixing, quality, quotes, simhash
 from ledgerloom.llm.common import ranked
 from ledgerloom.llm.queries import ORACLES, QUERIES
+from ledgerloom.llm.words import by_size
 
 ODD = [(1, None, "b"), (2, "", None), (3, " \t\n", "a"), (4, "one two three", "b"), (4, "one two three", "b"), (None, "no id", "a"), (5, "long " * 30_000, None)]
 
@@ -400,6 +403,25 @@ def test_chat_edges(spark):
     assert quotes.link_quotes(frame.limit(0)).count() == 0
 
 
+def test_a_task_of_the_classifier_holds_little_beside_its_batch():
+    rng = np.random.default_rng(3)
+    known = np.array(["".join(chr(97 + c) for c in rng.integers(0, 26, 2 + i % 9)) for i in range(20_000)])
+    batch = pa.RecordBatch.from_arrays([pa.array([" ".join(known[rng.integers(0, 20_000, 500)]) for _ in range(4000)])], names=["text"])
+    assert batch.nbytes > 12 << 20
+    scorer = quality.Scorer(np.zeros(quality.DIMENSIONS), np.zeros(2 * len(quality.LABELLERS)), 0.0)
+    seen = 0
+    tracemalloc.start()
+    try:
+        for part in by_size([batch], 0, quality.AT_ONCE):
+            words, values = quality.measures(part.column(0))
+            assert len(scorer.score(words, values)) == part.num_rows
+            seen += part.num_rows
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert seen == 4000 and peak < 40 << 20, peak
+
+
 # --- pipeline ------------------------------------------------------------------------------------------
 
 
@@ -424,6 +446,22 @@ def test_pipeline_stages(spark, sf_dir, tmp_path):
     assert run.agg(F.sum("length")).first() == docs.agg(F.sum("length")).first()
 
 
+def test_texts_reach_python_in_small_batches(spark, docs, setting, tmp_path):
+    setting("spark.sql.execution.arrow.maxBytesPerBatch", "64m")
+    docs([(i, "some words of a text " * 500) for i in range(1500)]).coalesce(1).write.parquet(str(tmp_path / "docs"))
+    frame = spark.read.parquet(str(tmp_path / "docs")).coalesce(1)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "size"])
+
+    for _, stage in corpus_pipeline.STAGES:
+        setting("spark.sql.execution.arrow.maxBytesPerBatch", "64m")
+        stage(spark, frame.limit(0), "")
+        found = frame.mapInArrow(sizes, "n long, size long").collect()
+        assert sum(r.n for r in found) == 1500 and max(r.size for r in found) < 5 << 20
+
+
 def test_pipeline_of_an_empty_table(spark, docs):
     frame = docs([])
     for _, stage in corpus_pipeline.STAGES:
