@@ -43,13 +43,15 @@ def row_flags(id_col: str = "entity_id") -> list[Column]:
 def divergent_ids(df: DataFrame, scope: Iterable[str]) -> DataFrame:
     """Keys under which more than one name occurs.
 
-    Distinct names are found by grouping keys alone, which is a hash aggregate
-    with map-side combine; a minimum and maximum of texts would sort all rows.
+    The names of a key are compared by 128 bits that stand for each: their least and greatest are
+    kept by a hash aggregate with map-side combine, one row a key, where a minimum and
+    maximum of texts would sort all rows.
     """
-    scope = list(scope)
-    names = df.filter(F.col("entity_name").isNotNull()).select(*scope, "entity_name").distinct()
-    counted = names.groupBy(*scope).agg(F.count(F.lit(1)).alias("_n"))
-    return counted.filter("_n > 1").select(*scope)
+    scope, name = list(scope), F.col("entity_name")
+    bits = {"_a": F.xxhash64(name), "_b": F.xxhash64(F.lit(7), name)}
+    names = df.filter(name.isNotNull()).select(*scope, *[c.alias(k) for k, c in bits.items()])
+    spans = names.groupBy(*scope).agg(*[f(k).alias(f"{k}{at}") for k in bits for at, f in ((0, F.min), (1, F.max))])
+    return spans.filter("_a0 <> _a1 OR _b0 <> _b1").select(*scope)
 
 
 def flag_issues(df: DataFrame, scope: Iterable[str] = ("src_file", "entity_id")) -> DataFrame:
@@ -63,7 +65,7 @@ def flag_issues(df: DataFrame, scope: Iterable[str] = ("src_file", "entity_id"))
     scope = list(scope)
     divergent = joins.sized_side(divergent_ids(df, scope), "divergent")
     if divergent.count() > HELD_KEYS:  # long paths take little room in files, but much in memory
-        divergent = divergent.hint("merge")
+        divergent = divergent.hint("shuffle_hash")  # each task holds its share, and the rows need no sort
     marked = df.join(divergent.withColumn("_divergent", F.lit(True)), scope, "left")
     flags = F.concat_ws(
         ";", *row_flags(), _flag(F.col("_divergent"), S.FLAG_DIVERGENT_NAME)

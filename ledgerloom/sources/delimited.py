@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom import schema as S
@@ -13,6 +14,7 @@ from ledgerloom.session import materialize
 SEPARATOR = ";"
 QUOTE = '"'  # doubled inside a quoted field
 FALLBACK_ENCODING = "ISO-8859-1"
+NAMED_FILES = 10_000  # files that a scan is given by name
 
 
 def read_delimited(
@@ -46,15 +48,23 @@ def read_lines(
 ) -> DataFrame:
     """(src_file, raw, line_at): undecoded lines of splittable text files.
 
-    ``keep`` is a condition on the file path; Spark applies it to its file list,
-    so files it excludes are not opened.
+    ``keep`` is a condition on the file path; files it excludes are not opened.  As a filter
+    it would also be evaluated for every line, so the files it chooses are named, unless they are very many.
     """
-    reader = spark.read
-    if name_glob:
-        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", name_glob)
-    files = reader.text(path)
+
+    def reader() -> DataFrameReader:
+        wanted = spark.read
+        return wanted.option("recursiveFileLookup", True).option("pathGlobFilter", name_glob) if name_glob else wanted
+
+    kept = keep(F.col("_metadata.file_path")) if keep else F.lit(True)
+    named = []
     if keep is not None:
-        files = files.filter(keep(F.col("_metadata.file_path")))
+        listed = reader().format("binaryFile").load(path).filter(kept)
+        named = [r.path for r in listed.select("path").limit(NAMED_FILES + 1).collect()]
+    if 0 < len(named) <= NAMED_FILES:
+        files = reader().text([re.sub(r"([\\{}\[\]*?])", r"\\\1", p) for p in named])
+    else:
+        files = reader().text(path).filter(kept)
     return files.select(
         F.col("_metadata.file_path").alias("src_file"),
         F.col("value").cast("binary").alias("raw"),
@@ -77,9 +87,10 @@ def is_blank(raw: Column | str) -> Column:
 
 # Fields as the parser sees them: a quote opens a field only at its beginning, and is doubled inside.
 # Everything is possessive, so no line is gone over twice.
-_QUOTED = '"(?:[^"]|"")*+"[^;]*+'
+_INNER = '"[^"]*+(?:""[^"]*+)*+'
+_QUOTED = f'{_INNER}"[^;]*+'
 _FIELDS = f'(?:(?:{_QUOTED}|[^";][^;]*+|);)*+'
-_LEFT_OPEN = '"(?:[^"]|"")*+$'
+_LEFT_OPEN = f"{_INNER}$"
 
 
 def leaves_open(raw: Column | str, inside: bool = False) -> Column:
@@ -88,13 +99,22 @@ def leaves_open(raw: Column | str, inside: bool = False) -> Column:
     line, quote = raw.cast("string"), F.lit(QUOTE)
     if inside:
         return F.when(~F.contains(line, quote), True).otherwise(
-            F.rlike(line, F.lit(f'(?s)^(?:[^"]|"")*+(?:$|"[^;]*+;{_FIELDS}{_LEFT_OPEN})'))
+            F.rlike(line, F.lit(f'(?s)^[^"]*+(?:""[^"]*+)*+(?:$|"[^;]*+;{_FIELDS}{_LEFT_OPEN})'))
         )
     return F.when(~F.contains(line, quote), False).otherwise(F.rlike(line, F.lit(f"(?s)^{_FIELDS}{_LEFT_OPEN}")))
 
 
-# Lines that are looked at together, and bytes of them (with what Spark keeps beside each) for one task.
-CHUNK_BITS = 14
+# The same over many lines: what follows an unquoted field or a closing quote ends with the line.
+_ENDED = f'{_INNER}"[^;\n]*+|[^";\n][^;\n]*+|'
+_LINES_OPEN = f"^(?:(?:{_ENDED})[;\n])*+{_INNER}\\z"
+_FIELD = f'(?:{_INNER}(?:"[^;\n]*+|\\z)|[^";\n][^;\n]*+|)'
+_RECORD = f"{_FIELD}(?:;{_FIELD})*+"
+
+# Lines that are looked at together, bytes of them as a rule and at most, and bytes (with what Spark
+# keeps beside each line) for one task.
+CHUNK_BITS = 12
+CHUNK_BYTES = 1 << 20
+LARGEST_CHUNK = 64 << 20
 TASK_BYTES = 32 << 20
 LINE_BYTES = 64
 
@@ -102,73 +122,100 @@ LINE_BYTES = 64
 def join_records(lines: DataFrame, file_key: Iterable[str] = ("src_file",), tasks: int = 0) -> DataFrame:
     """One row per record: lines that break within quotes become one, with the first line's place.
 
-    Whether a line begins within quotes depends on all lines before it.  Each line is a function of that
-    state: it keeps, turns or sets it.  Functions are composed within each chunk of a file (at most
-    ``2 ** CHUNK_BITS`` neighbouring lines of a split, whatever the size of the file), the chunks'
-    compositions along the file, and a record that crosses chunks takes its place from the chunk it
-    began in.  A file in which a quote is never closed stays as it is, every line a record, and its
+    Whether a line begins within quotes depends on all lines before it.  Neighbouring lines of a split
+    (at most ``2 ** CHUNK_BITS``, whatever the size of the file) are one text, which is a function of that
+    state: it keeps, turns or sets it.  The functions are composed along the file; then each
+    chunk's text is taken apart into records, and the pieces of a record that crosses chunks are put together.
+    A file in which a quote is never closed stays as it is, every line a record, and its
     rows have ``unclosed``.  Every line break becomes a newline.
 
     ``tasks`` is the least number of tasks that the chunks are dealt to.
     """
-    file_key = list(file_key)
+    return _joined(lines, list(file_key), tasks, CHUNK_BITS)[0]
+
+
+def _joined(lines: DataFrame, file_key: list[str], tasks: int, bits: int) -> tuple[DataFrame, DataFrame]:
+    """The records, and whether each file has an unclosed quote."""
     others = [c for c in lines.columns if c not in (*file_key, "raw", "line_at")]
     split = [*file_key, "_split", "_chunk"]
     tasks = max(tasks, int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    chunk = F.shiftright("line_at.at", CHUNK_BITS)
-    given = lines.withColumns({"_split": F.col("line_at.file_block_start"), "_chunk": chunk, "_f0": leaves_open("raw"), "_f1": leaves_open("raw", True)})
-    given = given.withColumns({"_sets": F.col("_f0") == F.col("_f1"), "_turns": (F.col("_f0") & ~F.col("_f1")).cast("int")})
-    order = Window.partitionBy(*split).orderBy("line_at")
-    upto = order.rowsBetween(Window.unboundedPreceding, 0)
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    given = given.repartition(tasks, *split).withColumn("_turned", F.sum("_turns").over(upto))
-    # the state that the last setting line leaves, less the turns counted up to it
-    given = given.withColumn("_set", F.when(F.col("_sets"), F.col("_f0").cast("int") + F.col("_turned")))
-    states = given.withColumns(
-        {"_last": F.last("_set", True).over(before), "_before": F.coalesce(F.sum("_turns").over(before), F.lit(0))}
+    line = F.struct(F.col("line_at.at").alias("at"), F.coalesce(F.col("raw").cast("string"), F.lit("")).alias("raw"), *others)
+    chunk = F.shiftright("line_at.at", bits).alias("_chunk")
+    given = lines.select(*file_key, F.col("line_at.file_block_start").alias("_split"), chunk, line.alias("_line"))
+    given = given.repartition(tasks, *split).groupBy(*split).agg(F.array_sort(F.collect_list("_line")).alias("_lines"))
+    kept = F.transform("_lines", lambda x: F.struct(x["at"].alias("at"), *[x[c].alias(c) for c in others]))
+    given = given.select(*split, kept.alias("_kept"), F.array_join(F.col("_lines")["raw"], "\n").cast("binary").alias("_bytes"))
+    # one character for each byte, so that bytes of any encoding come out as they went in
+    text = F.decode("_bytes", FALLBACK_ENCODING)
+    inside, plain = F.concat(F.lit(QUOTE), "_text"), ~F.contains("_text", F.lit(QUOTE))
+    given = given.withColumn("_text", text).withColumns(
+        {
+            "_f0": F.when(plain, False).otherwise(F.rlike("_text", F.lit(_LINES_OPEN))),
+            "_f1": F.when(plain, True).otherwise(F.rlike(inside, F.lit(_LINES_OPEN))),
+            # a record begins in it, even if its first line begins within quotes
+            "_renews": F.when(plain, False).otherwise(F.rlike(inside, F.lit(f"^{_RECORD}\n"))),
+        }
     )
-    states = materialize(states.drop("_sets", "_turns"), "quote-states")
-    # ordered by plain numbers: with a struct, every line would be sorted for these two
-    at = F.col("line_at.at")
-    ends = states.groupBy(*split).agg(F.max_by("_turned", at).alias("_turned"), F.max_by("_set", F.when(F.col("_set").isNotNull(), at)).alias("_set"))
+    chunks = materialize(given.drop("_text"), "quote-chunks")
     along = Window.partitionBy(*file_key).orderBy("_split", "_chunk")
     through = along.rowsBetween(Window.unboundedPreceding, 0)
-    ends = ends.withColumn("_total", F.sum("_turned").over(through))
-    ends = ends.withColumn("_fixed", F.when(F.col("_set").isNotNull(), F.col("_set") + F.col("_total") - F.col("_turned")))
-    closing = F.pmod(F.coalesce(F.last("_fixed", True).over(through), F.lit(0)) + F.col("_total"), F.lit(2))
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    ends = chunks.select(*split, "_f0", "_f1", "_renews").withColumn("_turned", F.sum((F.col("_f0") & ~F.col("_f1")).cast("int")).over(through))
+    # the state that the last setting chunk leaves, and the turns counted since
+    ends = ends.withColumn("_set", F.when(F.col("_f0") == F.col("_f1"), F.col("_f0").cast("int") + F.col("_turned")))
+    closing = F.pmod(F.coalesce(F.last("_set", True).over(through), F.lit(0)) + F.col("_turned"), F.lit(2)) == 1
     ends = ends.withColumn("_closing", closing)
-    at_begin = F.coalesce(F.lag("_closing").over(along), F.lit(0))
+    at_begin = F.coalesce(F.lag("_closing").over(along), F.lit(False))
     at_end = F.last("_closing").over(along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    ends = materialize(ends.select(*split, at_begin.alias("_begin"), (at_end == 1).alias("unclosed")), "split-states")
-    inside = F.pmod(F.coalesce("_last", "_begin") + F.col("_before"), F.lit(2)) == 1
-    placed = states.join(ends, split).withColumn("_inside", inside)
-    placed = placed.withColumn("_starts", ~F.col("_inside") | F.col("unclosed"))
-    # a record of one line neither begins nor ends within quotes
-    left_open = F.coalesce(F.when(F.col("_inside"), F.col("_f1")).otherwise(F.col("_f0")), F.col("_inside"))
-    placed = placed.withColumn("_broken", ~F.col("unclosed") & (F.col("_inside") | left_open))
-    own = F.last(F.when(F.col("_starts"), F.col("line_at")), True).over(upto)
-    placed = placed.repartition(tasks, *split).select(*split, *others, "raw", "line_at", "unclosed", "_broken", own.alias("_own"))
-    placed = materialize(placed, "line-states")
-    # what a chunk's first lines belong to, where they begin no record: the last record before the chunk
-    lasts = placed.groupBy(*split).agg(F.max("_own.at").alias("_last"))
-    last = F.when(F.col("_last").isNotNull(), F.struct(F.col("_split").alias("file_block_start"), F.col("_last").alias("at")))
-    carried = F.last(last, True).over(along.rowsBetween(Window.unboundedPreceding, -1))
-    lasts = materialize(lasts.select(*split, carried.alias("_carried")), "carried-records")
+    ends = ends.withColumns({"_begin": at_begin, "unclosed": at_end})
+    # where the record began that a chunk's first lines belong to
+    own = F.struct("_split", "_chunk")
+    carried = F.last(F.when(~F.col("_begin") | F.col("_renews"), own), True).over(before)
+    ends = materialize(ends.select(*split, "_begin", "_closing", "unclosed", carried.alias("_carried")), "chunk-states")
+    placed = chunks.repartition(tasks, *split).join(ends, split).withColumn("_text", text)
+    whole = F.concat(F.when(F.col("_begin"), F.lit(f"\n{QUOTE}")).otherwise(F.lit("\n")), "_text")
+    found = F.when(F.col("unclosed"), F.split("_text", "\n", -1)).otherwise(F.regexp_extract_all(whole, F.lit(f"\n({_RECORD})"), F.lit(1)))
+    placed = placed.withColumn("_found", found).withColumn("_n", F.size("_found"))
+
+    def by_line(record: Column, i: Column) -> Column:
+        """A record at its first line, and nothing at its other lines."""
+        head = F.col("_begin") & (i == 0) & ~F.col("unclosed")
+        tail = F.col("_closing") & (i == F.col("_n") - 1) & ~F.col("unclosed")
+        owner = F.when(head, F.col("_carried")).when(tail, own)
+        # the quote that stands for the state at the beginning goes
+        first = F.struct(F.when(head, F.substr(record, F.lit(2))).otherwise(record).alias("raw"), owner.alias("owner"))
+        breaks = F.length(record) - F.length(F.replace(record, F.lit("\n"), F.lit("")))
+        return F.when(F.instr(record, "\n") == 0, F.array(first)).otherwise(
+            F.concat(F.array(first), F.array_repeat(F.when(F.lit(False), first), breaks))
+        )
+
+    lined = F.arrays_zip(F.col("_kept"), F.flatten(F.transform("_found", by_line)).alias("_record"))
+    states = placed.select(*file_key, "_split", "unclosed", F.explode(lined).alias("_line")).select(
+        *file_key,
+        F.struct(F.col("_split").alias("file_block_start"), F.col("_line._kept.at").alias("at")).alias("line_at"),
+        *[F.col(f"_line._kept.{c}").alias(c) for c in others],
+        "unclosed",
+        F.encode("_line._record.raw", FALLBACK_ENCODING).alias("raw"),
+        F.col("_line._record.owner").alias("_owner"),
+    )
+    states = materialize(states, "quote-states").where(F.col("raw").isNotNull())
     columns = [*file_key, *others, "raw", "line_at", "unclosed"]
-    # most records are one line: only the others are put together
-    single = placed.where(~F.col("_broken")).select(columns)
-    parts = placed.where("_broken").join(lasts, split).withColumn("_at", F.coalesce("_own", "_carried"))
-    parts = parts.repartition(tasks, *file_key, "_at")
+    # most records lie within a chunk: only the others are put together
     pieces = F.array_sort(F.collect_list(F.struct("line_at", F.col("raw").cast("string").alias("raw"))))
-    joined = parts.groupBy(*file_key, "_at", "unclosed").agg(
-        F.array_join(pieces["raw"], "\n").cast("binary").alias("raw"), *[F.first(c).alias(c) for c in others]
+    joined = states.where("_owner IS NOT NULL").groupBy(*file_key, "_owner", "unclosed").agg(
+        F.array_join(pieces["raw"], "\n").cast("binary").alias("raw"),
+        F.min("line_at").alias("line_at"),
+        *[F.min_by(c, "line_at").alias(c) for c in others],
     )
-    return single.unionByName(joined.withColumnRenamed("_at", "line_at").select(columns))
+    joined = materialize(joined.select(columns), "records-over-chunks")
+    unclosed = ends.groupBy(*file_key).agg(F.bool_or("unclosed").alias("unclosed"))
+    return states.where("_owner IS NULL").select(columns).unionByName(joined), unclosed
 
 
 def describe_files(lines: DataFrame, file_key: Iterable[str] = ("src_file",)) -> DataFrame:
-    """One row per file: is every line valid UTF-8, its first line, where that is, and
-    whether any line ends within quotes (``opens``).
+    """One row per file: is every line valid UTF-8, its first line, where that is,
+    whether any line ends within quotes (``opens``) and that one does (``header_opens``), and the
+    number of lines, their bytes and the longest's.
 
     Blank lines before the header are passed over.
 
@@ -187,7 +234,11 @@ def describe_files(lines: DataFrame, file_key: Iterable[str] = ("src_file",)) ->
             F.min_by("raw", filled).alias("_first"),
             F.min(filled).alias("header_at"),
             F.bool_or(leaves_open("raw")).alias("opens"),
+            F.count(F.lit(1)).alias("n_lines"),
+            F.sum(F.octet_length("raw")).alias("n_bytes"),
+            F.max(F.octet_length("raw")).alias("longest"),
         )
+        .withColumn("header_opens", leaves_open("_first"))
         .withColumn("is_utf8", ~F.array_contains("_valid", False))
         .withColumn("header_line", decode("_first", F.col("is_utf8")))
         .drop("_first", "_valid")
@@ -224,13 +275,19 @@ def too_wide(line: Column | str, names: Column) -> Column:
     return F.when(separators < F.size(names), False).otherwise(fields > F.size(names))
 
 
-def field(names: Column, values: Column, aliases: Iterable[str]) -> Column:
-    """The value under the first of the alias headers the file has."""
-    found = [
-        F.try_element_at(values, F.nullif(F.array_position(names, a), F.lit(0)).cast("int"))
-        for a in aliases
-    ]
-    return F.coalesce(*found)
+def places(names: Column, aliases: Iterable[str]) -> Column:
+    """Where a file has the alias headers, in the order of the aliases; for one row per file."""
+    accepted = F.array(*[F.lit(a) for a in aliases])
+    return F.filter(F.transform(accepted, lambda a: F.array_position(names, a)), lambda at: at > 0)
+
+
+def field(values: Column, at: Column) -> Column:
+    """The first value that is not NULL under the headers at these places, most often one."""
+    def value(place: Column) -> Column:
+        return F.get(values, place.cast("int") - 1)
+
+    several = F.filter(F.transform(at, value), lambda v: v.isNotNull())
+    return F.when(F.size(at) < 2, value(F.get(at, F.lit(0)))).otherwise(F.get(several, F.lit(0)))
 
 
 def parse_files(
@@ -247,15 +304,18 @@ def parse_files(
     file), so layouts need no scan of their own.  The header line itself and blank
     lines are not data.  A line with more fields than the header is kept out of no
     result: its ``malformed`` has the line and its columns are NULL.
+
+    Headers are looked up once for a file, not for each of its lines.
     """
     file_key, keep = list(file_key), list(keep)
-    rows = lines.join(files, file_key).withColumn("_line", decode("raw", F.col("is_utf8")))
+    placed = files.withColumns({f"_at_{column}": places(F.col("names"), names) for column, names in aliases.items()})
+    rows = lines.join(placed, file_key).withColumn("_line", decode("raw", F.col("is_utf8")))
     body = rows.filter((F.col("line_at") != F.col("header_at")) & ~is_blank("raw"))
     wide = F.when(too_wide("_line", F.col("names")), F.col("_line"))
     values = body.withColumn("malformed", wide).withColumn("_values", split_line("_line", width))
     columns = [
-        F.when(F.col("malformed").isNull(), field(F.col("names"), F.col("_values"), names)).alias(column)
-        for column, names in aliases.items()
+        F.when(F.col("malformed").isNull(), field(F.col("_values"), F.col(f"_at_{column}"))).alias(column)
+        for column in aliases
     ]
     return values.select(*file_key, *columns, "malformed", *keep)
 
@@ -274,17 +334,26 @@ def whole_records(lines: DataFrame, file_key: Iterable[str], describe: Callable[
     file_key = list(file_key)
     described = describe(describe_files(lines, file_key)).withColumn("unclosed", F.lit(False))
     files = materialize(described, "files")
-    opening = files.where("opens").select(*file_key)
-    if opening.isEmpty():
+    sizes = files.where("opens").agg(F.sum("n_lines"), F.sum("n_bytes"), F.max("longest")).first()
+    if sizes[0] is None:
         return lines, files
-    opening = materialize(opening, "files-with-breaks")
-    opened = lines.join(opening, file_key, "left_semi")
-    size = opened.agg(F.sum(F.octet_length("raw") + LINE_BYTES)).first()[0]
-    records = materialize(join_records(opened, file_key, -(-size // TASK_BYTES)), "records")
-    ends = records.groupBy(*file_key).agg(F.bool_or("unclosed").alias("unclosed"))
-    again = describe(describe_files(records, file_key)).join(ends, file_key)
-    files = materialize(files.join(opening, file_key, "left_anti").unionByName(again), "files")
-    return lines.join(opening, file_key, "left_anti").unionByName(records.drop("unclosed")), files
+    n_lines, n_bytes, longest = sizes
+    opening = materialize(files.where("opens").select(*file_key), "files-with-breaks")
+    others = None if files.where("NOT opens").isEmpty() else lines.join(opening, file_key, "left_anti")
+    opened = lines if others is None else lines.join(opening, file_key, "left_semi")
+    together = min(CHUNK_BYTES * n_lines // max(n_bytes, 1), LARGEST_CHUNK // max(longest, 1))
+    bits = min(CHUNK_BITS, max(together, 1).bit_length() - 1)
+    records, unclosed = _joined(opened, file_key, -(-(n_bytes + LINE_BYTES * n_lines) // TASK_BYTES), bits)
+    records = records.drop("unclosed")
+    # only a header of several lines reads otherwise now
+    files = files.drop("unclosed").join(unclosed, file_key, "left").withColumn("unclosed", F.coalesce("unclosed", F.lit(False)))
+    files = materialize(files, "files")
+    broken = files.where("header_opens AND NOT unclosed").select(*file_key)
+    if not broken.isEmpty():
+        broken = materialize(broken, "files-with-broken-headers")
+        again = describe(describe_files(records.join(broken, file_key, "left_semi"), file_key)).withColumn("unclosed", F.lit(False))
+        files = materialize(files.join(broken, file_key, "left_anti").unionByName(again), "files")
+    return records if others is None else others.unionByName(records), files
 
 
 def read_mixed_encoding(

@@ -528,3 +528,69 @@ def test_tasks_share_the_name_of_an_archive(spark, tmp_path, monkeypatch):
     found = archives.read_archives(spark, str(tmp_path / "zip")).where("line_no > 1")
     assert sorted(int(bytes(r.raw)) for r in found.collect()) == list(range(100))
     assert found.where("problem IS NOT NULL").isEmpty()
+
+
+def test_lines_of_chosen_files_are_not_filtered_one_by_one(spark, tmp_path, monkeypatch):
+    """The condition on the path is met by the list of files; names may hold what a glob would read otherwise."""
+    for name in ("1T2024_a.csv", "1T2024 [b]{c,d}.csv", "1T2024_?*.csv", "2T2024_x.csv"):
+        write(tmp_path / "sub" / name, f"{name}\ny\n")
+
+    def keep(path):
+        return path.rlike("1T2024")
+
+    lines = delimited.read_lines(spark, str(tmp_path), "*.csv", keep)
+    assert "RLIKE" not in lines._jdf.queryExecution().executedPlan().toString()
+    found = sorted(bytes(r.raw).decode() for r in lines.collect())
+    assert found == sorted(["1T2024_a.csv", "1T2024 [b]{c,d}.csv", "1T2024_?*.csv", "y", "y", "y"])
+    monkeypatch.setattr(delimited, "NAMED_FILES", 2)
+    assert sorted(bytes(r.raw).decode() for r in delimited.read_lines(spark, str(tmp_path), "*.csv", keep).collect()) == found
+    assert delimited.read_lines(spark, str(tmp_path), "*.csv", lambda path: path.rlike("3T")).count() == 0
+
+
+def test_put_together_files_are_not_read_again(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('"k\nl";v\n1;"x\ny"\n2;z\n')
+
+    def read(folder):
+        lines = delimited.read_lines(spark, str(folder))
+        records, files = delimited.whole_records(lines, ["src_file"], lambda d: d)
+        return records, sorted(r.header_line for r in files.collect())
+
+    records, headers = read(tmp_path)
+    assert "Scan text" not in records._jdf.queryExecution().executedPlan().toString()
+    assert headers == ['"k\nl";v'] and sorted(bytes(r.raw).decode() for r in records.collect()) == ['"k\nl";v', '1;"x\ny"', "2;z"]
+    (tmp_path / "b.csv").write_text("k;v\n3;w\n")
+    records, headers = read(tmp_path)
+    assert headers == ['"k\nl";v', "k;v"] and records.count() == 5
+
+
+@pytest.mark.parametrize("line_bytes", [4, 20_000])
+def test_records_over_whole_chunks(spark, tmp_path, monkeypatch, line_bytes):
+    """Chunks of thousands of lines, or fewer where lines are long; records and quotes without end in sight."""
+    monkeypatch.setattr(delimited, "CHUNK_BYTES", 100_000)
+    draw = random.Random(line_bytes)
+    n = 12_000 if line_bytes < 100 else 60
+    pad = "p" * line_bytes
+    rows = [["k", "v", "w"]]
+    for i in range(n):
+        value = draw.choice([pad, f'{pad}\n"{pad}', f'\n\n;"{pad}', '"' * 9, "é;\n", "\n" * 5_000 if i % 997 == 5 else "u"])
+        rows.append([str(i), value, draw.choice(["", "é", 'q"q'])])
+    rows += [["x", '"' * 200_000, "y"], ["y", "; " * 100_000, "z"]]
+
+    def cell(value):
+        return '"' + value.replace('"', '""') + '"' if any(c in value for c in ';"\n') else value
+
+    (tmp_path / "a.csv").write_bytes("".join(";".join(map(cell, r)) + "\n" for r in rows).encode("latin-1"))
+    lines = delimited.read_lines(spark, str(tmp_path))
+    records, _ = delimited.whole_records(lines, ["src_file"], lambda d: d)
+    found = [bytes(r.raw).decode("latin-1") for r in records.orderBy("line_at").collect()]
+    assert found == [";".join(map(cell, r)) for r in rows]
+    # every record has the place of its first line
+    place = {r.line_at: r.raw for r in lines.collect()}
+    assert all(bytes(r.raw).startswith(bytes(place[r.line_at])) for r in records.collect())
+
+
+def test_records_keep_other_columns(spark):
+    raw = ["k;v", '1;"a', 'b";', "", "2;c"]
+    lines = spark.createDataFrame([("f", r, (0, i), f"o{i}") for i, r in enumerate(raw)], "src_file string, raw string, line_at struct<file_block_start: bigint, at: bigint>, more string")
+    rows = delimited.join_records(lines.withColumn("raw", F.col("raw").cast("binary"))).orderBy("line_at").collect()
+    assert [(bytes(r.raw).decode(), r.line_at.at, r.more) for r in rows] == [("k;v", 0, "o0"), ('1;"a\nb";', 1, "o1"), ("", 3, "o3"), ("2;c", 4, "o4")]

@@ -164,3 +164,11 @@ def test_many_divergent_keys_are_not_held_by_every_task(spark, monkeypatch):
     flagged = quality.flag_issues(rows, ["entity_id"])
     assert "BroadcastHashJoin" not in plan(flagged)
     assert flagged.where(F.contains("issue_flags", F.lit(S.FLAG_DIVERGENT_NAME))).count() == 20
+
+
+def test_rows_are_not_sorted_for_many_divergent_keys(spark, monkeypatch):
+    monkeypatch.setattr(quality, "HELD_KEYS", 2)
+    rows = spark.createDataFrame([(f"{i % 5}", "x" * (i % 2 + 1), 1, 2024, 1) for i in range(20)], "entity_id string, entity_name string, quarter int, year int, amount int")
+    text = plan(quality.flag_issues(rows, ["entity_id"]))
+    assert "ShuffledHashJoin" in text and "Sort" not in text
+    assert plan(quality.divergent_ids(rows, ["entity_id"])).count("Exchange") == 1
