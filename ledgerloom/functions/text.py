@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # Accepted spellings of a boolean.
 TRUE_WORDS = ("true", "t", "1", "yes", "y")
 FALSE_WORDS = ("false", "f", "0", "no", "n")
+# White space, and what else may follow it at the end of a text.
+ENDS = " \t\n\x0b\f\r\x85\u2028\u2029"
 
 
 def _col(c: Column | str) -> Column:
@@ -15,8 +17,12 @@ def _col(c: Column | str) -> Column:
 
 
 def strip_whitespace(c: Column | str) -> Column:
-    """Strip every kind of white space (``trim`` removes blanks only)."""
-    return F.regexp_replace(_col(c), r"^\s+|\s+$", "")
+    """Strip every kind of white space (``trim`` removes blanks only).
+
+    Most texts begin and end with something else, and are left as they are without a regular expression.
+    """
+    c = _col(c).cast("string")
+    return F.when(F.btrim(c, F.lit(ENDS)) == c, c).otherwise(F.regexp_replace(c, r"^\s+|\s+$", ""))
 
 
 def blank_to_null(c: Column | str) -> Column:

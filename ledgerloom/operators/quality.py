@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,19 +54,26 @@ def divergent_ids(df: DataFrame, scope: Iterable[str]) -> DataFrame:
     return spans.filter("_a0 <> _a1 OR _b0 <> _b1").select(*scope)
 
 
-def flag_issues(df: DataFrame, scope: Iterable[str] = ("src_file", "entity_id")) -> DataFrame:
+def flag_issues(
+    df: DataFrame,
+    scope: Iterable[str] = ("src_file", "entity_id"),
+    spread: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> DataFrame:
     """Add ``issue_flags``: every issue of the row, joined by ';', '' if none.
 
     ``scope`` says within what the names of one id must agree: one file by
     default, ``("entity_id",)`` for the whole input.  The divergent keys are
     computed when this is called; while they are few, the rows stay in place.
-    Both read ``df``, so pass a stored table.
+    Both read ``df``, so pass a stored table.  ``spread`` deals its rows out before they
+    are grouped; rows that the join deals out by their keys are not dealt out twice.
     """
     scope = list(scope)
-    divergent = joins.sized_side(divergent_ids(df, scope), "divergent")
+    dealt = spread(df)
+    divergent = joins.sized_side(divergent_ids(dealt, scope), "divergent")
     if divergent.count() > HELD_KEYS:  # long paths take little room in files, but much in memory
         divergent = divergent.hint("shuffle_hash")  # each task holds its share, and the rows need no sort
-    marked = df.join(divergent.withColumn("_divergent", F.lit(True)), scope, "left")
+        dealt = df
+    marked = dealt.join(divergent.withColumn("_divergent", F.lit(True)), scope, "left")
     flags = F.concat_ws(
         ";", *row_flags(), _flag(F.col("_divergent"), S.FLAG_DIVERGENT_NAME)
     )

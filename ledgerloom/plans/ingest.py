@@ -28,7 +28,7 @@ UNCLOSED = "a quote is never closed"
 class Ingested:
     """The consolidated rows, and the files and lines that could not be read with the reason.
 
-    ``rows`` are the flagged rows before equal ones become one.
+    ``rows`` are the flagged rows, with the number of their file, before equal ones become one.
     """
 
     expense: DataFrame
@@ -72,14 +72,19 @@ def _by_registration(registry: DataFrame) -> DataFrame:
     )
 
 
+def registrations(registry: DataFrame) -> DataFrame:
+    """A registry as lookups need it, stored; to be made once where there are several of them."""
+    return registry if "found_id" in registry.columns else joins.sized_side(_by_registration(registry), "registrations")
+
+
 def look_up_registration(rows: DataFrame, registry: DataFrame, spread_by: Sequence[str] = ("amount",)) -> DataFrame:
     """Add ``found_id`` and ``found_name``, NULL where the registration is unknown.
 
-    Rows without a registration are spread by the columns ``spread_by``.
+    Rows without a registration are spread by the columns ``spread_by``.  The registry may be one of ``registrations``.
     """
     return joins.lookup(
         rows,
-        joins.sized_side(_by_registration(registry), "registrations"),
+        registrations(registry),
         ids.registration_key("registration"),
         F.col("registration"),
         ["found_id", "found_name"],
@@ -204,7 +209,15 @@ def ingest_lines(lines: DataFrame, registry: DataFrame) -> Ingested:
     quotes are one record; a file that never closes a quote is rejected.
     """
     records, files = delimited.whole_records(lines, FILE_KEY, describe_layouts)
-    files = files.withColumn("problem", F.when(F.col("unclosed"), F.lit(UNCLOSED)).otherwise(F.col("problem")))
+    # rows carry the number of their file, not its path
+    files = files.withColumns(
+        {
+            "problem": F.when(F.col("unclosed"), F.lit(UNCLOSED)).otherwise(F.col("problem")),
+            "file_no": F.monotonically_increasing_id(),
+            **{f"gives_{c}": _names_any(F.col("names"), S.EXPENSE_ALIASES[c]) for c in ("quarter", "year")},
+        }
+    )
+    files = materialize(files, "numbered-files")
     usable = files.filter(F.col("problem").isNull())
     ledger_columns = {f"ledger_{c}": names for c, names in S.LEDGER_ALIASES.items()}
     parsed = delimited.parse_files(
@@ -212,48 +225,42 @@ def ingest_lines(lines: DataFrame, registry: DataFrame) -> Ingested:
         usable,
         {**S.EXPENSE_ALIASES, **ledger_columns},
         delimited.header_width(files),
-        ["is_ledger", "file_year", "file_quarter", "names"],
+        ["file_no", "is_ledger", "file_year", "file_quarter", "gives_quarter", "gives_year"],
         FILE_KEY,
     )
-    is_ledger, names = F.col("is_ledger"), F.col("names")
+    is_ledger = F.coalesce("is_ledger", F.lit(False))
     wanted = text.contains_any("ledger_description", S.LEDGER_WORDS)
     wide = F.col("malformed").isNotNull()
     kept = parsed.filter(~is_ledger | wanted | wide)
 
-    def period(column: str, from_file: str) -> Column:
-        given = ~is_ledger & _names_any(names, S.EXPENSE_ALIASES[column])
-        return F.when(given, numbers.to_whole(column)).otherwise(F.col(from_file))
+    def period(column: str) -> Column:
+        return F.when(~is_ledger & F.col(f"gives_{column}"), numbers.to_whole(column)).otherwise(F.col(f"file_{column}"))
 
     amount = F.when(is_ledger, F.col("ledger_amount")).otherwise(F.col("amount"))
     typed = kept.select(
-        *FILE_KEY,
-        "is_ledger",
+        "file_no",
+        is_ledger.alias("is_ledger"),
         "entity_id",
         "entity_name",
-        period("quarter", "file_quarter").alias("quarter"),
-        period("year", "file_year").alias("year"),
+        period("quarter").alias("quarter"),
+        period("year").alias("year"),
         numbers.comma_decimal(amount).alias("amount"),
         F.when(is_ledger, F.col("ledger_registration")).alias("registration"),
         "malformed",
     )
-    # the amount alone would not spread files that have none
-    found = look_up_registration(typed, registry, ["amount", "entity_id", "entity_name"])
-    routed = found.select(
-        *FILE_KEY,
-        F.when(is_ledger, F.col("found_id")).otherwise(F.col("entity_id")).alias("entity_id"),
-        F.when(is_ledger, F.col("found_name")).otherwise(F.col("entity_name")).alias("entity_name"),
-        "quarter",
-        "year",
-        "amount",
-        "malformed",
-    )
     # flagging needs the rows twice: from here on they are columns, not text
-    rows = materialize(clean(routed), "parsed")
-    good = _spread(rows).filter(F.col("malformed").isNull()).drop("malformed")
-    flagged = quality.flag_issues(good, scope=[*FILE_KEY, "entity_id"])
+    stored = materialize(clean(typed), "parsed")
+    columns = ["file_no", "entity_id", "entity_name", "quarter", "year", "amount", "malformed"]
+    # only lines of ledgers have a registration; the others need not be dealt out for the lookup.
+    # The amount alone would not spread files that have none
+    found = look_up_registration(stored.filter("is_ledger").drop("entity_id", "entity_name"), registry, ["amount", "file_no", "year"])
+    found = found.withColumnsRenamed({"found_id": "entity_id", "found_name": "entity_name"})
+    rows = stored.filter("NOT is_ledger").select(columns).unionByName(materialize(clean(found).select(columns), "looked-up"))
+    good = rows.filter(F.col("malformed").isNull()).drop("malformed")
+    flagged = quality.flag_issues(good, ["file_no", "entity_id"], _spread)
     no_line = F.lit(None).cast("string").alias("line")
     rejects = files.filter(F.col("problem").isNotNull()).select(*FILE_KEY, "problem", no_line)
-    lines_out = rows.filter(F.col("malformed").isNotNull()).select(
+    lines_out = rows.filter(F.col("malformed").isNotNull()).join(files.select("file_no", *FILE_KEY), "file_no").select(
         *FILE_KEY, F.lit(TOO_WIDE).alias("problem"), F.col("malformed").alias("line")
     )
     return Ingested(consolidate(flagged), rejects.unionByName(lines_out), flagged)

@@ -22,6 +22,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # a longer method is never compiled by the JVM: its operators then have code of their own, in shorter ones
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 # Rows with whole texts go to Python tasks in batches of about so many bytes (Spark's own bound is 64 MB).

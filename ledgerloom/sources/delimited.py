@@ -263,8 +263,8 @@ def split_line(line: Column | str, width: int) -> Column:
     return F.array(*[parsed[f] for f in fields])
 
 
-def too_wide(line: Column | str, names: Column) -> Column:
-    """More fields than the header has; empty fields at the end, quoted or not, do not count.
+def too_wide(line: Column | str, n_names: Column) -> Column:
+    """More fields than the header has names; empty fields at the end, quoted or not, do not count.
 
     Only a line with as many separators as the header has names can be: others are not parsed for it.
     """
@@ -272,7 +272,7 @@ def too_wide(line: Column | str, names: Column) -> Column:
     separators = F.length(line) - F.length(F.replace(line, F.lit(SEPARATOR), F.lit("")))
     filled = F.regexp_replace(line, r'(?:;(?:"")?\s*+)+$', "")
     fields = F.regexp_count(filled, F.lit(f"(?s)(?:^|;)(?:{_QUOTED}|[^;]*+)"))
-    return F.when(separators < F.size(names), False).otherwise(fields > F.size(names))
+    return F.when(separators < n_names, False).otherwise(fields > n_names)
 
 
 def places(names: Column, aliases: Iterable[str]) -> Column:
@@ -281,13 +281,9 @@ def places(names: Column, aliases: Iterable[str]) -> Column:
     return F.filter(F.transform(accepted, lambda a: F.array_position(names, a)), lambda at: at > 0)
 
 
-def field(values: Column, at: Column) -> Column:
-    """The first value that is not NULL under the headers at these places, most often one."""
-    def value(place: Column) -> Column:
-        return F.get(values, place.cast("int") - 1)
-
-    several = F.filter(F.transform(at, value), lambda v: v.isNotNull())
-    return F.when(F.size(at) < 2, value(F.get(at, F.lit(0)))).otherwise(F.get(several, F.lit(0)))
+def field(values: Column, at: Iterable[Column]) -> Column:
+    """The first value that is not NULL under the headers at these places, NULL where there is no place."""
+    return F.coalesce(F.lit(None).cast("string"), *[F.get(values, place - 1) for place in at])
 
 
 def parse_files(
@@ -305,16 +301,23 @@ def parse_files(
     lines are not data.  A line with more fields than the header is kept out of no
     result: its ``malformed`` has the line and its columns are NULL.
 
-    Headers are looked up once for a file, not for each of its lines.
+    Headers are looked up once for a file, not for each of its lines, and what every line is joined with are
+    plain numbers: as many places of a column as any file has.
     """
     file_key, keep = list(file_key), list(keep)
-    placed = files.withColumns({f"_at_{column}": places(F.col("names"), names) for column, names in aliases.items()})
+    found = {column: places(F.col("names"), names) for column, names in aliases.items()}
+    most = files.agg(*[F.coalesce(F.max(F.size(at)), F.lit(0)).alias(c) for c, at in found.items()]).first()
+    at = {c: {f"_at_{c}_{i}": F.get(found[c], F.lit(i)).cast("int") for i in range(most[c])} for c in found}
+    placed = files.select(
+        *file_key, *{"header_at", "is_utf8", *(k for k in keep if k in files.columns)}, F.size("names").alias("_n_names"),
+        *[place.alias(name) for named in at.values() for name, place in named.items()],
+    )
     rows = lines.join(placed, file_key).withColumn("_line", decode("raw", F.col("is_utf8")))
     body = rows.filter((F.col("line_at") != F.col("header_at")) & ~is_blank("raw"))
-    wide = F.when(too_wide("_line", F.col("names")), F.col("_line"))
+    wide = F.when(too_wide("_line", F.col("_n_names")), F.col("_line"))
     values = body.withColumn("malformed", wide).withColumn("_values", split_line("_line", width))
     columns = [
-        F.when(F.col("malformed").isNull(), field(F.col("_values"), F.col(f"_at_{column}"))).alias(column)
+        F.when(F.col("malformed").isNull(), field(F.col("_values"), [F.col(name) for name in at[column]])).alias(column)
         for column in aliases
     ]
     return values.select(*file_key, *columns, "malformed", *keep)

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerloom import schema as S
 from ledgerloom.operators import dedupe
-from ledgerloom.plans.ingest import Ingested, ingest_lines
+from ledgerloom.plans.ingest import Ingested, ingest_lines, registrations
 from ledgerloom.session import materialize, scratch
 
 
@@ -38,6 +38,7 @@ def _lines(batch: DataFrame) -> DataFrame:
 
 
 SEEN = "first long, second long, query string, batch long, period int"
+HELD_DIGESTS = 1 << 19  # digests that a task compares its rows with
 AUDIT = "n_rows long, n_distinct long, n_new long, n_flagged long, n_rejects long"
 
 
@@ -60,8 +61,12 @@ def unseen(rows: DataFrame, seen: DataFrame) -> DataFrame:
     impossible, go to the plan as partition filters.
     """
     touched = [r.period for r in rows.select("period").distinct().collect()]
-    known = seen.filter(F.col("period").isin(touched)).select("period", "first", "second")
-    return rows.join(known, ["period", "first", "second"], "left_anti")
+    keys = ["period", "first", "second"]
+    known = seen.filter(F.col("period").isin(touched)).select(keys)
+    # as many tasks that each holds its share of the digests, and the rows need no sort
+    tasks = max(-(-known.count() // HELD_DIGESTS), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    held = known.repartition(tasks, *keys).hint("shuffle_hash")
+    return rows.repartition(tasks, *keys).join(held, keys, "left_anti")
 
 
 def ingest_stream(
@@ -82,7 +87,10 @@ def ingest_stream(
     With ``distinct``, rows that an earlier batch (of any query) brought are left out: digests of all rows are
     kept by period, and a batch is compared with those of its own periods.  One query at a time then.
     Each batch also leaves one row of counts, see ``read_audit``.
+
+    The registry is made ready once for all batches; ``prepare`` gets it as ``registrations`` leaves it.
     """
+    known = registrations(registry)
     if distinct:
         spark = stream.sparkSession
         spark.createDataFrame([], SEEN).write.mode("ignore").partitionBy("query", "batch", "period").parquet(f"{target}/seen")
@@ -95,7 +103,7 @@ def ingest_stream(
             return f"{target}/{part}/query={query}/batch={number}"
 
         with scratch(session):
-            done = prepare(_lines(batch), registry)
+            done = prepare(_lines(batch), known)
             read, rejected, written = Observation(), Observation(), Observation()
             rows = done.rows.observe(read, F.count(F.lit(1)).alias("n"))
             # every observed table is written once: its counts come with the write

@@ -594,3 +594,58 @@ def test_records_keep_other_columns(spark):
     lines = spark.createDataFrame([("f", r, (0, i), f"o{i}") for i, r in enumerate(raw)], "src_file string, raw string, line_at struct<file_block_start: bigint, at: bigint>, more string")
     rows = delimited.join_records(lines.withColumn("raw", F.col("raw").cast("binary"))).orderBy("line_at").collect()
     assert [(bytes(r.raw).decode(), r.line_at.at, r.more) for r in rows] == [("k;v", 0, "o0"), ('1;"a\nb";', 1, "o1"), ("", 3, "o3"), ("2;c", 4, "o4")]
+
+
+def test_only_lines_of_ledgers_are_looked_up(spark, tmp_path, registry, monkeypatch):
+    """Rows of other files are not dealt out for a registration they do not have."""
+    looked_up, lookup = [], joins.lookup
+
+    def seen(rows, *args, **named):
+        looked_up.append(rows.count())
+        return lookup(rows, *args, **named)
+
+    monkeypatch.setattr(ingest.joins, "lookup", seen)
+    write(tmp_path / "despesas_1T2024.csv", "cnpj;razao_social;trimestre;ano;valor\n1;A;1;2024;1\n1;B;1;2024;2\n;;;;\n1;2;3;4;5;6\n")
+    write(tmp_path / "ledger_despesas_1T2024.csv", f"{LEDGER}\n7;EVENTOS/SINISTROS;1,5\n;EVENTOS/SINISTROS;2\n9;other;3\n1;2;3;4\n")
+    done = ingest.ingest_lines(delimited.read_lines(spark, str(tmp_path)).withColumn("entry", F.lit("")), registry)
+    assert looked_up == [3]
+    rows = sorted((r.entity_id, r.entity_name or "", str(r.amount)) for r in done.rows.collect())
+    assert rows == [("", "", "2.00"), ("", "", "None"), ("1", "A", "1.00"), ("1", "B", "2.00"), ("11222333000181", "Alfa", "1.50")]
+    rejects = sorted((r.src_file.rsplit("/", 1)[1], r.problem, r.line) for r in done.rejects.collect())
+    wide = "more fields than the header"
+    assert rejects == [("despesas_1T2024.csv", wide, "1;2;3;4;5;6"), ("ledger_despesas_1T2024.csv", wide, "1;2;3;4")]
+
+
+def test_a_stream_prepares_its_registry_once(spark, tmp_path, registry, monkeypatch):
+    made, by_registration = [], ingest._by_registration
+    monkeypatch.setattr(ingest, "_by_registration", lambda r: made.append(r) or by_registration(r))
+    for i in range(3):
+        write(tmp_path / "in" / f"{i}.csv", f"{LEDGER}\n{i + 6};EVENTOS/SINISTROS;{i},5\n")
+    stream = streaming.line_stream(spark, str(tmp_path / "in"), max_files=1)
+    streaming.ingest_stream(stream, registry, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+    rows = streaming.read_ingested(spark, str(tmp_path / "out")).collect()
+    assert sorted((r.entity_id, str(r.amount)) for r in rows) == [("", "0.50"), ("11222333000181", "1.50"), ("11222333000262", "2.50")]
+    assert len(made) == 1
+
+
+def test_unseen_rows_are_found_without_a_sort(spark, setting, monkeypatch):
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    setting("spark.sql.adaptive.enabled", "false")
+    monkeypatch.setattr(streaming, "HELD_DIGESTS", 10)
+    rows = spark.range(0, 400).selectExpr("id AS first", "id * 7 AS second", "CAST(id % 3 AS INT) AS period", "concat('x', id) AS v")
+    seen = spark.range(100, 300).selectExpr("id AS first", "id * 7 AS second", "'q' AS query", "1L AS batch", "CAST(id % 3 AS INT) AS period")
+    new = streaming.unseen(rows, seen)
+    assert sorted(r.first for r in new.collect()) == [*range(100), *range(300, 400)]
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "Sort [" not in plan
+    assert new.rdd.getNumPartitions() == 20  # each holds some ten of the digests
+
+
+def test_first_filled_header_of_several(spark, tmp_path):
+    write(tmp_path / "a.csv", 'b;a;c\n1;2;3\n1;;3\n;;3\n"";"4";\n')
+    write(tmp_path / "b.csv", "c;b\n5;6\n")
+    rows = delimited.read_mixed_encoding(spark, str(tmp_path), {"x": ("a", "b"), "y": ("c",), "z": ("d",)})
+    found = sorted((r.src_file[-5:], r.x or "", r.y or "", r.z or "") for r in rows.collect())
+    assert found == [("a.csv", "", "3", ""), ("a.csv", "1", "3", ""), ("a.csv", "2", "3", ""), ("a.csv", "4", "", ""), ("b.csv", "6", "5", "")]
+    # no function is called for each place of each line
+    assert "lambdafunction(_values" not in rows._jdf.queryExecution().executedPlan().toString()

@@ -220,3 +220,9 @@ def test_money_formats(values):
 def test_number_format(values):
     cases = [D("1234567.000"), D("1234.500"), D("100.000"), None]
     assert values(formats.number("v"), cases, "decimal(18,3)") == ["1.234.567", "1.234,5", "100", "-"]
+
+
+def test_white_space_is_stripped_as_by_the_regular_expression(values):
+    texts = [None, "", " ", "a", " a", "a\t\n", "a \x85", "\x85a", "a  ", "  a  ", "a b", "\x0ba\x0c", "a\xa0", "a \r\n"]
+    by_pattern = values(F.regexp_replace("v", r"^\s+|\s+$", ""), texts)
+    assert values(text.strip_whitespace("v"), texts) == by_pattern
